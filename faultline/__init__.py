@@ -8,3 +8,11 @@
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Batch functions travel to the executors by value, so the package needs to
+# be installed only where the driver runs.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
