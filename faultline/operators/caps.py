@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.operators.skew import MAX_ROWS, SLICE, as_keys, by_heat, join_carry
+from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, running_ordinal
 
 ORDER = ("ts", "event_id")
 
@@ -43,7 +43,7 @@ def drain(df: DataFrame, keys: str | Sequence[str], n: int = 5, order: Sequence[
 
 
 def _bytes_from_newest(
-    df: DataFrame, keys: str | Sequence[str], size: Column, order: Sequence[str], ts: str, max_rows: int
+    df: DataFrame, keys: str | Sequence[str], size: Column, order: Sequence[str], ts: str, heat: Heat
 ) -> DataFrame:
     """Adds ``_tail``: bytes of a row and all newer rows of its key."""
     newest_first = [F.col(c).desc() for c in order]
@@ -59,12 +59,12 @@ def _bytes_from_newest(
         d = join_carry(plain(d, [*ks, SLICE]), base, ks)
         return d.withColumn("_tail", F.col("_tail") + F.col("_newer")).drop("_newer")
 
-    return by_heat(df.withColumn("_bytes", size.cast("bigint")), keys, plain, sliced, ts, max_rows)
+    return by_heat(df.withColumn("_bytes", size.cast("bigint")), keys, plain, sliced, ts, heat)
 
 
 def cap_bytes(
     df: DataFrame, keys: str | Sequence[str], max_bytes: int, size: Column, marker: Column | None = None,
-    order: Sequence[str] = ORDER, ts: str = "ts", max_rows: int = MAX_ROWS,
+    order: Sequence[str] = ORDER, ts: str = "ts", heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Drop oldest rows until a key's total is at most ``max_bytes``.
 
@@ -73,7 +73,7 @@ def cap_bytes(
     limit or not.
     """
     keys = as_keys(keys)
-    rows = _bytes_from_newest(df, keys, size, order, ts, max_rows)
+    rows = _bytes_from_newest(df, keys, size, order, ts, heat)
     at = F.struct(*[F.col(c) for c in order])
     stop = F.min(F.when(marker, at)) if marker is not None else F.min(F.when(F.lit(False), at))
     per_key = rows.groupBy(*keys).agg(stop.alias("_stop"), F.max(at).alias("_newest"))
@@ -84,13 +84,11 @@ def cap_bytes(
 
 def halve_over_bytes(
     df: DataFrame, keys: str | Sequence[str], max_bytes: int, size: Column, order: Sequence[str] = ORDER,
-    ts: str = "ts", max_rows: int = MAX_ROWS,
+    ts: str = "ts", heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Keys over ``max_bytes`` keep only their newest half (rounded down)."""
-    from faultline.operators.skew import running_ordinal
-
     keys = as_keys(keys)
-    rows = running_ordinal(df.withColumn("_bytes", size.cast("bigint")), keys, "_pos", order, ts, max_rows)
+    rows = running_ordinal(df.withColumn("_bytes", size.cast("bigint")), keys, "_pos", order, ts, heat)
     total = rows.groupBy(*keys).agg(F.sum("_bytes").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     kept = rows.join(total, keys).filter((F.col("_sum") <= max_bytes) | (F.col("_pos") > F.col("_n") - F.floor(F.col("_n") / 2)))
     return kept.drop("_bytes", "_pos", "_sum", "_n")

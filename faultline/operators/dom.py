@@ -38,17 +38,17 @@ def snapshot_elements(df: DataFrame, text: str = "snapshot", key: str = "snapsho
             F.lit("0").alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("depth"),
             F.col("_r.tree").alias("_json"))).alias("_all"),
     )
+
+    def children(node):
+        kids = F.from_json(F.get_json_object(node["_json"], "$.children"), "ARRAY<STRING>")
+        return F.transform(F.coalesce(kids, F.array().cast("array<string>")), lambda kid, i: F.struct(
+            F.concat(node["node_id"], F.lit("."), i.cast("string")).alias("node_id"),
+            node["node_id"].alias("parent_id"), (node["depth"] + 1).alias("depth"), kid.alias("_json")))
+
     # Breadth first: level d appends the children of the nodes of level d-1.
     for depth in range(1, max_depth + 1):
         level = F.filter("_all", lambda n: n["depth"] == depth - 1)
-
-        def unfold(node, depth=depth):
-            kids = F.from_json(F.get_json_object(node["_json"], "$.children"), "ARRAY<STRING>")
-            return F.transform(F.coalesce(kids, F.array().cast("array<string>")), lambda kid, i: F.struct(
-                F.concat(node["node_id"], F.lit("."), i.cast("string")).alias("node_id"),
-                node["node_id"].alias("parent_id"), F.lit(depth).alias("depth"), kid.alias("_json")))
-
-        top = top.withColumn("_all", F.concat("_all", F.flatten(F.transform(level, unfold))))
+        top = top.withColumn("_all", F.concat("_all", F.flatten(F.transform(level, children))))
     rows = top.select(key, *VIEW, F.explode("_all").alias("_n")).select(
         key, *VIEW, "_n.node_id", "_n.parent_id", "_n.depth", F.from_json("_n._json", style).alias("_s"))
     return rows.select(

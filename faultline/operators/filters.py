@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,11 +32,8 @@ def is_ignored_error(message: Column | str, patterns: Sequence[str] = ()) -> Col
     An empty or missing message is never ignored. Ignored errors are still
     sent; they only get no replay.
     """
-    text = F.lower(F.coalesce(col(message), F.lit("")))
-    hit = F.lit(False)
-    for p in [*patterns, *IGNORED_MESSAGES]:
-        hit = hit | text.contains(p.lower())
-    return (text != "") & hit
+    words = [p.lower() for p in [*patterns, *IGNORED_MESSAGES] if p]
+    return F.coalesce(F.lower(col(message)).rlike("|".join(re.escape(w) for w in words)), F.lit(False))
 
 
 def drop_ignored_errors(df: DataFrame, patterns: Sequence[str] = (), message: str = "message") -> DataFrame:

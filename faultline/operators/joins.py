@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.operators.skew import MAX_ROWS, SLICE, as_keys, by_heat, join_carry
+from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry
 
 
 def merge_replay(errors: DataFrame, replay: DataFrame, on: str | Sequence[str] = "event_id") -> DataFrame:
@@ -20,7 +20,7 @@ def merge_replay(errors: DataFrame, replay: DataFrame, on: str | Sequence[str] =
 
 
 def link_recovery(
-    errors: DataFrame, recoveries: DataFrame, key: str = "session_id", captured: str = "captured_at", max_rows: int = MAX_ROWS
+    errors: DataFrame, recoveries: DataFrame, key: str = "session_id", captured: str = "captured_at", heat: Heat = MAX_ROWS
 ) -> DataFrame:
     """First recovery of the same session captured after each error.
 
@@ -48,7 +48,7 @@ def link_recovery(
         d = join_carry(plain(d, [*ks, SLICE]), carry, ks)
         return finish(d.withColumn("_hit", F.coalesce("_hit", "_next")))
 
-    return by_heat(rows, key, lambda d, ks: finish(plain(d, ks)), sliced, "_at", max_rows)
+    return by_heat(rows, key, lambda d, ks: finish(plain(d, ks)), sliced, "_at", heat)
 
 
 def errors_with_session(errors: DataFrame, sessions: DataFrame, on: str = "session_id") -> DataFrame:

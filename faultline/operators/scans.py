@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.operators.skew import MAX_ROWS, SLICE, as_keys, by_heat, join_carry, micros
+from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, micros, resolve_heat, running_ordinal
 
 # Default windows and limits.
 DEDUPE_SECONDS = 5.0
@@ -281,7 +281,7 @@ def _walk(df: DataFrame, machine, keys: list[str], order: Sequence[str], name: s
 
 def ordered_scan(
     df: DataFrame, keys: str | Sequence[str], machine, name: str, flag: Column | None = None,
-    order: Sequence[str] = ("ts", "event_id"), ts: str = "ts", max_rows: int = MAX_ROWS,
+    order: Sequence[str] = ("ts", "event_id"), ts: str = "ts", heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Run a state machine along every key's rows; adds its result as ``name``."""
     df = df.withColumns({"_us": micros(ts), "_flag": F.lit(True) if flag is None else flag})
@@ -292,7 +292,7 @@ def ordered_scan(
     def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
         return _walk(join_carry(d, _carries(d, machine, ks, order), ks), machine, [*ks, SLICE], order, name, carry=True)
 
-    return by_heat(df, keys, plain, sliced, ts, max_rows)
+    return by_heat(df, keys, plain, sliced, ts, heat)
 
 
 def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str]) -> DataFrame:
@@ -319,28 +319,28 @@ def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str]) -> Data
 
 
 def debounce(
-    df: DataFrame, keys: str | Sequence[str], ms: int = DEBOUNCE_MS, name: str = "kept", max_rows: int = MAX_ROWS, **kw
+    df: DataFrame, keys: str | Sequence[str], ms: int = DEBOUNCE_MS, name: str = "kept", heat: Heat = MAX_ROWS, **kw
 ) -> DataFrame:
     """Flag rows that come at least ``ms`` after the last kept row of their key.
 
     Dropped rows do not move the clock. Filter on the flag to drop them.
     """
-    return ordered_scan(df, keys, Gap(max(ms, MIN_DEBOUNCE_MS) * 1000), name, max_rows=max_rows, **kw)
+    return ordered_scan(df, keys, Gap(max(ms, MIN_DEBOUNCE_MS) * 1000), name, heat=heat, **kw)
 
 
 def throttle_snapshots(
-    df: DataFrame, keys: str | Sequence[str], ms: int = THROTTLE_MS, snapshot: str = "snapshot", max_rows: int = MAX_ROWS
+    df: DataFrame, keys: str | Sequence[str], ms: int = THROTTLE_MS, snapshot: str = "snapshot", heat: Heat = MAX_ROWS
 ) -> DataFrame:
     """At most one snapshot per interval: later ones become null, rows stay.
 
     Adds ``captured``.
     """
-    rows = ordered_scan(df, keys, Gap(max(ms, MIN_THROTTLE_MS) * 1000), "captured", max_rows=max_rows)
+    rows = ordered_scan(df, keys, Gap(max(ms, MIN_THROTTLE_MS) * 1000), "captured", heat=heat)
     return rows.withColumn(snapshot, F.when(F.col("captured"), F.col(snapshot)))
 
 
 def dedupe_errors(
-    df: DataFrame, keys: str | Sequence[str], window: float = DEDUPE_SECONDS, name: str = "passed", max_rows: int = MAX_ROWS
+    df: DataFrame, keys: str | Sequence[str], window: float = DEDUPE_SECONDS, name: str = "passed", heat: Heat = MAX_ROWS
 ) -> DataFrame:
     """Flag the errors that pass the repeat check.
 
@@ -348,23 +348,23 @@ def dedupe_errors(
     ``window`` seconds went by since the last row that passed; a gap of
     exactly ``window`` is still a repeat.
     """
-    return ordered_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, max_rows=max_rows)
+    return ordered_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat)
 
 
 def rate_limit(
     df: DataFrame, keys: str | Sequence[str], capacity: int = BUCKET_TOKENS, rate: float = BUCKET_RATE,
-    name: str = "admitted", max_rows: int = MAX_ROWS,
+    name: str = "admitted", heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Flag the rows a client's token bucket admits; the others are deferred, not lost."""
     if capacity < 1 or rate <= 0:
         raise ValueError("capacity and rate must be positive")
-    return ordered_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, max_rows=max_rows)
+    return ordered_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat)
 
 
 def outage_states(
     df: DataFrame, keys: str | Sequence[str] = "endpoint", success: Column | str = "success",
     failures: int = OUTAGE_FAILURES, cooldown: float = OUTAGE_COOLDOWN, probes: int = OUTAGE_PROBES,
-    max_rows: int = MAX_ROWS,
+    heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Label each call with the state its endpoint was in: closed, open or half_open.
 
@@ -376,20 +376,19 @@ def outage_states(
         raise ValueError("failures, probes and cooldown must be positive")
     ok = F.col(success) if isinstance(success, str) else success
     rows = ordered_scan(
-        df, keys, Outage(failures, int(cooldown * 1_000_000), probes), "_mode", F.coalesce(ok, F.lit(False)), max_rows=max_rows)
+        df, keys, Outage(failures, int(cooldown * 1_000_000), probes), "_mode", F.coalesce(ok, F.lit(False)), heat=heat)
     names = F.array(*[F.lit(s) for s in STATE_NAMES])
     return rows.withColumn("state", F.get(names, F.col("_mode"))).withColumn("blocked", F.col("_mode") == OPEN).drop("_mode")
 
 
-def outage_intervals(states: DataFrame, keys: str | Sequence[str] = "endpoint", ts: str = "ts", max_rows: int = MAX_ROWS) -> DataFrame:
+def outage_intervals(states: DataFrame, keys: str | Sequence[str] = "endpoint", ts: str = "ts", heat: Heat = MAX_ROWS) -> DataFrame:
     """First and last blocked call of each outage, and how many calls it blocked."""
-    from faultline.operators.skew import running_ordinal
-
     keys = as_keys(keys)
     # Blocked calls of one outage are consecutive, so position among all
     # calls minus position among blocked ones is the same for all of them.
-    numbered = running_ordinal(states, keys, "_all", max_rows=max_rows).filter("blocked")
-    numbered = running_ordinal(numbered, keys, "_blocked", max_rows=max_rows)
+    heat = resolve_heat(states, keys, ts, heat)
+    numbered = running_ordinal(states, keys, "_all", heat=heat).filter("blocked")
+    numbered = running_ordinal(numbered, keys, "_blocked", heat=heat)
     return numbered.groupBy(*keys, (F.col("_all") - F.col("_blocked")).alias("_run")).agg(
         F.min(ts).alias("first_blocked"), F.max(ts).alias("last_blocked"), F.count(F.lit(1)).alias("blocked_calls"),
     ).drop("_run")

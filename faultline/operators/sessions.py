@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import recent_pages
 from faultline.operators.caps import keep_last_n
-from faultline.operators.skew import MAX_ROWS, SLICE, as_keys, by_heat, join_carry, micros, running_ordinal
+from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, micros, resolve_heat, running_ordinal
 
 # Idle gap and page list length.
 IDLE_SECONDS = 1800
@@ -24,7 +24,7 @@ def new_session_id(keys: Sequence[str], start: Column) -> Column:
 
 def sessionize(
     df: DataFrame, keys: str | Sequence[str], gap: float = IDLE_SECONDS, ts: str = "ts",
-    order: Sequence[str] = ("ts", "event_id"), max_rows: int = MAX_ROWS,
+    order: Sequence[str] = ("ts", "event_id"), heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Number the sessions of each client.
 
@@ -71,7 +71,7 @@ def sessionize(
         })
         return finish(d.drop("_prev", "_first", "_new", "_seq", "_start", "_opens", "_lo", "_base", "_open_start"), ks)
 
-    return by_heat(df, keys, plain, sliced, ts, max_rows)
+    return by_heat(df, keys, plain, sliced, ts, heat)
 
 
 def session_ends(sessions: DataFrame, keys: str | Sequence[str], ts: str = "ts") -> DataFrame:
@@ -96,7 +96,7 @@ def extend_activity(df: DataFrame, session: str | Sequence[str], ts: str = "ts")
 
 
 def page_views(
-    views: DataFrame, session: str | Sequence[str], url: str = "url", ts: str = "ts", max_rows: int = MAX_ROWS
+    views: DataFrame, session: str | Sequence[str], url: str = "url", ts: str = "ts", heat: Heat = MAX_ROWS
 ) -> DataFrame:
     """Page number and previous page of each view in its session.
 
@@ -105,7 +105,8 @@ def page_views(
     the view numbered one less.
     """
     keys = as_keys(session)
-    numbered = running_ordinal(views, keys, "page_count", ts=ts, max_rows=max_rows)
+    heat = resolve_heat(views, keys, ts, heat)
+    numbered = running_ordinal(views, keys, "page_count", ts=ts, heat=heat)
 
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
         return d.withColumn("previous_url", F.lag(url).over(Window.partitionBy(*ks).orderBy("page_count")))
@@ -119,7 +120,7 @@ def page_views(
         d = join_carry(d.withColumn("_first", first), carry, ks)
         return d.withColumn("previous_url", F.when(F.col("_first"), F.col("_before")).otherwise(F.col("previous_url"))).drop("_first", "_before")
 
-    out = by_heat(numbered, keys, plain, sliced, ts, max_rows)
+    out = by_heat(numbered, keys, plain, sliced, ts, heat)
     return out.withColumns({"type": F.lit("pageTransition"), "phase": F.lit("before_error")})
 
 

@@ -83,6 +83,19 @@ def find_hot_keys(
     return HotKeys(tuple(keys), frame, sum(len(r[CUTS]) + 1 for r in table))
 
 
+Heat = int | HotKeys | None
+
+
+def resolve_heat(df: DataFrame, keys: str | Sequence[str], ts: str, heat: Heat) -> HotKeys | None:
+    """Hot keys for an operator.
+
+    A number is the row limit to look for hot keys with. Flows of several
+    operators look once, on their narrow input, and pass the result (or
+    None, nothing hot) on: its keys may be any subset of an operator's keys.
+    """
+    return find_hot_keys(df, keys, ts, heat) if isinstance(heat, int) else heat
+
+
 def _with_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join rows to the (bounded) hot keys; null equals null, as in a window."""
     small = hot.withColumnsRenamed({k: f"_h_{k}" for k in keys})
@@ -122,20 +135,18 @@ def by_heat(
     plain: Callable[[DataFrame, list[str]], DataFrame],
     sliced: Callable[[DataFrame, list[str]], DataFrame],
     ts: str = "ts",
-    max_rows: int = MAX_ROWS,
-    halo: bool = False,
+    heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Plain form for cold keys, sliced form for hot ones.
 
-    ``sliced`` sees the hot rows with a slice column (and with the cut
-    points too when it has to place halo rows).
+    ``sliced`` sees the hot rows with a slice column.
     """
     keys = as_keys(keys)
-    hot = find_hot_keys(df, keys, ts, max_rows)
+    hot = resolve_heat(df, keys, ts, heat)
     if hot is None:
         return plain(df, keys)
-    part = sliced(hot_rows(df, hot, ts, keep_cuts=halo), keys)
-    return plain(cold_rows(df, hot), keys).unionByName(part.drop(SLICE, CUTS))
+    part = sliced(hot_rows(df, hot, ts), keys)
+    return plain(cold_rows(df, hot), keys).unionByName(part.drop(SLICE))
 
 
 def time_halo(df: DataFrame, back: float = 0, ahead: float = 0, ts: str = "ts") -> DataFrame:
@@ -154,7 +165,7 @@ def time_halo(df: DataFrame, back: float = 0, ahead: float = 0, ts: str = "ts")
 
 def running_ordinal(
     df: DataFrame, keys: str | Sequence[str], name: str, order: Sequence[str] = ("ts", "event_id"),
-    ts: str = "ts", max_rows: int = MAX_ROWS,
+    ts: str = "ts", heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Position of each row on its key's timeline, from 1.
 
@@ -170,7 +181,7 @@ def running_ordinal(
         base = sizes.select(*ks, SLICE, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
         return join_carry(plain(d, [*ks, SLICE]), base, ks).withColumn(name, F.col(name) + F.col("_base")).drop("_base")
 
-    return by_heat(df, keys, plain, sliced, ts, max_rows)
+    return by_heat(df, keys, plain, sliced, ts, heat)
 
 
 def join_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:

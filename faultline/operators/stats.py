@@ -24,12 +24,16 @@ def phase_breakdown(events: DataFrame, keys: str | Sequence[str] = "session_id")
     return events.groupBy(*as_keys(keys), "phase").agg(F.count(F.lit(1)).alias("events"), moved.alias("migrated_events"))
 
 
-def buffer_stats(events: DataFrame, keys: str | Sequence[str] = "session_id", max_bytes: int = 5 * 1024 * 1024) -> DataFrame:
+def buffer_stats(
+    events: DataFrame, keys: str | Sequence[str] = "session_id", max_bytes: int = 5 * 1024 * 1024,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Per client: events, dropped, over-size rows, bytes, rows kept, recording flag, rows after the error.
 
-    Reads ``phase`` and ``kept`` besides the event columns.
+    Reads ``phase`` and ``kept`` besides the event columns; ``columns`` are
+    those whose size counts, by default all but the flag.
     """
-    size = json_size(F.struct(*[c for c in events.columns if c != "kept"]))
+    size = json_size(F.struct(*(columns or [c for c in events.columns if c != "kept"])))
     rows = events.withColumn("_bytes", size)
     after = F.col("phase") == "after_error"
     return rows.groupBy(*as_keys(keys)).agg(

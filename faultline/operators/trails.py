@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import has_click
 from faultline.operators.skew import (
-    CUTS, MAX_ROWS, SLICE, as_keys, by_heat, cold_rows, find_hot_keys, hot_rows, micros, time_halo,
+    CUTS, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, micros, resolve_heat, time_halo,
 )
 
 # Trail length, window length and caps.
@@ -51,7 +51,7 @@ ORDER = ("ts", "_kind", "event_id")
 
 def attach_breadcrumbs(
     errors: DataFrame, crumbs: DataFrame, keys: str | Sequence[str] = "client_id", n: int = MAX_CRUMBS,
-    item: Column | None = None, max_rows: int = MAX_ROWS,
+    item: Column | None = None, heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Give every error the last ``n`` crumbs of its client, oldest first.
 
@@ -89,27 +89,33 @@ def attach_breadcrumbs(
             F.lit(None).alias("_err"), F.col("_halo._item").alias("_item"), SLICE)
         return plain(d.unionByName(halo), [*ks, SLICE])
 
-    return by_heat(rows, keys, plain, sliced, max_rows=max_rows)
+    return by_heat(rows, keys, plain, sliced, heat=heat)
 
 
-def _halo_split(rows: DataFrame, keys: list[str], plain, back: float, ahead: float, max_rows: int) -> DataFrame:
+def _halo_split(rows: DataFrame, keys: list[str], plain, back: float, ahead: float, heat: Heat) -> DataFrame:
     """Run ``plain`` per key, or per slice with time halo for hot keys.
 
-    ``plain`` gets the key columns and returns its rows with ``_home``.
+    ``plain`` gets the key columns, and rows with ``_home`` (false for halo
+    copies) and ``_past`` (errors of the key in earlier slices); it returns
+    its rows with ``_home``.
     """
-    rows = rows.withColumn("_home", F.lit(True))
-    hot = find_hot_keys(rows, keys, "ts", max_rows)
+    whole = {"_home": F.lit(True), "_past": F.lit(0).cast("bigint")}
+    hot = resolve_heat(rows, keys, "ts", heat)
     if hot is None:
-        return plain(rows, keys).drop("_home")
-    near = time_halo(hot_rows(rows.drop("_home"), hot, "ts", keep_cuts=True), back, ahead).drop(CUTS)
+        return plain(rows.withColumns(whole), keys).drop("_home", "_past")
+    mine = hot_rows(rows, hot, "ts", keep_cuts=True)
+    sizes = mine.groupBy(*keys, SLICE).agg(F.count_if(F.col("_kind") == 1).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    past = sizes.select(*keys, SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_past"))
+    near = join_carry(time_halo(mine, back, ahead).drop(CUTS), past, keys)
     part = plain(near, [*keys, SLICE]).filter("_home").drop(SLICE)
-    return plain(cold_rows(rows, hot), keys).unionByName(part).drop("_home")
+    return plain(cold_rows(rows, hot).withColumns(whole), keys).unionByName(part).drop("_home", "_past")
 
 
 def replay_before(
     errors: DataFrame, events: DataFrame, keys: str | Sequence[str] = "session_id",
     seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, item: Column | None = None,
-    anchor: str = "error", capped: bool = True, max_rows: int = MAX_ROWS,
+    anchor: str = "error", capped: bool = True, heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Give every error the events recorded just before it, in time order.
 
@@ -134,6 +140,7 @@ def replay_before(
         along = Window.partitionBy(*ks).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
         d = d.withColumns({
             "_n": F.count_if("_click").over(along),
+            "prior_errors": F.col("_past") + F.count_if((F.col("_kind") == 1) & F.col("_home")).over(along) - 1,
             "_end": F.col("_us") if anchor == "error"
             else F.max(F.when(F.col("_kind") == 0, F.col("_us"))).over(along),
         })
@@ -151,23 +158,17 @@ def replay_before(
         }).filter(F.col("_err").isNotNull())
         recent = F.filter("_clicks", lambda c: c["_us"] >= F.col("_end") - back)
         both = F.array_sort(F.concat("_others", recent))
-        return d.select("_err.*", F.transform(both, lambda r: r["_item"]).alias("replay"), "_home", *[k for k in ks if k == SLICE])
+        return d.select("_err.*", F.transform(both, lambda r: r["_item"]).alias("replay"), "prior_errors", "_home", *[k for k in ks if k == SLICE])
 
-    if anchor == "last_event":
-        # The last event may lie any time back: no time halo covers it.
-        out = plain(rows.withColumn("_home", F.lit(True)), keys).drop("_home")
-    else:
-        out = _halo_split(rows, keys, plain, seconds, 0, max_rows)
-    from faultline.operators.skew import running_ordinal
-
-    counted = running_ordinal(out, keys, "prior_errors", max_rows=max_rows)
-    return counted.withColumn("prior_errors", F.col("prior_errors") - 1)
+    # With the last event as anchor the window may lie any time back, where
+    # no time halo reaches.
+    return _halo_split(rows, keys, plain, seconds, 0, heat if anchor == "error" else None)
 
 
 def replay_after(
     errors: DataFrame, events: DataFrame, keys: str | Sequence[str] = "session_id",
     seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, item: Column | None = None,
-    include_closing: bool = False, capped: bool = True, max_rows: int = MAX_ROWS,
+    include_closing: bool = False, capped: bool = True, heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Give every error the events recorded right after it, in time order.
 
@@ -193,15 +194,13 @@ def replay_after(
             inside = F.slice("_next", F.lit(1), F.size(inside) + 1)
         return d.select("_err.*", F.transform(inside, lambda r: r["_item"]).alias("recovery"), "_home", *[k for k in ks if k == SLICE])
 
-    if include_closing:
-        # The closing event may lie any time ahead: no time halo covers it.
-        return plain(rows.withColumn("_home", F.lit(True)), keys).drop("_home")
-    return _halo_split(rows, keys, plain, 0, seconds, max_rows)
+    # The closing event may lie any time ahead, where no time halo reaches.
+    return _halo_split(rows, keys, plain, 0, seconds, None if include_closing else heat)
 
 
 def tag_phase(
     events: DataFrame, errors: DataFrame, keys: str | Sequence[str] = "session_id",
-    seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, capped: bool = True, max_rows: int = MAX_ROWS,
+    seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, capped: bool = True, heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Label the merged timeline ``before_error``, ``error`` or ``after_error``.
 
@@ -224,15 +223,15 @@ def tag_phase(
         d = d.withColumn("_base", F.max(F.when(is_error, F.col("_seen"))).over(w))
         running = (micros("ts") - F.col("_at") < int(seconds * 1_000_000)) & (F.col("_seen") - F.col("_base") <= clicks)
         phase = F.when(is_error, "error").when(running, "after_error").otherwise("before_error")
-        return d.withColumn("phase", phase).drop("_at", "_seen", "_base", "_kind")
+        return d.withColumn("phase", phase).drop("_at", "_seen", "_base", "_kind", "_past")
 
-    return _halo_split(rows, keys, plain, seconds, 0, max_rows)
+    return _halo_split(rows, keys, plain, seconds, 0, heat)
 
 
 def two_phase_replay(
     errors: DataFrame, events: DataFrame, keys: str | Sequence[str] = "session_id",
     seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, gate: Column | None = None,
-    item: Column | None = None, capped: bool = True, max_rows: int = MAX_ROWS,
+    item: Column | None = None, capped: bool = True, heat: Heat = MAX_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Both halves of a session replay: (errors, recoveries).
 
@@ -242,15 +241,17 @@ def two_phase_replay(
     holds a click and no later error of the client cut it short.
     """
     keys = as_keys(keys)
+    spots = errors.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
+    heat = resolve_heat(spots, keys, "ts", heat)
     passing = errors if gate is None else errors.filter(gate)
     item = F.struct(*[c for c in events.columns if c not in keys]) if item is None else item
-    before = replay_before(errors, events, keys, seconds, clicks, item, capped=capped, max_rows=max_rows)
+    before = replay_before(errors, events, keys, seconds, clicks, item, capped=capped, heat=heat)
     shown = has_click("replay") if gate is None else (F.coalesce(gate, F.lit(False)) & has_click("replay"))
     phase1 = before.withColumn("replay", F.when(shown, F.col("replay")))
 
-    after = replay_after(passing, events, keys, seconds, clicks, item, capped=capped, max_rows=max_rows)
+    after = replay_after(passing, events, keys, seconds, clicks, item, capped=capped, heat=heat)
     # The next error of the client, when it comes soon enough to cancel.
-    numbered = after.withColumn("_us", micros("ts"))
+    numbered = after.withColumns({"_us": micros("ts"), "_kind": F.lit(1)})
     stop = F.when(F.size("recovery") >= clicks, micros(F.get("recovery", clicks - 1)["ts"])).otherwise(
         F.col("_us") + int(seconds * 1_000_000))
 
@@ -258,6 +259,6 @@ def two_phase_replay(
         w = Window.partitionBy(*ks).orderBy("ts", "event_id")
         return d.withColumn("_next", F.lead("_us").over(w))
 
-    with_next = _halo_split(numbered, keys, nxt, 0, seconds, max_rows)
+    with_next = _halo_split(numbered, keys, nxt, 0, seconds, heat)
     done = with_next.filter(has_click("recovery") & ~F.coalesce(F.col("_next") < stop, F.lit(False)))
-    return phase1, done.drop("_us", "_next")
+    return phase1, done.drop("_us", "_next", "_kind")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from faultline.operators.skew import running_ordinal
 from faultline.sources.readers import CORRUPT
 
 
@@ -42,14 +43,12 @@ def encode_buffer(events: DataFrame, key: str = "session_id", ts: str = "ts", si
     A long buffer becomes several numbered parts of at most ``size`` events,
     so no client's history has to fit in one row.
     """
-    from pyspark.sql import Window
-
     item = F.struct(
         F.unix_millis(ts).alias("timestamp"), F.col("type"), F.col("phase"), F.col("url"), F.col("event_id")
     )
-    order = Window.partitionBy(key).orderBy(ts, "event_id")
-    part = F.floor((F.row_number().over(order) - 1) / size).cast("int")
-    packed = events.withColumn("part", part).groupBy(key, "part").agg(
+    placed = running_ordinal(events, key, "_pos", (ts, "event_id"), ts)
+    part = F.floor((F.col("_pos") - 1) / size).cast("int")
+    packed = placed.withColumn("part", part).groupBy(key, "part").agg(
         F.array_sort(F.collect_list(item)).alias("_items"),
         F.max(F.col("phase") == "after_error").alias("_rec"),
         F.max(F.when(F.col("phase") == "error", F.unix_millis(ts))).alias("_err"),
