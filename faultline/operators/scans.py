@@ -60,6 +60,10 @@ class Gap:
     def begin(self, us, flag):
         return (None,)
 
+    def forget_at(self, state):
+        """Time from which the state is as good as none."""
+        return None if state[0] is None else state[0] + self.gap
+
     def step(self, state, us, flag):
         last = state[0]
         if last is None or us - last >= self.gap:
@@ -99,6 +103,9 @@ class Bucket:
     def begin(self, us, flag):
         return (self.capacity, us)
 
+    def forget_at(self, state):
+        return state[1] + self.capacity * self.per_token
+
     def step(self, state, us, flag):
         tokens, clock = state
         more = (us - clock) // self.per_token
@@ -157,6 +164,9 @@ class Outage:
     def begin(self, us, flag):
         return (CLOSED, 0, 0)
 
+    def forget_at(self, state):
+        return 0 if state[:2] == (CLOSED, 0) else None
+
     def step(self, state, us, ok):
         mode, count, opened = state
         if mode == OPEN:
@@ -314,8 +324,8 @@ def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str]) -> Data
             state = machine.apply(json.loads(text), state)
         return pd.DataFrame(rows, columns=[*ks, SLICE, "_carry"])
 
-    sums = narrow.groupBy(*ks, SLICE).applyInPandas(summarise, T.StructType([*with_slice.fields]).add("_sum", "string"))
-    return sums.groupBy(*ks).applyInPandas(fold, T.StructType([*with_slice.fields]).add("_carry", "string"))
+    sums = narrow.groupBy(*ks, SLICE).applyInPandas(summarise, T.StructType([*with_slice.fields]).add("_sum", T.StringType()))
+    return sums.groupBy(*ks).applyInPandas(fold, T.StructType([*with_slice.fields]).add("_carry", T.StringType()))
 
 
 def debounce(
