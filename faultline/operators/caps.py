@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, running_ordinal
+from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, join_keys, running_ordinal
 
 ORDER = ("ts", "event_id")
 
@@ -77,7 +77,7 @@ def cap_bytes(
     at = F.struct(*[F.col(c) for c in order])
     stop = F.min(F.when(marker, at)) if marker is not None else F.min(F.when(F.lit(False), at))
     per_key = rows.groupBy(*keys).agg(stop.alias("_stop"), F.max(at).alias("_newest"))
-    kept = rows.join(per_key, keys).filter(
+    kept = join_keys(rows, per_key, keys).filter(
         (F.col("_tail") <= max_bytes) | (at == F.col("_newest")) | F.coalesce(at >= F.col("_stop"), F.lit(False)))
     return kept.drop("_bytes", "_tail", "_stop", "_newest")
 
@@ -90,5 +90,5 @@ def halve_over_bytes(
     keys = as_keys(keys)
     rows = running_ordinal(df.withColumn("_bytes", size.cast("bigint")), keys, "_pos", order, ts, heat)
     total = rows.groupBy(*keys).agg(F.sum("_bytes").alias("_sum"), F.count(F.lit(1)).alias("_n"))
-    kept = rows.join(total, keys).filter((F.col("_sum") <= max_bytes) | (F.col("_pos") > F.col("_n") - F.floor(F.col("_n") / 2)))
+    kept = join_keys(rows, total, keys).filter((F.col("_sum") <= max_bytes) | (F.col("_pos") > F.col("_n") - F.floor(F.col("_n") / 2)))
     return kept.drop("_bytes", "_pos", "_sum", "_n")

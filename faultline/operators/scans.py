@@ -312,12 +312,12 @@ def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str]) -> Data
     narrow = d.select(*ks, SLICE, "_us", "_flag", *[c for c in order if c not in (*ks, "_us")])
     n_keys = len(ks)
 
-    def summarise(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(list(order), kind="stable")
         text = json.dumps(machine.summary(pdf["_us"].tolist(), pdf["_flag"].tolist()))
         return pd.DataFrame([[*key, text]], columns=[*ks, SLICE, "_sum"])
 
-    def fold(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         state, rows = None, []
         for s, text in sorted(zip(pdf[SLICE], pdf["_sum"])):
             rows.append([*key[:n_keys], s, None if state is None else json.dumps(state)])

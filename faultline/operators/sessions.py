@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import recent_pages
 from faultline.operators.caps import keep_last_n
-from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, micros, resolve_heat, running_ordinal
+from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, join_keys, micros, resolve_heat, running_ordinal
 
 # Idle gap and page list length.
 IDLE_SECONDS = 1800
@@ -87,7 +87,7 @@ def session_ends(sessions: DataFrame, keys: str | Sequence[str], ts: str = "ts")
         F.min(ts).alias("started_at"), F.max(ts).alias("last_activity"))
     # The follow-up session has the next number: a join on it needs no window.
     nxt = per.select(*keys, (F.col("session_seq") - 1).alias("session_seq"), F.col("started_at").alias("ended_at"))
-    return per.join(nxt, [*keys, "session_seq"]).select(*keys, "session_seq", "session_id", "started_at", "last_activity", "ended_at")
+    return join_keys(per, nxt, [*keys, "session_seq"]).select(*keys, "session_seq", "session_id", "started_at", "last_activity", "ended_at")
 
 
 def extend_activity(df: DataFrame, session: str | Sequence[str], ts: str = "ts") -> DataFrame:
@@ -142,7 +142,7 @@ def session_summary(
     pages = last.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(sort_key)), lambda p: p["_url"]).alias("pages"))
     age_us = micros(as_of) - micros("started_at")
     idle_us = micros(as_of) - micros("last_activity")
-    return counts.join(pages, keys).withColumns({
+    return join_keys(counts, pages, keys).withColumns({
         "recent_pages": recent_pages("pages", RECENT_PAGES),
         "age_ms": F.floor(age_us / 1000).cast("bigint"),
         "age_minutes": F.floor(age_us / 60_000_000).cast("bigint"),

@@ -96,13 +96,21 @@ def resolve_heat(df: DataFrame, keys: str | Sequence[str], ts: str, heat: Heat)
     return find_hot_keys(df, keys, ts, heat) if isinstance(heat, int) else heat
 
 
-def _with_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join rows to the (bounded) hot keys; null equals null, as in a window."""
-    small = hot.withColumnsRenamed({k: f"_h_{k}" for k in keys})
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null equals null, as it does in a window partition.
+
+    The keys come out once. Spark still plans a hash or sort-merge join.
+    """
+    right = right.withColumnsRenamed({k: f"_h_{k}" for k in keys})
     cond = F.lit(True)
     for k in keys:
-        cond = cond & df[k].eqNullSafe(small[f"_h_{k}"])
-    return df.join(F.broadcast(small), cond, how).drop(*[f"_h_{k}" for k in keys])
+        cond = cond & left[k].eqNullSafe(right[f"_h_{k}"])
+    return left.join(right, cond, how).drop(*[f"_h_{k}" for k in keys])
+
+
+def _with_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows to the hot keys, whose number is bounded."""
+    return join_keys(df, F.broadcast(hot), keys, how)
 
 
 def slice_at(us: Column, cuts: Column) -> Column:
@@ -190,8 +198,4 @@ def join_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFr
     The carry has one row per slice of a hot key, a bounded number, so it
     travels as a broadcast and the rows stay where they are.
     """
-    carry = carry.withColumnRenamed(SLICE, "_cslice").withColumnsRenamed({k: f"_c_{k}" for k in keys})
-    cond = rows[SLICE] == carry["_cslice"]
-    for k in keys:
-        cond = cond & rows[k].eqNullSafe(carry[f"_c_{k}"])
-    return rows.join(F.broadcast(carry), cond, "left").drop("_cslice", *[f"_c_{k}" for k in keys])
+    return join_keys(rows, F.broadcast(carry), [*keys, SLICE], "left")

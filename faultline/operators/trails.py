@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import has_click
 from faultline.operators.skew import (
-    CUTS, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, micros, resolve_heat, time_halo,
+    CUTS, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, join_keys, micros, resolve_heat, time_halo,
 )
 
 # Trail length, window length and caps.
@@ -81,7 +81,7 @@ def attach_breadcrumbs(
             F.max_by("_trail", F.struct("ts", "event_id")).alias("_trail"))
         before = Window.partitionBy(*ks).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         slices = d.select(*ks, SLICE).distinct()
-        known = slices.join(ends, [*ks, SLICE], "left")
+        known = join_keys(slices, ends, [*ks, SLICE], "left")
         known = known.withColumn("_past", F.last("_trail", ignorenulls=True).over(before))
         known = known.withColumn("_halo", F.explode("_past"))
         halo = known.select(

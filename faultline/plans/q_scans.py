@@ -94,8 +94,9 @@ def rate_limit_sliced(spark, sf):
     return _bucket(spark, sf, heat=25)
 
 
-def outage_sql(failures: int, cooldown_us: int, probes: int) -> str:
+def outage_sql(failures: int, cooldown_us: int, probes: int, ttl_us: int | None = None) -> str:
     """CTE ``st(event_id, user_id, us, mode)``: the breaker, one call at a time."""
+    gone = f"o.us - s.us > {ttl_us}" if ttl_us else "false"
     return f"""
 o AS (SELECT event_id, user_id, epoch_us(ts) AS us, event_type <> 'error' AS good, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM ev),
 st AS (SELECT event_id, user_id, us, rn, 'closed' AS mode,
@@ -106,7 +107,8 @@ st AS (SELECT event_id, user_id, us, rn, 'closed' AS mode,
     CASE WHEN mode = 'open' OR good THEN 0 WHEN mode = 'closed' AND n + 1 >= {failures} THEN 0 WHEN mode = 'half_open' AND n + 1 >= {probes} THEN 0 ELSE n + 1 END,
     CASE WHEN mode <> 'open' AND NOT good AND ((mode = 'closed' AND n + 1 >= {failures}) OR (mode = 'half_open' AND n + 1 >= {probes})) THEN us ELSE opened END
   FROM (SELECT o.event_id, o.user_id, o.us, o.rn, o.good, s.opened,
-      CASE WHEN s.after = 'open' AND o.us - s.opened >= {cooldown_us} THEN 'half_open' ELSE s.after END AS mode, s.n
+      CASE WHEN {gone} THEN 'closed' WHEN s.after = 'open' AND o.us - s.opened >= {cooldown_us} THEN 'half_open' ELSE s.after END AS mode,
+      CASE WHEN {gone} THEN 0 ELSE s.n END AS n
     FROM st s JOIN o ON o.user_id = s.user_id AND o.rn = s.rn + 1))"""
 
 

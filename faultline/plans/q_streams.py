@@ -73,7 +73,7 @@ def stream_outages(spark, sf):
     return drained(spark, out, "outages").select("event_id", "state")
 
 
-@query("stream_outages_expiring", None)
+@query("stream_outages_expiring", f"WITH RECURSIVE {S.EV}, {outage_sql(2, 24 * HU, 1, 48 * HU)} SELECT event_id, mode AS state FROM st {_OUT}")
 def stream_outages_expiring(spark, sf):
     out = stateful.stream_outage_states(
         stream(spark, sf), "user_id", F.col("event_type") != "error", 2, 24 * H, 1, DELAY, expire=True)
