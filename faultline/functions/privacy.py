@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.functions.text import col, first_text
+from faultline.functions.text import col, first_text, let
 
 # The replacement text and the three built-in key lists.
 REDACTED = "[REDACTED]"
@@ -95,36 +95,38 @@ def scrub_payload(c: Column | str, extra: Sequence[str] = ()) -> Column:
     return scrub_json(c, [*extra, *BROWSER_FIELDS])
 
 
-def is_ipv4(c: Column) -> Column:
-    octet = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-    return c.rlike(rf"^{octet}(\.{octet}){{3}}$")
+# Text shapes of addresses.
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+_LIST = f"{_GROUP}(?::{_GROUP})*"
+_TAILED = f"(?:{_GROUP}:)*(?:{_GROUP}|{_V4})"
+IPV4 = f"^{_V4}$"
+IPV6 = f"^(?:(?:{_LIST})?::(?:{_TAILED})?|{_TAILED})$"
 
 
-def _ipv6_groups(c: Column) -> tuple[Column, Column]:
-    """The eight 16-bit groups of an IPv6 text, and whether it is valid."""
-    # A dotted tail stands for two groups.
-    tail = F.regexp_extract(c, r"(\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})$", 1)
-    octets = F.transform(F.split(tail, r"\."), lambda x: x.try_cast("int"))
-    two = F.concat(
-        F.lower(F.hex(F.get(octets, 0) * 256 + F.get(octets, 1))), F.lit(":"),
-        F.lower(F.hex(F.get(octets, 2) * 256 + F.get(octets, 3))),
-    )
-    text = F.when(F.length(tail) > 0, F.concat(F.substr(c, F.lit(1), F.length(c) - F.length(tail)), two)).otherwise(c)
-    halves = F.split(text, "::", -1)
+def _mask_ipv6(c: Column) -> Column:
+    """First 48 bits of an IPv6 text in compressed form; null when it is none.
+
+    The last five groups of a masked address are zero and no longer run of
+    zeros can precede them, so the ``::`` always stands at the end.
+    """
     pieces = lambda s: F.filter(F.split(s, ":"), lambda g: g != "")
-    left = pieces(F.get(halves, 0))
-    right = F.coalesce(pieces(F.get(halves, 1)), F.array().cast("array<string>"))
-    given = F.size(left) + F.size(right)
-    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - given, F.lit(0)))
-    groups = F.concat(left, zeros, right)
-    edge = r"^:[^:]|[^:]:$|:::"
-    valid = (
-        text.rlike("^[0-9A-Fa-f:]+$") & ~text.rlike(edge) & (F.size(halves) <= 2)
-        & F.when(F.size(halves) == 2, given <= 7).otherwise(given == 8)
-        & F.forall(groups, lambda g: F.length(g) <= 4)
-        & ((F.length(tail) == 0) | is_ipv4(tail))
-    )
-    return groups, valid
+
+    def mask(h: Column) -> Column:
+        # h: text left and right of the "::" (right null without one)
+        sides = F.struct(pieces(h[0]).alias("l"), F.coalesce(pieces(F.get(h, 1)), F.array().cast("array<string>")).alias("r"))
+        given = lambda p: F.size(p["l"]) + F.size(p["r"]) + F.when(c.contains("."), 1).otherwise(0)
+
+        def head(p: Column) -> Column:
+            first = F.slice(F.concat(p["l"], F.array_repeat(F.lit("0"), F.greatest(8 - given(p), F.lit(0))), p["r"]), 1, 3)
+            text = F.regexp_replace(F.lower(F.array_join(first, ":")), "(^|:)0+(?=[0-9a-f])", "$1")
+            short = F.concat(F.regexp_replace(text, "(^|:)0(:0)*$", ""), F.lit("::"))
+            return F.when(F.when(F.size(h) == 2, given(p) <= 7).otherwise(given(p) == 8), short)
+
+        return let(sides, head)
+
+    return F.when(c.rlike(IPV6), let(F.split(c, "::", -1), mask))
 
 
 def anonymize_ip(c: Column | str, strict: bool = True) -> Column:
@@ -133,23 +135,10 @@ def anonymize_ip(c: Column | str, strict: bool = True) -> Column:
     Text that is no address becomes null; ``strict=False`` keeps it.
     """
     c = col(c)
-    groups, valid6 = _ipv6_groups(c)
-    plain = F.transform(
-        F.slice(groups, 1, 3), lambda g: F.lower(F.regexp_replace(g, "^0+(?=.)", ""))
-    )
-    a, b, d = F.get(plain, 0), F.get(plain, 1), F.get(plain, 2)
-    masked6 = F.concat(
-        F.when((a == "0") & (b == "0") & (d == "0"), F.lit(""))
-        .when((b == "0") & (d == "0"), a)
-        .when(d == "0", F.concat_ws(":", a, b))
-        .otherwise(F.concat_ws(":", a, b, d)),
-        F.lit("::"),
-    )
-    return (
-        F.when(is_ipv4(c), F.regexp_replace(c, r"\.\d+$", ".0"))
-        .when(c.contains(":") & valid6, masked6)
-        .otherwise(F.lit(None).cast("string") if strict else c)
-    )
+    masked6 = F.when(c.contains(":"), _mask_ipv6(c))
+    if not strict:
+        masked6 = F.coalesce(masked6, c)
+    return F.when(c.rlike(IPV4), F.regexp_replace(c, r"\.\d+$", ".0")).otherwise(masked6)
 
 
 def session_hash(c: Column | str) -> Column:

@@ -15,6 +15,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def first_text(*cols: Column | str) -> Column:
     """First text that is neither null nor empty."""
     return F.coalesce(*[F.nullif(col(c), F.lit("")) for c in cols])
