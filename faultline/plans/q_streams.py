@@ -17,6 +17,7 @@ from faultline.sources.readers import utc_timestamps
 from faultline.streaming import sinks, stateful, windows
 
 DELAY = "1 hour"
+BUCKET = 86_400.0  # the table is sparse: a few rows per user and day
 
 
 def stream(spark, sf):
@@ -55,12 +56,12 @@ def stream_fingerprints(spark, sf):
 
 @query("stream_debounce", f"WITH RECURSIVE {S.EV}, {gap_sql('ev', 'user_id', 6 * HU)} SELECT event_id, keep AS kept FROM walk {_OUT}")
 def stream_debounce(spark, sf):
-    return drained(spark, stateful.stream_debounce(stream(spark, sf), "user_id", 6 * H * 1000, DELAY), "debounce").select("event_id", "kept")
+    return drained(spark, stateful.stream_debounce(stream(spark, sf), "user_id", 6 * H * 1000, DELAY, bucket=BUCKET), "debounce").select("event_id", "kept")
 
 
 @query("stream_rate_limit", f"WITH RECURSIVE {S.EV}, {bucket_sql('ev', 'user_id', 5, 12 * HU)} SELECT event_id, ok AS admitted FROM bucket {_OUT}")
 def stream_rate_limit(spark, sf):
-    rows = stateful.stream_rate_limit(stream(spark, sf), "user_id", 5, 1 / (12 * H), DELAY)
+    rows = stateful.stream_rate_limit(stream(spark, sf), "user_id", 5, 1 / (12 * H), DELAY, bucket=BUCKET)
     path = sinks.shared_dir(spark, "split")
     sinks.write_split(rows, f"{path}/rows", f"{path}/checkpoint")
     schema = "event_id BIGINT, batch INT, admitted BOOLEAN"
@@ -69,14 +70,14 @@ def stream_rate_limit(spark, sf):
 
 @query("stream_outages", f"WITH RECURSIVE {S.EV}, {outage_sql(2, 24 * HU, 1)} SELECT event_id, mode AS state FROM st {_OUT}")
 def stream_outages(spark, sf):
-    out = stateful.stream_outage_states(stream(spark, sf), "user_id", F.col("event_type") != "error", 2, 24 * H, 1, DELAY)
+    out = stateful.stream_outage_states(stream(spark, sf), "user_id", F.col("event_type") != "error", 2, 24 * H, 1, DELAY, bucket=BUCKET)
     return drained(spark, out, "outages").select("event_id", "state")
 
 
 @query("stream_outages_expiring", f"WITH RECURSIVE {S.EV}, {outage_sql(2, 24 * HU, 1, 48 * HU)} SELECT event_id, mode AS state FROM st {_OUT}")
 def stream_outages_expiring(spark, sf):
     out = stateful.stream_outage_states(
-        stream(spark, sf), "user_id", F.col("event_type") != "error", 2, 24 * H, 1, DELAY, expire=True)
+        stream(spark, sf), "user_id", F.col("event_type") != "error", 2, 24 * H, 1, DELAY, expire=True, bucket=BUCKET)
     return drained(spark, out, "expiring").select("event_id", "state")
 
 
@@ -100,7 +101,7 @@ a AS (SELECT e.event_id, epoch_us(e.ts) AS us, count(p.cid) AS n, max(p.cus) AS
 SELECT a.event_id AS error_id, coalesce(ids, '') AS recovery FROM a, m WHERE CASE WHEN n = 3 THEN last_us < mark ELSE us + {24 * HU} <= mark END""")
 def stream_replay_after(spark, sf):
     out = stateful.stream_replay_after(
-        stream(spark, sf), "user_id", F.col("event_type") == "error", 24 * H, 3, F.struct("event_id"), DELAY)
+        stream(spark, sf), "user_id", F.col("event_type") == "error", 24 * H, 3, F.struct("event_id"), DELAY, bucket=BUCKET)
     rows = drained(spark, out, "recoveries")
     events = F.from_json("events", "ARRAY<STRUCT<event_id: BIGINT>>")
     return rows.select("error_id", F.array_join(F.transform(events, lambda e: e["event_id"].cast("string")), ",").alias("recovery"))

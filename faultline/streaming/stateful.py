@@ -23,52 +23,72 @@ from faultline.operators import scans
 from faultline.operators.skew import as_keys, micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PENDING = "us BIGINT, id BIGINT, flag BOOLEAN, body STRING"
+BUCKET_SECONDS = 60.0
 
 
 class _Ordered(StatefulProcessor):
-    """Buffers a key's rows and hands them on in time order."""
+    """Buffers a key's rows in time buckets and hands them on in time order.
 
-    def __init__(self, key_columns: list[str]):
-        self.key_columns = key_columns
+    Only the buckets the watermark has reached are ever read back, one at a
+    time, so a busy client costs one bucket of rows in memory, not a whole
+    watermark delay.
+    """
+
+    def __init__(self, key_columns: list[str], bucket: float):
+        self.key_columns, self.width = key_columns, int(bucket * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING)
+        self.buckets = handle.getMapState("buckets", "bucket BIGINT", "rows STRING")
+        self.index = handle.getValueState("index", "buckets STRING")
         self.memory = handle.getValueState("memory", "value STRING")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = []
+        known = self._known()
         for pdf in rows:
-            new += [tuple(r) for r in pdf[["row_us", "row_id", "row_flag", "row_body"]].itertuples(index=False)]
-        if new:
-            self.pending.appendList([(int(u), int(i), bool(f), b) for u, i, f, b in new])
-            mark = timerValues.getCurrentWatermarkInMs()
-            self.handle.registerTimer(max(min(int(r[0]) for r in new) // 1000 + 1, mark + 1))
-        yield from self._release(key, timerValues)
+            new = {}
+            for us, row_id, flag, body in pdf[["row_us", "row_id", "row_flag", "row_body"]].itertuples(index=False):
+                new.setdefault(int(us) // self.width, []).append([int(us), int(row_id), bool(flag), body])
+            for bucket, some in new.items():
+                self._put(bucket, (self._take(bucket) if bucket in known else []) + some)
+            known.update(new)
+        yield from self._release(key, timerValues, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues)
+        yield from self._release(key, timerValues, self._known())
 
-    def _release(self, key, timerValues) -> Iterator[pd.DataFrame]:
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        if mark <= 0 or not self.pending.exists():
-            return
-        rows = [(r[0], r[1], r[2], r[3]) for r in self.pending.get()]
-        ready = sorted(r for r in rows if r[0] < mark)
-        if not ready:
-            return
-        rest = [r for r in rows if r[0] >= mark]
-        if rest:
-            self.pending.put(rest)
-            self.handle.registerTimer(max(min(r[0] for r in rest) // 1000 + 1, mark // 1000 + 1))
-        else:
-            self.pending.clear()
+    def _known(self) -> set[int]:
+        return set(json.loads(self.index.get()[0])) if self.index.exists() else set()
+
+    def _take(self, bucket: int) -> list:
+        return json.loads(self.buckets.getValue((bucket,))[0])
+
+    def _put(self, bucket: int, rows: list) -> None:
+        self.buckets.updateValue((bucket,), (json.dumps(rows),))
+
+    def _release(self, key, timerValues, known: set[int]) -> Iterator[pd.DataFrame]:
+        mark = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
         memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
-        out, memory = self.advance(memory, ready)
+        next_row = None
+        for bucket in sorted(m for m in known if m * self.width < mark):
+            rows = sorted(self._take(bucket))
+            ready, rest = [r for r in rows if r[0] < mark], [r for r in rows if r[0] >= mark]
+            if rest:
+                self._put(bucket, rest)
+                next_row = rest[0][0]
+            else:
+                self.buckets.removeKey((bucket,))
+                known.discard(bucket)
+            out, memory = self.advance(memory, ready)
+            if out:
+                yield pd.DataFrame([[*key, *r] for r in out], columns=[*self.key_columns, *self.columns])
         self._remember(memory, mark)
-        if out:
-            yield pd.DataFrame([[*key, *r] for r in out], columns=[*self.key_columns, *self.columns])
+        if known:
+            self.index.update((json.dumps(sorted(known)),))
+            wake = min(known) * self.width if next_row is None else next_row
+            self.handle.registerTimer(max(wake, mark) // 1000 + 1)
+        else:
+            self.index.clear()
 
     def _remember(self, memory, mark: int) -> None:
         end = None if memory is None else self.forget_at(memory)
@@ -86,8 +106,8 @@ class _Ordered(StatefulProcessor):
 class _Scan(_Ordered):
     columns = ["_body", "_result"]
 
-    def __init__(self, key_columns: list[str], machine, ttl_us: int | None):
-        super().__init__(key_columns)
+    def __init__(self, key_columns: list[str], bucket: float, machine, ttl_us: int | None):
+        super().__init__(key_columns, bucket)
         self.machine, self.ttl_us = machine, ttl_us
 
     # memory: [machine state, time of the last row]
@@ -105,19 +125,14 @@ class _Scan(_Ordered):
             out.append([body, int(value)])
         return out, memory
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues)
-        if self.memory.exists():
-            self._remember(json.loads(self.memory.get()[0]), timerValues.getCurrentWatermarkInMs() * 1000)
-
 
 class _Recovery(_Ordered):
     """Collects the events after each error until time or count closes the window."""
 
     columns = ["error_id", "error_us", "events"]
 
-    def __init__(self, key_columns: list[str], span_us: int, clicks: int):
-        super().__init__(key_columns)
+    def __init__(self, key_columns: list[str], bucket: float, span_us: int, clicks: int):
+        super().__init__(key_columns, bucket)
         self.span_us, self.clicks = span_us, clicks
 
     # memory: open windows as [error id, error time, [events]]
@@ -141,7 +156,7 @@ class _Recovery(_Ordered):
         return [[i, u, json.dumps(e)] for i, u, e in out], open_ or None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues)
+        yield from self._release(key, timerValues, self._known())
         # Windows whose time is over with no later row to close them.
         mark = timerValues.getCurrentWatermarkInMs() * 1000
         if self.memory.exists():
@@ -165,13 +180,15 @@ def _keyed(df: DataFrame, keys: list[str], delay: str, flag: Column, body: Colum
 
 def stream_scan(
     df: DataFrame, keys: str | Sequence[str], machine, name: str, delay: str = "24 hours", flag: Column | None = None,
-    ts: str = "ts", row_id: str = "event_id", ttl: float | None = None,
+    ts: str = "ts", row_id: str = "event_id", ttl: float | None = None, bucket: float = BUCKET_SECONDS,
 ) -> DataFrame:
     """Streaming form of ``ordered_scan``: the same rows with the same result.
 
     A row comes out once the watermark (``delay`` behind the newest time)
     has passed it. The other columns ride along as JSON. With ``ttl`` the
     state of a key counts only that many seconds after its last row.
+    ``bucket`` is the width in seconds of the buckets late rows wait in:
+    wide for sparse clients, narrow for busy ones.
     """
     keys = as_keys(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -179,7 +196,7 @@ def stream_scan(
         df, keys, delay, F.lit(True) if flag is None else F.coalesce(flag, F.lit(False)),
         F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c == ts else F.col(c) for c in rest])), ts, row_id)
     schema = T.StructType([df.schema[k] for k in keys]).add("_body", T.StringType()).add("_result", T.IntegerType())
-    out = grouped.transformWithStateInPandas(_Scan(keys, machine, None if ttl is None else int(ttl * 1_000_000)), schema, "append", "eventTime")
+    out = grouped.transformWithStateInPandas(_Scan(keys, bucket, machine, None if ttl is None else int(ttl * 1_000_000)), schema, "append", "eventTime")
     fields = T.StructType([
         T.StructField(f.name, T.LongType() if f.name == ts else f.dataType) for f in df.schema.fields if f.name in rest])
     row = F.from_json("_body", fields)
@@ -187,35 +204,37 @@ def stream_scan(
     return out.select(*keys, *back, F.col("_result").cast(machine.result).alias(name))
 
 
-def stream_debounce(df: DataFrame, keys, ms: int = scans.DEBOUNCE_MS, delay: str = "24 hours") -> DataFrame:
-    return stream_scan(df, keys, scans.Gap(max(ms, scans.MIN_DEBOUNCE_MS) * 1000), "kept", delay)
+def stream_debounce(df: DataFrame, keys, ms: int = scans.DEBOUNCE_MS, delay: str = "24 hours", **kw) -> DataFrame:
+    return stream_scan(df, keys, scans.Gap(max(ms, scans.MIN_DEBOUNCE_MS) * 1000), "kept", delay, **kw)
 
 
-def stream_dedupe_errors(df: DataFrame, keys, window: float = scans.DEDUPE_SECONDS, delay: str = "24 hours") -> DataFrame:
+def stream_dedupe_errors(df: DataFrame, keys, window: float = scans.DEDUPE_SECONDS, delay: str = "24 hours", **kw) -> DataFrame:
     """Exact-window repeat check. Built-in watermark dedup is looser: it drops repeats hours apart."""
-    return stream_scan(df, keys, scans.Gap(int(window * 1_000_000) + 1), "passed", delay)
+    return stream_scan(df, keys, scans.Gap(int(window * 1_000_000) + 1), "passed", delay, **kw)
 
 
 def stream_rate_limit(
-    df: DataFrame, keys, capacity: int = scans.BUCKET_TOKENS, rate: float = scans.BUCKET_RATE, delay: str = "24 hours"
+    df: DataFrame, keys, capacity: int = scans.BUCKET_TOKENS, rate: float = scans.BUCKET_RATE, delay: str = "24 hours",
+    **kw,
 ) -> DataFrame:
-    return stream_scan(df, keys, scans.Bucket(capacity, round(1_000_000 / rate)), "admitted", delay)
+    return stream_scan(df, keys, scans.Bucket(capacity, round(1_000_000 / rate)), "admitted", delay, **kw)
 
 
 def stream_outage_states(
     df: DataFrame, keys, success: Column, failures: int = scans.OUTAGE_FAILURES, cooldown: float = scans.OUTAGE_COOLDOWN,
     probes: int = scans.OUTAGE_PROBES, delay: str = "24 hours", expire: bool = False,
+    **kw,
 ) -> DataFrame:
     """Streaming outage states; with ``expire`` a state lasts two cooldowns without calls."""
     machine = scans.Outage(failures, int(cooldown * 1_000_000), probes)
-    out = stream_scan(df, keys, machine, "_mode", delay, success, ttl=2 * cooldown if expire else None)
+    out = stream_scan(df, keys, machine, "_mode", delay, success, ttl=2 * cooldown if expire else None, **kw)
     names = F.array(*[F.lit(s) for s in scans.STATE_NAMES])
     return out.withColumn("state", F.get(names, F.col("_mode"))).drop("_mode")
 
 
 def stream_replay_after(
     timeline: DataFrame, keys, is_error: Column, seconds: float, clicks: int, item: Column, delay: str = "24 hours",
-    ts: str = "ts", row_id: str = "event_id",
+    ts: str = "ts", row_id: str = "event_id", bucket: float = BUCKET_SECONDS,
 ) -> DataFrame:
     """After-error windows over a stream of errors and events.
 
@@ -226,4 +245,4 @@ def stream_replay_after(
     keys = as_keys(keys)
     grouped = _keyed(timeline, keys, delay, is_error, F.to_json(item), ts, row_id)
     schema = T.StructType([timeline.schema[k] for k in keys]).add("error_id", T.LongType()).add("error_us", T.LongType()).add("events", T.StringType())
-    return grouped.transformWithStateInPandas(_Recovery(keys, int(seconds * 1_000_000), clicks), schema, "append", "eventTime")
+    return grouped.transformWithStateInPandas(_Recovery(keys, bucket, int(seconds * 1_000_000), clicks), schema, "append", "eventTime")
