@@ -24,41 +24,55 @@ from faultline.operators.skew import as_keys, micros
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BUCKET_SECONDS = 60.0
+INLINE_ROWS = 5_000
 
 
 class _Ordered(StatefulProcessor):
-    """Buffers a key's rows in time buckets and hands them on in time order.
+    """Buffers a key's rows and hands them on in time order.
 
-    Only the buckets the watermark has reached are ever read back, one at a
-    time, so a busy client costs one bucket of rows in memory, not a whole
-    watermark delay.
+    A key with few waiting rows keeps them in one state value: one read and
+    one write per batch. A busy key spreads them over time buckets, of which
+    only those the watermark has reached are read back, one at a time; it
+    costs one bucket of rows in memory, not a whole watermark delay.
     """
 
-    def __init__(self, key_columns: list[str], bucket: float):
-        self.key_columns, self.width = key_columns, int(bucket * 1_000_000)
+    def __init__(self, key_columns: list[str], bucket: float, inline_rows: int):
+        self.key_columns, self.width, self.inline_rows = key_columns, int(bucket * 1_000_000), inline_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buckets = handle.getMapState("buckets", "bucket BIGINT", "rows STRING")
-        self.index = handle.getValueState("index", "buckets STRING")
+        self.waiting = handle.getValueState("waiting", "value STRING")
         self.memory = handle.getValueState("memory", "value STRING")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self._known()
+        few, known = self._load()
         for pdf in rows:
-            new = {}
-            for us, row_id, flag, body in pdf[["row_us", "row_id", "row_flag", "row_body"]].itertuples(index=False):
-                new.setdefault(int(us) // self.width, []).append([int(us), int(row_id), bool(flag), body])
-            for bucket, some in new.items():
-                self._put(bucket, (self._take(bucket) if bucket in known else []) + some)
-            known.update(new)
-        yield from self._release(key, timerValues, known)
+            few += [
+                [int(us), int(row_id), bool(flag), body]
+                for us, row_id, flag, body in pdf[["row_us", "row_id", "row_flag", "row_body"]].itertuples(index=False)]
+            if len(few) > self.inline_rows:
+                few = self._spread(few, known)
+        yield from self._release(key, timerValues, few, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues, self._known())
-
-    def _known(self) -> set[int]:
-        return set(json.loads(self.index.get()[0])) if self.index.exists() else set()
+        yield from self._release(key, timerValues, *self._load())
+
+    def _load(self) -> tuple[list, set[int]]:
+        """Waiting rows kept in one value, and the buckets in use."""
+        if not self.waiting.exists():
+            return [], set()
+        few, known = json.loads(self.waiting.get()[0])
+        return few, set(known)
+
+    def _spread(self, rows: list, known: set[int]) -> list:
+        parts = {}
+        for r in rows:
+            parts.setdefault(r[0] // self.width, []).append(r)
+        for bucket, some in parts.items():
+            self._put(bucket, (self._take(bucket) if bucket in known else []) + some)
+        known.update(parts)
+        return []
 
     def _take(self, bucket: int) -> list:
         return json.loads(self.buckets.getValue((bucket,))[0])
@@ -66,29 +80,40 @@ class _Ordered(StatefulProcessor):
     def _put(self, bucket: int, rows: list) -> None:
         self.buckets.updateValue((bucket,), (json.dumps(rows),))
 
-    def _release(self, key, timerValues, known: set[int]) -> Iterator[pd.DataFrame]:
-        mark = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
-        next_row = None
-        for bucket in sorted(m for m in known if m * self.width < mark):
+    def _due(self, mark: int, few: list, known: set[int]) -> Iterator[list]:
+        """Rows before the watermark, in runs in time order; takes them out of the buffers."""
+        if known and any(r[0] < mark for r in few):
+            few[:] = self._spread(few, known)
+        if not known:
+            ready = sorted(r for r in few if r[0] < mark)
+            few[:] = [r for r in few if r[0] >= mark]
+            if ready:
+                yield ready
+            return
+        for bucket in sorted(b for b in known if b * self.width < mark):
             rows = sorted(self._take(bucket))
-            ready, rest = [r for r in rows if r[0] < mark], [r for r in rows if r[0] >= mark]
-            if rest:
-                self._put(bucket, rest)
-                next_row = rest[0][0]
+            late = [r for r in rows if r[0] >= mark]
+            if late:
+                self._put(bucket, late)
             else:
                 self.buckets.removeKey((bucket,))
                 known.discard(bucket)
+            yield rows[:len(rows) - len(late)]
+
+    def _release(self, key, timerValues, few: list, known: set[int]) -> Iterator[pd.DataFrame]:
+        mark = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
+        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
+        for ready in self._due(mark, few, known):
             out, memory = self.advance(memory, ready)
             if out:
                 yield pd.DataFrame([[*key, *r] for r in out], columns=[*self.key_columns, *self.columns])
         self._remember(memory, mark)
-        if known:
-            self.index.update((json.dumps(sorted(known)),))
-            wake = min(known) * self.width if next_row is None else next_row
+        if few or known:
+            self.waiting.update((json.dumps([few, sorted(known)]),))
+            wake = min([r[0] for r in few] + [b * self.width for b in known])
             self.handle.registerTimer(max(wake, mark) // 1000 + 1)
         else:
-            self.index.clear()
+            self.waiting.clear()
 
     def _remember(self, memory, mark: int) -> None:
         end = None if memory is None else self.forget_at(memory)
@@ -106,8 +131,8 @@ class _Ordered(StatefulProcessor):
 class _Scan(_Ordered):
     columns = ["_body", "_result"]
 
-    def __init__(self, key_columns: list[str], bucket: float, machine, ttl_us: int | None):
-        super().__init__(key_columns, bucket)
+    def __init__(self, key_columns: list[str], bucket: float, inline_rows: int, machine, ttl_us: int | None):
+        super().__init__(key_columns, bucket, inline_rows)
         self.machine, self.ttl_us = machine, ttl_us
 
     # memory: [machine state, time of the last row]
@@ -131,8 +156,8 @@ class _Recovery(_Ordered):
 
     columns = ["error_id", "error_us", "events"]
 
-    def __init__(self, key_columns: list[str], bucket: float, span_us: int, clicks: int):
-        super().__init__(key_columns, bucket)
+    def __init__(self, key_columns: list[str], bucket: float, inline_rows: int, span_us: int, clicks: int):
+        super().__init__(key_columns, bucket, inline_rows)
         self.span_us, self.clicks = span_us, clicks
 
     # memory: open windows as [error id, error time, [events]]
@@ -156,7 +181,7 @@ class _Recovery(_Ordered):
         return [[i, u, json.dumps(e)] for i, u, e in out], open_ or None
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues, self._known())
+        yield from self._release(key, timerValues, *self._load())
         # Windows whose time is over with no later row to close them.
         mark = timerValues.getCurrentWatermarkInMs() * 1000
         if self.memory.exists():
@@ -181,14 +206,15 @@ def _keyed(df: DataFrame, keys: list[str], delay: str, flag: Column, body: Colum
 def stream_scan(
     df: DataFrame, keys: str | Sequence[str], machine, name: str, delay: str = "24 hours", flag: Column | None = None,
     ts: str = "ts", row_id: str = "event_id", ttl: float | None = None, bucket: float = BUCKET_SECONDS,
+    inline_rows: int = INLINE_ROWS,
 ) -> DataFrame:
     """Streaming form of ``ordered_scan``: the same rows with the same result.
 
     A row comes out once the watermark (``delay`` behind the newest time)
     has passed it. The other columns ride along as JSON. With ``ttl`` the
     state of a key counts only that many seconds after its last row.
-    ``bucket`` is the width in seconds of the buckets late rows wait in:
-    wide for sparse clients, narrow for busy ones.
+    Beyond ``inline_rows`` waiting rows a key stores them in buckets of
+    ``bucket`` seconds.
     """
     keys = as_keys(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -196,7 +222,7 @@ def stream_scan(
         df, keys, delay, F.lit(True) if flag is None else F.coalesce(flag, F.lit(False)),
         F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c == ts else F.col(c) for c in rest])), ts, row_id)
     schema = T.StructType([df.schema[k] for k in keys]).add("_body", T.StringType()).add("_result", T.IntegerType())
-    out = grouped.transformWithStateInPandas(_Scan(keys, bucket, machine, None if ttl is None else int(ttl * 1_000_000)), schema, "append", "eventTime")
+    out = grouped.transformWithStateInPandas(_Scan(keys, bucket, inline_rows, machine, None if ttl is None else int(ttl * 1_000_000)), schema, "append", "eventTime")
     fields = T.StructType([
         T.StructField(f.name, T.LongType() if f.name == ts else f.dataType) for f in df.schema.fields if f.name in rest])
     row = F.from_json("_body", fields)
@@ -235,6 +261,7 @@ def stream_outage_states(
 def stream_replay_after(
     timeline: DataFrame, keys, is_error: Column, seconds: float, clicks: int, item: Column, delay: str = "24 hours",
     ts: str = "ts", row_id: str = "event_id", bucket: float = BUCKET_SECONDS,
+    inline_rows: int = INLINE_ROWS,
 ) -> DataFrame:
     """After-error windows over a stream of errors and events.
 
@@ -245,4 +272,4 @@ def stream_replay_after(
     keys = as_keys(keys)
     grouped = _keyed(timeline, keys, delay, is_error, F.to_json(item), ts, row_id)
     schema = T.StructType([timeline.schema[k] for k in keys]).add("error_id", T.LongType()).add("error_us", T.LongType()).add("events", T.StringType())
-    return grouped.transformWithStateInPandas(_Recovery(keys, bucket, int(seconds * 1_000_000), clicks), schema, "append", "eventTime")
+    return grouped.transformWithStateInPandas(_Recovery(keys, bucket, inline_rows, int(seconds * 1_000_000), clicks), schema, "append", "eventTime")

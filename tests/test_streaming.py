@@ -45,7 +45,7 @@ def same(stream, batch, rows, column):
 def test_stream_scans_equal_batch(spark, tmp_path):
     rows = timeline(300, seed=21)
     df = frame(spark, rows)
-    out = stateful.stream_debounce(feed(spark, tmp_path / "a", rows), "client_id", 2000, DELAY)
+    out = stateful.stream_debounce(feed(spark, tmp_path / "a", rows), "client_id", 2000, DELAY, inline_rows=3, bucket=7)
     same(drained(spark, out, tmp_path / "a"), scans.debounce(df, "client_id", 2000), rows, "kept")
     ok = F.col("type") != "error"
     out = stateful.stream_outage_states(feed(spark, tmp_path / "b", rows), "client_id", ok, 2, 5, 1, DELAY)
@@ -65,7 +65,7 @@ def test_stream_recoveries_equal_batch(spark, tmp_path):
     rows = timeline(200, seed=23)
     item = F.struct("event_id")
     out = drained(spark, stateful.stream_replay_after(
-        feed(spark, tmp_path, rows), "client_id", F.col("type") == "error", 10, 4, item, DELAY), tmp_path)
+        feed(spark, tmp_path, rows), "client_id", F.col("type") == "error", 10, 4, item, DELAY, inline_rows=2), tmp_path)
     events = F.from_json("events", "array<struct<event_id:bigint>>")
     got = {r["error_id"]: [e["event_id"] for e in r["e"]] for r in out.select("error_id", events.alias("e")).collect()}
     df = frame(spark, rows)
