@@ -282,25 +282,33 @@ def _walker(machine, keys: list[str], name: str, carry: bool):
     return walk
 
 
-def _walk(df: DataFrame, machine, keys: list[str], order: Sequence[str], name: str, carry: bool) -> DataFrame:
+def _walk(
+    df: DataFrame, machine, keys: list[str], order: Sequence[str], name: str, carry: bool, placed: bool
+) -> DataFrame:
     schema = T.StructType([f for f in df.schema.fields if f.name not in ("_us", "_flag", "_carry")])
     schema = schema.add(name, machine.result)
-    placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return placed.mapInArrow(_walker(machine, keys, name, carry), schema)
+    rows = df if placed else df.repartition(*keys)
+    return rows.sortWithinPartitions(*keys, *order).mapInArrow(_walker(machine, keys, name, carry), schema)
 
 
 def ordered_scan(
     df: DataFrame, keys: str | Sequence[str], machine, name: str, flag: Column | None = None,
-    order: Sequence[str] = ("ts", "event_id"), ts: str = "ts", heat: Heat = MAX_ROWS,
+    order: Sequence[str] = ("ts", "event_id"), ts: str = "ts", heat: Heat = MAX_ROWS, placed: bool = False,
 ) -> DataFrame:
-    """Run a state machine along every key's rows; adds its result as ``name``."""
+    """Run a state machine along every key's rows; adds its result as ``name``.
+
+    ``placed`` states that the rows of a key (of a slice, where hot) share a
+    partition already, as they do after a window on some of the keys with
+    the same ``heat``; the scan then sorts without a shuffle of its own.
+    """
     df = df.withColumns({"_us": micros(ts), "_flag": F.lit(True) if flag is None else flag})
 
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
-        return _walk(d, machine, ks, order, name, carry=False)
+        return _walk(d, machine, ks, order, name, False, placed)
 
     def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
-        return _walk(join_carry(d, _carries(d, machine, ks, order), ks), machine, [*ks, SLICE], order, name, carry=True)
+        d = join_carry(d, _carries(d, machine, ks, order), ks)
+        return _walk(d, machine, [*ks, SLICE], order, name, True, placed)
 
     return by_heat(df, keys, plain, sliced, ts, heat)
 
@@ -350,7 +358,8 @@ def throttle_snapshots(
 
 
 def dedupe_errors(
-    df: DataFrame, keys: str | Sequence[str], window: float = DEDUPE_SECONDS, name: str = "passed", heat: Heat = MAX_ROWS
+    df: DataFrame, keys: str | Sequence[str], window: float = DEDUPE_SECONDS, name: str = "passed", heat: Heat = MAX_ROWS,
+    placed: bool = False,
 ) -> DataFrame:
     """Flag the errors that pass the repeat check.
 
@@ -358,17 +367,17 @@ def dedupe_errors(
     ``window`` seconds went by since the last row that passed; a gap of
     exactly ``window`` is still a repeat.
     """
-    return ordered_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat)
+    return ordered_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat, placed=placed)
 
 
 def rate_limit(
     df: DataFrame, keys: str | Sequence[str], capacity: int = BUCKET_TOKENS, rate: float = BUCKET_RATE,
-    name: str = "admitted", heat: Heat = MAX_ROWS,
+    name: str = "admitted", heat: Heat = MAX_ROWS, placed: bool = False,
 ) -> DataFrame:
     """Flag the rows a client's token bucket admits; the others are deferred, not lost."""
     if capacity < 1 or rate <= 0:
         raise ValueError("capacity and rate must be positive")
-    return ordered_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat)
+    return ordered_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat, placed=placed)
 
 
 def outage_states(

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import has_click
 from faultline.operators.skew import (
-    CUTS, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, join_keys, micros, resolve_heat, time_halo,
+    CUTS, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, join_keys, micros, resolve_heat,
+    running_ordinal, time_halo,
 )
 
 # Trail length, window length and caps.
@@ -49,6 +50,95 @@ def _timeline(errors: DataFrame, items: DataFrame, keys: Sequence[str], item: Co
 ORDER = ("ts", "_kind", "event_id")
 
 
+def _item_of(events: DataFrame, keys: Sequence[str], item: Column | None) -> Column:
+    return F.struct(*[c for c in events.columns if c not in keys]) if item is None else item
+
+
+def _count_halo(rows: DataFrame, keys: list[str], n: int, ahead: bool = False) -> DataFrame:
+    """Copies of the ``n`` items next to each slice: before it, or after it when ``ahead``.
+
+    They come from the first or last n items of every slice, a table of
+    slices x n rows, whatever the length of the timelines.
+    """
+    asc, desc = (lambda c: F.col(c).asc()), (lambda c: F.col(c).desc())
+    near, far = (asc, desc) if ahead else (desc, asc)
+    edge = Window.partitionBy(*keys, SLICE).orderBy(near("ts"), near("event_id"))
+    tail = rows.filter(F.col("_item").isNotNull()).withColumn("_rank", F.row_number().over(edge)).filter(F.col("_rank") <= n)
+    run = Window.partitionBy(*keys).orderBy(far("ts"), far("event_id")).rowsBetween(-(n - 1), 0)
+    pick = F.min_by if ahead else F.max_by
+    ends = tail.withColumn("_run", F.collect_list(F.struct("ts", "event_id", "_item")).over(run)).groupBy(*keys, SLICE).agg(
+        pick("_run", F.struct("ts", "event_id")).alias("_run"))
+    known = join_keys(rows.select(*keys, SLICE).distinct(), ends, [*keys, SLICE], "left")
+    beyond = Window.partitionBy(*keys).orderBy(far(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    known = known.withColumn("_next_run", F.last("_run", ignorenulls=True).over(beyond))
+    return known.withColumn("_h", F.explode("_next_run")).select(
+        *keys, F.col("_h.ts"), F.col("_h.event_id"), F.lit(0).alias("_kind"), F.lit(None).alias("_err"),
+        F.col("_h._item").alias("_item"), SLICE)
+
+
+def _past_errors(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Carry ``_past``: errors of the key in earlier slices."""
+    sizes = rows.groupBy(*keys, SLICE).agg(F.count_if(F.col("_kind") == 1).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(*keys, SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_past"))
+
+
+def _look_back(
+    rows: DataFrame, keys: list[str], heat: Heat, n: int | None = None, seconds: float | None = None, clicks: int | None = None
+) -> DataFrame:
+    """Errors of a timeline with their last ``n`` items and/or their replay.
+
+    Both need one exchange and one ordered pass for the counts. In slices of
+    hot keys, count halo rows serve the trail only (``_t``) and time halo
+    rows the replay only (``_r``).
+    """
+    rows = rows.withColumn("_click", F.coalesce(F.col("_item.type") == "click", F.lit(False)) if seconds else F.lit(False))
+    back = int((seconds or 0) * 1_000_000)
+    added = (["breadcrumbs"] if n else []) + (["replay", "prior_errors"] if seconds else [])
+
+    def plain(d: DataFrame, ks: list[str]) -> DataFrame:
+        along = Window.partitionBy(*ks).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+        mine = (F.col("_kind") == 1) & F.col("_home")
+        d = d.withColumn("_us", micros("ts")).withColumns({
+            "_items": F.count(F.when(F.col("_t"), F.col("_item"))).over(along),
+            "_clicks": F.count_if(F.col("_click") & F.col("_r")).over(along),
+            "prior_errors": F.col("_past") + F.count_if(mine).over(along) - 1,
+        })
+        if n:
+            last = Window.partitionBy(*ks).orderBy("_items").rangeBetween(-(n - 1), 0)
+            d = d.withColumn("breadcrumbs", F.collect_list(F.when(F.col("_t"), F.col("_item"))).over(last))
+        if seconds:
+            # An error reads the clicks counted so far and the other items by time.
+            row = F.struct("_us", "event_id", "_item")
+            lately = Window.partitionBy(*ks).orderBy("_clicks").rangeBetween(-(clicks - 1), 0)
+            span = Window.partitionBy(*ks).orderBy("_us").rangeBetween(-back, 0)
+            other = (F.col("_kind") == 0) & ~F.col("_click") & F.col("_r")
+            d = d.withColumns({
+                "_recent": F.collect_list(F.when(F.col("_click") & F.col("_r"), row)).over(lately),
+                "_others": F.collect_list(F.when(other, row)).over(span),
+            })
+        d = d.filter(F.col("_err").isNotNull() & F.col("_home"))
+        if seconds:
+            young = F.filter("_recent", lambda c: c["_us"] >= F.col("_us") - back)
+            both = F.array_sort(F.concat("_others", young))
+            d = d.withColumn("replay", F.transform(both, lambda r: r["_item"]))
+        return d.select("_err.*", *added)
+
+    yes, no = F.lit(True), F.lit(False)
+    whole = {"_home": yes, "_t": yes, "_r": yes, "_past": F.lit(0).cast("bigint")}
+    hot = resolve_heat(rows, keys, "ts", heat)
+    if hot is None:
+        return plain(rows.withColumns(whole), keys)
+    mine = hot_rows(rows, hot, "ts", keep_cuts=True)
+    near = time_halo(mine, back=seconds) if seconds else mine.withColumn("_home", yes)
+    near = near.drop(CUTS).withColumns({"_t": F.col("_home"), "_r": yes})
+    if n:
+        halo = _count_halo(mine, keys, n).withColumns({"_click": no, "_home": no, "_t": yes, "_r": no})
+        near = near.unionByName(halo)
+    near = join_carry(near, _past_errors(mine, keys), keys)
+    return plain(cold_rows(rows, hot).withColumns(whole), keys).unionByName(plain(near, [*keys, SLICE]))
+
+
 def attach_breadcrumbs(
     errors: DataFrame, crumbs: DataFrame, keys: str | Sequence[str] = "client_id", n: int = MAX_CRUMBS,
     item: Column | None = None, heat: Heat = MAX_ROWS,
@@ -60,62 +150,13 @@ def attach_breadcrumbs(
     columns of a crumb.
     """
     keys = as_keys(keys)
-    item = F.struct(*[c for c in crumbs.columns if c not in keys]) if item is None else item
-    rows = _timeline(errors, crumbs, keys, item)
-
-    def plain(d: DataFrame, ks: list[str]) -> DataFrame:
-        along = Window.partitionBy(*ks).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-        d = d.withColumn("_n", F.count("_item").over(along))
-        last = Window.partitionBy(*ks).orderBy("_n").rangeBetween(-(n - 1), 0)
-        d = d.withColumn("breadcrumbs", F.collect_list("_item").over(last))
-        return d.filter(F.col("_err").isNotNull()).select("_err.*", "breadcrumbs")
-
-    def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
-        # Halo by count: a slice needs the last n crumbs before it. They come
-        # from the last n of every slice, a table of slices x n rows.
-        newest = Window.partitionBy(*ks, SLICE).orderBy(F.col("ts").desc(), F.col("event_id").desc())
-        tail = d.filter(F.col("_item").isNotNull()).withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= n)
-        row = F.struct("ts", "event_id", "_item")
-        trail = Window.partitionBy(*ks).orderBy("ts", "event_id").rowsBetween(-(n - 1), 0)
-        ends = tail.withColumn("_trail", F.collect_list(row).over(trail)).groupBy(*ks, SLICE).agg(
-            F.max_by("_trail", F.struct("ts", "event_id")).alias("_trail"))
-        before = Window.partitionBy(*ks).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        slices = d.select(*ks, SLICE).distinct()
-        known = join_keys(slices, ends, [*ks, SLICE], "left")
-        known = known.withColumn("_past", F.last("_trail", ignorenulls=True).over(before))
-        known = known.withColumn("_halo", F.explode("_past"))
-        halo = known.select(
-            *ks, F.col("_halo.ts"), F.col("_halo.event_id"), F.lit(0).alias("_kind"),
-            F.lit(None).alias("_err"), F.col("_halo._item").alias("_item"), SLICE)
-        return plain(d.unionByName(halo), [*ks, SLICE])
-
-    return by_heat(rows, keys, plain, sliced, heat=heat)
-
-
-def _halo_split(rows: DataFrame, keys: list[str], plain, back: float, ahead: float, heat: Heat) -> DataFrame:
-    """Run ``plain`` per key, or per slice with time halo for hot keys.
-
-    ``plain`` gets the key columns, and rows with ``_home`` (false for halo
-    copies) and ``_past`` (errors of the key in earlier slices); it returns
-    its rows with ``_home``.
-    """
-    whole = {"_home": F.lit(True), "_past": F.lit(0).cast("bigint")}
-    hot = resolve_heat(rows, keys, "ts", heat)
-    if hot is None:
-        return plain(rows.withColumns(whole), keys).drop("_home", "_past")
-    mine = hot_rows(rows, hot, "ts", keep_cuts=True)
-    sizes = mine.groupBy(*keys, SLICE).agg(F.count_if(F.col("_kind") == 1).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    past = sizes.select(*keys, SLICE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_past"))
-    near = join_carry(time_halo(mine, back, ahead).drop(CUTS), past, keys)
-    part = plain(near, [*keys, SLICE]).filter("_home").drop(SLICE)
-    return plain(cold_rows(rows, hot).withColumns(whole), keys).unionByName(part).drop("_home", "_past")
+    return _look_back(_timeline(errors, crumbs, keys, _item_of(crumbs, keys, item)), keys, heat, n=n)
 
 
 def replay_before(
     errors: DataFrame, events: DataFrame, keys: str | Sequence[str] = "session_id",
     seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, item: Column | None = None,
-    anchor: str = "error", capped: bool = True, heat: Heat = MAX_ROWS,
+    anchor: str = "error", crumbs: int | None = None, capped: bool = True, heat: Heat = MAX_ROWS,
 ) -> DataFrame:
     """Give every error the events recorded just before it, in time order.
 
@@ -125,44 +166,58 @@ def replay_before(
     last event before the error instead of at the error. Earlier errors of
     the client never age out of a buffer: ``prior_errors`` counts them, and
     they are exactly the client's errors with a lower count, so no copy of
-    the growing list is needed on each row.
+    the growing list is needed on each row. With ``crumbs`` the same pass
+    adds ``breadcrumbs``, the last that many events.
     """
     _limits(seconds, clicks, capped)
-    if anchor not in ("error", "last_event"):
-        raise ValueError("anchor is 'error' or 'last_event'")
     keys = as_keys(keys)
-    item = F.struct(*[c for c in events.columns if c not in keys]) if item is None else item
-    rows = _timeline(errors, events, keys, item).withColumn("_click", F.col("_item.type") == "click")
-    back = int(seconds * 1_000_000)
+    item = _item_of(events, keys, item)
+    if anchor == "error":
+        return _look_back(_timeline(errors, events, keys, item), keys, heat, crumbs, seconds, clicks)
+    if anchor != "last_event":
+        raise ValueError("anchor is 'error' or 'last_event'")
+    # Each error moves to the time of the last event before it; from there
+    # on the window is the usual one. Its own time comes back at the end.
+    spots = errors.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
+    heat = resolve_heat(spots, keys, "ts", heat)
+    numbered = running_ordinal(errors, keys, "_nth", heat=heat)
+    moved = _last_item_time(_timeline(numbered, events, keys, item), keys, heat)
+    moved = moved.withColumns({"_own": F.col("ts"), "ts": F.coalesce("_end", "ts")})
+    out = _look_back(_timeline(moved, events, keys, item), keys, heat, None, seconds, clicks)
+    return out.withColumns({"ts": F.col("_own"), "prior_errors": F.col("_nth") - 1}).drop("_own", "_end", "_nth")
 
-    def plain(d: DataFrame, ks: list[str]) -> DataFrame:
-        d = d.withColumn("_us", micros("ts"))
+
+def _last_item_time(rows: DataFrame, keys: list[str], heat: Heat) -> DataFrame:
+    """Errors of a timeline with ``_end``, the time of the last item before them."""
+    at = F.max(F.when(F.col("_item").isNotNull(), F.col("ts")))
+
+    def local(d: DataFrame, ks: list[str]) -> DataFrame:
         along = Window.partitionBy(*ks).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-        d = d.withColumns({
-            "_n": F.count_if("_click").over(along),
-            "prior_errors": F.col("_past") + F.count_if((F.col("_kind") == 1) & F.col("_home")).over(along) - 1,
-            "_end": F.col("_us") if anchor == "error"
-            else F.max(F.when(F.col("_kind") == 0, F.col("_us"))).over(along),
-        })
-        row = F.struct("_us", "event_id", "_item")
-        # The click frame runs over the click count. Errors read the clicks
-        # counted so far; other events are not listed by it.
-        lately = Window.partitionBy(*ks).orderBy("_n").rangeBetween(-(clicks - 1), 0)
-        span = Window.partitionBy(*ks).orderBy("_us").rangeBetween(-back, 0)
-        if anchor == "last_event":
-            # The window may end before the error, so errors move to its end.
-            span = Window.partitionBy(*ks).orderBy(F.coalesce("_end", "_us")).rangeBetween(-back, 0)
-        d = d.withColumns({
-            "_clicks": F.collect_list(F.when(F.col("_click"), row)).over(lately),
-            "_others": F.collect_list(F.when((F.col("_kind") == 0) & ~F.coalesce("_click", F.lit(False)), row)).over(span),
-        }).filter(F.col("_err").isNotNull())
-        recent = F.filter("_clicks", lambda c: c["_us"] >= F.col("_end") - back)
-        both = F.array_sort(F.concat("_others", recent))
-        return d.select("_err.*", F.transform(both, lambda r: r["_item"]).alias("replay"), "prior_errors", "_home", *[k for k in ks if k == SLICE])
+        return d.withColumn("_end", at.over(along)).filter(F.col("_err").isNotNull())
+
+    def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
+        ends = d.groupBy(*ks, SLICE).agg(at.alias("_hi"))
+        before = Window.partitionBy(*ks).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        carry = ends.select(*ks, SLICE, F.max("_hi").over(before).alias("_before"))
+        d = join_carry(local(d, [*ks, SLICE]), carry, ks)
+        return d.withColumn("_end", F.coalesce("_end", "_before")).drop("_before")
+
+    return by_heat(rows, keys, local, sliced, heat=heat).select("_err.*", "_end")
 
-    # With the last event as anchor the window may lie any time back, where
-    # no time halo reaches.
-    return _halo_split(rows, keys, plain, seconds, 0, heat if anchor == "error" else None)
+
+def _halo_split(rows: DataFrame, keys: list[str], plain, back: float, ahead: float, heat: Heat) -> DataFrame:
+    """Run ``plain`` per key, or per slice with time halo for hot keys.
+
+    ``plain`` gets the key columns, and rows with ``_home`` (false for halo
+    copies); it returns its rows with ``_home``.
+    """
+    whole = rows.withColumn("_home", F.lit(True))
+    hot = resolve_heat(rows, keys, "ts", heat)
+    if hot is None:
+        return plain(whole, keys).drop("_home")
+    near = time_halo(hot_rows(rows, hot, "ts", keep_cuts=True), back, ahead).drop(CUTS)
+    part = plain(near, [*keys, SLICE]).filter("_home").drop(SLICE)
+    return plain(cold_rows(whole, hot), keys).unionByName(part).drop("_home")
 
 
 def replay_after(
@@ -179,8 +234,7 @@ def replay_after(
     """
     _limits(seconds, clicks, capped)
     keys = as_keys(keys)
-    item = F.struct(*[c for c in events.columns if c not in keys]) if item is None else item
-    rows = _timeline(errors, events, keys, item)
+    rows = _timeline(errors, events, keys, _item_of(events, keys, item))
     ahead = int(seconds * 1_000_000)
 
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
@@ -192,10 +246,12 @@ def replay_after(
         inside = F.filter("_next", lambda r: r["_us"] - F.col("_us") < ahead)
         if include_closing:
             inside = F.slice("_next", F.lit(1), F.size(inside) + 1)
-        return d.select("_err.*", F.transform(inside, lambda r: r["_item"]).alias("recovery"), "_home", *[k for k in ks if k == SLICE])
+        return d.select("_err.*", F.transform(inside, lambda r: r["_item"]).alias("recovery"))
 
-    # The closing event may lie any time ahead, where no time halo reaches.
-    return _halo_split(rows, keys, plain, 0, seconds, None if include_closing else heat)
+    # However far ahead they lie, the next few items are all an error needs.
+    return by_heat(
+        rows, keys, plain,
+        lambda d, ks: plain(d.unionByName(_count_halo(d, ks, clicks, ahead=True)), [*ks, SLICE]), heat=heat)
 
 
 def tag_phase(
@@ -223,7 +279,7 @@ def tag_phase(
         d = d.withColumn("_base", F.max(F.when(is_error, F.col("_seen"))).over(w))
         running = (micros("ts") - F.col("_at") < int(seconds * 1_000_000)) & (F.col("_seen") - F.col("_base") <= clicks)
         phase = F.when(is_error, "error").when(running, "after_error").otherwise("before_error")
-        return d.withColumn("phase", phase).drop("_at", "_seen", "_base", "_kind", "_past")
+        return d.withColumn("phase", phase).drop("_at", "_seen", "_base", "_kind")
 
     return _halo_split(rows, keys, plain, seconds, 0, heat)
 
@@ -244,14 +300,14 @@ def two_phase_replay(
     spots = errors.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
     heat = resolve_heat(spots, keys, "ts", heat)
     passing = errors if gate is None else errors.filter(gate)
-    item = F.struct(*[c for c in events.columns if c not in keys]) if item is None else item
+    item = _item_of(events, keys, item)
     before = replay_before(errors, events, keys, seconds, clicks, item, capped=capped, heat=heat)
     shown = has_click("replay") if gate is None else (F.coalesce(gate, F.lit(False)) & has_click("replay"))
     phase1 = before.withColumn("replay", F.when(shown, F.col("replay")))
 
     after = replay_after(passing, events, keys, seconds, clicks, item, capped=capped, heat=heat)
     # The next error of the client, when it comes soon enough to cancel.
-    numbered = after.withColumns({"_us": micros("ts"), "_kind": F.lit(1)})
+    numbered = after.withColumn("_us", micros("ts"))
     stop = F.when(F.size("recovery") >= clicks, micros(F.get("recovery", clicks - 1)["ts"])).otherwise(
         F.col("_us") + int(seconds * 1_000_000))
 
@@ -261,4 +317,4 @@ def two_phase_replay(
 
     with_next = _halo_split(numbered, keys, nxt, 0, seconds, heat)
     done = with_next.filter(has_click("recovery") & ~F.coalesce(F.col("_next") < stop, F.lit(False)))
-    return phase1, done.drop("_us", "_next", "_kind")
+    return phase1, done.drop("_us", "_next")

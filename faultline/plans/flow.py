@@ -43,20 +43,26 @@ def browser_flow(
     rows = rows.join(gate, "event_id", "left").withColumn("_gate", F.coalesce("_gate", F.lit(False)))
 
     item = F.struct("event_id", "ts", "type")
-    rows = trails.replay_before(rows, events, keys, seconds, clicks, item, capped=capped, heat=heat)
+    # When the trail lists the replay events, one pass cuts both.
+    shared = max_crumbs if crumbs is None else None
+    rows = trails.replay_before(rows, events, keys, seconds, clicks, item, crumbs=shared, capped=capped, heat=heat)
     shown = F.col("_gate") & trails.has_click("replay")
     rows = rows.withColumns({
         "replay_data": F.when(shown, F.col("replay")), "replay_session_id": F.when(shown, F.col("session_id"))})
     if on_replay is not None:
         rows = rows.transform(on_replay)
-    rows = trails.attach_breadcrumbs(
-        rows.drop("replay", "prior_errors", "fingerprint"), events if crumbs is None else crumbs, keys, max_crumbs, item, heat)
+    rows = rows.drop("replay", "prior_errors", "fingerprint")
+    if crumbs is not None:
+        rows = trails.attach_breadcrumbs(rows, crumbs, keys, max_crumbs, item, heat)
 
     fields = [*scrub_fields, *privacy.BROWSER_FIELDS]
     rows = rows.withColumns({"context": privacy.scrub_payload("context", scrub_fields), "tags": privacy.scrub_map("tags", fields)})
     rows = rows.withColumn("signature", stack.error_signature("type", "message", "stack_trace"))
-    rows = scans.dedupe_errors(rows, [*keys, "signature"], dedupe_window, "_passed", heat).filter("_passed")
-    rows = scans.rate_limit(rows, keys, capacity, rate, "admitted", heat)
+    # The look back left each session, or slice of a hot one, in one
+    # partition; both scans only sort there.
+    placed = on_replay is None
+    rows = scans.dedupe_errors(rows, [*keys, "signature"], dedupe_window, "_passed", heat, placed=placed).filter("_passed")
+    rows = scans.rate_limit(rows, keys, capacity, rate, "admitted", heat, placed=placed)
     return rows.drop("_gate", "_passed", "stack")
 
 

@@ -206,8 +206,17 @@ SELECT k.event_id, k.type, k.message, bucket.ok AS admitted, k.crumbs, k.replay_
 
 @query("error_flow", _FLOW)
 def error_flow(spark, sf):
+    return _flow(spark, sf)
+
+
+@query("error_flow_sliced", _FLOW)
+def error_flow_sliced(spark, sf):
+    return _flow(spark, sf, heat=80)
+
+
+def _flow(spark, sf, **kw):
     raw, acts = flow_rows(spark, sf)
-    out = browser_flow(raw, acts, **FLOW)
+    out = browser_flow(raw, acts, **FLOW, **kw)
     return out.select(
         "event_id", "type", "message", "admitted", F.size("breadcrumbs").cast("bigint").alias("crumbs"),
         F.coalesce(F.size("replay_data"), F.lit(0)).cast("bigint").alias("replay_events"))

@@ -211,11 +211,19 @@ def replay_before_sliced(spark, sf):
     return _before(spark, sf, heat=30)
 
 
-@query("replay_before_last_event", before_sql("(SELECT max(c.ts) FROM act c WHERE c.user_id = e.user_id AND c.ts <= e.ts)"))
+_LAST = before_sql("(SELECT max(c.ts) FROM act c WHERE c.user_id = e.user_id AND c.ts <= e.ts)")
+
+
+@query("replay_before_last_event", _LAST)
 def replay_before_last_event(spark, sf):
     return _before(spark, sf, anchor="last_event")
 
 
+@query("replay_before_last_event_sliced", _LAST)
+def replay_before_last_event_sliced(spark, sf):
+    return _before(spark, sf, anchor="last_event", heat=30)
+
+
 def after_sql(keep: str) -> str:
     return f"""
 WITH {S.ERR},
@@ -242,11 +250,19 @@ def replay_after_sliced(spark, sf):
     return _after(spark, sf, heat=30)
 
 
-@query("replay_after_closing", after_sql("(p.prev IS NULL OR p.prev < p.at + INTERVAL 24 HOUR)"))
+_CLOSING = after_sql("(p.prev IS NULL OR p.prev < p.at + INTERVAL 24 HOUR)")
+
+
+@query("replay_after_closing", _CLOSING)
 def replay_after_closing(spark, sf):
     return _after(spark, sf, include_closing=True)
 
 
+@query("replay_after_closing_sliced", _CLOSING)
+def replay_after_closing_sliced(spark, sf):
+    return _after(spark, sf, include_closing=True, heat=30)
+
+
 _PHASE = f"""
 WITH {S.ERR},
 l AS (SELECT a.event_id, a.user_id, a.ts, max(e.ts) AS et FROM act a LEFT JOIN err e ON e.user_id = a.user_id AND e.ts < a.ts GROUP BY ALL),
