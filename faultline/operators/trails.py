@@ -48,6 +48,20 @@ def _timeline(errors: DataFrame, items: DataFrame, keys: Sequence[str], item: Co
 
 
 ORDER = ("ts", "_kind", "event_id")
+# Distance that keeps errors apart from items on a frame's axis; larger than
+# any epoch in microseconds.
+_APART = 1 << 60
+
+
+def _frame(keys: Sequence[str], axis: Column | str, low: int, high: int):
+    """Window in which an error sees the items at ``axis`` + low … high.
+
+    Errors sit ``_APART`` further along the axis and look back that far, so
+    items see an empty frame: a list is built per error, not per row.
+    """
+    at = F.col(axis) if isinstance(axis, str) else axis
+    at = F.when(F.col("_kind") == 1, at + F.lit(_APART)).otherwise(at)
+    return Window.partitionBy(*keys).orderBy(at).rangeBetween(low - _APART, high - _APART)
 
 
 def _item_of(events: DataFrame, keys: Sequence[str], item: Column | None) -> Column:
@@ -105,13 +119,12 @@ def _look_back(
             "prior_errors": F.col("_past") + F.count_if(mine).over(along) - 1,
         })
         if n:
-            last = Window.partitionBy(*ks).orderBy("_items").rangeBetween(-(n - 1), 0)
+            last = _frame(ks, "_items", 1 - n, 0)
             d = d.withColumn("breadcrumbs", F.collect_list(F.when(F.col("_t"), F.col("_item"))).over(last))
         if seconds:
             # An error reads the clicks counted so far and the other items by time.
             row = F.struct("_us", "event_id", "_item")
-            lately = Window.partitionBy(*ks).orderBy("_clicks").rangeBetween(-(clicks - 1), 0)
-            span = Window.partitionBy(*ks).orderBy("_us").rangeBetween(-back, 0)
+            lately, span = _frame(ks, "_clicks", 1 - clicks, 0), _frame(ks, "_us", -back, 0)
             other = (F.col("_kind") == 0) & ~F.col("_click") & F.col("_r")
             d = d.withColumns({
                 "_recent": F.collect_list(F.when(F.col("_click") & F.col("_r"), row)).over(lately),
@@ -241,8 +254,7 @@ def replay_after(
         along = Window.partitionBy(*ks).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
         d = d.withColumns({"_us": micros("ts"), "_n": F.count("_item").over(along)})
         row = F.when(F.col("_item").isNotNull(), F.struct("_us", "event_id", "_item"))
-        nxt = Window.partitionBy(*ks).orderBy("_n").rangeBetween(1, clicks)
-        d = d.withColumn("_next", F.array_sort(F.collect_list(row).over(nxt))).filter(F.col("_err").isNotNull())
+        d = d.withColumn("_next", F.array_sort(F.collect_list(row).over(_frame(ks, "_n", 1, clicks)))).filter(F.col("_err").isNotNull())
         inside = F.filter("_next", lambda r: r["_us"] - F.col("_us") < ahead)
         if include_closing:
             inside = F.slice("_next", F.lit(1), F.size(inside) + 1)
