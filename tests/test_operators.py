@@ -170,6 +170,34 @@ def test_replay_windows(spark, heat):
         assert after[e[0]] == [c[1] for c in later if round((c[0] - e[2]) * 1000) < 30_000]
 
 
+@HEATS
+def test_other_anchors_and_one_pass(spark, heat):
+    rows = timeline(300, seed=16, span=2500)
+    df = frame(spark, rows)
+    err, act = df.filter("type = 'error'"), df.filter("type <> 'error'")
+    last = {r["event_id"]: ([c["event_id"] for c in r["replay"]], r["prior_errors"], r["ts"].timestamp()) for r in
+            trails.replay_before(err, act, "client_id", 30, 3, anchor="last_event", heat=heat).collect()}
+    closing = {r["event_id"]: [c["event_id"] for c in r["recovery"]] for r in
+               trails.replay_after(err, act, "client_id", 10, 4, include_closing=True, heat=heat).collect()}
+    both = {r["event_id"]: [c["event_id"] for c in r["breadcrumbs"]] for r in
+            trails.replay_before(err, act, "client_id", 30, 3, crumbs=6, heat=heat).collect()}
+    alone = {r["event_id"]: [c["event_id"] for c in r["breadcrumbs"]] for r in
+             trails.attach_breadcrumbs(err, act, "client_id", 6, heat=heat).collect()}
+    assert both == alone
+    for e in (r for r in rows if r[3] == "error"):
+        mine = sorted((c[2], c[0], c[3]) for c in rows if c[1] == e[1] and c[3] != "error")
+        past = [c for c in mine if c[0] <= e[2]]
+        near = [c for c in past if round((past[-1][0] - c[0]) * 1000) <= 30_000]
+        clicks = [c for c in near if c[2] == "click"][-3:]
+        prior = sum(1 for o in rows if o[3] == "error" and o[1] == e[1] and (o[2], o[0]) < (e[2], e[0]))
+        got = last[e[0]]
+        assert got[:2] == ([c[1] for c in near if c[2] != "click" or c in clicks], prior)
+        assert round(got[2] - T0.timestamp(), 3) == e[2]
+        later = [c for c in mine if c[0] > e[2]][:4]
+        open_ = [c for i, c in enumerate(later) if i == 0 or round((later[i - 1][0] - e[2]) * 1000) < 10_000]
+        assert closing[e[0]] == [c[1] for c in open_]
+
+
 @HEATS
 def test_phases(spark, heat):
     rows = timeline(400, seed=7)
