@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry
@@ -71,6 +71,15 @@ def unseen(df: DataFrame, seen: DataFrame, keys: str | Sequence[str]) -> DataFra
     return df.join(seen.select(*keys).distinct(), keys, "left_anti")
 
 
+def slot_rank(
+    keys: Sequence[str], every: int = 60, install: str | None = None, ts: str = "ts", order: Sequence[str] = ("ts", "event_id")
+) -> Column:
+    """Position of a row in its key's tumbling window of ``every`` seconds, from 1."""
+    start = F.lit(0) if install is None else F.unix_micros(install)
+    slot = F.floor((F.unix_micros(ts) - start) / (every * 1_000_000))
+    return F.row_number().over(Window.partitionBy(*keys, slot).orderBy(*order))
+
+
 def dedupe_fingerprint(
     df: DataFrame, keys: str | Sequence[str], every: int = 60, install: str | None = None, ts: str = "ts",
     order: Sequence[str] = ("ts", "event_id"),
@@ -80,12 +89,8 @@ def dedupe_fingerprint(
     The seen-list is emptied every ``every`` seconds after ``install`` (a
     column; the epoch when not given), so a repeat just after that passes.
     """
-    keys = as_keys(keys)
-    start = F.lit(0) if install is None else F.unix_micros(install)
-    slot = F.floor((F.unix_micros(ts) - start) / (every * 1_000_000))
-    w = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    ranked = df.withColumn("_slot", slot).withColumn("_rank", F.row_number().over(w))
-    return ranked.filter(F.col("_rank") <= 1).drop("_slot", "_rank")
+    ranked = df.withColumn("_rank", slot_rank(as_keys(keys), every, install, ts, order))
+    return ranked.filter(F.col("_rank") <= 1).drop("_rank")
 
 
 def union_errors(*parts: DataFrame) -> DataFrame:

@@ -47,6 +47,15 @@ def _timeline(errors: DataFrame, items: DataFrame, keys: Sequence[str], item: Co
     return left.unionByName(right)
 
 
+def _error_columns(d: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The columns of the error rows of a timeline.
+
+    Keys are taken from the timeline, so Spark still knows how the rows are
+    partitioned and a next window on them needs no exchange.
+    """
+    return [F.col(c) if c in keys else F.col(f"_err.{c}") for c in d.schema["_err"].dataType.names]
+
+
 ORDER = ("ts", "_kind", "event_id")
 # Distance that keeps errors apart from items on a frame's axis; larger than
 # any epoch in microseconds.
@@ -135,7 +144,7 @@ def _look_back(
             young = F.filter("_recent", lambda c: c["_us"] >= F.col("_us") - back)
             both = F.array_sort(F.concat("_others", young))
             d = d.withColumn("replay", F.transform(both, lambda r: r["_item"]))
-        return d.select("_err.*", *added)
+        return d.select(*_error_columns(d, keys), *added)
 
     yes, no = F.lit(True), F.lit(False)
     whole = {"_home": yes, "_t": yes, "_r": yes, "_past": F.lit(0).cast("bigint")}
@@ -258,7 +267,7 @@ def replay_after(
         inside = F.filter("_next", lambda r: r["_us"] - F.col("_us") < ahead)
         if include_closing:
             inside = F.slice("_next", F.lit(1), F.size(inside) + 1)
-        return d.select("_err.*", F.transform(inside, lambda r: r["_item"]).alias("recovery"))
+        return d.select(*_error_columns(d, keys), F.transform(inside, lambda r: r["_item"]).alias("recovery"))
 
     # However far ahead they lie, the next few items are all an error needs.
     return by_heat(

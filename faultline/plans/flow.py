@@ -38,15 +38,21 @@ def browser_flow(
         "ignored": is_ignored_error("message", ignore),
         "fingerprint": stack.error_fingerprint("message", "stack"),
     })
-    first = joins.dedupe_fingerprint(rows.filter(~F.col("ignored")), [*keys, "fingerprint"], fingerprint_every)
-    gate = first.select("event_id", F.lit(True).alias("_gate"))
-    rows = rows.join(gate, "event_id", "left").withColumn("_gate", F.coalesce("_gate", F.lit(False)))
+    seen = [*keys, "fingerprint"]
+    if heat is not None:
+        # A slice does not see its whole 60-second slot, so with hot sessions
+        # the first errors are found on narrow rows and joined by id.
+        first = joins.dedupe_fingerprint(rows.filter(~F.col("ignored")), seen, fingerprint_every)
+        rows = rows.join(first.select("event_id", F.lit(True).alias("_first")), "event_id", "left")
 
     item = F.struct("event_id", "ts", "type")
     # When the trail lists the replay events, one pass cuts both.
     shared = max_crumbs if crumbs is None else None
     rows = trails.replay_before(rows, events, keys, seconds, clicks, item, crumbs=shared, capped=capped, heat=heat)
-    shown = F.col("_gate") & trails.has_click("replay")
+    if heat is None:
+        # Sessions are whole in their partitions here: a sort, no shuffle.
+        rows = rows.withColumn("_first", joins.slot_rank([*seen, "ignored"], fingerprint_every) == 1)
+    shown = ~F.col("ignored") & F.coalesce("_first", F.lit(False)) & trails.has_click("replay")
     rows = rows.withColumns({
         "replay_data": F.when(shown, F.col("replay")), "replay_session_id": F.when(shown, F.col("session_id"))})
     if on_replay is not None:
@@ -63,7 +69,7 @@ def browser_flow(
     placed = on_replay is None
     rows = scans.dedupe_errors(rows, [*keys, "signature"], dedupe_window, "_passed", heat, placed=placed).filter("_passed")
     rows = scans.rate_limit(rows, keys, capacity, rate, "admitted", heat, placed=placed)
-    return rows.drop("_gate", "_passed", "stack")
+    return rows.drop("_first", "_passed", "stack")
 
 
 def backend_flow(

@@ -9,14 +9,6 @@ from faultline.operators.skew import running_ordinal
 from faultline.sources.readers import CORRUPT
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that parsed, and the raw text of those that did not."""
-    if CORRUPT not in df.columns:
-        return df, df.limit(0).select(F.lit(None).cast("string").alias(CORRUPT))
-    bad = F.col(CORRUPT).isNotNull()
-    return df.filter(~bad).drop(CORRUPT), df.filter(bad).select(CORRUPT)
-
-
 def write_table(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
     """Parquet partitioned by day, so that time filters prune folders.
 
@@ -25,12 +17,15 @@ def write_table(df: DataFrame, path: str, ts: str, mode: str = "append") -> None
     (df.withColumn("event_date", F.to_date(ts)).write.mode(mode).partitionBy("event_date").parquet(path))
 
 
-def write_errors(df: DataFrame, path: str, dead_letters: str, ts: str = "ts") -> None:
-    """Write good rows, and put bad ones aside instead of failing the batch."""
-    good, bad = split_corrupt(df)
-    write_table(good, path, ts)
-    if CORRUPT in df.columns:
-        bad.write.mode("append").parquet(dead_letters)
+def write_errors(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:
+    """Write good rows, and put bad ones aside instead of failing the batch.
+
+    One pass over the input: ``valid=true/event_date=…`` holds the rows that
+    parsed, ``valid=false`` the raw text of the others.
+    """
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    rows = df.withColumns({"valid": ~bad, "event_date": F.to_date(ts)})
+    rows.write.mode(mode).partitionBy("valid", "event_date").parquet(path)
 
 
 def write_sessions(df: DataFrame, path: str) -> None:

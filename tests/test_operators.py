@@ -345,3 +345,17 @@ def test_invariants(spark):
         a, b = make(df), make(mixed)
         assert a.count() == df.count()
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_flow_shuffles_the_timeline_once(spark):
+    from faultline.plans.flow import browser_flow
+
+    df = frame(spark, timeline(200, seed=17)).withColumn("session_id", F.col("client_id"))
+    blank = F.lit(None).cast("string")
+    raw = df.filter("type = 'error'").select(
+        "event_id", "ts", "session_id", F.col("type").alias("name"), F.col("type").alias("message"), blank.alias("stack"))
+    out = browser_flow(raw, df.filter("type <> 'error'").select("event_id", "ts", "session_id", "type"), max_crumbs=5)
+    rows = out.collect()
+    assert {r["admitted"] for r in rows} == {True, False} and all(len(r["breadcrumbs"]) <= 5 for r in rows)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

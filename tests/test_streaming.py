@@ -96,9 +96,10 @@ def test_json_round_trip_and_dead_letters(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.json").write_text(good + "\n{broken\n")
     rows = readers.read_error_events(spark, str(tmp_path / "in"))
-    writers.write_errors(rows.cache(), str(tmp_path / "out"), str(tmp_path / "dead"))
+    writers.write_errors(rows, str(tmp_path / "out"))
     out = spark.read.parquet(str(tmp_path / "out"))
-    assert [(r["event_id"], r["type"], r["tags"], str(r["event_date"])) for r in out.collect()] == [(1, "E", {"a": "b"}, "2024-01-01")]
-    assert [r[0] for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["{broken"]
+    good_rows = out.filter("valid").collect()
+    assert [(r["event_id"], r["type"], r["tags"], str(r["event_date"])) for r in good_rows] == [(1, "E", {"a": "b"}, "2024-01-01")]
+    assert [r["_corrupt_record"] for r in out.filter("not valid").collect()] == ["{broken"]
     stream = readers.read_error_events(spark, str(tmp_path / "in"), streaming=True)
     assert stream.isStreaming and stream.schema == rows.schema
