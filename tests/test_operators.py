@@ -353,8 +353,8 @@ def test_flow_shuffles_the_timeline_once(spark):
     df = frame(spark, timeline(200, seed=17)).withColumn("session_id", F.col("client_id"))
     blank = F.lit(None).cast("string")
     raw = df.filter("type = 'error'").select(
-        "event_id", "ts", "session_id", F.col("type").alias("name"), F.col("type").alias("message"), blank.alias("stack"))
-    out = browser_flow(raw, df.filter("type <> 'error'").select("event_id", "ts", "session_id", "type"), max_crumbs=5)
+        "event_id", "ts", "session_id", F.col("type").alias("name"), F.col("event_id").cast("string").alias("message"), blank.alias("stack"))
+    out = browser_flow(raw, df.filter("type <> 'error'").select("event_id", "ts", "session_id", "type"), max_crumbs=5, capacity=2, rate=0.05)
     rows = out.collect()
     assert {r["admitted"] for r in rows} == {True, False} and all(len(r["breadcrumbs"]) <= 5 for r in rows)
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]

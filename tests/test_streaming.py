@@ -98,8 +98,8 @@ def test_json_round_trip_and_dead_letters(spark, tmp_path):
     rows = readers.read_error_events(spark, str(tmp_path / "in"))
     writers.write_errors(rows, str(tmp_path / "out"))
     out = spark.read.parquet(str(tmp_path / "out"))
-    good_rows = out.filter("valid").collect()
+    good_rows = out.filter("valid = 'true'").collect()
     assert [(r["event_id"], r["type"], r["tags"], str(r["event_date"])) for r in good_rows] == [(1, "E", {"a": "b"}, "2024-01-01")]
-    assert [r["_corrupt_record"] for r in out.filter("not valid").collect()] == ["{broken"]
+    assert [r["_corrupt_record"] for r in out.filter("valid = 'false'").collect()] == ["{broken"]
     stream = readers.read_error_events(spark, str(tmp_path / "in"), streaming=True)
     assert stream.isStreaming and stream.schema == rows.schema
