@@ -73,8 +73,7 @@ def browser_flow(
 
 
 def backend_flow(
-    logs: DataFrame, outcomes: DataFrame | None = None, level: str = "error", now: Column | None = None,
-    platform: str = "backend", **normalize,
+    logs: DataFrame, level: str = "error", now: Column | None = None, platform: str = "backend", **normalize,
 ) -> DataFrame:
     """Log rows to flat records: level filter, normalise, default time and platform."""
     rows = normalize_log_records(at_least_level(logs, level), **normalize)
