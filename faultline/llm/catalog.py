@@ -4,14 +4,31 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from faultline.llm import bpe_codec, exact_dedup, token_counts
-from faultline.llm.shared import table
+from pyspark.sql import functions as F
+
+from faultline.llm import bpe_codec, exact_dedup, language_id, token_counts, toxicity
+from faultline.llm.shared import remainder, table
+
+
+def op1_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scores = toxicity.score(docs, model)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_bpe_codec(spark, sf_dir):
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -20,7 +37,7 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {x.__name__: x for x in (op6_exact_dedup, op8_bpe_codec, op10_token_counts)}
+QUERIES = {x.__name__: x for x in (op1_language_id, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op10_token_counts)}
 
 ORACLES = {
     "op6_exact_dedup": """
