@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe_codec, exact_dedup, language_id, token_counts, toxicity
+from faultline.llm import bpe_codec, exact_dedup, kd_search, language_id, simhash, token_counts, toxicity
 from faultline.llm.shared import remainder, table
 
 
@@ -17,6 +17,14 @@ def op1_language_id(spark, sf_dir):
     return language_id.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_kd_search(spark, sf_dir):
+    return kd_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op3_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,9 +45,22 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {x.__name__: x for x in (op1_language_id, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op10_token_counts)}
+QUERIES = {x.__name__: x for x in (op1_language_id, op2_kd_search, op3_simhash, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op10_token_counts)}
 
 ORACLES = {
+    "op2_kd_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
