@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe_codec, exact_dedup, kd_search, language_id, packing, simhash, token_counts, toxicity
+from faultline.llm import bpe_codec, exact_dedup, kd_search, language_id, packing, simhash, suffix_dedup, token_counts, toxicity
 from faultline.llm.shared import remainder, table
 
 
@@ -45,11 +45,15 @@ def op8_bpe_codec(spark, sf_dir):
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {x.__name__: x for x in (op1_language_id, op2_kd_search, op3_simhash, op5_packing, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op10_token_counts)}
+QUERIES = {x.__name__: x for x in (op1_language_id, op2_kd_search, op3_simhash, op5_packing, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op9_suffix_dedup, op10_token_counts)}
 
 ORACLES = {
     "op2_kd_search": """
