@@ -32,7 +32,7 @@ DOCUMENT_END = 0
 class Tokenizer:
     """Token ids of texts as the bytes of 32-bit or, where they fit, 16-bit numbers. ``limit`` bounds remembered pre-tokens."""
 
-    def __init__(self, tokens: dict[bytes, int], special: dict[bytes, int], limit: int = 400_000):
+    def __init__(self, tokens: dict[bytes, int], special: dict[bytes, int], limit: int = 1_000_000):
         self.dtype = np.dtype("<u2" if max([*tokens.values(), *special.values()]) < 1 << 16 else "<u4")
         self.special, self.limit = special, limit
         self.core = tiktoken.Encoding("vocabulary", pat_str=r"[\s\S]+", mergeable_ranks=tokens, special_tokens={})._core_bpe
@@ -105,7 +105,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", t
                 pa.array([ids], pa.list_(id_type)), pa.array([counts.tobytes()], pa.binary()), pa.array([blob], pa.binary()),
                 pa.array([len(counts)], pa.int64()), pa.array([int(counts.sum())], pa.int64())], ["ids", "counts", "tokens", "n_docs", "n_tokens"])
 
-        for batch in portions(batches, text_column, 1 << 20):
+        for batch in portions(batches, text_column):
             column = column_of(batch, id_column)
             id_type = column.type
             for doc, found in zip(column.to_pylist(), coder.encode(*utf8(column_of(batch, text_column)))):
@@ -128,9 +128,10 @@ def _read(tokens: bytes, counts: bytes, width: str) -> tuple[np.ndarray, np.ndar
 
 def _terms(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, term and frequency, by document and term."""
-    key = np.repeat(np.arange(len(at) - 1, dtype=np.uint64), np.diff(at)) << np.uint64(32) | flat
+    kind, bits = (np.uint32, 16) if flat.itemsize == 2 and len(at) <= 1 << 16 else (np.uint64, 32)
+    key = np.repeat(np.arange(len(at) - 1, dtype=kind), np.diff(at)) << kind(bits) | flat
     key, tf = np.unique(key, return_counts=True)
-    return (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64), tf
+    return (key >> kind(bits)).astype(np.int64), (key & kind((1 << bits) - 1)).astype(np.int64), tf
 
 
 class Index:
@@ -146,25 +147,19 @@ class Index:
         order = np.argsort(term, kind="stable")
         self.docs, self.posted = doc[order], weight[order]
         self.terms = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(frequency)))])
-        self.scores = np.zeros(len(at) - 1)
 
     def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
         """Unused documents that share a heavy term with ``doc``, best first, ties by place."""
         part = slice(self.bounds[doc], self.bounds[doc + 1])
         weight = self.weight[part]
         heavy = np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS] if len(weight) > QUERY_TERMS else np.arange(len(weight))
-        touched = []
-        for term in self.term[part][heavy].tolist():
-            a, b = self.terms[term], self.terms[term + 1]
-            docs = self.docs[a:b]
-            self.scores[docs] += self.posted[a:b]
-            touched.append(docs)
-        found = np.unique(np.concatenate(touched)) if touched else np.zeros(0, np.int64)
-        scores = self.scores[found].copy()
-        self.scores[found] = 0
-        free = ~used[found]
-        found, scores = found[free], scores[free]
-        return found[np.argsort(-scores, kind="stable")]
+        terms = self.term[part][heavy]
+        start, size = self.terms[terms], self.terms[terms + 1] - self.terms[terms]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
+        scores = np.bincount(self.docs[at], self.posted[at], len(used))
+        found = np.flatnonzero((scores > 0) & ~used)
+        return found[np.argsort(-scores[found], kind="stable")]
 
 
 def layout(at: np.ndarray, index: Index) -> list[list[tuple[int, int, int]]]:
