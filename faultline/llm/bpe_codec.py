@@ -23,13 +23,17 @@ _TOP = np.uint64(32)
 def _fingerprints(keys: list[bytes]) -> np.ndarray:
     """64 bits of each key: a polynomial of its bytes, mixed."""
     lengths = np.fromiter(map(len, keys), np.int64, len(keys))
-    out = lengths.astype(np.uint64) * _M2
-    width = int(lengths.max(initial=0))
-    padded = np.zeros((len(keys), width), np.uint8)
-    padded[np.arange(width) < lengths[:, None]] = np.frombuffer(b"".join(keys), np.uint8)
-    for k in range(width):
-        out = np.where(k < lengths, (out ^ padded[:, k]) * _M1, out)
-        out ^= out >> _TOP
+    flat, starts = np.frombuffer(b"".join(keys), np.uint8), np.cumsum(lengths) - lengths
+    # Longest first, so the keys that still have a byte are always the first ones.
+    order = np.argsort(-lengths, kind="stable")
+    starts, sizes = starts[order], lengths[order]
+    mixed = sizes.astype(np.uint64) * _M2
+    for k in range(int(sizes[0]) if len(sizes) else 0):
+        n = int(np.searchsorted(-sizes, -k, "left"))
+        x = (mixed[:n] ^ flat[starts[:n] + k]) * _M1
+        mixed[:n] = x ^ (x >> _TOP)
+    out = np.empty(len(keys), np.uint64)
+    out[order] = mixed
     return out
 
 
@@ -85,11 +89,11 @@ class PerfectHash:
 class Codec:
     """Ids of pre-tokens and bytes of ids. ``limit`` bounds the pre-tokens a worker remembers."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 500_000):
-        self.ranks, self.limit = ranks, limit
+    def __init__(self, ranks: dict[bytes, int], table: PerfectHash, limit: int = 800_000):
+        self.ranks, self.hash, self.limit = ranks, table, limit
         self.entries = list(ranks)
         self.entry_ids = list(ranks.values())
-        self.hash = PerfectHash(self.entries)
+        self.longest = max(map(len, self.entries))
         self.bytes_of = {i: x for x, i in ranks.items()}
         self.known: dict[bytes, tuple[bytes, bytes]] = {}
 
@@ -124,9 +128,8 @@ class Codec:
         if not texts:
             return []
         out = []
-        # The hash pads to the longest key; longer ones than any entry are no entries.
-        longest = max(map(len, self.entries))
-        short = [x if len(x) <= longest else b"" for x in texts]
+        # What is longer than any entry is none.
+        short = [x if len(x) <= self.longest else b"" for x in texts]
         for text, at in zip(texts, self.hash.lookup(short).tolist()):
             out.append([self.entry_ids[at]] if self.entries[at] == text else self.merged(text))
         return out
@@ -139,21 +142,22 @@ class Codec:
         if len(self.known) > self.limit:
             self.known.clear()
         known = self.known
-        new = list({x for x in texts if x not in known})
-        for text, ids in zip(new, self.encode(new)):
-            known[text] = "".join(f"{i}," for i in ids).encode(), self.decode(ids)
-        both = list(map(known.__getitem__, texts))
-        return [x for x, _ in both], [x for _, x in both]
+        found = list(map(known.get, texts))
+        if new := list({x for x, y in zip(texts, found) if y is None}):
+            for text, ids in zip(new, self.encode(new)):
+                known[text] = "".join([f"{i}," for i in ids]).encode(), self.decode(ids)
+            found = list(map(known.__getitem__, texts))
+        return [x for x, _ in found], [x for _, x in found]
 
 
 _codecs: dict[str, Codec] = {}
 
 
-def _codec(path: str, ranks: dict[bytes, int]) -> Codec:
+def _codec(path: str, ranks: dict[bytes, int], table: PerfectHash) -> Codec:
     """One for all tasks of a worker process."""
     if path not in _codecs:
         _codecs.clear()
-        _codecs[path] = Codec(ranks)
+        _codecs[path] = Codec(ranks, table)
     return _codecs[path]
 
 
@@ -164,11 +168,13 @@ def round_trip(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text
     decoded bytes, and with ``with_ids`` the ids. Null and empty texts have no ids; equal texts get equal rows; null ids
     stay; an empty table gives an empty result; other columns are not read.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(vocab.read_ranks(ranks_path))
+    ranks = vocab.read_ranks(ranks_path)
+    # As large as the vocabulary, whatever the data.
+    model = docs.sparkSession.sparkContext.broadcast((ranks, PerfectHash(list(ranks))))
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches):
-        codec = _codec(ranks_path, ranks.value)
+        codec = _codec(ranks_path, *model.value)
         for batch in portions(batches, text_column):
             data, offsets = utf8(column_of(batch, text_column))
             texts, at = pretokens.pieces(data, offsets)
