@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from faultline.llm import bpe_codec, exact_dedup, kd_search, language_id, packing, simhash, suffix_dedup, token_counts, toxicity
+from faultline.llm import bpe_codec, exact_dedup, kd_search, language_id, language_model, packing, simhash, suffix_dedup, token_counts, toxicity
 from faultline.llm.shared import remainder, table
 
 
@@ -25,6 +25,10 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_language_model(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 1)
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -53,7 +57,7 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {x.__name__: x for x in (op1_language_id, op2_kd_search, op3_simhash, op5_packing, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op9_suffix_dedup, op10_token_counts)}
+QUERIES = {x.__name__: x for x in (op1_language_id, op2_kd_search, op3_simhash, op4_language_model, op5_packing, op6_exact_dedup, op7_toxicity, op8_bpe_codec, op9_suffix_dedup, op10_token_counts)}
 
 ORACLES = {
     "op2_kd_search": """
