@@ -19,9 +19,9 @@ from pyspark.sql.window import Window
 
 from faultline.llm.shared import column_of, portions
 
-SPAN = 8
+SPAN = 3
 ROWS, DEPTH = 1 << 17, 8
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4, 5, 6)
 _WORD = re.compile(r"\w+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers
 
@@ -88,7 +88,7 @@ def passages(values: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.nd
     return (total[first + length] - total[first]) / length
 
 
-def train(texts: list[list[str]], labels: np.ndarray, steps: int = 150, rate: float = 0.05) -> Model:
+def train(texts: list[list[str]], labels: np.ndarray, steps: int = 150, rate: float = 0.1) -> Model:
     """Adam, first on all passages of all texts (each text counts once), then on the most toxic passage of each and all of clean ones."""
     rng = np.random.default_rng(3)
     vocabulary = sorted({x for text in texts for x in text})
