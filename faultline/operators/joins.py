@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry
+from faultline.operators.skew import LONE, MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, lone_keys
 
 
 def merge_replay(errors: DataFrame, replay: DataFrame, on: str | Sequence[str] = "event_id") -> DataFrame:
@@ -25,30 +25,33 @@ def link_recovery(
     """First recovery of the same session captured after each error.
 
     Adds ``recovery`` (struct, null when there is none). One pass over the
-    merged timeline, newest first, instead of a join of all pairs.
+    merged timeline, newest first, instead of a join of all pairs. An error
+    without a session has none; of recoveries captured at one instant the
+    one with the least hash of its columns comes first.
     """
     item = F.struct(*recoveries.columns)
-    left = errors.select(key, F.col("ts").alias("_at"), F.struct(*errors.columns).alias("_err"), F.lit(None).alias("_rec"), F.lit(1).alias("_kind"))
-    right = recoveries.select(key, F.col(captured).alias("_at"), F.lit(None).alias("_err"), item.alias("_rec"), F.lit(0).alias("_kind"))
-    rows = left.unionByName(right)
+    errors, recoveries, keys = lone_keys(errors, recoveries, [key])
+    left = errors.select(*keys, F.col("ts").alias("_at"), F.struct(*errors.columns).alias("_err"), F.lit(None).alias("_rec"), F.lit(1).alias("_kind"))
+    right = recoveries.select(*keys, F.col(captured).alias("_at"), F.lit(None).alias("_err"), item.alias("_rec"), F.lit(0).alias("_kind"))
+    rows = left.unionByName(right).withColumn("_tie", F.xxhash64("_rec"))
 
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
         # Newest first; at equal times the error comes before, so only later
         # recoveries are behind it.
-        w = Window.partitionBy(*ks).orderBy(F.col("_at").desc(), F.col("_kind").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*ks).orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("_tie").desc()).rowsBetween(Window.unboundedPreceding, 0)
         return d.withColumn("_hit", F.last("_rec", ignorenulls=True).over(w))
 
     def finish(d: DataFrame) -> DataFrame:
-        return d.filter(F.col("_err").isNotNull()).select("_err.*", F.col("_hit").alias("recovery"))
+        return d.filter(F.col("_err").isNotNull()).select("_err.*", F.col("_hit").alias("recovery")).drop(LONE)
 
     def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
-        first = d.groupBy(*ks, SLICE).agg(F.min_by("_rec", F.when(F.col("_rec").isNotNull(), F.col("_at"))).alias("_first"))
+        first = d.groupBy(*ks, SLICE).agg(F.min_by("_rec", F.when(F.col("_rec").isNotNull(), F.struct("_at", "_tie"))).alias("_first"))
         later = Window.partitionBy(*ks).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
         carry = first.select(*ks, SLICE, F.last("_first", ignorenulls=True).over(later).alias("_next"))
         d = join_carry(plain(d, [*ks, SLICE]), carry, ks)
         return finish(d.withColumn("_hit", F.coalesce("_hit", "_next")))
 
-    return by_heat(rows, key, lambda d, ks: finish(plain(d, ks)), sliced, "_at", heat)
+    return by_heat(rows, keys, lambda d, ks: finish(plain(d, ks)), sliced, "_at", heat)
 
 
 def errors_with_session(errors: DataFrame, sessions: DataFrame, on: str = "session_id") -> DataFrame:
@@ -68,7 +71,7 @@ def errors_with_context(errors: DataFrame, contexts: DataFrame, on: str = "reque
 def unseen(df: DataFrame, seen: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not in an earlier batch."""
     keys = as_keys(keys)
-    return df.join(seen.select(*keys).distinct(), keys, "left_anti")
+    return df.join(seen.select(*keys), keys, "left_anti")
 
 
 def slot_rank(

@@ -26,7 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.operators.skew import MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, micros, resolve_heat, running_ordinal
+from faultline.operators.skew import (
+    LONE, MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, micros, resolve_heat, running_ordinal, set_apart,
+)
 
 # Default windows and limits.
 DEDUPE_SECONDS = 5.0
@@ -357,6 +359,14 @@ def throttle_snapshots(
     return rows.withColumn(snapshot, F.when(F.col("captured"), F.col(snapshot)))
 
 
+def _apart_scan(df: DataFrame, keys: str | Sequence[str], machine, name: str, **kw) -> DataFrame:
+    """A scan in which rows without a key are strangers to each other."""
+    keys = as_keys(keys)
+    if LONE in keys:
+        return ordered_scan(df, keys, machine, name, **kw)
+    return ordered_scan(set_apart(df, keys), [*keys, LONE], machine, name, **kw).drop(LONE)
+
+
 def dedupe_errors(
     df: DataFrame, keys: str | Sequence[str], window: float = DEDUPE_SECONDS, name: str = "passed", heat: Heat = MAX_ROWS,
     placed: bool = False,
@@ -365,19 +375,22 @@ def dedupe_errors(
 
     ``keys`` are client and signature. A row passes when more than
     ``window`` seconds went by since the last row that passed; a gap of
-    exactly ``window`` is still a repeat.
+    exactly ``window`` is still a repeat. A row without a key repeats none.
     """
-    return ordered_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat, placed=placed)
+    return _apart_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat, placed=placed)
 
 
 def rate_limit(
     df: DataFrame, keys: str | Sequence[str], capacity: int = BUCKET_TOKENS, rate: float = BUCKET_RATE,
     name: str = "admitted", heat: Heat = MAX_ROWS, placed: bool = False,
 ) -> DataFrame:
-    """Flag the rows a client's token bucket admits; the others are deferred, not lost."""
+    """Flag the rows a client's token bucket admits; the others are deferred, not lost.
+
+    A row without a client has a bucket of its own.
+    """
     if capacity < 1 or rate <= 0:
         raise ValueError("capacity and rate must be positive")
-    return ordered_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat, placed=placed)
+    return _apart_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat, placed=placed)
 
 
 def outage_states(

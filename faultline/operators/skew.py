@@ -21,6 +21,7 @@ broadcasts of the cut points and carries safe.
 from __future__ import annotations
 
 import math
+import tempfile
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -84,6 +85,53 @@ def find_hot_keys(
 
 
 Heat = int | HotKeys | None
+LONE = "_lone"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the shared checkpoint folder.
+
+    The sliced forms use their rows several times (halos, carries, the rows
+    themselves); from here they read the stored rows, and the steps before
+    run once. The folder is the session's ``spark.checkpoint.dir``; only a
+    local session may do without and gets a temporary one.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint(eager=True)
+
+
+def no_key(keys: Sequence[str]) -> Column:
+    """Is any part of a row's key null? Such rows belong to nobody."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return missing
+
+
+def set_apart(df: DataFrame, keys: Sequence[str], by: Column | str = "event_id") -> DataFrame:
+    """Add ``LONE`` to the key: its own id for a row without a key, else null.
+
+    Windows over the keys and ``LONE`` put each such row on a timeline of
+    its own, so rows of unknown clients neither mix nor pile up on null.
+    """
+    by = F.col(by) if isinstance(by, str) else by
+    return df.withColumn(LONE, F.when(no_key(keys), by.cast("string")))
+
+
+def lone_keys(errors: DataFrame, others: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both tables prepared for windows over the returned keys; done once, also where operators follow each other."""
+    if LONE in keys:
+        return errors, others, list(keys)
+    return set_apart(errors, keys), keyed_only(others, keys), [*keys, LONE]
+
+
+def keyed_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have a key, with an empty ``LONE``: the others can't be anyone's neighbours."""
+    return df.filter(~no_key(keys)).withColumn(LONE, F.lit(None).cast("string"))
 
 
 def resolve_heat(df: DataFrame, keys: str | Sequence[str], ts: str, heat: Heat) -> HotKeys | None:
@@ -153,6 +201,7 @@ def by_heat(
     hot = resolve_heat(df, keys, ts, heat)
     if hot is None:
         return plain(df, keys)
+    df = stored(df)
     part = sliced(hot_rows(df, hot, ts), keys)
     return plain(cold_rows(df, hot), keys).unionByName(part.drop(SLICE))
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import has_click
 from faultline.operators.skew import (
-    CUTS, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, join_keys, micros, resolve_heat,
-    running_ordinal, time_halo,
+    CUTS, LONE, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, join_keys, lone_keys, micros,
+    resolve_heat, running_ordinal, set_apart, stored, time_halo,
 )
 
 # Trail length, window length and caps.
@@ -151,6 +151,7 @@ def _look_back(
     hot = resolve_heat(rows, keys, "ts", heat)
     if hot is None:
         return plain(rows.withColumns(whole), keys)
+    rows = stored(rows)
     mine = hot_rows(rows, hot, "ts", keep_cuts=True)
     near = time_halo(mine, back=seconds) if seconds else mine.withColumn("_home", yes)
     near = near.drop(CUTS).withColumns({"_t": F.col("_home"), "_r": yes})
@@ -169,10 +170,13 @@ def attach_breadcrumbs(
 
     Adds ``breadcrumbs`` (empty when there are none). Both inputs need
     ``ts`` and ``event_id``; ``item`` is the struct to list, by default all
-    columns of a crumb.
+    columns of a crumb. An error without a client gets an empty trail.
     """
-    keys = as_keys(keys)
-    return _look_back(_timeline(errors, crumbs, keys, _item_of(crumbs, keys, item)), keys, heat, n=n)
+    asked = as_keys(keys)
+    item = _item_of(crumbs, asked, item)
+    errors, crumbs, keys = lone_keys(errors, crumbs, asked)
+    out = _look_back(_timeline(errors, crumbs, keys, item), keys, heat, n=n)
+    return out if LONE in asked else out.drop(LONE)
 
 
 def replay_before(
@@ -189,13 +193,16 @@ def replay_before(
     the client never age out of a buffer: ``prior_errors`` counts them, and
     they are exactly the client's errors with a lower count, so no copy of
     the growing list is needed on each row. With ``crumbs`` the same pass
-    adds ``breadcrumbs``, the last that many events.
+    adds ``breadcrumbs``, the last that many events. An error without a
+    session has an empty replay.
     """
     _limits(seconds, clicks, capped)
-    keys = as_keys(keys)
-    item = _item_of(events, keys, item)
+    asked = as_keys(keys)
+    item = _item_of(events, asked, item)
+    errors, events, keys = lone_keys(errors, events, asked)
+    gone = [] if LONE in asked else [LONE]
     if anchor == "error":
-        return _look_back(_timeline(errors, events, keys, item), keys, heat, crumbs, seconds, clicks)
+        return _look_back(_timeline(errors, events, keys, item), keys, heat, crumbs, seconds, clicks).drop(*gone)
     if anchor != "last_event":
         raise ValueError("anchor is 'error' or 'last_event'")
     # Each error moves to the time of the last event before it; from there
@@ -206,7 +213,7 @@ def replay_before(
     moved = _last_item_time(_timeline(numbered, events, keys, item), keys, heat)
     moved = moved.withColumns({"_own": F.col("ts"), "ts": F.coalesce("_end", "ts")})
     out = _look_back(_timeline(moved, events, keys, item), keys, heat, None, seconds, clicks)
-    return out.withColumns({"ts": F.col("_own"), "prior_errors": F.col("_nth") - 1}).drop("_own", "_end", "_nth")
+    return out.withColumns({"ts": F.col("_own"), "prior_errors": F.col("_nth") - 1}).drop("_own", "_end", "_nth", *gone)
 
 
 def _last_item_time(rows: DataFrame, keys: list[str], heat: Heat) -> DataFrame:
@@ -237,6 +244,8 @@ def _halo_split(rows: DataFrame, keys: list[str], plain, back: float, ahead: flo
     hot = resolve_heat(rows, keys, "ts", heat)
     if hot is None:
         return plain(whole, keys).drop("_home")
+    rows = stored(rows)
+    whole = rows.withColumn("_home", F.lit(True))
     near = time_halo(hot_rows(rows, hot, "ts", keep_cuts=True), back, ahead).drop(CUTS)
     part = plain(near, [*keys, SLICE]).filter("_home").drop(SLICE)
     return plain(cold_rows(whole, hot), keys).unionByName(part).drop("_home")
@@ -252,11 +261,14 @@ def replay_after(
     Every event counts, clicks or not. Recording stops ``seconds`` after
     the error (that instant excluded) or with the ``clicks``-th event. Adds
     ``recovery``. ``include_closing`` lists the first event past the time
-    limit too, when the count had not closed the window before.
+    limit too, when the count had not closed the window before. An error
+    without a session has an empty recovery.
     """
     _limits(seconds, clicks, capped)
-    keys = as_keys(keys)
-    rows = _timeline(errors, events, keys, _item_of(events, keys, item))
+    asked = as_keys(keys)
+    item = _item_of(events, asked, item)
+    errors, events, keys = lone_keys(errors, events, asked)
+    rows = _timeline(errors, events, keys, item)
     ahead = int(seconds * 1_000_000)
 
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
@@ -270,9 +282,10 @@ def replay_after(
         return d.select(*_error_columns(d, keys), F.transform(inside, lambda r: r["_item"]).alias("recovery"))
 
     # However far ahead they lie, the next few items are all an error needs.
-    return by_heat(
+    out = by_heat(
         rows, keys, plain,
         lambda d, ks: plain(d.unionByName(_count_halo(d, ks, clicks, ahead=True)), [*ks, SLICE]), heat=heat)
+    return out if LONE in asked else out.drop(LONE)
 
 
 def tag_phase(
@@ -283,10 +296,12 @@ def tag_phase(
 
     An event is ``after_error`` while the recording of the latest error
     runs, see ``replay_after``; a new error starts over. Adds ``phase`` and
-    keeps the columns the two inputs share.
+    keeps the columns the two inputs share. A row without a session is on a
+    timeline of its own.
     """
     _limits(seconds, clicks, capped)
     keys = as_keys(keys)
+    errors, events, keys = set_apart(errors, keys), set_apart(events, keys), [*keys, LONE]
     shared = [c for c in events.columns if c in errors.columns]
     rows = events.select(*shared, F.lit(0).alias("_kind")).unionByName(errors.select(*shared, F.lit(1).alias("_kind")))
 
@@ -302,7 +317,7 @@ def tag_phase(
         phase = F.when(is_error, "error").when(running, "after_error").otherwise("before_error")
         return d.withColumn("phase", phase).drop("_at", "_seen", "_base", "_kind")
 
-    return _halo_split(rows, keys, plain, seconds, 0, heat)
+    return _halo_split(rows, keys, plain, seconds, 0, heat).drop(LONE)
 
 
 def two_phase_replay(
@@ -317,11 +332,13 @@ def two_phase_replay(
     recovery row follows an error that passes the gate, when its window
     holds a click and no later error of the client cut it short.
     """
-    keys = as_keys(keys)
+    asked = as_keys(keys)
+    item = _item_of(events, asked, item)
+    errors, events, keys = lone_keys(errors, events, asked)
+    gone = [] if LONE in asked else [LONE]
     spots = errors.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
     heat = resolve_heat(spots, keys, "ts", heat)
     passing = errors if gate is None else errors.filter(gate)
-    item = _item_of(events, keys, item)
     before = replay_before(errors, events, keys, seconds, clicks, item, capped=capped, heat=heat)
     shown = has_click("replay") if gate is None else (F.coalesce(gate, F.lit(False)) & has_click("replay"))
     phase1 = before.withColumn("replay", F.when(shown, F.col("replay")))
@@ -338,4 +355,4 @@ def two_phase_replay(
 
     with_next = _halo_split(numbered, keys, nxt, 0, seconds, heat)
     done = with_next.filter(has_click("recovery") & ~F.coalesce(F.col("_next") < stop, F.lit(False)))
-    return phase1, done.drop("_us", "_next")
+    return phase1.drop(*gone), done.drop("_us", "_next", *gone)

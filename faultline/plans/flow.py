@@ -11,7 +11,7 @@ from faultline.functions import privacy, stack
 from faultline.operators import joins, scans, trails
 from faultline.operators.filters import at_least_level, is_ignored_error
 from faultline.operators.normalize import default_metadata, normalize_browser_errors, normalize_log_records
-from faultline.operators.skew import MAX_ROWS, Heat, resolve_heat
+from faultline.operators.skew import LONE, MAX_ROWS, Heat, keyed_only, no_key, resolve_heat, set_apart
 
 
 def browser_flow(
@@ -31,9 +31,12 @@ def browser_flow(
     """
     keys = ["session_id"]
     # One look for hot sessions, on the narrow inputs, serves every step.
-    spots = raw.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
+    spots = raw.select(*keys, "ts").unionByName(events.select(*keys, "ts")).filter(~no_key(keys))
     heat = resolve_heat(spots, keys, "ts", heat)
-    rows = normalize_browser_errors(raw, **normalize)
+    # Rows without a session go through every step on timelines of their own.
+    events, crumbs = keyed_only(events, keys), None if crumbs is None else keyed_only(crumbs, keys)
+    rows = set_apart(normalize_browser_errors(raw, **normalize), keys)
+    keys = [*keys, LONE]
     rows = rows.withColumns({
         "ignored": is_ignored_error("message", ignore),
         "fingerprint": stack.error_fingerprint("message", "stack"),
@@ -69,7 +72,7 @@ def browser_flow(
     placed = on_replay is None
     rows = scans.dedupe_errors(rows, [*keys, "signature"], dedupe_window, "_passed", heat, placed=placed).filter("_passed")
     rows = scans.rate_limit(rows, keys, capacity, rate, "admitted", heat, placed=placed)
-    return rows.drop("_first", "_passed", "stack")
+    return rows.drop("_first", "_passed", "stack", LONE)
 
 
 def backend_flow(

@@ -37,6 +37,11 @@ def by_client(rows):
     return out
 
 
+def same(a, b):
+    """Rows of one client; a row without a client is nobody else's."""
+    return a[1] == b[1] and (a[1] is not None or a[0] == b[0])
+
+
 HEATS = pytest.mark.parametrize("heat", [None, 40, 7])
 
 
@@ -146,7 +151,7 @@ def test_trails(spark, heat):
     want = {}
     for e in rows:
         if e[3] == "error":
-            past = sorted(((c[2], c[0]) for c in rows if c[3] != "error" and c[1] == e[1] and c[2] <= e[2]))
+            past = sorted(((c[2], c[0]) for c in rows if c[3] != "error" and same(c, e) and c[2] <= e[2]))
             want[e[0]] = [i for _, i in past[-4:]]
     assert got == want
 
@@ -161,10 +166,10 @@ def test_replay_windows(spark, heat):
     after = {r["event_id"]: [c["event_id"] for c in r["recovery"]] for r in
              trails.replay_after(err, act, "client_id", 30, 5, heat=heat).collect()}
     for e in (r for r in rows if r[3] == "error"):
-        mine = sorted((c[2], c[0], c[3]) for c in rows if c[1] == e[1] and c[3] != "error")
+        mine = sorted((c[2], c[0], c[3]) for c in rows if same(c, e) and c[3] != "error")
         near = [c for c in mine if c[2] and c[0] <= e[2] and round((e[2] - c[0]) * 1000) <= 30_000]
         clicks = [c for c in near if c[2] == "click"][-3:]
-        prior = sum(1 for o in rows if o[3] == "error" and o[1] == e[1] and (o[2], o[0]) < (e[2], e[0]))
+        prior = sum(1 for o in rows if o[3] == "error" and same(o, e) and (o[2], o[0]) < (e[2], e[0]))
         assert before[e[0]] == ([c[1] for c in near if c[2] != "click" or c in clicks], prior)
         later = [c for c in mine if c[0] > e[2]][:5]
         assert after[e[0]] == [c[1] for c in later if round((c[0] - e[2]) * 1000) < 30_000]
@@ -185,11 +190,11 @@ def test_other_anchors_and_one_pass(spark, heat):
              trails.attach_breadcrumbs(err, act, "client_id", 6, heat=heat).collect()}
     assert both == alone
     for e in (r for r in rows if r[3] == "error"):
-        mine = sorted((c[2], c[0], c[3]) for c in rows if c[1] == e[1] and c[3] != "error")
+        mine = sorted((c[2], c[0], c[3]) for c in rows if same(c, e) and c[3] != "error")
         past = [c for c in mine if c[0] <= e[2]]
         near = [c for c in past if round((past[-1][0] - c[0]) * 1000) <= 30_000]
         clicks = [c for c in near if c[2] == "click"][-3:]
-        prior = sum(1 for o in rows if o[3] == "error" and o[1] == e[1] and (o[2], o[0]) < (e[2], e[0]))
+        prior = sum(1 for o in rows if o[3] == "error" and same(o, e) and (o[2], o[0]) < (e[2], e[0]))
         got = last[e[0]]
         assert got[:2] == ([c[1] for c in near if c[2] != "click" or c in clicks], prior)
         assert round(got[2] - T0.timestamp(), 3) == e[2]
@@ -205,7 +210,7 @@ def test_phases(spark, heat):
     out = trails.tag_phase(df.filter("type <> 'error'"), df.filter("type = 'error'"), "client_id", 20, 3, heat=heat)
     got = {r["event_id"]: r["phase"] for r in out.collect()}
     want = {}
-    for seq in by_client(rows).values():
+    for seq in [[r] for r in rows if r[1] is None] + [x for c, x in by_client(rows).items() if c is not None]:
         at, seen = None, 0
         for i, _, s, t in sorted(seq, key=lambda r: (r[2], r[3] == "error", r[0])):
             if t == "error":
@@ -228,13 +233,13 @@ def test_two_phase(spark, heat):
     passing = [r for r in rows if r[3] == "error" and r[0] % 3]
     want_done = set()
     for e in (r for r in rows if r[3] == "error"):
-        mine = sorted((c[2], c[0], c[3]) for c in rows if c[1] == e[1] and c[3] != "error")
+        mine = sorted((c[2], c[0], c[3]) for c in rows if same(c, e) and c[3] != "error")
         clicked = any(c[2] == "click" and c[0] <= e[2] and round((e[2] - c[0]) * 1000) <= 10_000 for c in mine)
         assert shown[e[0]] == (clicked and e in passing)
         if e in passing:
             later = [c for c in [c for c in mine if c[0] > e[2]][:3] if round((c[0] - e[2]) * 1000) < 10_000]
             stop = later[-1][0] if len(later) == 3 else e[2] + 10
-            nxt = min(((o[2], o[0]) for o in passing if o[1] == e[1] and (o[2], o[0]) > (e[2], e[0])), default=None)
+            nxt = min(((o[2], o[0]) for o in passing if same(o, e) and (o[2], o[0]) > (e[2], e[0])), default=None)
             if any(c[2] == "click" for c in later) and not (nxt and round((nxt[0] - stop) * 1000) < 0):
                 want_done.add(e[0])
     assert done == want_done
@@ -308,7 +313,7 @@ def test_link_recovery(spark, heat):
     out = joins.link_recovery(df.filter("type = 'error'"), rec, "client_id", heat=heat)
     got = {r["event_id"]: r["recovery"] and r["recovery"]["captured_at"].timestamp() for r in out.collect()}
     for e in (r for r in rows if r[3] == "error"):
-        later = [v[2] for v in rows if v[3] == "view" and v[1] == e[1] and v[2] > e[2]]
+        later = [v[2] for v in rows if v[3] == "view" and same(v, e) and v[2] > e[2]]
         want = round(T0.timestamp() + min(later), 3) if later else None
         assert (got[e[0]] and round(got[e[0]], 3)) == want
 
