@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm.shared import column_of, portions, saved, utf8
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:

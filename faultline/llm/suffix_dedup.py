@@ -29,8 +29,8 @@ from faultline.llm.shared import column_of
 
 LENGTH, GRAM = 200, 32
 _WINDOW = LENGTH - GRAM + 1
-SHARD_BYTES = 24 << 20  # of input for each shard
-PART_BYTES = 4 << 20  # of stretches for each suffix array
+SHARD_BYTES = 12 << 20  # of input for each shard
+PART_BYTES = 1 << 20  # of stretches for each suffix array
 _TABLE = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.random.default_rng(10).integers(0, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TOP = np.uint64((1 << 64) - 1)
@@ -277,8 +277,8 @@ def compare(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
     new = np.concatenate([[True], (value[order][1:] != value[order][:-1]) | (digest[order][1:] != digest[order][:-1])])
     kept = order[new]
     offsets = np.concatenate([[0], np.cumsum(size[kept])])
-    take = np.arange(offsets[-1]) + np.repeat(at[kept] - offsets[:-1], size[kept])
-    marks = repeated_starts(value[kept], body[take], offsets)
+    body = np.concatenate([body[a:b] for a, b in zip(at[kept].tolist(), at[kept + 1].tolist())])
+    marks = repeated_starts(value[kept], body, offsets)
     source = np.empty(len(order), np.int64)
     source[order] = np.cumsum(new) - 1
     replies, row = [], 0
