@@ -52,6 +52,24 @@ def scrub_log_context(c: Column | str) -> Column:
     return scrub_map(kept, LOG_CONTEXT_FIELDS)
 
 
+class _Number(str):
+    """A number's own text, so that a scrub changes no digit of it."""
+
+
+def _no_json(name: str):
+    raise ValueError(f"{name} is no JSON")
+
+
+def _written(node) -> str:
+    if isinstance(node, _Number):
+        return str(node)
+    if isinstance(node, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_written(v)}" for k, v in node.items()) + "}"
+    if isinstance(node, list):
+        return "[" + ",".join(map(_written, node)) + "]"
+    return json.dumps(node, ensure_ascii=False)
+
+
 def _redact(node, hit: re.Pattern):
     if isinstance(node, dict):
         return {k: REDACTED if hit.search(k) else _redact(v, hit) for k, v in node.items()}
@@ -65,8 +83,9 @@ def scrub_json(c: Column | str, fields: Sequence[str] = BACKEND_FIELDS) -> Colum
 
     A key that holds a field name (any case) has its whole value replaced;
     other objects and arrays are searched further. Text that mentions a
-    field name but is not JSON becomes null, the safe choice for data that
-    cannot be searched. Text with no field name in it passes as it is: the
+    field name but is not JSON, or is nested too deeply to be searched,
+    becomes null, the safe choice; ``unsearchable`` finds such rows. Numbers
+    keep their own text. Text with no field name in it passes as it is: the
     Arrow trip to the key walk carries nulls for those rows.
     """
     c = col(c)
@@ -78,8 +97,9 @@ def scrub_json(c: Column | str, fields: Sequence[str] = BACKEND_FIELDS) -> Colum
             if text is None:
                 return None
             try:
-                return json.dumps(_redact(json.loads(text), hit), separators=(",", ":"), ensure_ascii=False)
-            except ValueError:
+                node = json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_no_json)
+                return _written(_redact(node, hit))
+            except (ValueError, RecursionError):
                 return None
 
         for s in texts:
@@ -90,6 +110,11 @@ def scrub_json(c: Column | str, fields: Sequence[str] = BACKEND_FIELDS) -> Colum
     return F.when(needs, walk(F.when(needs, c))).otherwise(c)
 
 
+def unsearchable(c: Column | str, scrubbed: Column | str) -> Column:
+    """Did a scrub have to take a text away because it could not be searched?"""
+    return col(c).isNotNull() & col(scrubbed).isNull()
+
+
 def scrub_payload(c: Column | str, extra: Sequence[str] = ()) -> Column:
     """Deep scrub of a whole browser record: configured names plus the built-in ones."""
     return scrub_json(c, [*extra, *BROWSER_FIELDS])
@@ -174,10 +199,28 @@ def is_sensitive_token(c: Column | str) -> Column:
     return col(c).rlike(SENSITIVE_TOKEN)
 
 
+def css_escape(c: Column | str) -> Column:
+    """A name as it may stand in a CSS selector.
+
+    A leading digit, also after one hyphen, and control characters are
+    written by code point, a lone hyphen and other signs get a backslash;
+    letters, digits, ``-``, ``_`` and all above ASCII stay. NUL becomes the
+    replacement character.
+    """
+    text = F.regexp_replace(col(c), "\\x00", "\ufffd")
+    text = F.regexp_replace(text, r"([\x01-\x1f\x20-\x2c\x2e\x2f\x3a-\x40\x5b-\x5e\x60\x7b-\x7f])", r"\\$1")
+    text = F.regexp_replace(text, "^(-?)([0-9])", r"$1\\3$2 ")
+    # Control characters by code point; rare, so only looked for where one is.
+    controls = F.array(*[F.lit(x) for x in [*range(1, 32), 127]])
+    coded = F.aggregate(controls, text, lambda s, x: F.replace(s, F.concat(F.lit("\\"), F.char(x)), F.concat(F.lit("\\"), F.lower(F.hex(x)), F.lit(" "))))
+    text = F.when(text.rlike(r"[\x01-\x1f\x7f]"), coded).otherwise(text)
+    return F.when(col(c) == "-", F.lit("\\-")).otherwise(text)
+
+
 def clean_classes(classes: Column | str) -> Column:
-    """Up to three class names that are neither state, generated nor sensitive."""
+    """Up to three class names that are neither state, generated nor sensitive, escaped for a selector."""
     keep = lambda k: ~k.rlike(STATE_CLASSES) & ~k.rlike(GENERATED_CLASSES) & ~is_sensitive_token(k)
-    return F.slice(F.filter(col(classes), keep), 1, MAX_CLASSES)
+    return F.transform(F.slice(F.filter(col(classes), keep), 1, MAX_CLASSES), css_escape)
 
 
 def css_selector(path: Column | str) -> Column:
@@ -197,6 +240,6 @@ def css_selector(path: Column | str) -> Column:
         dotted = F.when(F.size(classes) > 0, F.concat(F.lit("."), F.array_join(classes, "."))).otherwise("")
         nth = F.when(e["siblings"] > 1, F.concat(F.lit(":nth-child("), e["nth"].cast("string"), F.lit(")"))).otherwise("")
         tag = F.lower(e["tag"])
-        return F.when(safe(e), F.concat(tag, F.lit("#"), e["id"])).otherwise(F.concat(tag, dotted, nth))
+        return F.when(safe(e), F.concat(tag, F.lit("#"), css_escape(e["id"]))).otherwise(F.concat(tag, dotted, nth))
 
     return F.array_join(F.reverse(F.transform(used, part)), " > ")

@@ -90,17 +90,20 @@ def session_hashes(spark, sf):
         P.session_hash_priority(given, F.col("session_id")).alias("chosen"))
 
 
-_TOKENS = "CASE k % 9 WHEN 0 THEN 'btn' || k WHEN 1 THEN 'active' WHEN 2 THEN 'ng-x' WHEN 3 THEN 'user-id' WHEN 4 THEN 'Email' WHEN 5 THEN 'id1234567890' WHEN 6 THEN 'monkey' WHEN 7 THEN 'showcase' ELSE 'author' END"
+_TOKENS = "CASE k % 9 WHEN 0 THEN 'btn' || k WHEN 1 THEN 'active' WHEN 2 THEN 'ng-x' WHEN 3 THEN 'user-id' WHEN 4 THEN 'Email' WHEN 5 THEN 'id1234567890' WHEN 6 THEN 'monkey' WHEN 7 THEN 'md:w-1/2' ELSE '2xl' || k END"
 _BAD = "(?i)user[-_]?id|email|token|session|auth|key|[0-9]{10,}"
 _CLEAN = f"list_filter(cl, lambda c: NOT regexp_matches(c, '^(active|hover|focus|disabled|hidden|show)$') AND NOT regexp_matches(c, '^(ng-|v-|data-|_)') AND NOT regexp_matches(c, '{_BAD}'))[1:3]"
+# A name in a selector: signs behind a backslash, a leading digit by its code point.
+_ESC = lambda c: rf"regexp_replace(regexp_replace({c}, '([^a-zA-Z0-9_-])', '\\\1', 'g'), '^([0-9])', '\\3\1 ')"
+_NAMES = f"list_transform({_CLEAN}, lambda c: {_ESC('c')})"
 
 
 @query("css_selectors", f"""
 WITH {S.EV}, t AS (SELECT event_id, k, {_TOKENS} AS tok FROM ev),
-e AS (SELECT event_id, k, tok, ['a', tok, 'b' || k, 'c', 'd'] AS cl, CASE WHEN k % 5 = 0 THEN 'main' || k WHEN k % 5 = 1 THEN 'session9' ELSE '' END AS id FROM t),
-p AS (SELECT *, 'button' || CASE WHEN len({_CLEAN}) > 0 THEN '.' || array_to_string({_CLEAN}, '.') ELSE '' END || CASE WHEN k % 2 = 0 THEN ':nth-child(' || (k % 7 + 1) || ')' ELSE '' END AS leaf FROM e)
-SELECT event_id, regexp_matches(tok, '{_BAD}') AS sensitive, array_to_string({_CLEAN}, ' ') AS classes,
-  CASE WHEN id LIKE 'main%' THEN 'div#' || id || ' > ' || leaf ELSE 'p3 > p2 > p1 > div > ' || leaf END AS selector
+e AS (SELECT event_id, k, tok, ['a', tok, 'b' || k, 'c', 'd'] AS cl, CASE WHEN k % 5 = 0 THEN 'main.' || k WHEN k % 5 = 1 THEN 'session9' ELSE '' END AS id FROM t),
+p AS (SELECT *, 'button' || CASE WHEN len({_CLEAN}) > 0 THEN '.' || array_to_string({_NAMES}, '.') ELSE '' END || CASE WHEN k % 2 = 0 THEN ':nth-child(' || (k % 7 + 1) || ')' ELSE '' END AS leaf FROM e)
+SELECT event_id, regexp_matches(tok, '{_BAD}') AS sensitive, array_to_string({_NAMES}, ' ') AS classes,
+  CASE WHEN id LIKE 'main%' THEN 'div#' || {_ESC('id')} || ' > ' || leaf ELSE 'p3 > p2 > p1 > div > ' || leaf END AS selector
 FROM p""")
 def css_selectors(spark, sf):
     k = F.col("k")
@@ -110,7 +113,7 @@ def css_selectors(spark, sf):
     node = lambda tag, id_, classes, nth, sib: F.struct(
         F.lit(tag).alias("tag"), id_.alias("id"), classes.alias("classes"), nth.alias("nth"), sib.alias("siblings"))
     one = F.lit(1)
-    id_ = F.when(k % 5 == 0, F.concat(F.lit("main"), k.cast("string"))).when(k % 5 == 1, "session9").otherwise("")
+    id_ = F.when(k % 5 == 0, F.concat(F.lit("main."), k.cast("string"))).when(k % 5 == 1, "session9").otherwise("")
     path = F.array(
         node("BUTTON", F.lit(""), cl, k % 7 + 1, F.when(k % 2 == 0, 3).otherwise(1)), node("DIV", id_, none, one, one),
         *[node(f"P{i}", F.lit(""), none, one, one) for i in range(1, 6)])
