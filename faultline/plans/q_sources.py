@@ -190,14 +190,44 @@ def phase_counts(spark, sf):
     return stats.phase_breakdown(rows, "user_id")
 
 
+_PHASE = "CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'after_error' ELSE 'before_error' END"
+# Each client's last error, what came after it, and whether recording still runs.
+_STATE = f"""n AS (SELECT *, {_PHASE} AS phase, row_number() OVER (PARTITION BY user_id ORDER BY {MS}, event_id) AS pos, {MS} AS ms FROM ev),
+l AS (SELECT user_id, max(pos) FILTER (phase = 'error') AS err_pos, max(ms) FILTER (phase = 'error') AS err, max(ms) AS last FROM n GROUP BY 1),
+s AS (SELECT n.user_id, any_value(err) AS err, count(*) FILTER (pos > err_pos AND phase = 'after_error') AS posted,
+  coalesce(any_value(err) IS NOT NULL AND count(*) FILTER (pos > err_pos AND phase = 'before_error') = 0 AND count(*) FILTER (pos > err_pos AND phase = 'after_error') < 10
+    AND any_value(last) - any_value(err) < 30000, false) AS runs FROM n JOIN l ON n.user_id = l.user_id GROUP BY 1)"""
+
+
 @query("encode_buffers", f"""
-WITH {S.EV}, n AS (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 20 AS part FROM ev),
-b AS (SELECT user_id, part, '{{"buffer":[' || string_agg('{{"type":"' || event_type || '","phase":"' || CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'after_error' ELSE 'before_error' END
-    || '","timestamp":' || ({MS}) || ',"url":"/' || k || '"}}', ',' ORDER BY ts, event_id) || '],"isRecordingAfterError":' || CASE WHEN bool_or(event_type = 'purchase') THEN 'true' ELSE 'false' END
-    || coalesce(',"errorOccurredAt":' || max(CASE WHEN event_type = 'error' THEN {MS} END), '') || ',"postErrorEventCount":' || count(*) FILTER (event_type = 'purchase') || '}}' AS body FROM n GROUP BY 1, 2)
-SELECT user_id, CAST(part AS INTEGER) AS part, body FROM b""")
+WITH {S.EV}, {_STATE},
+b AS (SELECT user_id, (pos - 1) // 20 AS part, '{{"buffer":[' || string_agg('{{"type":"' || event_type || '","phase":"' || phase
+    || '","timestamp":' || ms || ',"url":"/' || k || '"}}', ',' ORDER BY pos) || ']' AS items FROM n GROUP BY 1, 2)
+SELECT b.user_id, CAST(part AS INTEGER) AS part, items || ',"isRecordingAfterError":' || CASE WHEN runs THEN 'true' ELSE 'false' END
+    || coalesce(',"errorOccurredAt":' || err, '') || ',"postErrorEventCount":' || posted || '}}' AS body FROM b JOIN s ON b.user_id = s.user_id""")
 def encode_buffers(spark, sf):
     rows = S.events(spark, sf).select(
         "event_id", "user_id", "ts", F.col("event_type").alias("type"), F.concat(F.lit("/"), F.col("k").cast("string")).alias("url"),
-        F.expr("CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'after_error' ELSE 'before_error' END").alias("phase"))
+        F.expr(_PHASE).alias("phase"))
     return writers.encode_buffer(rows, "user_id", size=20)
+
+
+@query("buffer_round_trip", f"""
+WITH {S.EV}, {_STATE}
+SELECT n.user_id, (pos - 1) // 7 AS part, (pos - 1) % 7 AS pos, event_type AS type, phase, ms * 1000 AS ts_us, '/' || k AS url, (ms + 3) * 1000 AS captured_us,
+  CASE WHEN event_type = 'click' THEN '{{"x":' || k || '}}' END AS click_data, CASE WHEN k % 3 = 0 THEN '<div>' || k || '</div>' END AS snapshot,
+  CASE WHEN phase = 'error' THEN '{{"m":"e' || k || '"}}' END AS error_context, runs AS is_recording, err * 1000 AS error_us, posted AS post_error_count
+FROM n JOIN s ON n.user_id = s.user_id""")
+def buffer_round_trip(spark, sf):
+    k = F.col("k").cast("string")
+    rows = S.events(spark, sf).select(
+        "event_id", "user_id", "ts", F.col("event_type").alias("type"), F.concat(F.lit("/"), k).alias("url"), F.expr(_PHASE).alias("phase"),
+        F.timestamp_millis(F.unix_millis("ts") + 3).alias("captured_at"),
+        F.when(F.col("event_type") == "click", F.concat(F.lit('{"x":'), k, F.lit("}"))).alias("click_data"),
+        F.when(F.col("k") % 3 == 0, F.concat(F.lit("<div>"), k, F.lit("</div>"))).alias("snapshot"),
+        F.when(F.col("event_type") == "error", F.concat(F.lit('{"m":"e'), k, F.lit('"}'))).alias("error_context"))
+    out = readers.decode_buffer(writers.encode_buffer(rows, "user_id", size=7))
+    return out.select(
+        "user_id", F.col("part").cast("bigint").alias("part"), F.col("pos").cast("bigint").alias("pos"), "type", "phase", us("ts").alias("ts_us"), "url",
+        us("event_captured_at").alias("captured_us"), "click_data", "snapshot", "error_context", "is_recording", us("error_at").alias("error_us"),
+        F.col("post_error_count").cast("bigint").alias("post_error_count"))

@@ -74,10 +74,18 @@ def read_recovery_sessions(df: DataFrame, text: str = "body") -> DataFrame:
         F.posexplode("events").alias("pos", "e"),
     ).select(
         "session_id", "captured_at", "url", "pos", F.col("e.type").alias("type"), F.col("e.phase").alias("phase"),
-        F.timestamp_millis("e.timestamp").alias("ts"),
+        F.timestamp_millis("e.timestamp").alias("ts"), F.col("e.url").alias("event_url"), *_event_fields("e"),
     )
 
 
+def _event_fields(event: str) -> list[Column]:
+    """What a recorded event holds besides its kind and time; nested parts as JSON text."""
+    return [
+        F.timestamp_millis(f"{event}.capturedAt").alias("event_captured_at"), F.col(f"{event}.clickData").alias("click_data"),
+        F.col(f"{event}.domSnapshot").alias("snapshot"), F.col(f"{event}.errorContext").alias("error_context"),
+    ]
+
+
 def read_sessions(df: DataFrame, ingest_ts: str = "ingest_ts", text: str = "body") -> DataFrame:
     """Session start rows, one per id.
 
@@ -156,5 +164,5 @@ def decode_buffer(df: DataFrame, text: str = "body") -> DataFrame:
         F.col("_e.type").alias("type"),
         F.when(has, F.when(blank, "before_error").otherwise(F.col("_e.phase"))).alias("phase"),
         F.timestamp_millis("_e.timestamp").alias("ts"), F.col("_e.url").alias("url"),
-        (has & blank).alias("migrated"),
+        (has & blank).alias("migrated"), *_event_fields("_e"),
     )

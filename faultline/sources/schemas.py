@@ -35,7 +35,7 @@ REPLAY_EVENTS = f"""
 SESSIONS = "session_id STRING, session_hash STRING, ip_address STRING, user_agent STRING, started_at TIMESTAMP"
 SESSION_EVENT = "type STRING, url STRING, timestamp TIMESTAMP"
 SESSION_ENDS = "session_id STRING, ended_at TIMESTAMP"
-RECOVERY = "sessionId STRING, capturedAt TIMESTAMP, url STRING, events ARRAY<STRUCT<type: STRING, phase: STRING, timestamp: BIGINT, url: STRING>>"
+RECOVERY = "sessionId STRING, capturedAt TIMESTAMP, url STRING, events ARRAY<STRUCT<type: STRING, phase: STRING, timestamp: BIGINT, url: STRING, capturedAt: BIGINT, clickData: STRING, domSnapshot: STRING, errorContext: STRING>>"
 
 REQUESTS = """
     event_id BIGINT, client_id STRING, ts TIMESTAMP, route STRING, path STRING, uri STRING, is_main BOOLEAN,
@@ -58,7 +58,8 @@ LOG_RECORDS = """
 CALL_OUTCOMES = "event_id BIGINT, endpoint STRING, ts TIMESTAMP, success BOOLEAN"
 
 BUFFER_STATE = """
-    buffer ARRAY<STRUCT<type: STRING, phase: STRING, timestamp: BIGINT, url: STRING>>,
+    buffer ARRAY<STRUCT<type: STRING, phase: STRING, timestamp: BIGINT, url: STRING, capturedAt: BIGINT, clickData: STRING,
+        domSnapshot: STRING, errorContext: STRING>>,
     isRecordingAfterError BOOLEAN, errorOccurredAt BIGINT, postErrorEventCount INT
 """
 
