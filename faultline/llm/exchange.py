@@ -39,13 +39,14 @@ def unsqueeze(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def blocks(docs: DataFrame, text_column: str, keep: list[str], encode: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], bytes]) -> DataFrame:
+def blocks(docs: DataFrame, text_column: str, keep: list[str], encode: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], bytes], size: int | None = None) -> DataFrame:
     """``block``, ``rest`` (the columns ``keep`` of its documents, as Arrow) and ``body`` (what ``encode`` makes of the
-    texts' bytes and offsets), in table order, written to the shared folder."""
+    texts' bytes and offsets), in table order, written to the shared folder. A block has ``size`` bytes of text."""
+    size = size or BLOCK_BYTES
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        for batch in portions(batches, text_column, BLOCK_BYTES):
+        for batch in portions(batches, text_column, size):
             if batch.num_rows:
                 rest = pa.record_batch([column_of(batch, x) for x in keep], keep)
                 sink = pa.BufferOutputStream()
@@ -72,7 +73,7 @@ def ask(frame: DataFrame, question: Callable[[dict], Iterator[tuple[int, bytes]]
     """One round: ``block``, ``shard``, ``reply``, and two sums of each shard on the row of its first block.
 
     ``question`` makes (shard, message) pairs of a block's ``columns``; ``answer`` takes a shard's messages and makes a
-    reply to each, and two numbers.
+    reply to each, and two numbers. Messages to negative shards are their own replies.
     """
 
     def put(frames):
@@ -83,7 +84,8 @@ def ask(frame: DataFrame, question: Callable[[dict], Iterator[tuple[int, bytes]]
 
     def respond(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        replies, (one, two) = answer(list(frame["message"]))
+        messages = list(frame["message"])
+        replies, (one, two) = (messages, (0, 0)) if frame["shard"].iloc[0] < 0 else answer(messages)
         zeros = [0] * (len(frame) - 1)
         return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "reply": replies, "one": [one, *zeros], "two": [two, *zeros]})
 
@@ -93,5 +95,9 @@ def ask(frame: DataFrame, question: Callable[[dict], Iterator[tuple[int, bytes]]
 
 def with_replies(frame: DataFrame, replies: DataFrame, name: str) -> DataFrame:
     """``frame`` with the answers to each block as an array column; as many as the block sent messages."""
-    gathered = replies.groupBy("block").agg(F.collect_list(F.struct("shard", "reply")).alias(name))
-    return frame.join(gathered, "block", "left")
+    return frame.join(gathered(replies, name), "block", "left")
+
+
+def gathered(replies: DataFrame, name: str) -> DataFrame:
+    """``block`` and its answers as an array."""
+    return replies.groupBy("block").agg(F.collect_list(F.struct("shard", "reply")).alias(name))

@@ -1,15 +1,14 @@
-"""Trigram language model in Elias-Fano tries, one for each shard of contexts, trained and applied by shards.
+"""Bigram language model in Elias-Fano tries, one for each shard of contexts, trained and applied by shards.
 
-Probabilities are interpolated absolute discounting over the unigram estimate (c + 0.5) / (N + 0.5 (V + 1)); they sum
-to one at most, and are kept as 16-bit codes of their logarithms. A shard's trie has three levels, all monotone and
-Elias-Fano coded: a word v; the words w met after v; and, for the words u met before v, the words met after "u v". A
-word of the last level is written as its place among the words after v, not by its own id, and is looked up by that.
+The unigram estimate p is (c + 0.5) / (N + 0.5 (V + 1)). After v, a word w has (1 - MIX) c(v w) / c(v) + MIX p(w), and
+p(w) where v was never met; so the words after v sum to one at most. A trie has two levels, both monotone and
+Elias-Fano coded: the contexts, with pointers to where their successors begin, and the successors, each found relative
+to its context. Probabilities are kept as 16-bit codes of their logarithms.
 
 1. Blocks of documents send their words to word shards, which answer with counts over the training documents and ids.
-2. Blocks send their trigrams to the shard of the middle word, with the document each is in. The shard builds its trie
-   from the training ones, writes it to a scratch file that it maps, looks all up, and answers with sums by document.
-A middle word with more than a shard's share of all tokens is split by the word before it; its pairs, aggregated by
-block, go to each of its shards, so every shard has the whole second level of its words.
+2. Blocks send their bigrams to the shard of the context, with the document each is in. The shard builds its trie from
+   the training ones, writes it to a scratch file that it maps, looks all up, and answers with sums by document.
+A context with more than a shard's share of all tokens is split by successor, which the counts of step 1 allow.
 """
 
 from __future__ import annotations
@@ -25,16 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.elias_fano import EliasFano
-from faultline.llm.exchange import ask, blocks, replies_of, rest_of, squeeze, unsqueeze, with_replies
+from faultline.llm.exchange import ask, blocks, gathered, replies_of, rest_of, squeeze, unsqueeze, with_replies
 from faultline.llm.shared import column_of
 
-DISCOUNT = 0.75
+MIX = 0.6
+BLOCK_BYTES = 6 << 20
 SHARD_TOKENS = 2_000_000
 _END = xxhash.xxh3_64_intdigest(b"")  # no word is empty
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LEAST = -16.0  # log10 of the smallest probability a code stands for
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def encode(data: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> bytes:
@@ -74,7 +74,7 @@ def count_words(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
     rank = np.empty(len(words), np.int64)
     rank[np.argsort(-counts, kind="stable")] = np.arange(len(words))
     bounds = np.cumsum([len(x[0]) for x in parts])[:-1]
-    return [squeeze(counts[x], rank[x]) for x in np.split(place, bounds)], (int(counts.sum()), int((counts > 0).sum()))
+    return [squeeze(_small(counts[x]), _small(rank[x])) for x in np.split(place, bounds)], (int(counts.sum()), int((counts > 0).sum()))
 
 
 def _known(row, hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +83,7 @@ def _known(row, hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray
     replies = replies_of(row["words"])
     for shard, rows in _shards_of(_word_shard(hashes, shards), shards):
         counts[rows], ranks = unsqueeze(replies[shard])
-        ids[rows] = ranks * shards + shard + 1
+        ids[rows] = ranks.astype(np.int64) * shards + shard + 1
     return counts, ids
 
 
@@ -96,35 +96,19 @@ def _logs(codes: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """Counts of a shard's training n-grams as mapped levels. Words are numbers below ``words``."""
-
-    def __init__(self, folder: str, words: int, bigrams: tuple, trigrams: tuple, unigram: np.ndarray):
-        (v2, w2, c2), (v3, u3, w3, c3) = bigrams, trigrams  # sorted by their words
-        first = np.concatenate([[True], v2[1:] != v2[:-1]]) if len(v2) else np.zeros(0, bool)
-        node2 = np.cumsum(first) - 1
-        begin2 = np.flatnonzero(first)
-        total2, kinds2 = np.bincount(node2, c2), np.bincount(node2)
-        p2 = (c2 - DISCOUNT) / total2[node2] + (DISCOUNT * kinds2 / total2)[node2] * unigram[w2]
-        self.words, levels, codes = words, {}, {}
-        levels["words"] = EliasFano(v2[begin2])
-        levels["starts"] = EliasFano(np.append(begin2, len(v2)))
-        # One monotone run: the place of v times the number of words, plus w.
-        levels["pairs"] = EliasFano(node2 * words + w2)
-        codes["pairs"], codes["rest2"] = _codes(p2), _codes(DISCOUNT * kinds2 / total2)
-        node3 = levels["words"].find(v3)
-        place = levels["pairs"].find(node3 * words + w3) - begin2[node3]
-        context = node3 * words + u3
-        first = np.concatenate([[True], context[1:] != context[:-1]]) if len(context) else np.zeros(0, bool)
-        node = np.cumsum(first) - 1
-        total3, kinds3 = np.bincount(node, c3), np.bincount(node)
-        p3 = (c3 - DISCOUNT) / total3[node] + (DISCOUNT * kinds3 / total3)[node] * p2[begin2[node3] + place]
-        levels["contexts"] = EliasFano(context[first])
-        # Places relative to the context "v": at most as many as words follow it.
-        self.most = int(kinds2.max(initial=1))
-        levels["triples"] = EliasFano(node * self.most + place)
-        codes["triples"], codes["rest3"] = _codes(p3), _codes(DISCOUNT * kinds3 / total3)
+    """A shard's training bigrams as mapped levels. Words are numbers below ``words``; pairs come sorted."""
+
+    def __init__(self, folder: str, words: int, v: np.ndarray, w: np.ndarray, count: np.ndarray, contexts: np.ndarray, unigram: np.ndarray):
+        first = np.concatenate([[True], v[1:] != v[:-1]]) if len(v) else np.zeros(0, bool)
+        node, begin = np.cumsum(first) - 1, np.flatnonzero(first)
+        levels = {
+            "contexts": EliasFano(v[begin]), "starts": EliasFano(np.append(begin, len(v))),
+            # One monotone run: a context's place times the number of words, plus the word.
+            "successors": EliasFano(node * words + w)}
+        codes = _codes((1 - MIX) * count / contexts[v] + MIX * unigram[w])
+        self.words = words
         self.levels = {name: EliasFano(None, x.top, tuple(self._map(folder, f"{name}{k}", a) for k, a in enumerate(x.arrays)), x.low_bits, x.size) for name, x in levels.items()}
-        self.codes = {name: self._map(folder, f"{name}.codes", x) for name, x in codes.items()}
+        self.codes = self._map(folder, "codes", codes)
 
     @staticmethod
     def _map(folder: str, name: str, array: np.ndarray) -> np.ndarray:
@@ -132,118 +116,92 @@ class Trie:
         array.tofile(path)
         return np.memmap(path, array.dtype, "r") if len(array) else array
 
-    def logs(self, v: np.ndarray, u: np.ndarray, w: np.ndarray, unigram: np.ndarray) -> np.ndarray:
-        """log10 probability of w after u v, for n-grams of which few repeat, in order of v, u."""
-        levels, codes = self.levels, self.codes
-        node = levels["words"].find(v)
-        out = np.log10(unigram[w])
-        rows = np.flatnonzero(node >= 0)
-        if not len(rows):
-            return out
-        pair = levels["pairs"].find(node[rows] * self.words + w[rows])
-        met = pair >= 0
-        out[rows] = np.where(met, _logs(codes["pairs"][np.maximum(pair, 0)]), out[rows] + _logs(codes["rest2"][node[rows]]))
-        contexts = node[rows] * self.words + u[rows]
-        change = np.concatenate([[True], contexts[1:] != contexts[:-1]])
-        context = levels["contexts"].find(contexts[change])[np.cumsum(change) - 1]
-        seen = context >= 0
-        change = np.concatenate([[True], node[rows][1:] != node[rows][:-1]])
-        start = levels["starts"].at(node[rows][change])[np.cumsum(change) - 1]
-        triple = np.full(len(rows), -1, np.int64)
-        both = seen & met
-        triple[both] = levels["triples"].find(context[both] * self.most + pair[both] - start[both])
-        whole = triple >= 0
-        out[rows] = np.where(whole, _logs(codes["triples"][np.maximum(triple, 0)]), out[rows] + np.where(seen, _logs(codes["rest3"][np.maximum(context, 0)]), 0.0))
+    def successors(self, context: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words met after a context and their log10 probabilities."""
+        node = self.levels["contexts"].find(np.array([context]))
+        if node[0] < 0:
+            return np.zeros(0, np.int64), np.zeros(0)
+        start, end = self.levels["starts"].at(np.concatenate([node, node + 1]))
+        at = np.arange(start, end)
+        return self.levels["successors"].at(at) - node[0] * self.words, _logs(self.codes[at])
+
+    def logs(self, v: np.ndarray, w: np.ndarray, contexts: np.ndarray, unigram: np.ndarray) -> np.ndarray:
+        """log10 probability of each w after v, pairs in order of v."""
+        out = np.log10(unigram)[w] + np.where(contexts > 0, np.log10(MIX), 0.0)[v]
+        if len(v):
+            change = np.concatenate([[True], v[1:] != v[:-1]])
+            node = self.levels["contexts"].find(v[change])[np.cumsum(change) - 1]
+            rows = np.flatnonzero(node >= 0)
+            at = self.levels["successors"].find(node[rows] * self.words + w[rows])
+            out[rows[at >= 0]] = _logs(self.codes[at[at >= 0]])
         return out
 
 
-def _unique(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, place = np.unique(keys, return_inverse=True)
-    return found, np.bincount(place, weights, len(found))
-
-
 def score_shard(messages: list[bytes], tokens: int, kinds: int) -> tuple[list[bytes], tuple[int, int]]:
     """For each block the sum of its log10 probabilities here, by document."""
     parts = [unsqueeze(x) for x in messages]
-    ids, place = np.unique(np.concatenate([np.cumsum(x[0]) for x in parts]), return_inverse=True)
+    ids, place = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.int64) for x in parts]), return_inverse=True)
     counts = np.zeros(len(ids), np.int64)
     counts[place] = np.concatenate([x[1] for x in parts])
     unigram = (counts + 0.5) / (tokens + 0.5 * (kinds + 1))
     at = np.cumsum([0, *(len(x[0]) for x in parts)])
-    v, u, w = (np.concatenate([place[at[k] + x[col]] for k, x in enumerate(parts)]) for col in (2, 3, 4))
-    weight = np.concatenate([x[6][x[5]] for x in parts]).astype(np.int64)
     m = np.int64(len(ids))
-    # Contexts first, so that a trigram fits a 64-bit key.
-    contexts, context = np.unique(v * m + u, return_inverse=True)
-    grams, gram = np.unique(context * m + w, return_inverse=True)
-    seen = np.bincount(gram, weight, len(grams)).astype(np.int64)
-    gw, gv, gu = grams % m, contexts[grams // m] // m, contexts[grams // m] % m
-    trained = seen > 0
-    split = np.zeros(len(ids), bool)
-    hot = [np.concatenate([place[at[k] + x[col]] for k, x in enumerate(parts)]) for col in (7, 8)]
-    split[hot[0]] = True
-    split[np.concatenate([place[at[k] + x[10]] for k, x in enumerate(parts)])] = True
-    own = trained & ~split[gv]
-    pairs, c2 = _unique(np.concatenate([gv[own] * m + gw[own], hot[0] * m + hot[1]]), np.concatenate([seen[own], *(x[9] for x in parts)]))
-    c2 = c2.astype(np.int64)
+    keys = np.concatenate([place[at[k] + np.cumsum(x[2], dtype=np.int64)] * m + place[at[k] + x[3].astype(np.int64)] for k, x in enumerate(parts)])
+    weight = np.concatenate([x[5][x[4]] for x in parts])
+    pairs, pair = np.unique(keys, return_inverse=True)
+    del keys
+    seen = np.bincount(pair, weight, len(pairs)).astype(np.int64)
+    v, w = pairs // m, pairs % m
+    known = seen > 0
     with tempfile.TemporaryDirectory() as folder:
-        trie = Trie(folder, int(m), (pairs[c2 > 0] // m, pairs[c2 > 0] % m, c2[c2 > 0]), (gv[trained], gu[trained], gw[trained], seen[trained]), unigram)
-        logs = trie.logs(gv, gu, gw, unigram)
+        trie = Trie(folder, int(m), v[known], w[known], seen[known], counts, unigram)
+        logs = trie.logs(v, w, counts, unigram)
         del trie
     replies, row = [], 0
     for x in parts:
         n = len(x[2])
-        sums = np.bincount(x[5], logs[gram[row : row + n]], len(x[6]))
-        docs = np.flatnonzero(np.bincount(x[5], minlength=len(x[6])))
-        replies.append(squeeze(docs.astype(np.uint32), sums[docs]))
+        sums = np.bincount(x[4], logs[pair[row : row + n]], len(x[5]))
+        docs = np.flatnonzero(np.bincount(x[4], minlength=len(x[5])))
+        replies.append(squeeze(_small(np.diff(docs, prepend=0)), sums[docs]))
         row += n
     return replies, (0, 0)
 
 
 def _small(x: np.ndarray) -> np.ndarray:
     top = int(x.max(initial=0))
-    return x.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
+    return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
-def _trigrams(row, shards: int, tokens: int, texts: int):
+def _bigrams(row, shards: int, tokens: int, kinds: int, texts: int):
+    """Messages to the shards of contexts, and one that comes back: the block's rows but for the model's score."""
     hashes, local, sizes, train = unsqueeze(row["body"])
     counts, ids = _known(row, hashes, shards)
     w = local.astype(np.int64)
-    n = len(w)
     ends = np.cumsum(sizes)
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    within = np.arange(n) - (ends - sizes)[doc]
-    begin = len(hashes)  # stands for what is before a text
-    v = np.where(within > 0, np.concatenate([[0], w[:-1]]), begin)
-    u = np.where(within > 1, np.concatenate([[0, 0], w[:-2]])[:n], begin)
+    base = np.bincount(doc, np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1)))[local], len(sizes))
+    met = np.bincount(doc, counts[local] > 0, len(sizes)).astype(np.int64)
+    yield -1 - int(row["block"] % shards), squeeze(np.frombuffer(row["rest"], np.uint8), sizes, met, base)
+
+    begin = len(hashes)  # the context of a text's first token
+    v = np.concatenate([[begin], w[:-1]])
+    v[ends[:-1]] = begin
     ids, counts = np.append(ids, 0), np.append(counts, texts)
-    # Shards of a word: its share of all tokens in shards, rounded up.
+    # Shards of a context: its share of all tokens in shards, rounded up.
     spread = np.maximum(1, -(-counts * shards // max(1, tokens)))
-    mixed = (ids.astype(np.uint64) * _MIX) >> np.uint64(20)
-    home = (mixed % np.uint64(shards)).astype(np.int64)
-    owner = (home[v] + (mixed[u] % spread[v].astype(np.uint64)).astype(np.int64)) % shards
-    pairs: dict[int, list] = {}
-    hot = np.flatnonzero((spread[v] > 1) & (train[doc] > 0))
-    if len(hot):
-        keys, c = np.unique(v[hot] * (begin + 1) + w[hot], return_counts=True)
-        hv, hw = keys // (begin + 1), keys % (begin + 1)
-        for word in np.unique(hv):
-            rows = hv == word
-            for k in range(int(min(spread[word], shards))):
-                pairs.setdefault(int((home[word] + k) % shards), []).append((hv[rows], hw[rows], c[rows]))
-    found = dict(_shards_of(owner, shards))
-    for shard in sorted({*found, *pairs}):
-        rows = found.get(shard, np.zeros(0, np.int64))
-        rows = rows[np.lexsort((w[rows], u[rows], v[rows]))]
-        hv, hw, hc = (np.concatenate(x) for x in zip(*pairs[shard])) if shard in pairs else (np.zeros(0, np.int64),) * 3
-        used = np.unique(np.concatenate([v[rows], u[rows], w[rows], hv, hw]))
+    mixed = (ids.astype(np.uint64) * _ODD) >> np.uint64(20)
+    owner = ((mixed % np.uint64(shards))[v] + mixed[w] % spread[v].astype(np.uint64)).astype(np.int64) % shards
+    for shard, rows in _shards_of(owner, shards):
+        used = np.zeros(begin + 1, bool)
+        used[v[rows]] = used[w[rows]] = True
+        used = np.flatnonzero(used)
         used = used[np.argsort(ids[used])]
         place = np.empty(begin + 1, np.int64)
         place[used] = np.arange(len(used))
-        split = np.unique(v[rows][spread[v[rows]] > 1])
+        rows = rows[np.argsort(place[v[rows]] * len(used) + place[w[rows]], kind="stable")]
         yield shard, squeeze(
-            np.diff(ids[used], prepend=0), counts[used], *(_small(place[x]) for x in (v[rows], u[rows], w[rows])), _small(doc[rows]), train,
-            *(_small(place[x]) for x in (hv, hw)), _small(hc), _small(place[split]))
+            _small(np.diff(ids[used], prepend=0)), _small(counts[used]), _small(np.diff(place[v[rows]], prepend=0)), _small(place[w[rows]]),
+            _small(doc[rows]), train)
 
 
 def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -266,40 +224,35 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
                 _, tokens, sizes, train = unsqueeze(body)
                 yield pd.DataFrame({"tokens": [len(tokens)], "texts": [int(train.sum())]})
 
-    found = blocks(narrow, text_column, [id_column, flag], pack)
+    found = blocks(narrow, text_column, [id_column, flag], pack, BLOCK_BYTES)
     every, texts = found.select("body").mapInPandas(size, "tokens long, texts long").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("texts"), F.lit(0))).first()
     shards = max(1, -(-every // SHARD_TOKENS))
 
     def words(row):
         hashes, local, sizes, train = unsqueeze(row["body"])
-        counts = np.bincount(local, np.repeat(train, sizes), len(hashes)).astype(np.uint32)
+        counts = np.bincount(local, np.repeat(train, sizes), len(hashes)).astype(np.int64)
         for shard, rows in _shards_of(_word_shard(hashes, shards), shards):
-            yield shard, squeeze(hashes[rows], counts[rows])
+            yield shard, squeeze(hashes[rows], _small(counts[rows]))
 
     counted = ask(found, words, count_words, ["body"])
     tokens, kinds = counted.agg(F.coalesce(F.sum("one"), F.lit(0)), F.coalesce(F.sum("two"), F.lit(0))).first()
     known = with_replies(found, counted, "words")
-    scored = ask(known, lambda row: _trigrams(row, shards, tokens, texts), lambda messages: score_shard(messages, tokens, kinds), ["body", "words"])
-    both = with_replies(known, scored, "sums")
+    scored = ask(known, lambda row: _bigrams(row, shards, tokens, kinds, texts), lambda messages: score_shard(messages, tokens, kinds), ["body", "rest", "words"])
 
     def finish(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {x: column_of(batch, x)[k].as_py() for x in ("body", "rest", "words", "sums")}
-                hashes, local, sizes, train = unsqueeze(row["body"])
-                counts, _ = _known(row, hashes, shards)
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                base = np.bincount(doc, np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1)))[local], len(sizes))
+                replies = sorted(replies_of(column_of(batch, "sums")[k].as_py()).items())
+                rest, sizes, met, base = unsqueeze(replies[0][1])
                 total = np.zeros(len(sizes))
-                for _, reply in sorted(replies_of(row["sums"]).items()):
-                    at, sums = unsqueeze(reply)
-                    total[at] += sums
-                rest = rest_of(row["rest"])
+                for _, reply in replies[1:]:
+                    gaps, sums = unsqueeze(reply)
+                    total[np.cumsum(gaps, dtype=np.int64)] += sums
+                rest = rest_of(rest.tobytes())
                 yield pa.record_batch(
-                    [rest.column(0), pa.array(train == 0), pa.array(sizes), pa.array(np.bincount(doc, counts[local] > 0, len(sizes)).astype(np.int64)),
-                     pa.array(np.full(len(sizes), tokens)), pa.array(base), pa.array(total)],
+                    [rest.column(0), rest.column(1), pa.array(sizes), pa.array(met), pa.array(np.full(len(sizes), tokens)), pa.array(base), pa.array(total)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return both.select("body", "rest", "words", "sums").mapInArrow(
+    return gathered(scored, "sums").select("sums").mapInArrow(
         finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
