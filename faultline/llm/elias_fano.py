@@ -69,12 +69,11 @@ class EliasFano:
         low = values[rows] & ((1 << self.low_bits) - 1)
         at = self._zero(high - 1) + 1 - high
         end = self._zero(high) - high
-        while len(rows):
-            going = at < end
+        lower = np.asarray(self.lower)
+        while len(going := np.flatnonzero(at < end)):
             rows, low, at, end = rows[going], low[going], at[going], end[going]
-            own = self.lower[at].astype(np.int64)
-            hit = own == low
-            out[rows[hit]] = at[hit]
-            going = own < low
-            rows, low, at, end = rows[going], low[going], at[going] + 1, end[going]
+            middle = (at + end) >> 1
+            own = lower[middle].astype(np.int64)
+            out[rows[own == low]] = middle[own == low]
+            at, end = np.where(own < low, middle + 1, at), np.where(own > low, middle, np.where(own < low, end, at))
         return out

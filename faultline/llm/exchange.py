@@ -41,7 +41,8 @@ def unsqueeze(blob: bytes) -> list[np.ndarray]:
 
 def blocks(docs: DataFrame, text_column: str, keep: list[str], encode: Callable[[np.ndarray, np.ndarray, pa.RecordBatch], bytes], size: int | None = None) -> DataFrame:
     """``block``, ``rest`` (the columns ``keep`` of its documents, as Arrow) and ``body`` (what ``encode`` makes of the
-    texts' bytes and offsets), in table order, written to the shared folder. A block has ``size`` bytes of text."""
+    texts' bytes and offsets), in table order, written to the shared folder. A block has ``size`` bytes of text. If
+    ``encode`` makes two values, the second is a column ``more``."""
     size = size or BLOCK_BYTES
 
     def run(batches):
@@ -53,11 +54,13 @@ def blocks(docs: DataFrame, text_column: str, keep: list[str], encode: Callable[
                 with pa.ipc.new_stream(sink, rest.schema) as writer:
                     writer.write_batch(rest)
                 body = encode(*utf8(column_of(batch, text_column)), batch)
-                yield pa.record_batch([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([body], pa.binary())], ["block", "rest", "body"])
+                body, more = body if isinstance(body, tuple) else (body, None)
+                values = (sink.getvalue().to_pybytes(), body, more)
+                yield pa.record_batch([pa.array([number]), *(pa.array([x], pa.binary()) for x in values)], ["block", "rest", "body", "more"])
                 number += 1
 
     needed = [*keep, *({text_column} - set(keep))]
-    return saved(docs.select(*needed).mapInArrow(run, "block long, rest binary, body binary"))
+    return saved(docs.select(*needed).mapInArrow(run, "block long, rest binary, body binary, more binary"))
 
 
 def rest_of(blob: bytes) -> pa.RecordBatch:

@@ -37,8 +37,9 @@ _LEAST = -16.0  # log10 of the smallest probability a code stands for
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def encode(data: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> bytes:
-    """A block: sorted distinct word hashes, each token's place among them, tokens by document, and who trains."""
+def encode(data: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> tuple[bytes, bytes]:
+    """A block: each token's word, the word keys' upper bits, tokens by document, and who trains; and the words' hashes.
+    Words are numbered as they are met, so frequent ones are small."""
     whole, at = _LOWER[data].tobytes(), offsets.tolist()
     local: dict[bytes, int] = {b"": 0}
     tokens, sizes = [], []
@@ -48,10 +49,18 @@ def encode(data: np.ndarray, offsets: np.ndarray, train: np.ndarray) -> bytes:
         tokens.append(0)
         sizes.append(len(words) + 1)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, local), np.uint64, len(local))
-    order = np.argsort(hashes)
-    place = np.empty(len(order), np.uint32)
-    place[order] = np.arange(len(order))
-    return squeeze(hashes[order], place[np.array(tokens, np.int64)], np.array(sizes, np.int64), train)
+    tokens = np.array(tokens, np.uint32)
+    upper = (hashes >> np.uint64(40)).astype(np.uint32)
+    split = [part for x in (tokens, upper) for part in ((x & 0xFFFF).astype(np.uint16), (x >> 16).astype(np.uint8))]
+    if len(hashes) > 1 << 24:
+        raise ValueError("a block has too many words")
+    return squeeze(*split, np.array(sizes, np.int64), train), squeeze(hashes)
+
+
+def _block(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each token's word, the words' shard keys, tokens by document, and who trains."""
+    low, high, key_low, key_high, sizes, train = unsqueeze(body)
+    return low.astype(np.int64) | high.astype(np.int64) << 16, key_low.astype(np.int64) | key_high.astype(np.int64) << 16, sizes, train
 
 
 def _shards_of(values: np.ndarray, shards: int):
@@ -62,10 +71,6 @@ def _shards_of(values: np.ndarray, shards: int):
             yield shard, order[bounds[shard] : bounds[shard + 1]]
 
 
-def _word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
-
-
 def count_words(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
     """For each word its training count and its place by count in the shard; the shard's training tokens and words."""
     parts = [unsqueeze(x) for x in messages]
@@ -77,11 +82,11 @@ def count_words(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
     return [squeeze(_small(counts[x]), _small(rank[x])) for x in np.split(place, bounds)], (int(counts.sum()), int((counts > 0).sum()))
 
 
-def _known(row, hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+def _known(row, keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """Training count and id (from 1, often met ones small; 0 stands for a text's begin) of a block's words."""
-    counts, ids = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+    counts, ids = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
     replies = replies_of(row["words"])
-    for shard, rows in _shards_of(_word_shard(hashes, shards), shards):
+    for shard, rows in _shards_of(keys % shards, shards):
         counts[rows], ranks = unsqueeze(replies[shard])
         ids[rows] = ranks.astype(np.int64) * shards + shard + 1
     return counts, ids
@@ -174,16 +179,15 @@ def _small(x: np.ndarray) -> np.ndarray:
 
 def _bigrams(row, shards: int, tokens: int, kinds: int, texts: int):
     """Messages to the shards of contexts, and one that comes back: the block's rows but for the model's score."""
-    hashes, local, sizes, train = unsqueeze(row["body"])
-    counts, ids = _known(row, hashes, shards)
-    w = local.astype(np.int64)
+    w, keys, sizes, train = _block(row["body"])
+    counts, ids = _known(row, keys, shards)
     ends = np.cumsum(sizes)
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    base = np.bincount(doc, np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1)))[local], len(sizes))
-    met = np.bincount(doc, counts[local] > 0, len(sizes)).astype(np.int64)
+    base = np.bincount(doc, np.log10((counts + 0.5) / (tokens + 0.5 * (kinds + 1)))[w], len(sizes))
+    met = np.bincount(doc, counts[w] > 0, len(sizes)).astype(np.int64)
     yield -1 - int(row["block"] % shards), squeeze(np.frombuffer(row["rest"], np.uint8), sizes, met, base)
 
-    begin = len(hashes)  # the context of a text's first token
+    begin = len(keys)  # the context of a text's first token
     v = np.concatenate([[begin], w[:-1]])
     v[ends[:-1]] = begin
     ids, counts = np.append(ids, 0), np.append(counts, texts)
@@ -221,7 +225,7 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     def size(frames):
         for frame in frames:
             for body in frame["body"]:
-                _, tokens, sizes, train = unsqueeze(body)
+                tokens, _, _, train = _block(body)
                 yield pd.DataFrame({"tokens": [len(tokens)], "texts": [int(train.sum())]})
 
     found = blocks(narrow, text_column, [id_column, flag], pack, BLOCK_BYTES)
@@ -229,14 +233,15 @@ def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_col
     shards = max(1, -(-every // SHARD_TOKENS))
 
     def words(row):
-        hashes, local, sizes, train = unsqueeze(row["body"])
-        counts = np.bincount(local, np.repeat(train, sizes), len(hashes)).astype(np.int64)
-        for shard, rows in _shards_of(_word_shard(hashes, shards), shards):
+        tokens, keys, sizes, train = _block(row["body"])
+        (hashes,) = unsqueeze(row["more"])
+        counts = np.bincount(tokens, np.repeat(train, sizes), len(hashes)).astype(np.int64)
+        for shard, rows in _shards_of(keys % shards, shards):
             yield shard, squeeze(hashes[rows], _small(counts[rows]))
 
-    counted = ask(found, words, count_words, ["body"])
+    counted = ask(found, words, count_words, ["body", "more"])
     tokens, kinds = counted.agg(F.coalesce(F.sum("one"), F.lit(0)), F.coalesce(F.sum("two"), F.lit(0))).first()
-    known = with_replies(found, counted, "words")
+    known = with_replies(found.select("block", "rest", "body"), counted, "words")
     scored = ask(known, lambda row: _bigrams(row, shards, tokens, kinds, texts), lambda messages: score_shard(messages, tokens, kinds), ["body", "rest", "words"])
 
     def finish(batches):

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.llm import exchange, kd_search, language_id, language_model, toxicity
+from faultline.llm import kd_search, language_id, language_model, toxicity
 from faultline.llm.elias_fano import EliasFano
 from faultline.llm.shared import remainder
 
@@ -89,64 +89,46 @@ def test_elias_fano():
 
 def test_language_model(docs, none, texts, monkeypatch):
     monkeypatch.setattr(language_model, "SHARD_TOKENS", 4000)
-    monkeypatch.setattr(exchange, "BLOCK_BYTES", 40_000)
+    monkeypatch.setattr(language_model, "BLOCK_BYTES", 40_000)
     every = [*texts, texts[3], (None, "no id here")]
     tokens = lambda x: [*(x or "").encode().lower().split(), b""]
     held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 5 == 1
-    one, two, three = Counter(), Counter(), Counter()
+    one, two, before = Counter(), Counter(), Counter()
     for i, x in every:
         if not held(i):
-            line = [None, None, *tokens(x)]
-            one.update(line[2:])
-            two.update(zip(line[1:], line[2:]))
-            three.update(zip(line, line[1:], line[2:]))
-    n, kinds, d = sum(one.values()), len(one), language_model.DISCOUNT
-
-    def after(counts, size):
-        total, different = Counter(), Counter()
-        for gram, c in counts.items():
-            total[gram[:size]] += c
-            different[gram[:size]] += 1
-        return total, different
-
-    total2, kinds2 = after(two, 1)
-    total3, kinds3 = after(three, 2)
+            line = [None, *tokens(x)]
+            one.update(line[1:])
+            two.update(zip(line, line[1:]))
+            before.update(line[:-1])
+    n, kinds, mix = sum(one.values()), len(one), language_model.MIX
     p1 = lambda w: (one[w] + 0.5) / (n + 0.5 * (kinds + 1))
-
-    def p2(v, w):
-        return (max(two[v, w] - d, 0) + d * kinds2[(v,)] * p1(w)) / total2[(v,)] if total2[(v,)] else p1(w)
-
-    def p3(u, v, w):
-        return (max(three[u, v, w] - d, 0) + d * kinds3[u, v] * p2(v, w)) / total3[u, v] if total3[u, v] else p2(v, w)
-
+    p2 = lambda v, w: (1 - mix) * two[v, w] / before[v] + mix * p1(w) if before[v] else p1(w)
     expected = {}
     for i, x in every:
-        line = [None, None, *tokens(x)]
-        base = sum(math.log10(p1(w)) for w in line[2:])
-        expected[i] = (held(i), len(line) - 2, sum(one[w] > 0 for w in line[2:]), n, base, sum(math.log10(p3(*g)) for g in zip(line, line[1:], line[2:])))
+        line = [None, *tokens(x)]
+        base = sum(math.log10(p1(w)) for w in line[1:])
+        expected[i] = (held(i), len(line) - 1, sum(one[w] > 0 for w in line[1:]), n, base, sum(math.log10(p2(*g)) for g in zip(line, line[1:])))
     rows = language_model.score(docs, remainder("doc_id", 5) == 1).collect()
     assert len(rows) == len(every)
     for r in rows:
         e = expected[r.doc_id]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == e[:4]
-        assert r.base_score == pytest.approx(e[4], rel=1e-9) and r.score == pytest.approx(e[5], abs=2e-4 * r.n_tokens)
+        assert r.base_score == pytest.approx(e[4], rel=1e-9) and r.score == pytest.approx(e[5], abs=1.3e-4 * r.n_tokens)
+    assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out)
     assert language_model.score(none, remainder("doc_id", 5) == 1).collect() == []
     untaught = language_model.score(docs, F.lit(True)).collect()
     assert {(r.train_tokens, r.n_known, r.base_score) for r in untaught} == {(0, 0, 0.0)}
 
 
-def test_probabilities_of_a_context_sum_to_one_at_most():
-    words = 6
-    pairs = (np.array([0, 0, 1]), np.array([1, 2, 3]), np.array([3, 1, 2]))
-    triples = (np.array([0, 0, 1]), np.array([4, 4, 5]), np.array([1, 2, 3]), np.array([2, 1, 2]))
-    unigram = np.array([5, 4, 1, 3, 1, 2]) / 17
-    import tempfile
-
-    with tempfile.TemporaryDirectory() as folder:
-        trie = language_model.Trie(folder, words, pairs, triples, unigram)
-        for v, u in ((0, 4), (0, 5), (1, 5), (2, 0)):
-            logs = trie.logs(np.full(words, v), np.full(words, u), np.arange(words), unigram)
-            assert 0.9 < (10**logs).sum() < 1.001
+def test_probabilities_after_a_context_sum_to_one_at_most(tmp_path):
+    v, w, count = np.array([0, 0, 1, 1, 1]), np.array([1, 2, 0, 3, 5]), np.array([3, 1, 1, 2, 3])
+    unigram, contexts = np.array([5, 4, 1, 3, 1, 2]) / 17, np.array([4, 6, 1, 0, 0, 0])
+    trie = language_model.Trie(str(tmp_path), 6, v, w, count, contexts, unigram)
+    for context in range(6):
+        logs = trie.logs(np.full(6, context), np.arange(6), contexts, unigram)
+        assert (10**logs).sum() < 1.001
+        words, own = trie.successors(context)
+        assert words.tolist() == w[v == context].tolist() and own == pytest.approx(logs[words])
 
 
 def _nearest(rows, k):
