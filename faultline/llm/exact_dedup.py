@@ -104,9 +104,13 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     # Recipes with an identifier that two contents share are told apart by the whole text's digest.
     pieces = f"transform(sequence(0, int(length(recipe) / {ID_BYTES}) - 1), i -> substring(recipe, i * {ID_BYTES} + 1, {ID_BYTES}))"
     parts = rows.filter("length(recipe) > 0").select("recipe").distinct().withColumn("id", F.explode(F.expr(pieces)))
-    doubtful = parts.join(clashing_chunks(docs, text_column), "id", "left_semi").select("recipe").distinct().withColumn("doubtful", F.lit(True))
-    rows = rows.join(doubtful, "recipe", "left").withColumn("apart", F.when(F.col("doubtful"), F.col("text_sha256")).otherwise(""))
-    groups = rows.groupBy("recipe", "apart").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    doubtful = saved(parts.join(clashing_chunks(docs, text_column), "id", "left_semi").select("recipe").distinct().withColumn("doubtful", F.lit(True)))
+    if doubtful.isEmpty():
+        rows = rows.withColumn("apart", F.lit(""))
+    else:
+        rows = saved(rows.join(doubtful, "recipe", "left").withColumn("apart", F.when(F.col("doubtful"), F.col("text_sha256")).otherwise("")))
+    # Written out, so that the join below is of two plain tables and Spark can split a group with a third of all rows.
+    groups = saved(rows.groupBy("recipe", "apart").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     return rows.join(groups, ["recipe", "apart"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 

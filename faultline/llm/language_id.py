@@ -14,9 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from faultline.llm.shared import column_of, portions, utf8
+from faultline.llm.shared import column_of, portions, sampled, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -137,9 +136,7 @@ def fit(docs: DataFrame, usable: Column, sample_per_language: int = 400, windows
     """Learns from at most ``sample_per_language`` texts of each label among the ``usable`` rows (by order of a hash of
     the id), and at most ``windows_per_text`` windows spread over each whole text. None if there is no label."""
     labelled = docs.filter(usable & F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull())
-    order = Window.partitionBy(label_column).orderBy(F.xxhash64(id_column), id_column)
-    chosen = labelled.select(id_column, label_column).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample_per_language)
-    chosen = chosen.select(id_column, F.col(label_column).alias("label")).distinct()
+    chosen = sampled(labelled.select(id_column, label_column), id_column, label_column, sample_per_language).select(id_column).distinct()
 
     def run(batches):
         for batch in portions(batches, text_column):

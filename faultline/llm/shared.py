@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def saved(frame: DataFrame) -> DataFrame:
@@ -34,6 +35,18 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def sampled(rows: DataFrame, id_column: str, label_column: str, per_label: int) -> DataFrame:
+    """The rows of ``per_label`` ids of each label at most, those with the smallest hashes of the id.
+
+    Hashes are even, so only those below four times the wanted share are ranked; no label gathers more in one task.
+    """
+    sizes = rows.groupBy(label_column).agg(F.count("*").alias("label_size"))
+    share = F.xxhash64(id_column) / F.lit(float(1 << 64)) + 0.5
+    near = rows.join(sizes, label_column).filter(share * F.col("label_size") <= 4 * per_label + 50)
+    order = Window.partitionBy(label_column).orderBy(F.xxhash64(id_column), id_column)
+    return near.withColumn("label_place", F.row_number().over(order)).filter(F.col("label_place") <= per_label).drop("label_place", "label_size")
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow text or binary column one after the other, and the offsets of its rows; nulls are empty."""
     if column.null_count:

@@ -15,9 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from faultline.llm.shared import column_of, portions
+from faultline.llm.shared import column_of, portions, sampled
 
 SPAN = 3
 ROWS, DEPTH = 1 << 17, 8
@@ -144,8 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample_per_class: in
     ids that ``usable`` admits, by order of a hash of the id. None where a class has no text."""
     known = labels.filter(usable & F.col(label_column).isin(0, 1)).select(id_column, F.col(label_column).cast("int").alias("label")).distinct()
     short = docs.filter(usable & (F.octet_length(text_column) <= max_bytes)).select(id_column)
-    order = Window.partitionBy("label").orderBy(F.xxhash64(id_column), id_column)
-    chosen = known.join(short, id_column, "left_semi").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample_per_class).drop("place")
+    chosen = sampled(known.join(short, id_column, "left_semi"), id_column, "label", sample_per_class)
     # Few rows by the bounds above, whatever the tables' size.
     sample = docs.filter(usable & (F.octet_length(text_column) <= max_bytes)).select(id_column, text_column).join(F.broadcast(chosen), id_column)
     rows = sorted((x[0], x.label, x[1]) for x in sample.select(id_column, text_column, "label").collect())

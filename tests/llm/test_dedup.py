@@ -37,13 +37,19 @@ def test_chunks_depend_on_their_text_alone():
 
 
 def test_one_identifier_for_two_contents_is_found_and_told_apart(spark, monkeypatch):
-    # Executors of a local session unpickle this module's functions, so the weak hash has to travel with them.
     frame = spark.createDataFrame([(b"a", b"x"), (b"a", b"x"), (b"b", b"x"), (b"b", b"y")], "id binary, content binary")
     monkeypatch.setattr(type(frame), "mapInArrow", lambda self, *_: frame)
     found = exact_dedup.clashing_chunks(frame.withColumnRenamed("content", "text")).collect()
     assert [bytes(x.id) for x in found] == [b"b"]
 
 
+def test_doubtful_recipes_are_told_apart_by_their_texts(spark, docs, texts, monkeypatch):
+    plain = sorted(map(str, exact_dedup.exact_duplicates(docs).collect()))
+    clash = spark.createDataFrame([(xxhash.xxh3_128_digest(texts[k][1].encode()),) for k in (0, 5)], "id binary")
+    monkeypatch.setattr(exact_dedup, "clashing_chunks", lambda *_: clash)
+    assert sorted(map(str, exact_dedup.exact_duplicates(docs).collect())) == plain
+
+
 def _fingerprint(text, k=3):
     words = text.encode().lower().split()
     if not words:
