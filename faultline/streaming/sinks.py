@@ -5,26 +5,72 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where none is set (local tests) a temporary folder stands in.
+    Only a local session may do without and gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         import uuid
 
         return f"{base.rstrip('/')}/faultline-{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return os.path.join(tempfile.mkdtemp(prefix="faultline-"), name)
 
 
+def with_closing(rows: DataFrame, folder: str) -> DataFrame:
+    """A stream that can be closed: ``rows``, and from ``folder`` rows that only move its watermark."""
+    spark = rows.sparkSession
+    spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(folder)
+    return rows.unionByName(spark.readStream.schema(rows.schema).parquet(folder))
+
+
+def write_closing(spark: SparkSession, schema, folder: str, marks: list[dict], ts: str, at: datetime) -> None:
+    """Put the marks, rows of no client, into ``folder`` with the time ``at``.
+
+    The watermark follows them past all that waits. They wait themselves and
+    so never come out.
+    """
+    rows = [tuple({**mark, ts: at}.get(f.name) for f in schema.fields) for mark in marks]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def newest(query: StreamingQuery) -> datetime | None:
+    """The newest event time a drained query has read."""
+    seen = [p["eventTime"]["max"] for p in query.recentProgress if "max" in (p["eventTime"] or {})]
+    return max((datetime.fromisoformat(x.replace("Z", "+00:00")) for x in seen), default=None)
+
+
+def drain_and_close(
+    rows: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, marks: list[dict], hold: float, ts: str = "ts",
+    drain: Callable[[DataFrame, str, str], StreamingQuery] | None = None,
+) -> StructType:
+    """Drain ``build(rows)`` to ``path``, then close it: nothing stays behind the watermark.
+
+    ``hold`` is how many seconds past the newest row the watermark has to
+    come, its own delay included. Returns the schema of what was written.
+    """
+    drain = drain or drain_to_table
+    folder, checkpoint = f"{path}-closing", f"{path}-checkpoint"
+    out = build(with_closing(rows, folder))
+    last = newest(drain(out, path, checkpoint))
+    if last is not None:
+        write_closing(rows.sparkSession, rows.schema, folder, marks, ts, last + timedelta(seconds=hold))
+        drain(build(with_closing(rows, folder)), path, checkpoint)
+    return out.schema
+
+
 def drain_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process everything available and stop: a stream's closing flush."""
+    """Process everything available and stop."""
     query = (
         df.writeStream.format("parquet").outputMode(mode).option("path", path)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

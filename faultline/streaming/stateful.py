@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from faultline.operators import scans
-from faultline.operators.skew import as_keys, micros
+from faultline.operators.skew import LONE, as_keys, micros, set_apart
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BUCKET_SECONDS = 60.0
@@ -39,6 +39,10 @@ class _Ordered(StatefulProcessor):
     def __init__(self, key_columns: list[str], bucket: float, inline_rows: int):
         self.key_columns, self.width, self.inline_rows = key_columns, int(bucket * 1_000_000), inline_rows
 
+    @staticmethod
+    def order(row):
+        return row[0], row[1]
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buckets = handle.getMapState("buckets", "bucket BIGINT", "rows STRING")
@@ -85,13 +89,13 @@ class _Ordered(StatefulProcessor):
         if known and any(r[0] < mark for r in few):
             few[:] = self._spread(few, known)
         if not known:
-            ready = sorted(r for r in few if r[0] < mark)
+            ready = sorted((r for r in few if r[0] < mark), key=self.order)
             few[:] = [r for r in few if r[0] >= mark]
             if ready:
                 yield ready
             return
         for bucket in sorted(b for b in known if b * self.width < mark):
-            rows = sorted(self._take(bucket))
+            rows = sorted(self._take(bucket), key=self.order)
             late = [r for r in rows if r[0] >= mark]
             if late:
                 self._put(bucket, late)
@@ -156,6 +160,11 @@ class _Recovery(_Ordered):
 
     columns = ["error_id", "error_us", "events"]
 
+    # As in the batch form, an event at an error's own instant comes before it.
+    @staticmethod
+    def order(row):
+        return row[0], row[2], row[1]
+
     def __init__(self, key_columns: list[str], bucket: float, inline_rows: int, span_us: int, clicks: int):
         super().__init__(key_columns, bucket, inline_rows)
         self.span_us, self.clicks = span_us, clicks
@@ -234,16 +243,22 @@ def stream_debounce(df: DataFrame, keys, ms: int = scans.DEBOUNCE_MS, delay: str
     return stream_scan(df, keys, scans.Gap(max(ms, scans.MIN_DEBOUNCE_MS) * 1000), "kept", delay, **kw)
 
 
+def _apart_scan(df: DataFrame, keys, machine, name: str, delay: str, row_id: str = "event_id", **kw) -> DataFrame:
+    """As in the batch form, rows without a key are strangers to each other."""
+    keys = as_keys(keys)
+    return stream_scan(set_apart(df, keys, row_id), [*keys, LONE], machine, name, delay, row_id=row_id, **kw).drop(LONE)
+
+
 def stream_dedupe_errors(df: DataFrame, keys, window: float = scans.DEDUPE_SECONDS, delay: str = "24 hours", **kw) -> DataFrame:
     """Exact-window repeat check. Built-in watermark dedup is looser: it drops repeats hours apart."""
-    return stream_scan(df, keys, scans.Gap(int(window * 1_000_000) + 1), "passed", delay, **kw)
+    return _apart_scan(df, keys, scans.Gap(int(window * 1_000_000) + 1), "passed", delay, **kw)
 
 
 def stream_rate_limit(
     df: DataFrame, keys, capacity: int = scans.BUCKET_TOKENS, rate: float = scans.BUCKET_RATE, delay: str = "24 hours",
     **kw,
 ) -> DataFrame:
-    return stream_scan(df, keys, scans.Bucket(capacity, round(1_000_000 / rate)), "admitted", delay, **kw)
+    return _apart_scan(df, keys, scans.Bucket(capacity, round(1_000_000 / rate)), "admitted", delay, **kw)
 
 
 def stream_outage_states(
@@ -267,9 +282,11 @@ def stream_replay_after(
 
     One row per error, out as soon as its window is closed by count, by a
     later row, or by a timer when the client falls silent. ``events`` is a
-    JSON array of ``item`` structs.
+    JSON array of ``item`` structs, empty for an error without a client.
     """
-    keys = as_keys(keys)
+    asked = as_keys(keys)
+    timeline, keys = set_apart(timeline, asked, row_id), [*asked, LONE]
     grouped = _keyed(timeline, keys, delay, is_error, F.to_json(item), ts, row_id)
     schema = T.StructType([timeline.schema[k] for k in keys]).add("error_id", T.LongType()).add("error_us", T.LongType()).add("events", T.StringType())
-    return grouped.transformWithStateInPandas(_Recovery(keys, bucket, inline_rows, int(seconds * 1_000_000), clicks), schema, "append", "eventTime")
+    machine = _Recovery(keys, bucket, inline_rows, int(seconds * 1_000_000), clicks)
+    return grouped.transformWithStateInPandas(machine, schema, "append", "eventTime").drop(LONE)

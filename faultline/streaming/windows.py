@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.sessions import IDLE_SECONDS
@@ -49,8 +49,8 @@ def stream_replay_before(
     """Events of the last ``seconds`` before each error, one row per pair.
 
     A stream-stream join on key and time: both sides keep only the rows that
-    can still meet a partner. The click cap is taken per error downstream,
-    on the written pairs.
+    can still meet a partner. ``cap_clicks`` takes the click cap on the
+    written pairs.
     """
     keys = as_keys(keys)
     left = errors.select(*keys, F.col("event_id").alias("error_id"), F.col("ts").alias("error_ts")).withWatermark("error_ts", delay)
@@ -59,3 +59,10 @@ def stream_replay_before(
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_r_{k}"))
     return left.join(right, cond, "leftOuter").drop(*[f"_r_{k}" for k in keys])
+
+
+def cap_clicks(pairs: DataFrame, clicks: int, error: str = "error_id", event: str = "event") -> DataFrame:
+    """Written pairs without the clicks before an error's last ``clicks``; ``event`` has ``type``, ``ts`` and ``event_id``."""
+    is_click = F.coalesce(F.col(f"{event}.type") == "click", F.lit(False))
+    order = Window.partitionBy(error, is_click).orderBy(F.col(f"{event}.ts").desc(), F.col(f"{event}.event_id").desc())
+    return pairs.withColumn("_place", F.row_number().over(order)).filter(~is_click | (F.col("_place") <= clicks)).drop("_place")
