@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.operators import scans, stats
+from faultline.operators.skew import MAX_ROWS, resolve_heat
 from faultline.plans import q_records as R
 from faultline.plans import sample as S
 from faultline.plans.flow import backend_flow, browser_flow
@@ -135,12 +136,18 @@ def outage_states_sliced(spark, sf):
     return _outage(spark, sf, 2, heat=25).select("event_id", "state", "blocked")
 
 
+def _heat(spark, sf):
+    """One look at the source's keys for all scans that follow each other."""
+    return resolve_heat(S.events(spark, sf), "user_id", "ts", MAX_ROWS)
+
+
 @query("outage_intervals", f"""
 WITH RECURSIVE {S.EV}, {outage_sql(2, 24 * HU, 1)},
 g AS (SELECT user_id, us, rn - row_number() OVER (PARTITION BY user_id ORDER BY rn) AS run FROM st WHERE mode = 'open')
 SELECT user_id, min(us) AS first_us, max(us) AS last_us, count(*) AS blocked_calls FROM g GROUP BY user_id, run""")
 def outage_intervals(spark, sf):
-    out = scans.outage_intervals(_outage(spark, sf, 1), "user_id")
+    heat = _heat(spark, sf)
+    out = scans.outage_intervals(_outage(spark, sf, 1, heat=heat), "user_id", heat=heat)
     return out.select("user_id", F.unix_micros("first_blocked").alias("first_us"), F.unix_micros("last_blocked").alias("last_us"), "blocked_calls")
 
 
@@ -168,7 +175,8 @@ WITH RECURSIVE {S.EV}, {bucket_sql('ev', 'user_id', 5, 12 * HU)}, {outage_sql(2,
 SELECT b.user_id, count(*) FILTER (b.ok) AS queue_size, count(*) FILTER (NOT b.ok) AS stored_errors, arg_max(st.mode, st.us) AS circuit_breaker
 FROM bucket b JOIN st USING (event_id) GROUP BY 1""")
 def transport_counts(spark, sf):
-    rows = scans.rate_limit(_outage(spark, sf, 1), "user_id", 5, 1 / (12 * H))
+    heat = _heat(spark, sf)
+    rows = scans.rate_limit(_outage(spark, sf, 1, heat=heat), "user_id", 5, 1 / (12 * H), heat=heat)
     return stats.transport_stats(rows, "user_id")
 
 

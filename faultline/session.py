@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# On a large run also set spark.sql.adaptive.coalescePartitions.initialPartitionNum
+# to about the largest shuffle's bytes / 128 MB: AQE merges partitions but
+# does not split them. Some hundred thousand for 100 TB; small runs would
+# only pay for empty partitions.
+#
 # Result-relevant setting: every timestamp is read and printed in UTC.
 # The rest lets AQE size, coalesce and un-skew the shuffles at run time.
 CONF = {

@@ -12,9 +12,11 @@ from faultline.sources.readers import CORRUPT
 def write_table(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
     """Parquet partitioned by day, so that time filters prune folders.
 
-    Rows of one day spread over all writers; no day is gathered in one task.
+    Rows are brought together by day first, so that not every task writes a
+    file for every day; Spark splits a large day over several writers.
     """
-    (df.withColumn("event_date", F.to_date(ts)).write.mode(mode).partitionBy("event_date").parquet(path))
+    rows = df.withColumn("event_date", F.to_date(ts)).hint("rebalance", "event_date")
+    (rows.write.mode(mode).partitionBy("event_date").parquet(path))
 
 
 def write_errors(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:
@@ -25,7 +27,7 @@ def write_errors(df: DataFrame, path: str, ts: str = "ts", mode: str = "append")
     """
     bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     rows = df.withColumns({"valid": ~bad, "event_date": F.to_date(ts)})
-    rows.write.mode(mode).partitionBy("valid", "event_date").parquet(path)
+    rows.hint("rebalance", "valid", "event_date").write.mode(mode).partitionBy("valid", "event_date").parquet(path)
 
 
 def write_sessions(df: DataFrame, path: str) -> None:
