@@ -23,9 +23,10 @@ BLOCK_BYTES = 2 << 20
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays one after the other, compressed; types and lengths are kept."""
+    """Arrays one after the other, compressed; types and lengths are kept. First bytes come first, as they are most alike."""
     head = ";".join(f"{x.dtype.str},{len(x)}" for x in arrays).encode()
-    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(np.ascontiguousarray(x).tobytes() for x in arrays))
+    planes = (np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes() for x in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(planes))
 
 
 def unsqueeze(blob: bytes) -> list[np.ndarray]:
@@ -34,8 +35,10 @@ def unsqueeze(blob: bytes) -> list[np.ndarray]:
     at = 4 + size
     for part in raw[4:at].decode().split(";"):
         kind, n = part.split(",")
-        out.append(np.frombuffer(raw, kind, int(n), at))
-        at += out[-1].nbytes
+        kind, n = np.dtype(kind), int(n)
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * kind.itemsize
     return out
 
 

@@ -151,8 +151,12 @@ def score_shard(messages: list[bytes], tokens: int, kinds: int) -> tuple[list[by
     unigram = (counts + 0.5) / (tokens + 0.5 * (kinds + 1))
     at = np.cumsum([0, *(len(x[0]) for x in parts)])
     m = np.int64(len(ids))
-    keys = np.concatenate([place[at[k] + np.cumsum(x[2], dtype=np.int64)] * m + place[at[k] + x[3].astype(np.int64)] for k, x in enumerate(parts)])
-    weight = np.concatenate([x[5][x[4]] for x in parts])
+    keys = []
+    for k, x in enumerate(parts):
+        own = np.cumsum(x[2], dtype=np.int64)
+        keys.append(place[at[k] + own // len(x[0])] * m + place[at[k] + own % len(x[0])])
+    keys = np.concatenate(keys)
+    weight = np.concatenate([x[4][x[3]] for x in parts])
     pairs, pair = np.unique(keys, return_inverse=True)
     del keys
     seen = np.bincount(pair, weight, len(pairs)).astype(np.int64)
@@ -165,8 +169,8 @@ def score_shard(messages: list[bytes], tokens: int, kinds: int) -> tuple[list[by
     replies, row = [], 0
     for x in parts:
         n = len(x[2])
-        sums = np.bincount(x[4], logs[pair[row : row + n]], len(x[5]))
-        docs = np.flatnonzero(np.bincount(x[4], minlength=len(x[5])))
+        sums = np.bincount(x[3], logs[pair[row : row + n]], len(x[4]))
+        docs = np.flatnonzero(np.bincount(x[3], minlength=len(x[4])))
         replies.append(squeeze(_small(np.diff(docs, prepend=0)), sums[docs]))
         row += n
     return replies, (0, 0)
@@ -202,10 +206,10 @@ def _bigrams(row, shards: int, tokens: int, kinds: int, texts: int):
         used = used[np.argsort(ids[used])]
         place = np.empty(begin + 1, np.int64)
         place[used] = np.arange(len(used))
-        rows = rows[np.argsort(place[v[rows]] * len(used) + place[w[rows]], kind="stable")]
+        pair = place[v[rows]] * len(used) + place[w[rows]]
+        order = np.argsort(pair, kind="stable")
         yield shard, squeeze(
-            _small(np.diff(ids[used], prepend=0)), _small(counts[used]), _small(np.diff(place[v[rows]], prepend=0)), _small(place[w[rows]]),
-            _small(doc[rows]), train)
+            _small(np.diff(ids[used], prepend=0)), _small(counts[used]), _small(np.diff(pair[order], prepend=0)), _small(doc[rows[order]]), train)
 
 
 def score(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
