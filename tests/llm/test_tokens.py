@@ -108,5 +108,6 @@ def test_a_seed_is_packed_with_its_neighbours():
     flat = np.concatenate(texts)
     frequency = np.bincount(packing._terms(flat, at)[1], minlength=200)
     lines = packing.layout(at, packing.Index(flat, at, frequency, len(texts), len(flat) / len(texts)))
-    assert len({doc % 5 for doc, *_ in lines[0]}) == 1
+    # Three documents share their words; the fourth only fills the window up.
+    assert len({doc % 5 for doc, *_ in lines[0][:3]}) == 1
     assert sorted((d, s + k) for line in lines for d, s, n in line for k in range(n)) == [(d, k) for d in range(15) for k in range(320)]
