@@ -25,4 +25,5 @@ def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
     problems = compare(df, duck, sql) if sql else ([] if df.count() else ["no rows"])
-    assert [p for p in problems if p != "no rows"] == []
+    # A query without rows checks nothing.
+    assert problems == []
