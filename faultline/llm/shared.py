@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+MAX_LABELS = 1000  # that a classifier learns
+
+
 def saved(frame: DataFrame) -> DataFrame:
     """``frame`` computed once and kept in the shared checkpoint folder; its lineage ends there.
 
@@ -36,11 +39,14 @@ def remainder(column: str, modulus: int) -> Column:
 
 
 def sampled(rows: DataFrame, id_column: str, label_column: str, per_label: int) -> DataFrame:
-    """The rows of ``per_label`` ids of each label at most, those with the smallest hashes of the id.
+    """The rows of ``per_label`` ids of each label at most, those with the smallest hashes of the id, for the
+    ``MAX_LABELS`` labels with most rows.
 
     Hashes are even, so only those below four times the wanted share are ranked; no label gathers more in one task.
     """
-    sizes = rows.groupBy(label_column).agg(F.count("*").alias("label_size"))
+    sizes = rows.groupBy(label_column).agg(F.count("*").alias("label_size")).orderBy(F.desc("label_size"), label_column).limit(MAX_LABELS)
+    # Few rows by the limit, and named here so that nothing is dealt out by label before the filter below.
+    sizes = F.broadcast(rows.sparkSession.createDataFrame(sizes.collect(), sizes.schema))
     share = F.xxhash64(id_column) / F.lit(float(1 << 64)) + 0.5
     near = rows.join(sizes, label_column).filter(share * F.col("label_size") <= 4 * per_label + 50)
     order = Window.partitionBy(label_column).orderBy(F.xxhash64(id_column), id_column)
