@@ -9,6 +9,7 @@ was never seen shares most n-gram rows with the word it stems from.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,17 +88,19 @@ def passages(values: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.nd
     return (total[first + length] - total[first]) / length
 
 
-def train(texts: list[list[str]], labels: np.ndarray, steps: int = 150, rate: float = 0.1) -> Model:
+def train(texts: Iterable[list[str]], labels: np.ndarray, steps: int = 150, rate: float = 0.1) -> Model:
     """Adam, first on all passages of all texts (each text counts once), then on the most toxic passage of each and all of clean ones."""
     rng = np.random.default_rng(3)
-    vocabulary = sorted({x for text in texts for x in text})
-    number = {x: k for k, x in enumerate(vocabulary)}
-    tokens = np.array([number[x] for text in texts for x in text], np.int64)
-    sizes = np.array([len(x) for x in texts], np.int64)
+    number: dict[str, int] = {}
+    # Numbers take the words' place at once: the texts are not held as lists of words.
+    lines = [np.array([number.setdefault(x, len(number)) for x in text], np.int32) for text in texts]
+    vocabulary, tokens, sizes = list(number), np.concatenate(lines), np.array([len(x) for x in lines], np.int64)
+    many = len(lines)
+    del number, lines
     rows, counts = features(vocabulary)
-    owner_word = np.repeat(np.arange(len(vocabulary)), counts)
+    rows, owner_word = rows.astype(np.int32), np.repeat(np.arange(len(vocabulary), dtype=np.int32), counts)
     first, length, owner = spans(sizes)
-    begins = np.searchsorted(owner, np.arange(len(texts)))
+    begins = np.searchsorted(owner, np.arange(many))
     full = np.flatnonzero(sizes > 0)
     model = Model(rng.normal(0, 0.1, (ROWS, DEPTH)), rng.normal(0, 0.5, (DEPTH, 2)), np.zeros(2))
     names = ("grams", "weights", "bias")
@@ -106,7 +109,7 @@ def train(texts: list[list[str]], labels: np.ndarray, steps: int = 150, rate: fl
     share = np.bincount(labels[full], minlength=2).clip(1)
     weight = len(full) / 2 / share[labels]
     clean = np.flatnonzero(labels[owner] == 0)
-    per_text = weight[owner] / np.maximum(np.bincount(owner, minlength=len(texts)), 1)[owner]
+    per_text = weight[owner] / np.maximum(np.bincount(owner, minlength=many), 1)[owner]
     for step in range(1, steps + 1):
         way = model.weights[:, 1] - model.weights[:, 0]
         gap = word_values(model.grams @ way, rows, counts)
@@ -150,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample_per_class: in
     found = np.array([x[1] for x in rows], np.int64)
     if len(np.unique(found)) < 2:
         return None
-    return train([words(x[2]) for x in rows], found)
+    return train((words(x[2]) for x in rows), found)
 
 
 class Scorer:
