@@ -25,7 +25,8 @@ from faultline.llm.shared import column_of, portions, saved, utf8
 WINDOW = 1024
 SHARD_DOCS, SHARD_TOKENS = 2048, 4_000_000
 K1, B = 1.2, 0.75
-QUERY_TERMS = 24  # a seed asks for its heaviest terms
+BATCH = 32  # seeds scored at once
+DENSE_TERMS, DENSE_DOCS = 2048, 16  # a shard's most frequent terms are columns of a matrix; fewer documents make a list
 DOCUMENT_END = 0
 
 
@@ -135,31 +136,57 @@ def _terms(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 class Index:
-    """BM25 over the documents of a shard: postings by term, weights by document."""
+    """BM25 over the documents of a shard. Postings of frequent terms are columns of a matrix, others are lists by term."""
 
     def __init__(self, flat: np.ndarray, at: np.ndarray, frequency: np.ndarray, n_docs: int, mean_length: float):
         doc, term, tf = _terms(flat, at)
         length = np.diff(at)[doc]
         idf = np.log1p((n_docs - frequency[term] + 0.5) / (frequency[term] + 0.5))
         weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
-        self.bounds = np.searchsorted(doc, np.arange(len(at)))
-        self.term, self.weight = term, weight
+        count = np.bincount(term, minlength=len(frequency))
+        most = np.argsort(-count, kind="stable")[:DENSE_TERMS]
+        most = most[count[most] >= DENSE_DOCS]
+        column = np.full(len(frequency), -1, np.int64)
+        column[most] = np.arange(len(most))
+        dense = column[term] >= 0
+        self.held = np.arange(len(at) - 1)  # documents that are rows of the matrix
+        self.matrix = np.zeros((len(at) - 1, len(most)), np.float32)
+        self.matrix[doc[dense], column[term[dense]]] = weight[dense]
+        doc, term, weight = doc[~dense], term[~dense], weight[~dense]
+        self.bounds, self.term = np.searchsorted(doc, np.arange(len(at))), term
         order = np.argsort(term, kind="stable")
         self.docs, self.posted = doc[order], weight[order]
         self.terms = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(frequency)))])
 
-    def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a heavy term with ``doc``, best first, ties by place."""
-        part = slice(self.bounds[doc], self.bounds[doc + 1])
-        weight = self.weight[part]
-        heavy = np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS] if len(weight) > QUERY_TERMS else np.arange(len(weight))
-        terms = self.term[part][heavy]
-        start, size = self.terms[terms], self.terms[terms + 1] - self.terms[terms]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
-        scores = np.bincount(self.docs[at], self.posted[at], len(used))
-        found = np.flatnonzero((scores > 0) & ~used)
-        return found[np.argsort(-scores[found], kind="stable")]
+    def scores(self, seeds: np.ndarray, used: np.ndarray) -> np.ndarray:
+        """For each of the unused ``seeds`` the scores of all documents by all its terms; used ones may have none."""
+        if 4 * np.count_nonzero(~used) < 3 * len(self.held):
+            left = ~used[self.held]
+            self.held, self.matrix = self.held[left], self.matrix[left]
+        asked = (self.matrix[np.searchsorted(self.held, seeds)] > 0).astype(np.float32)
+        out = np.zeros((len(seeds), len(used)), np.float32)
+        out[:, self.held] = asked @ self.matrix.T
+        for k, doc in enumerate(seeds.tolist()):
+            terms = self.term[self.bounds[doc] : self.bounds[doc + 1]]
+            start, size = self.terms[terms], self.terms[terms + 1] - self.terms[terms]
+            ends = np.cumsum(size)
+            if len(ends):
+                at = np.arange(ends[-1]) + np.repeat(start - (ends - size), size)
+                out[k] += np.bincount(self.docs[at], self.posted[at], len(used))
+        # Equal documents tie whatever the order in which the product adds; scores are tens to thousands.
+        return np.round(out, 3)
+
+
+def neighbours(scores: np.ndarray, used: np.ndarray):
+    """Unused documents of a score, best first, ties by place."""
+    found = np.flatnonzero((scores > 0) & ~used)
+    # Few are needed to fill a window: the first ones are sorted alone.
+    if len(found) > 64:
+        least = np.partition(scores[found], -32)[-32]
+        first = found[scores[found] >= least]
+        yield from first[np.argsort(-scores[first], kind="stable")].tolist()
+        found = found[scores[found] < least]
+    yield from found[np.argsort(-scores[found], kind="stable")].tolist()
 
 
 def layout(at: np.ndarray, index: Index) -> list[list[tuple[int, int, int]]]:
@@ -169,16 +196,21 @@ def layout(at: np.ndarray, index: Index) -> list[list[tuple[int, int, int]]]:
     for doc in np.flatnonzero(begin):
         out.extend([(int(doc), start, WINDOW)] for start in range(0, int(begin[doc]), WINDOW))
     left = sizes - begin
-    used = left == 0
-    for seed in np.argsort(-left, kind="stable").tolist():
+    used, scored = left == 0, {}
+    order = np.argsort(-left, kind="stable")
+    for place, seed in enumerate(order.tolist()):
         if used[seed]:
             continue
+        if seed not in scored:
+            seeds = order[place : place + 4 * BATCH]
+            seeds = seeds[~used[seeds]][:BATCH]
+            scored = dict(zip(seeds.tolist(), index.scores(seeds, used)))
         row, room = [(seed, int(begin[seed]), int(left[seed]))], WINDOW - int(left[seed])
         used[seed] = True
         for source in ("neighbours", "any"):
             if not room:
                 break
-            for doc in (index.neighbours(seed, used) if source == "neighbours" else np.flatnonzero(~used)).tolist():
+            for doc in neighbours(scored[seed], used) if source == "neighbours" else np.flatnonzero(~used).tolist():
                 n = min(room, int(left[doc]))
                 row.append((doc, int(begin[doc]), n))
                 begin[doc] += n

@@ -101,6 +101,29 @@ def test_packing(docs, none, texts, library):
     assert packing.pack(none, JSON).collect() == []
 
 
+def test_neighbours_are_those_of_all_terms(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [rng.zipf(1.3, rng.integers(1, 400)).clip(1, 900).astype(np.uint16) for _ in range(150)] + [np.arange(50, 90, dtype=np.uint16)] * 3
+    at = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    frequency = np.bincount(np.concatenate([np.unique(x) for x in texts]), minlength=901)
+    mean = at[-1] / len(texts)
+    idf = np.log1p((len(texts) - frequency + 0.5) / (frequency + 0.5))
+    weights = np.zeros((len(texts), 901))
+    for k, x in enumerate(texts):
+        tf = np.bincount(x, minlength=901)
+        weights[k] = idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(x) / mean))
+    full = (weights > 0).astype(float) @ weights.T
+    for terms in (0, 40, 2048):
+        monkeypatch.setattr(packing, "DENSE_TERMS", terms)
+        index = packing.Index(np.concatenate(texts), at, frequency, len(texts), mean)
+        for used in (np.zeros(len(texts), bool), rng.random(len(texts)) < 0.6):
+            seeds = np.flatnonzero(~used)
+            for seed, scores in zip(seeds.tolist(), index.scores(seeds, used)):
+                assert np.allclose(scores[~used], full[seed][~used], atol=2e-3)
+                found = list(packing.neighbours(scores, used))
+                assert found == sorted((d for d in seeds.tolist() if scores[d] > 0), key=lambda d: (-scores[d], d))
+
+
 def test_a_seed_is_packed_with_its_neighbours():
     common = np.array([7] * 10 + [8] * 10, np.uint16)
     texts = [np.concatenate([common, np.full(300, 100 + k % 5, np.uint16)]) for k in range(15)]
