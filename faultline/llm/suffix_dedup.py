@@ -9,13 +9,16 @@ places of a string meet in one shard:
    repeat within itself, are bytes needed; each such stretch is sent once per block.
 2. Each shard sorts the suffixes of its stretches part by part by Larsson-Sadakane refinement and finds common prefixes
    of neighbours by Kasai's rule. A minimizer whose stretches lie in several parts is merged across them by binary
-   search in the later parts' suffix arrays.
+   search in the later parts' suffix arrays. Where more than ``MANY`` different stretches share a minimizer, as around a
+   frequent line, strings are sharded once more, each by its own 128-bit hash, and counted; no such group's bytes gather
+   in one shard or are searched stretch by stretch.
 3. Blocks mark and remove what the marked starts cover.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,7 @@ LENGTH, GRAM = 200, 32
 _WINDOW = LENGTH - GRAM + 1
 SHARD_BYTES = 12 << 20  # of input for each shard
 PART_BYTES = 1 << 20  # of stretches for each suffix array
+MANY = PART_BYTES // (LENGTH + _WINDOW)  # different stretches of a minimizer beyond which its strings are sharded by themselves
 _TABLE = np.random.default_rng(9).integers(0, 1 << 63, 256, dtype=np.uint64)
 _ODD = np.random.default_rng(10).integers(0, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TOP = np.uint64((1 << 64) - 1)
@@ -114,8 +118,9 @@ def _by_shard(values: np.ndarray, shards: int):
         yield int(owner[rows[0]]), rows
 
 
-def judge(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
-    """For each stretch: 1 if it stands elsewhere as a whole, 2 if its bytes are to be compared."""
+def judge(messages: list[bytes], many: int = MANY) -> tuple[list[bytes], tuple[int, int]]:
+    """For each stretch: 1 if it stands elsewhere as a whole, 2 if its bytes are to be compared, 4 if its strings are to be
+    counted, as more than ``many`` different stretches share its minimizer."""
     parts = [unsqueeze(x) for x in messages]
     value, digest, within = (np.concatenate([x[k] for x in parts]) for k in range(3))
     order = np.lexsort((digest, value))
@@ -127,7 +132,7 @@ def judge(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
     different = np.bincount(group[new])[group]
     inside = (np.bincount(group, within[order]) > 0)[group]
     status = np.empty(len(order), np.uint8)
-    status[order] = (copies > 1) + 2 * ((different > 1) | inside)
+    status[order] = (copies > 1) + np.where(different > many, 4, 2 * ((different > 1) | inside))
     bounds = np.cumsum([len(x[0]) for x in parts])[:-1]
     return [squeeze(x) for x in np.split(status, bounds)], (0, 0)
 
@@ -292,6 +297,28 @@ def compare(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
     return replies, (0, 0)
 
 
+def answer(messages: list[bytes]) -> tuple[list[bytes], tuple[int, int]]:
+    """Counts strings, which come as two halves of their hashes and nothing else, or compares stretches."""
+    return judge(messages) if len(unsqueeze(messages[0])) == 3 else compare(messages)
+
+
+def _strings(part: Stretches, status: np.ndarray, shards: int):
+    """By shard, numbered after those of minimizers: hashes of strings to count, each different stretch of the block once.
+    For each stretch its row and place; for each string the place of its stretch and where in it the string starts."""
+    rows = np.flatnonzero(status & 4)
+    if not len(rows):
+        return None, {}
+    pairs = np.stack([part.value[rows], part.digests(rows)], 1)
+    _, first, place = np.unique(pairs, axis=0, return_index=True, return_inverse=True)
+    count = part.count[rows[first]]
+    owner = np.repeat(np.arange(len(first)), count)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    whole = part.data.tobytes()
+    starts = (part.start[rows[first]][owner] + inside).tolist()
+    halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(whole[a : a + LENGTH]) for a in starts), "<u8").reshape(-1, 2)
+    return (rows, place.ravel(), owner, inside), {shards + shard: (found, halves[found]) for shard, found in _by_shard(halves[:, 0], shards)}
+
+
 def _sent(part: Stretches, status: np.ndarray, shards: int):
     """By shard: the stretches to compare, each once, and for each stretch with bit 2 its place among them."""
     for shard, rows in _by_shard(part.value, shards):
@@ -323,6 +350,18 @@ def _covered(part: Stretches, status: np.ndarray, replies: dict[int, bytes], sha
             starts = part.start[row] + np.flatnonzero(bits[ends[k] - sizes[k] : ends[k]])
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + LENGTH, -1)
+    strings, by_shard = _strings(part, status, shards)
+    if by_shard:
+        rows, place, owner, inside = strings
+        repeated = np.zeros(len(owner), bool)
+        for shard, (found, _) in by_shard.items():
+            repeated[found] = unsqueeze(replies[shard])[0] & 1 > 0
+        bounds = np.searchsorted(owner, np.arange(place.max() + 2))
+        for row, k in zip(rows.tolist(), place.tolist()):
+            own = slice(bounds[k], bounds[k + 1])
+            starts = part.start[row] + inside[own][repeated[own]]
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, starts + LENGTH, -1)
     return np.cumsum(edge)[:-1] > 0
 
 
@@ -357,9 +396,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             sizes = part.count[firsts] - 1 + LENGTH
             body = np.concatenate([part.data[a : a + n] for a, n in zip(part.start[firsts].tolist(), sizes.tolist())])
             yield shard, squeeze(part.value[firsts], digest, sizes, body)
+        for shard, (found, halves) in _strings(part, status, shards)[1].items():
+            yield shard, squeeze(halves[:, 0], halves[:, 1], np.zeros(len(found), bool))
 
-    judged = with_replies(found, ask(found, first_question, judge, ["body"]), "judged")
-    both = with_replies(judged, ask(judged, second_question, compare, ["body", "judged"]), "compared")
+    judged = with_replies(found, ask(found, first_question, partial(judge, many=MANY), ["body"]), "judged")
+    both = with_replies(judged, ask(judged, second_question, answer, ["body", "judged"]), "compared")
 
     def finish(batches):
         for batch in batches:

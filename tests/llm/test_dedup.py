@@ -157,6 +157,34 @@ def test_repeats_are_removed(docs, none, texts, monkeypatch):
     assert set(docs.columns) <= set(kept.columns) and len(kept.columns) == len(set(kept.columns))
 
 
+def test_a_frequent_line_is_sharded_by_its_strings(spark, monkeypatch):
+    rng = random.Random(11)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    line = noise(90)
+    texts = [noise(150) + line + noise(150) for _ in range(60)]
+    # Repeats that hold the line: cut out of other texts, within a text, and as a whole.
+    texts += ["x" + t[60:340] + noise(40) for t in texts[:9]] + [texts[10] + "y" + texts[10][40:300], texts[11], texts[11]]
+    bodies = [x.encode() for x in texts]
+    part = suffix_dedup.Stretches(np.frombuffer(b"".join(bodies), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in bodies])]))
+    digests = part.digests(np.arange(len(part.start)))
+    status = exchange.unsqueeze(suffix_dedup.judge([exchange.squeeze(part.value, digests, part.repeats_within())], 10)[0][0])[0]
+    assert (status & 4).any() and not (status & 6 == 6).any()
+    # No minimizer of more than ten different stretches has its bytes compared in one shard.
+    compared = {(int(v), int(d)) for v, d, x in zip(part.value, digests, status) if x & 2}
+    assert max(Counter(v for v, _ in compared).values(), default=0) <= 10
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 10_000)
+    monkeypatch.setattr(exchange, "BLOCK_BYTES", 6_000)
+    expected = Counter((i, n, gone, runs, hashlib.sha256(left).hexdigest()) for i, (n, gone, runs, left) in enumerate(_repeats(bodies)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for many in (10, 1):
+        monkeypatch.setattr(suffix_dedup, "MANY", many)
+        rows = suffix_dedup.remove_repeats(docs).collect()
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == expected
+
+
 def test_suffix_arrays_and_their_merge():
     rng, pick = np.random.default_rng(1), random.Random(5)
     for _ in range(15):
