@@ -75,7 +75,7 @@ def search(tree: dict[str, np.ndarray], queries: dict[str, np.ndarray], k: int)
     for row in range(len(q)):
         own, last_score, last_id = queries["ids"][row], queries["score"][row], queries["id"][row]
         top = limits[row].tolist()
-        best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
+        best_s, best_i = np.zeros(0, vectors.dtype), np.zeros(0, np.int64)
         heap = [(-top[0], 0)]
         while heap:
             bound, node = heapq.heappop(heap)
