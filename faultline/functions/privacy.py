@@ -120,6 +120,100 @@ def scrub_payload(c: Column | str, extra: Sequence[str] = ()) -> Column:
     return scrub_json(c, [*extra, *BROWSER_FIELDS])
 
 
+def scrub_json_list(c: Column, fields: Sequence[str]) -> Column:
+    """``scrub_json`` for each text of an array; one trip for the whole list, and none where no text names a field."""
+    hit = re.compile("|".join(re.escape(f) for f in fields), re.IGNORECASE)
+    hidden = re.compile(r"\\u[0-9a-f]{4}", re.IGNORECASE)
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def walk(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def one(text):
+            if text is None or not (hit.search(text) or hidden.search(text)):
+                return text
+            try:
+                node = json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_no_json)
+                return _written(_redact(node, hit))
+            except (ValueError, RecursionError):
+                return None
+
+        for s in lists:
+            yield s.map(lambda texts: None if texts is None else [one(x) for x in texts])
+
+    needs = F.exists(c, lambda x: F.coalesce(x.rlike(key_pattern(fields) + r"|\\u[0-9a-f]{4}"), F.lit(False)))
+    return F.when(needs, walk(F.when(needs, c))).otherwise(c)
+
+
+def scrub_url(c: Column | str, fields: Sequence[str]) -> Column:
+    """Redact the parameters of an address whose name holds a field name; the rest of the text stays."""
+    names = "|".join(re.escape(f) for f in fields)
+    return F.regexp_replace(col(c), rf"(?i)([?&;#][^=&;#]*(?:{names})[^=&;#]*=)[^&;#]*", rf"$1{re.escape(REDACTED)}")
+
+
+# Names of text columns that hold free JSON, and of those that hold an address.
+JSON_FIELDS = ("context", "data", "extra", "request_data")
+URL_FIELDS = ("url", "uri", "href", "previous_url", "referrer")
+
+
+def _texts_of(items: Column, name: str) -> Column:
+    return F.transform(items, lambda x: x[name])
+
+
+def _with_texts(items: Column, name: str, texts: Column) -> Column:
+    """The structs of an array with another text each under ``name``."""
+    both = F.arrays_zip(items.alias("item"), texts.alias("text"))
+    return F.transform(both, lambda z: F.when(z["item"].isNotNull(), z["item"].withField(name, z["text"])))
+
+
+def _scrubbed(c: Column, kind: T.DataType, name: str, fields: Sequence[str], json_fields, url_fields, listed: int) -> Column | None:
+    """``c`` without what its names give away, or None if there is nothing in it to scrub."""
+    go = lambda x, k, n, deep=0: _scrubbed(x, k, n, fields, json_fields, url_fields, listed + deep)
+    if name and re.search(key_pattern(fields), name):
+        return F.when(c.isNotNull(), F.lit(REDACTED)) if isinstance(kind, T.StringType) else F.lit(None).cast(kind)
+    if isinstance(kind, T.StringType):
+        if name in json_fields and not listed:
+            return scrub_json(c, fields)
+        return scrub_url(c, fields) if name in url_fields else None
+    if isinstance(kind, T.StructType):
+        parts = {f.name: go(c[f.name], f.dataType, f.name) for f in kind.fields}
+        if not any(x is not None for x in parts.values()):
+            return None
+        return F.when(c.isNotNull(), F.struct(*[(c[n] if x is None else x).alias(n) for n, x in parts.items()]))
+    if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        plain = isinstance(kind.valueType, T.StringType)
+        hidden = F.lit(REDACTED) if plain else F.lit(None).cast(kind.valueType)
+
+        def value(k: Column, v: Column) -> Column:
+            inner = None if plain else go(v, kind.valueType, "", 1)
+            return F.when(k.rlike(key_pattern(fields)), hidden).otherwise(v if inner is None else inner)
+
+        return F.transform_values(c, value)
+    if isinstance(kind, T.ArrayType):
+        probe = go(F.lit(None).cast(kind.elementType), kind.elementType, "", 1)
+        out = None if probe is None else F.transform(c, lambda x: go(x, kind.elementType, "", 1))
+        texts = [f.name for f in kind.elementType.fields if f.name in json_fields and isinstance(f.dataType, T.StringType)] if isinstance(kind.elementType, T.StructType) else []
+        for n in texts if not listed else []:
+            out = _with_texts(c if out is None else out, n, scrub_json_list(_texts_of(c, n), fields))
+        return out
+    return None
+
+
+def scrub_rows(df, fields: Sequence[str] = BROWSER_FIELDS, skip: Sequence[str] = (), json_fields: Sequence[str] = JSON_FIELDS, urls: bool = False):
+    """Deep scrub of whole rows by the names of their columns, nested fields and map keys.
+
+    Text under a name that holds a field name becomes the replacement text, anything else under it null. Free JSON text
+    (``json_fields``, also in structs of an array) takes the key walk; with ``urls`` so do the parameters of addresses. All
+    else is column code that follows the schema, and columns without such a name are not touched. ``skip`` names columns
+    to leave. JSON text nested deeper than one list is not looked into: scrub such rows before they are listed.
+    """
+    changed = {}
+    for f in df.schema.fields:
+        if f.name not in skip:
+            found = _scrubbed(F.col(f"`{f.name}`"), f.dataType, f.name, fields, json_fields, URL_FIELDS if urls else (), 0)
+            if found is not None:
+                changed[f.name] = found
+    return df.withColumns(changed) if changed else df
+
+
 # Text shapes of addresses.
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _V4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +53,19 @@ def merge_maps(base: Column, override: Column) -> Column:
     return F.when(override.isNull(), base).when(base.isNull(), override).otherwise(F.map_concat(rest, override))
 
 
+def merge_extra(base: dict, own: Column) -> Column:
+    """JSON object of the fixed ``base`` and a row's ``own`` JSON object; on a shared name the row's value wins.
+
+    Text that is no object is kept as it is, and null gives the fixed part.
+    """
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(f"{json.dumps(k, ensure_ascii=False)}:{json.dumps(v, ensure_ascii=False)}").alias("t")) for k, v in base.items()])
+    names = F.json_object_keys(own)
+    rest = F.array_join(F.transform(F.filter(pairs, lambda p: ~F.array_contains(names, p["k"])), lambda p: p["t"]), ",")
+    body = F.regexp_extract(own, r"(?s)^\s*\{\s*(.*?)\s*\}\s*$", 1)
+    joined = F.concat(F.lit("{"), F.array_join(F.filter(F.array(rest, body), lambda x: x != ""), ","), F.lit("}"))
+    return F.when(own.isNull(), F.lit(json.dumps(base, ensure_ascii=False, separators=(",", ":")))).when(names.isNull(), own).otherwise(joined)
+
+
 def drop_null_entries(c: Column) -> Column:
     """Remove the null-valued entries of a map."""
     return F.map_filter(c, lambda _, v: v.isNotNull())

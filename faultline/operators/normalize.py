@@ -12,6 +12,7 @@ from faultline.functions.crumbs import console_error, console_message
 DEFAULT_TYPE = "Error"
 DEFAULT_MESSAGE = "Unknown error"
 DEFAULT_ENVIRONMENT = "production"
+BACKEND_LANGUAGE = "PHP"
 LOG_TYPE = "LogMessage"
 BUILD_FAILED = "Failed to build error payload"
 TRAP_TYPE = "NuclearError"
@@ -29,10 +30,12 @@ def _has(df: DataFrame, name: str, kind: str = "string") -> Column:
 
 def normalize_browser_errors(
     df: DataFrame, environment: str | None = None, release: str | None = None,
-    global_tags: dict[str, str] | None = None, session_hash: str | None = None,
+    global_tags: dict[str, str] | None = None, session_hash: str | None = None, global_extra: dict | None = None,
 ) -> DataFrame:
     """Raw browser errors to flat records.
 
+    ``global_tags`` and ``global_extra`` stand on every record; a row's own entry of the same name wins.
+
     Missing, empty and zero values all fall through to the next choice.
     Reads ``name``, ``message``, ``stack`` and, where present, ``extra``
     (JSON), ``status``, ``level``, ``url``, ``user_agent``, ``session_id``
@@ -68,7 +71,7 @@ def normalize_browser_errors(
         session.alias("session_id"),
         http.runtime_label("JavaScript", http.browser_family(F.coalesce(_has(df, "user_agent"), F.lit("")))).alias("runtime"),
         _has(df, "user_agent").alias("user_agent"),
-        _has(df, "extra").alias("context"),
+        (text.merge_extra(global_extra, _has(df, "extra")) if global_extra else _has(df, "extra")).alias("context"),
         tags.alias("tags"),
         F.col("stack").alias("stack"),
     )
@@ -81,11 +84,26 @@ def message_event(df: DataFrame, **kw) -> DataFrame:
     return normalize_browser_errors(df.withColumns({"level": level, "name": blank, "stack": blank}), **kw)
 
 
+def _request_columns(df: DataFrame) -> list[Column | str]:
+    """The columns that a backend record takes from its request, server and trail; none where the row has no context."""
+    if "server" not in df.columns:
+        return []
+    env = F.col("request.env")
+    trail = ["breadcrumbs"] if "breadcrumbs" in df.columns else []
+    return [
+        F.col("server.server_name").alias("server_name"), F.col("request.url").alias("url"), F.col("request.method").alias("http_method"),
+        env["REMOTE_ADDR"].alias("ip_address"), env["HTTP_USER_AGENT"].alias("user_agent"), "session_hash",
+        http.runtime_label(BACKEND_LANGUAGE, F.col("server.php_version")).alias("runtime"), *trail, F.col("request").alias("request_data")]
+
+
 def normalize_log_records(df: DataFrame, environment: str | None = None, release: str | None = None) -> DataFrame:
-    """Log rows to flat records; an attached exception fills type, file, line and frames."""
+    """Log rows to flat records; an attached exception fills type, file, line and frames.
+
+    Rows with the columns of ``backend.with_context`` give whole records.
+    """
     thrown = F.col("exception")
     return df.select(
-        "event_id", "ts",
+        "event_id", "ts", *_request_columns(df),
         text.truncate_ellipsis(F.coalesce(thrown["class"], F.lit(LOG_TYPE)), text.MAX_TYPE).alias("type"),
         text.truncate_ellipsis("message", text.MAX_MESSAGE).alias("message"),
         text.truncate_ellipsis(F.coalesce(thrown["file"], F.lit(stack.UNKNOWN)), text.MAX_FILE).alias("file"),
@@ -101,9 +119,13 @@ def normalize_log_records(df: DataFrame, environment: str | None = None, release
 
 
 def normalize_exceptions(df: DataFrame, environment: str | None = None, release: str | None = None) -> DataFrame:
-    """Exception rows (``class, code, message, file, line, frames, status``) to flat records."""
+    """Exception rows (``class, code, message, file, line, frames, status``) to flat records.
+
+    Rows with the columns of ``backend.with_context`` give whole records; their context is what is known of the server.
+    """
+    server = [F.to_json("server").alias("context")] if "server" in df.columns else []
     return df.select(
-        *[c for c in ("event_id", "client_id", "ts", "request_id") if c in df.columns],
+        *[c for c in ("event_id", "client_id", "ts", "request_id") if c in df.columns], *_request_columns(df), *server,
         text.truncate_ellipsis("class", text.MAX_TYPE).alias("type"),
         text.truncate_ellipsis("message", text.MAX_MESSAGE).alias("message"),
         text.truncate_ellipsis("file", text.MAX_FILE).alias("file"),

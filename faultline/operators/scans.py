@@ -243,7 +243,7 @@ class Outage:
 def _group_starts(batch: pa.RecordBatch, keys: Sequence[str], before: list | None) -> list[bool]:
     """Marks rows whose key differs from that of the row before."""
     n = batch.num_rows
-    starts = pa.array([False] * max(n - 1, 0))
+    starts = pa.array([False] * max(n - 1, 0), pa.bool_())
     for k in keys:
         c = batch.column(batch.schema.get_field_index(k))
         a, b = c.slice(1), c.slice(0, n - 1)

@@ -185,31 +185,48 @@ FLOW = dict(
     max_crumbs=10)
 
 
+# What the flow's clients recorded, with secrets in an address, in a struct and deep in free JSON.
+_ACTS = {
+    "message": "event_type || ' ' || k", "url": "CASE WHEN k % 3 = 0 THEN 'https://shop.example.com/p?id=' || k || '&auth_token=t' || k || '&x=1' ELSE '/p/' || k END",
+    "data": "CASE WHEN k % 4 > 0 THEN '{\"k\":' || k || ',\"form\":{\"Pwd\":\"p' || k || '\",\"n\":[{\"my_api_key\":{\"v\":1}},2.50]}}' END",
+}
+
+
 def flow_rows(spark, sf):
     session = F.concat(F.lit("session-"), F.col("user_id").cast("string"))
-    return S.raw_errors(spark, sf), S.actions(spark, sf).withColumn("session_id", session)
+    rows = S.events(spark, sf).filter("event_type <> 'error'")
+    click = F.when(F.col("event_type") == "click", F.struct(F.lit("button").alias("tag"), F.concat(F.lit("t"), F.col("k").cast("string")).alias("access_token")))
+    acts = rows.select(
+        "event_id", session.alias("session_id"), "ts", F.col("event_type").alias("type"), *[F.expr(e).alias(c) for c, e in _ACTS.items()], click.alias("click"))
+    return S.raw_errors(spark, sf), acts
 
 
 # The flow in SQL: plain type, message and stack name the same groups as
 # their normalised forms, since equal raw fields give equal records.
 _FLOW = f"""
 WITH RECURSIVE {S.RAW}, {R.FRAMES},
-act AS (SELECT event_id, 'session-' || user_id AS session_id, ts, event_type FROM ev WHERE event_type <> 'error'),
+act AS (SELECT event_id, 'session-' || user_id AS session_id, ts, event_type, event_id || '|' || event_type || ' ' || k || '|'
+  || CASE WHEN k % 3 = 0 THEN 'https://shop.example.com/p?id=' || k || '&auth_token=[REDACTED]&x=1' ELSE '/p/' || k END || '|'
+  || CASE WHEN k % 4 > 0 THEN '{{"k":' || k || ',"form":{{"Pwd":"[REDACTED]","n":[{{"my_api_key":"[REDACTED]"}},2.50]}}}}' ELSE '-' END || '|'
+  || CASE WHEN event_type = 'click' THEN 'button:[REDACTED]' ELSE '-' END AS body FROM ev WHERE event_type <> 'error'),
 n AS (SELECT event_id, session_id, ts, message AS raw_message, stack, {R.CUT("coalesce(nullif(name, ''), 'Error')", 255)} AS type,
   {R.CUT("coalesce(nullif(message, ''), 'Unknown error')", 1000)} AS message, array_to_string(string_split(frames_text, ';')[1:3], ';') AS top FROM parsed),
 f AS (SELECT *, contains(lower(message), 'script error') OR contains(lower(message), 'loading chunk') AS ignored,
   message || ':' || coalesce(string_split(stack, chr(10))[2], '') AS fp FROM n),
 gated AS (SELECT *, NOT ignored AND row_number() OVER (PARTITION BY session_id, fp, ignored, epoch_us(ts) // {72 * HU} ORDER BY ts, event_id) = 1 AS gate FROM f),
-b AS (SELECT e.event_id, c.event_id AS cid, c.event_type, row_number() OVER (PARTITION BY e.event_id, c.event_type = 'click' ORDER BY c.ts DESC, c.event_id DESC) AS back
+b AS (SELECT e.event_id, c.event_id AS cid, c.event_type, c.ts, c.body, row_number() OVER (PARTITION BY e.event_id, c.event_type = 'click' ORDER BY c.ts DESC, c.event_id DESC) AS back
   FROM gated e JOIN act c ON c.session_id = e.session_id AND c.ts <= e.ts AND c.ts >= e.ts - INTERVAL 24 HOUR),
-rep AS (SELECT event_id, count(*) AS items, count(*) FILTER (event_type = 'click') AS clicks FROM b WHERE event_type <> 'click' OR back <= 3 GROUP BY 1),
-m AS (SELECT g.event_id, g.session_id, g.ts, g.type, g.message, CASE WHEN gate AND rep.clicks > 0 THEN rep.items ELSE 0 END AS replay_events,
-  hash(g.type || '|' || g.message || '|' || g.top) AS sig, least(10, (SELECT count(*) FROM act c WHERE c.session_id = g.session_id AND c.ts <= g.ts)) AS crumbs
-  FROM gated g LEFT JOIN rep USING (event_id)),
+rep AS (SELECT event_id, string_agg(body, ';' ORDER BY ts, cid) AS items, count(*) FILTER (event_type = 'click') AS clicks FROM b WHERE event_type <> 'click' OR back <= 3 GROUP BY 1),
+x AS (SELECT event_id, string_agg(body, ';' ORDER BY ts, cid) AS trail FROM (
+  SELECT e.event_id, c.event_id AS cid, c.ts, c.body, row_number() OVER (PARTITION BY e.event_id ORDER BY c.ts DESC, c.event_id DESC) AS back
+  FROM gated e JOIN act c ON c.session_id = e.session_id AND c.ts <= e.ts) WHERE back <= 10 GROUP BY 1),
+m AS (SELECT g.event_id, g.session_id, g.ts, g.type, g.message, CASE WHEN gate AND rep.clicks > 0 THEN rep.items END AS replay, x.trail,
+  hash(g.type || '|' || g.message || '|' || g.top) AS sig
+  FROM gated g LEFT JOIN rep USING (event_id) LEFT JOIN x USING (event_id)),
 {gap_sql('m', 'session_id, sig', 72 * HU, strict=True).replace(chr(10) + "o AS", chr(10) + "w AS").replace("FROM o ", "FROM w ").replace("JOIN o ON", "JOIN w o ON")},
 kept AS (SELECT m.* FROM m JOIN walk USING (event_id) WHERE walk.keep),
 {bucket_sql('kept', 'session_id', 5, 12 * HU)}
-SELECT k.event_id, k.type, k.message, bucket.ok AS admitted, k.crumbs, k.replay_events FROM kept k JOIN bucket USING (event_id)"""
+SELECT k.event_id, k.type, k.message, bucket.ok AS admitted, coalesce(k.trail, '') AS trail, k.replay FROM kept k JOIN bucket USING (event_id)"""
 
 
 @query("error_flow", _FLOW)
@@ -224,10 +241,11 @@ def error_flow_sliced(spark, sf):
 
 def _flow(spark, sf, **kw):
     raw, acts = flow_rows(spark, sf)
-    out = browser_flow(raw, acts, **FLOW, **kw)
-    return out.select(
-        "event_id", "type", "message", "admitted", F.size("breadcrumbs").cast("bigint").alias("crumbs"),
-        F.coalesce(F.size("replay_data"), F.lit(0)).cast("bigint").alias("replay_events"))
+    out = browser_flow(raw, acts, scrub_urls=True, **FLOW, **kw)
+    click = lambda x: F.coalesce(F.concat_ws(":", x["tag"], x["access_token"]), F.lit("-"))
+    body = lambda e: F.concat_ws("|", e["event_id"].cast("string"), e["message"], e["url"], F.coalesce(e["data"], F.lit("-")), F.when(e["click"].isNull(), "-").otherwise(click(e["click"])))
+    listed = lambda c: F.array_join(F.transform(c, body), ";")
+    return out.select("event_id", "type", "message", "admitted", listed("breadcrumbs").alias("trail"), listed("replay_data").alias("replay"))
 
 
 @query("log_flow", f"""
