@@ -292,7 +292,7 @@ def _rows(vectors: DataFrame, label: Column | None, scale: int, id_column: str,
 
 def mine(
     vectors: DataFrame, is_anchor: Column, label: Column | None = None, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90,
-    scale: int = 256, codes: int = 32, sample: int = 4096, rows_per_shard: int = 8192, home: int = 2048,
+    scale: int = 256, codes: int = 32, sample: int = 4096, rows_per_shard: int = 2048, home: int = 2048,
     id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label",
 ) -> DataFrame:
     """``anchor_id``, ``positive_id``, ``rank``, ``negative_id``, ``positive_score`` and ``negative_score``.

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from faultline.llm.shared import column_of, portions, saved, utf8
 
 DRAW_DIGITS = 13  # hexadecimal digits of a draw, which are 52 bits
+SALTS = 64  # parts of a source's rows where they meet what is known of the source
 
 
 def word_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -83,6 +84,15 @@ def targets(sources: DataFrame, share: float, limit: float, weights: tuple[int,
         full, level = held[0], (share * total - (held[1] or 0.0)) / held[2]
 
 
+def _with_source(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``known``, one row a source named ``of``. A source's rows are dealt out over ``SALTS``
+    tasks, and its row of ``known`` is copied to each."""
+    copies = known.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("id", "size", "draw"), F.lit(SALTS)).cast("int")
+    rows = rows.withColumn("salt", salt)
+    return rows.join(copies, F.col("source").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("of_salt"))).drop("of", "salt", "of_salt")
+
+
 def _levels(rows: DataFrame, aims: DataFrame, limit: float) -> DataFrame:
     """``aims`` with ``level``: copies of a document are ``level`` times its weight, ``limit`` at most, and all copies
     together hold the target's words (if the limit lets them)."""
@@ -91,8 +101,8 @@ def _levels(rows: DataFrame, aims: DataFrame, limit: float) -> DataFrame:
     level, full = aims.select("*", F.lit(0.0).alias("level")), -1
     while True:
         above = F.coalesce(F.col("level") * F.col("weight") > limit, F.lit(False))
-        known = rows.join(level.select(F.col("source").alias("of"), "level"), same)
-        sums = known.groupBy("of").agg(
+        known = _with_source(rows, level.select(F.col("source").alias("of"), "level"))
+        sums = known.groupBy(F.col("source").alias("of")).agg(
             F.count(F.when(above, 1)).alias("full"), F.sum(F.when(above, mass * limit).otherwise(0.0)).alias("held"),
             F.sum(F.when(~above, mass * F.col("weight")).otherwise(0.0)).alias("open"))
         next_level = F.when(F.col("open") > 0, F.greatest(F.col("target") - F.col("held"), F.lit(0.0)) / F.col("open")).otherwise(F.col("level"))
@@ -131,7 +141,7 @@ def mix(docs: DataFrame, share: float = 1.5, limit: int = 2, weights: tuple[int,
     same = F.col("source").eqNullSafe(F.col("of"))
 
     copies = F.least(F.lit(float(limit)), F.col("level") * F.col("weight"))
-    rows = rows.join(aims, same).drop("of").withColumns({"whole": F.floor(copies), "p": copies - F.floor(copies)})
+    rows = _with_source(rows, aims).withColumns({"whole": F.floor(copies), "p": copies - F.floor(copies)})
     u = (F.col("draw") + 0.5) / F.lit(2.0 ** (4 * DRAW_DIGITS))
     odds = F.when((F.col("p") > 0) & (F.col("size") > 0), u / (1 - u) / (F.col("p") / (1 - F.col("p"))))
     rows = rows.withColumn("order", odds / (1 + odds))
@@ -149,7 +159,7 @@ def mix(docs: DataFrame, share: float = 1.5, limit: int = 2, weights: tuple[int,
     edge = edge.groupBy("of").agg(F.min("stretch").alias("edge"), F.min_by(F.col("upto") - F.col("height"), "stretch").alias("below"))
     needs = saved(needs.join(edge.withColumnRenamed("of", "edge_of"), F.col("of").eqNullSafe(F.col("edge_of")), "left").drop("edge_of"))
 
-    rows = rows.join(needs, same).drop("of")
+    rows = _with_source(rows, needs)
     at_edge = F.coalesce(F.col("stretch") == F.col("edge"), F.lit(False))
     inside = Window.partitionBy("source").orderBy("order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     so_far = F.col("below") + F.coalesce(F.sum(mass).over(inside), F.lit(0))
