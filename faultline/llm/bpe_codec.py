@@ -7,7 +7,8 @@ as linked bytes; a heap of neighbouring pairs by rank merges them.
 from __future__ import annotations
 
 import hashlib
-import heapq
+from heapq import heapify, heappop, heappush
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,23 +21,47 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd m
 _TOP = np.uint64(32)
 
 
-def _fingerprints(keys: list[bytes]) -> np.ndarray:
-    """64 bits of each key: a polynomial of its bytes, mixed."""
-    lengths = np.fromiter(map(len, keys), np.int64, len(keys))
-    flat, starts = np.frombuffer(b"".join(keys), np.uint8), np.cumsum(lengths) - lengths
-    # Longest first, so the keys that still have a byte are always the first ones.
+def _prints(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64 bits of each stretch of ``flat``: a polynomial of its bytes, mixed. As many steps as the longest has bytes."""
+    # Longest first, so the stretches that still have a byte are always the first ones.
     order = np.argsort(-lengths, kind="stable")
-    starts, sizes = starts[order], lengths[order]
+    begins, sizes = starts[order], lengths[order]
     mixed = sizes.astype(np.uint64) * _M2
     for k in range(int(sizes[0]) if len(sizes) else 0):
         n = int(np.searchsorted(-sizes, -k, "left"))
-        x = (mixed[:n] ^ flat[starts[:n] + k]) * _M1
+        x = (mixed[:n] ^ flat[begins[:n] + k]) * _M1
         mixed[:n] = x ^ (x >> _TOP)
-    out = np.empty(len(keys), np.uint64)
+    out = np.empty(len(starts), np.uint64)
     out[order] = mixed
     return out
 
 
+def _fingerprints(keys: list[bytes]) -> np.ndarray:
+    lengths = np.fromiter(map(len, keys), np.int64, len(keys))
+    return _prints(np.frombuffer(b"".join(keys), np.uint8), np.cumsum(lengths) - lengths, lengths)
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int) -> tuple[list[bytes], np.ndarray]:
+    """Stretches of ``data`` with equal ones of up to ``longest`` bytes named once, and for each stretch its place among them.
+
+    Fingerprints say which may be equal, their bytes whether they are; one that is not, and a longer one, stands for itself.
+    """
+    lengths = ends - starts
+    short = np.flatnonzero(lengths <= longest)
+    _, first, place = np.unique(_prints(data, starts[short], lengths[short]), return_index=True, return_inverse=True)
+    own = short[first][place]
+    differs = lengths[own] != lengths[short]
+    for k in range(int(lengths[short].max(initial=0))):
+        rows = np.flatnonzero((lengths[short] > k) & ~differs)
+        differs[rows] = data[starts[short[rows]] + k] != data[starts[own[rows]] + k]
+    alone = np.concatenate([short[differs], np.flatnonzero(lengths > longest)])
+    which = np.empty(len(starts), np.int64)
+    which[short] = place
+    which[alone] = len(first) + np.arange(len(alone))
+    named, whole = np.concatenate([short[first], alone]), data.tobytes()
+    return [whole[a:b] for a, b in zip(starts[named].tolist(), ends[named].tolist())], which
+
+
 def _mixed(prints: np.ndarray, seeds) -> np.ndarray:
     x = (prints ^ (np.asarray(seeds, np.uint64) * _M2)) * _M1
     x ^= x >> np.uint64(29)
@@ -87,40 +112,58 @@ class PerfectHash:
 
 
 class Codec:
-    """Ids of pre-tokens and bytes of ids. ``limit`` bounds the pre-tokens a worker remembers."""
+    """Ids of pre-tokens and bytes of ids.
 
-    def __init__(self, ranks: dict[bytes, int], table: PerfectHash, limit: int = 800_000):
+    A worker remembers the pre-tokens of up to ``longest`` bytes that it met lately: two generations of ``limit`` entries.
+    When the young one is full the old one is forgotten, and what is still met moves from old to young.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], table: PerfectHash, limit: int = 400_000):
         self.ranks, self.hash, self.limit = ranks, table, limit
         self.entries = list(ranks)
         self.entry_ids = list(ranks.values())
         self.longest = max(map(len, self.entries))
         self.bytes_of = {i: x for x, i in ranks.items()}
+        self.line_of = {i: b"%d," % i for i in self.bytes_of}
         self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.old: dict[bytes, tuple[bytes, bytes]] = {}
 
     def merged(self, text: bytes) -> list[int]:
-        """Ids of a pre-token that is no entry: lowest rank first, leftmost of equals, over linked bytes."""
-        ranks, n = self.ranks, len(text)
-        follows, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, k, k + 2) for k in range(n - 1) if (r := ranks.get(text[k : k + 2])) is not None]
-        heapq.heapify(heap)
+        """Ids of a pre-token that is no entry: lowest rank first, leftmost of equals, over linked bytes.
+
+        A part goes from its place to ``follows`` of it. An entry of the heap is ``rank << 40 | place``; it is stale if the
+        part at its place and the next one have another rank by now.
+        """
+        rank_of, n = self.ranks.get, len(text)
+        follows, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        now = [rank_of(text[k : k + 2]) for k in range(n - 1)]
+        now.append(None)
+        heap = [r << 40 | k for k, r in enumerate(now) if r is not None]
+        heapify(heap)
         while heap:
-            _, k, until = heapq.heappop(heap)
-            # Stale if the left part is gone or either part has grown.
-            right = follows[k]
-            if right < 0 or right >= n or end[right] != until or end[k] != right:
+            top = heappop(heap)
+            k = top & 0xFFFFFFFFFF
+            if now[k] != top >> 40:
                 continue
-            end[k] = until
-            follows[right], follows[k] = -1, until
-            if until < n:
-                before[until] = k
-                if (r := ranks.get(text[k : end[until]])) is not None:
-                    heapq.heappush(heap, (r, k, end[until]))
-            if (left := before[k]) >= 0 and (r := ranks.get(text[left:until])) is not None:
-                heapq.heappush(heap, (r, left, until))
-        out, k = [], 0
+            right = follows[k]
+            after = follows[k] = follows[right]
+            now[right] = None
+            if after < n:
+                before[after] = k
+                r = now[k] = rank_of(text[k : follows[after]])
+                if r is not None:
+                    heappush(heap, r << 40 | k)
+            else:
+                now[k] = None
+            left = before[k]
+            if left >= 0:
+                r = now[left] = rank_of(text[left:after])
+                if r is not None:
+                    heappush(heap, r << 40 | left)
+        out, k, ranks = [], 0, self.ranks
         while k < n:
-            out.append(ranks[text[k : end[k]]])
-            k = end[k]
+            out.append(ranks[text[k : follows[k]]])
+            k = follows[k]
         return out
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
@@ -140,14 +183,22 @@ class Codec:
     def written(self, texts: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """For each pre-token its decimal ids, a comma after each, and the bytes its ids decode to."""
         if len(self.known) > self.limit:
-            self.known.clear()
-        known = self.known
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
         found = list(map(known.get, texts))
-        if new := list({x for x, y in zip(texts, found) if y is None}):
+        if places := [k for k, x in enumerate(found) if x is None]:
+            missed = {texts[k]: None for k in places}
+            new = [x for x in missed if x not in old]
             for text, ids in zip(new, self.encode(new)):
-                known[text] = "".join([f"{i}," for i in ids]).encode(), self.decode(ids)
-            found = list(map(known.__getitem__, texts))
-        return [x for x, _ in found], [x for _, x in found]
+                missed[text] = b"".join(map(self.line_of.__getitem__, ids)), self.decode(ids)
+            for text, pair in missed.items():
+                if pair is None:
+                    missed[text] = pair = old[text]
+                if len(text) <= self.longest:
+                    known[text] = pair
+            for k in places:
+                found[k] = missed[texts[k]]
+        return list(map(itemgetter(0), found)), list(map(itemgetter(1), found))
 
 
 _codecs: dict[str, Codec] = {}
@@ -177,14 +228,17 @@ def round_trip(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text
         codec = _codec(ranks_path, *model.value)
         for batch in portions(batches, text_column):
             data, offsets = utf8(column_of(batch, text_column))
-            texts, at = pretokens.pieces(data, offsets)
+            starts = pretokens.cuts(data, offsets)
+            texts, which = distinct(data, starts, np.append(starts[1:], len(data)), codec.longest)
+            at = np.searchsorted(starts, offsets)
             written, decoded = codec.written(texts)
             n, ids_sha, decoded_sha, ids = [], [], [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                line = b"".join(written[a:b])
+                own = which[a:b].tolist()
+                line = b"".join(map(written.__getitem__, own))
                 n.append(line.count(b","))
                 ids_sha.append(hashlib.sha256(line[:-1]).hexdigest())
-                decoded_sha.append(hashlib.sha256(b"".join(decoded[a:b])).hexdigest())
+                decoded_sha.append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
                 if with_ids:
                     ids.append([int(x) for x in line.split(b",")[:-1]])
             columns = [column_of(batch, id_column), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]

@@ -134,3 +134,27 @@ def test_a_seed_is_packed_with_its_neighbours():
     # Three documents share their words; the fourth only fills the window up.
     assert len({doc % 5 for doc, *_ in lines[0][:3]}) == 1
     assert sorted((d, s + k) for line in lines for d, s, n in line for k in range(n)) == [(d, k) for d in range(15) for k in range(320)]
+
+
+def test_equal_stretches_are_named_once(monkeypatch):
+    words = [b"ab", b"", b"ab", b"abc", b"x" * 50, b"x" * 50, b"ba", b"abc", b"abd"]
+    data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(x) for x in words])
+    starts = ends - [len(x) for x in words]
+    for prints in (bpe_codec._prints, lambda flat, starts, lengths: np.zeros(len(starts), np.uint64)):  # the second: all collide
+        monkeypatch.setattr(bpe_codec, "_prints", prints)
+        named, which = bpe_codec.distinct(data, starts, ends, 33)
+        assert [named[k] for k in which] == words
+
+
+def test_codec_forgets_and_meets_again():
+    ranks = vocab.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    codec = bpe_codec.Codec(ranks, bpe_codec.PerfectHash(list(ranks)), limit=5)
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, rng.integers(1, 30)).astype(np.uint8)) for _ in range(60)] + [b"q" * 3000]
+    plain = [codec.encode([x])[0] for x in words]
+    for _ in range(3):
+        for at in range(0, len(words), 7):
+            lines, decoded = codec.written(words[at : at + 7] * 2)
+            assert decoded == words[at : at + 7] * 2
+            assert lines == [b"".join(b"%d," % i for i in x) for x in plain[at : at + 7]] * 2
+    assert all(len(x) <= codec.longest for x in codec.known) and len(codec.known) <= 5 + 14
