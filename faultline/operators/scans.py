@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.operators.skew import (
-    LONE, MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, micros, resolve_heat, running_ordinal, set_apart,
+    LONE, MAX_ROWS, Heat, SLICE, as_keys, by_heat, join_carry, join_keys, keyed_only, micros, resolve_heat,
+    running_ordinal, set_apart,
 )
 
 # Default windows and limits.
@@ -254,8 +255,11 @@ def _group_starts(batch: pa.RecordBatch, keys: Sequence[str], before: list | Non
     return [first != before, *starts.to_pylist()]
 
 
-def _walker(machine, keys: list[str], name: str, carry: bool):
-    """Arrow batch function that walks sorted rows and adds the result column."""
+def _walker(machine, keys: list[str], name: str, carry: bool, states: str | None = None):
+    """Arrow batch function that walks sorted rows and adds the result column.
+
+    With ``states`` it also adds the machine's state, as JSON, after each row that may be its key's last.
+    """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, key = None, None
@@ -267,38 +271,47 @@ def _walker(machine, keys: list[str], name: str, carry: bool):
             us = table["_us"].to_pylist()
             flags = table["_flag"].to_pylist()
             carried = table["_carry"].to_pylist() if carry else None
-            out = []
-            step = machine.step
+            out, after = [], []
+            step, last = machine.step, len(us) - 1
             for i, t in enumerate(us):
                 if starts[i]:
                     old = carried[i] if carry else None
                     state = tuple(json.loads(old)) if old else machine.begin(t, flags[i])
                 state, value = step(state, t, flags[i])
                 out.append(value)
+                if states:
+                    after.append(json.dumps(state) if i == last or starts[i + 1] else None)
             key = [table[k][batch.num_rows - 1].as_py() for k in keys]
             keep = [f for f in batch.schema.names if f not in ("_us", "_flag", "_carry")]
             kind = pa.bool_() if isinstance(machine.result, T.BooleanType) else pa.int32()
+            more, names = ([pa.array(after, pa.string())], [states]) if states else ([], [])
             yield pa.RecordBatch.from_arrays(
-                [*[table[f] for f in keep], pa.array(out, kind)], names=[*keep, name])
+                [*[table[f] for f in keep], pa.array(out, kind), *more], names=[*keep, name, *names])
 
     return walk
 
 
 def _walk(
-    df: DataFrame, machine, keys: list[str], order: Sequence[str], name: str, carry: bool, placed: bool
+    df: DataFrame, machine, keys: list[str], order: Sequence[str], name: str, carry: bool, placed: bool, states: str | None = None
 ) -> DataFrame:
     schema = T.StructType([f for f in df.schema.fields if f.name not in ("_us", "_flag", "_carry")])
     schema = schema.add(name, machine.result)
+    if states:
+        schema = schema.add(states, T.StringType())
     rows = df if placed else df.repartition(*keys)
-    return rows.sortWithinPartitions(*keys, *order).mapInArrow(_walker(machine, keys, name, carry), schema)
+    return rows.sortWithinPartitions(*keys, *order).mapInArrow(_walker(machine, keys, name, carry, states), schema)
 
 
 def ordered_scan(
     df: DataFrame, keys: str | Sequence[str], machine, name: str, flag: Column | None = None,
     order: Sequence[str] = ("ts", "event_id"), ts: str = "ts", heat: Heat = MAX_ROWS, placed: bool = False,
+    start: DataFrame | None = None, states: str | None = None,
 ) -> DataFrame:
     """Run a state machine along every key's rows; adds its result as ``name``.
 
+    With ``states``, a column of that name holds the machine's state after the last row of each key (and after some
+    others), which ``carry_on`` turns into a table; that table as ``start`` lets a later batch go on where this one ended.
+
     ``placed`` states that the rows of a key (of a slice, where hot) share a
     partition already, as they do after a window on some of the keys with
     the same ``heat``; the scan then sorts without a shuffle of its own.
@@ -306,16 +319,33 @@ def ordered_scan(
     df = df.withColumns({"_us": micros(ts), "_flag": F.lit(True) if flag is None else flag})
 
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
-        return _walk(d, machine, ks, order, name, False, placed)
+        if start is not None:
+            d = join_keys(d, start.select(*ks, F.col("state").alias("_carry")), ks, "left")
+        return _walk(d, machine, ks, order, name, start is not None, placed and start is None, states)
 
     def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
-        d = join_carry(d, _carries(d, machine, ks, order), ks)
-        return _walk(d, machine, [*ks, SLICE], order, name, True, placed)
+        d = join_carry(d, _carries(d, machine, ks, order, start), ks)
+        return _walk(d, machine, [*ks, SLICE], order, name, True, placed, states)
 
     return by_heat(df, keys, plain, sliced, ts, heat)
 
 
-def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str]) -> DataFrame:
+def carry_on(walked: DataFrame, keys: str | Sequence[str], states: str, start: DataFrame | None = None, ts: str = "ts", row_id: str = "event_id") -> DataFrame:
+    """State of every key after a batch: its keys, ``state`` (JSON) and ``last_us``, the time of its last row.
+
+    ``walked`` is a scan's result with a column ``states``; keys that only ``start`` knows keep what it says. What it says
+    of null counts only for scans in which null is a key like others.
+    """
+    keys = as_keys(keys)
+    at = F.struct(micros(ts).alias("us"), F.col(row_id).alias("id"))
+    known = walked.filter(F.col(states).isNotNull())
+    out = known.groupBy(*keys).agg(F.max_by(states, at).alias("state"), F.max(micros(ts)).alias("last_us"))
+    if start is None:
+        return out
+    return out.unionByName(join_keys(start.select(*out.columns), out.select(*keys), keys, "left_anti"))
+
+
+def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str], start: DataFrame | None = None) -> DataFrame:
     """Starting state of every slice of the hot keys."""
     key_fields = [d.schema[k] for k in ks]
     with_slice = T.StructType([*key_fields, T.StructField(SLICE, d.schema[SLICE].dataType)])
@@ -328,13 +358,16 @@ def _carries(d: DataFrame, machine, ks: list[str], order: Sequence[str]) -> Data
         return pd.DataFrame([[*key, text]], columns=[*ks, SLICE, "_sum"])
 
     def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        state, rows = None, []
+        begin = pdf["_begin"].iloc[0]
+        state, rows = tuple(json.loads(begin)) if isinstance(begin, str) else None, []
         for s, text in sorted(zip(pdf[SLICE], pdf["_sum"])):
             rows.append([*key[:n_keys], s, None if state is None else json.dumps(state)])
             state = machine.apply(json.loads(text), state)
         return pd.DataFrame(rows, columns=[*ks, SLICE, "_carry"])
 
     sums = narrow.groupBy(*ks, SLICE).applyInPandas(summarise, T.StructType([*with_slice.fields]).add("_sum", T.StringType()))
+    begin = F.lit(None).cast("string")
+    sums = sums.withColumn("_begin", begin) if start is None else join_keys(sums, start.select(*ks, F.col("state").alias("_begin")), ks, "left")
     return sums.groupBy(*ks).applyInPandas(fold, T.StructType([*with_slice.fields]).add("_carry", T.StringType()))
 
 
@@ -364,12 +397,14 @@ def _apart_scan(df: DataFrame, keys: str | Sequence[str], machine, name: str, **
     keys = as_keys(keys)
     if LONE in keys:
         return ordered_scan(df, keys, machine, name, **kw)
+    if kw.get("start") is not None:
+        kw["start"] = keyed_only(kw["start"], keys)
     return ordered_scan(set_apart(df, keys), [*keys, LONE], machine, name, **kw).drop(LONE)
 
 
 def dedupe_errors(
     df: DataFrame, keys: str | Sequence[str], window: float = DEDUPE_SECONDS, name: str = "passed", heat: Heat = MAX_ROWS,
-    placed: bool = False,
+    placed: bool = False, **kw,
 ) -> DataFrame:
     """Flag the errors that pass the repeat check.
 
@@ -377,12 +412,12 @@ def dedupe_errors(
     ``window`` seconds went by since the last row that passed; a gap of
     exactly ``window`` is still a repeat. A row without a key repeats none.
     """
-    return _apart_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat, placed=placed)
+    return _apart_scan(df, keys, Gap(int(window * 1_000_000) + 1), name, heat=heat, placed=placed, **kw)
 
 
 def rate_limit(
     df: DataFrame, keys: str | Sequence[str], capacity: int = BUCKET_TOKENS, rate: float = BUCKET_RATE,
-    name: str = "admitted", heat: Heat = MAX_ROWS, placed: bool = False,
+    name: str = "admitted", heat: Heat = MAX_ROWS, placed: bool = False, **kw,
 ) -> DataFrame:
     """Flag the rows a client's token bucket admits; the others are deferred, not lost.
 
@@ -390,13 +425,13 @@ def rate_limit(
     """
     if capacity < 1 or rate <= 0:
         raise ValueError("capacity and rate must be positive")
-    return _apart_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat, placed=placed)
+    return _apart_scan(df, keys, Bucket(capacity, round(1_000_000 / rate)), name, heat=heat, placed=placed, **kw)
 
 
 def outage_states(
     df: DataFrame, keys: str | Sequence[str] = "endpoint", success: Column | str = "success",
     failures: int = OUTAGE_FAILURES, cooldown: float = OUTAGE_COOLDOWN, probes: int = OUTAGE_PROBES,
-    heat: Heat = MAX_ROWS,
+    heat: Heat = MAX_ROWS, **kw,
 ) -> DataFrame:
     """Label each call with the state its endpoint was in: closed, open or half_open.
 
@@ -408,7 +443,7 @@ def outage_states(
         raise ValueError("failures, probes and cooldown must be positive")
     ok = F.col(success) if isinstance(success, str) else success
     rows = ordered_scan(
-        df, keys, Outage(failures, int(cooldown * 1_000_000), probes), "_mode", F.coalesce(ok, F.lit(False)), heat=heat)
+        df, keys, Outage(failures, int(cooldown * 1_000_000), probes), "_mode", F.coalesce(ok, F.lit(False)), heat=heat, **kw)
     names = F.array(*[F.lit(s) for s in STATE_NAMES])
     return rows.withColumn("state", F.get(names, F.col("_mode"))).withColumn("blocked", F.col("_mode") == OPEN).drop("_mode")
 

@@ -81,6 +81,13 @@ def transport_stats(rows: DataFrame, keys: str | Sequence[str], order: Sequence[
     )
 
 
+def tokens_left(states: DataFrame, now: Column, capacity: int, rate: float, name: str = "tokens_left") -> DataFrame:
+    """Tokens in each client's bucket at ``now``, from the table ``scans.carry_on`` gives after a rate limit."""
+    tokens, clock = (F.get_json_object("state", f"$[{i}]").cast("bigint") for i in (0, 1))
+    more = F.floor((F.unix_micros(now) - clock) / round(1_000_000 / rate))
+    return states.withColumn(name, F.least(F.lit(capacity).cast("bigint"), tokens + F.greatest(more, F.lit(0))))
+
+
 def estimate_size(df: DataFrame, name: str = "size") -> DataFrame:
     """JSON length of each row as a stand-in for its bytes."""
     return df.withColumn(name, json_size(F.struct(*df.columns)))

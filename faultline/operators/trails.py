@@ -343,7 +343,22 @@ def two_phase_replay(
     shown = has_click("replay") if gate is None else (F.coalesce(gate, F.lit(False)) & has_click("replay"))
     phase1 = before.withColumn("replay", F.when(shown, F.col("replay")))
 
-    after = replay_after(passing, events, keys, seconds, clicks, item, capped=capped, heat=heat)
+    after = recordings(passing, events, keys, seconds, clicks, item, capped, heat)
+    done = after.filter(has_click("recovery") & ~F.col("cancelled"))
+    return phase1.drop(*gone), done.drop("cancelled", *gone)
+
+
+def recordings(
+    errors: DataFrame, events: DataFrame, keys: str | Sequence[str] = "session_id", seconds: float = REPLAY_SECONDS,
+    clicks: int = REPLAY_CLICKS, item: Column | None = None, capped: bool = True, heat: Heat = MAX_ROWS,
+) -> DataFrame:
+    """``replay_after`` with ``cancelled``: did the client's next error come before the recording had ended?"""
+    asked = as_keys(keys)
+    item = _item_of(events, asked, item)
+    errors, events, keys = lone_keys(errors, events, asked)
+    spots = errors.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
+    heat = resolve_heat(spots, keys, "ts", heat)
+    after = replay_after(errors, events, keys, seconds, clicks, item, capped=capped, heat=heat)
     # The next error of the client, when it comes soon enough to cancel.
     numbered = after.withColumn("_us", micros("ts"))
     stop = F.when(F.size("recovery") >= clicks, micros(F.get("recovery", clicks - 1)["ts"])).otherwise(
@@ -354,5 +369,5 @@ def two_phase_replay(
         return d.withColumn("_next", F.lead("_us").over(w))
 
     with_next = _halo_split(numbered, keys, nxt, 0, seconds, heat)
-    done = with_next.filter(has_click("recovery") & ~F.coalesce(F.col("_next") < stop, F.lit(False)))
-    return phase1.drop(*gone), done.drop("_us", "_next", *gone)
+    out = with_next.withColumn("cancelled", F.coalesce(F.col("_next") < stop, F.lit(False))).drop("_us", "_next")
+    return out if LONE in asked else out.drop(LONE)

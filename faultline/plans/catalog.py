@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from faultline.plans import registry
-from faultline.plans import q_backend, q_privacy, q_records, q_scans, q_sources, q_stats, q_streams, q_windows  # noqa: F401
+from faultline.plans import q_backend, q_carried, q_privacy, q_records, q_scans, q_sources, q_stats, q_streams, q_windows  # noqa: F401
 
 
 def _with_utc(fn):

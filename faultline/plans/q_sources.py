@@ -30,13 +30,12 @@ def unpack_batches(spark, sf):
 
 
 @query("read_recovery_sessions", f"""
-WITH {S.EV} SELECT 's' || user_id AS session_id, event_id, epoch_us(ts) // 1000 * 1000 AS ts_us, event_type AS type FROM ev WHERE event_type IN ('click', 'view')
-UNION ALL SELECT 's' || user_id, event_id, (epoch_us(ts) // 1000 + 5) * 1000, 'click' FROM ev WHERE event_type IN ('click', 'view')""")
+WITH {S.EV} SELECT 's' || user_id AS session_id, event_id, epoch_us(ts) // 1000 * 1000 AS ts_us, event_type AS type FROM ev
+UNION ALL SELECT 's' || user_id, event_id, (epoch_us(ts) // 1000 + 5) * 1000, 'click' FROM ev""")
 def read_recovery_sessions(spark, sf):
     at = F.unix_millis("ts")
     item = lambda t, ms: F.struct(t.alias("type"), F.lit("after_error").alias("phase"), ms.alias("timestamp"))
-    rows = S.events(spark, sf).filter("event_type IN ('click', 'view')")
-    body = rows.select(F.to_json(F.struct(
+    body = S.events(spark, sf).select(F.to_json(F.struct(
         F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("sessionId"), F.col("ts").alias("capturedAt"),
         F.concat(F.lit("/"), F.col("event_id").cast("string")).alias("url"),
         F.array(item(F.col("event_type"), at), item(F.lit("click"), at + 5)).alias("events"))).alias("body"))
@@ -70,14 +69,14 @@ def read_sessions(spark, sf):
 
 
 @query("read_session_events", f"""
-WITH {S.EV} SELECT user_id, 'PAGE_VIEW' AS type, '/p/' || event_id AS url FROM ev WHERE event_type = 'view'
-UNION ALL SELECT user_id, 'CLICK', '/c/' || event_id FROM ev WHERE event_type = 'view' AND k % 2 = 0""")
+WITH {S.EV} SELECT user_id, upper(event_type) AS type, '/p/' || event_id AS url FROM ev
+UNION ALL SELECT user_id, 'CLICK', '/c/' || event_id FROM ev WHERE k % 2 = 0""")
 def read_session_events(spark, sf):
     eid = F.col("event_id").cast("string")
-    item = lambda t, p: F.struct(F.lit(t).alias("type"), F.concat(F.lit(p), eid).alias("url"), F.col("ts").alias("timestamp"))
-    one, two = item("PAGE_VIEW", "/p/"), item("CLICK", "/c/")
+    item = lambda t, p: F.struct(t.alias("type"), F.concat(F.lit(p), eid).alias("url"), F.col("ts").alias("timestamp"))
+    one, two = item(F.upper("event_type"), "/p/"), item(F.lit("CLICK"), "/c/")
     body = F.when(F.col("k") % 2 == 0, F.to_json(F.array(one, two))).otherwise(F.to_json(one))
-    rows = S.events(spark, sf).filter("event_type = 'view'").select("user_id", body.alias("body"))
+    rows = S.events(spark, sf).select("user_id", body.alias("body"))
     return readers.read_session_events(rows).select("user_id", "type", "url")
 
 

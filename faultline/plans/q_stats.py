@@ -41,21 +41,30 @@ def buffer_counts(spark, sf):
 
 
 @query("detector_counts", f"""
-WITH {S.RAW}, f AS (SELECT event_id, client_id, ts, coalesce(message, '') || ':' || coalesce(string_split(stack, chr(10))[2], '') AS fp,
+WITH {S.RAW}, act AS (SELECT 'c' || user_id AS client_id, event_id, ts FROM ev WHERE event_type <> 'error'),
+f AS (SELECT event_id, client_id, ts, coalesce(message, '') || ':' || coalesce(string_split(stack, chr(10))[2], '') AS fp,
   coalesce(message <> '' AND (contains(lower(message), 'script error') OR contains(lower(message), 'loading chunk')), false) AS ignored FROM raw),
-r AS (SELECT *, row_number() OVER (PARTITION BY client_id, fp, ignored, epoch_us(ts) // {72 * H * 1_000_000} ORDER BY ts, event_id) > 1 AS again FROM f)
+r AS (SELECT *, row_number() OVER (PARTITION BY client_id, fp, ignored, epoch_us(ts) // {72 * H * 1_000_000} ORDER BY ts, event_id) > 1 AS again FROM f),
+ok AS (SELECT *, lead(ts) OVER (PARTITION BY client_id ORDER BY ts, event_id) AS nxt FROM r WHERE NOT ignored AND NOT again),
+p AS (SELECT e.event_id, c.ts, row_number() OVER (PARTITION BY e.event_id ORDER BY c.ts, c.event_id) AS rn
+  FROM ok e JOIN act c ON c.client_id = e.client_id AND c.ts > e.ts AND c.ts < e.ts + INTERVAL 24 HOUR),
+stops AS (SELECT e.event_id, CASE WHEN count(p.ts) >= 3 THEN max(p.ts) ELSE e.ts + INTERVAL 24 HOUR END AS stop FROM ok e LEFT JOIN p ON p.event_id = e.event_id AND p.rn <= 3 GROUP BY e.event_id, e.ts),
+cut AS (SELECT event_id FROM ok JOIN stops USING (event_id) WHERE nxt < stop)
 SELECT client_id, count(*) AS errors_detected, count(*) FILTER (ignored) AS errors_ignored, count(*) FILTER (NOT ignored AND again) AS duplicates_prevented,
-  count(*) FILTER (NOT ignored AND NOT again) AS replays_captured, count(*) FILTER (NOT ignored AND NOT again) AS recoveries_started, CAST(0 AS BIGINT) AS recoveries_cancelled FROM r GROUP BY 1""")
+  count(*) FILTER (NOT ignored AND NOT again) AS replays_captured, count(*) FILTER (NOT ignored AND NOT again) AS recoveries_started,
+  count(*) FILTER (event_id IN (SELECT event_id FROM cut)) AS recoveries_cancelled FROM r GROUP BY 1""")
 def detector_counts(spark, sf):
     from faultline.functions.stack import error_fingerprint
 
     rows = S.raw_errors(spark, sf).select(
         "event_id", "client_id", "ts", is_ignored_error("message").alias("ignored"), error_fingerprint("message", "stack").alias("fp"))
     first = joins.dedupe_fingerprint(rows.filter(~F.col("ignored")), ["client_id", "fp"], every=72 * H)
-    rows = rows.join(first.select("event_id", F.lit(True).alias("_new")), "event_id", "left")
+    acts = S.actions(spark, sf).withColumn("client_id", F.concat(F.lit("c"), F.col("user_id").cast("string")))
+    runs = trails.recordings(first.select("event_id", "client_id", "ts"), acts, "client_id", 24 * H, 3, capped=False)
+    rows = rows.join(runs.select("event_id", F.lit(True).alias("_new"), "cancelled"), "event_id", "left")
     new = F.coalesce("_new", F.lit(False))
     return stats.detector_stats(rows.withColumns({
-        "repeated": ~new, "recovery_started": new, "recovery_cancelled": F.lit(False)}), "client_id")
+        "repeated": ~new, "recovery_started": new, "recovery_cancelled": F.coalesce("cancelled", F.lit(False))}), "client_id")
 
 
 # Page elements: the tags of each page's html, hung below one another by

@@ -292,16 +292,23 @@ def phase_events(spark, sf):
 
 
 _GATE = "k % 5 <> 0"
-_TWO = f"""
-WITH {S.ERR}, ok AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM err WHERE {_GATE}),
+
+
+def two_ctes(hours: int) -> str:
+    """CTEs ``ok`` (errors that start a recording), ``a`` (their recordings of up to so many hours) and ``b`` (replays)."""
+    return f"""{S.ERR}, ok AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nxt FROM err WHERE {_GATE}),
 p AS (SELECT e.event_id, c.event_id AS cid, c.ts, c.event_type, row_number() OVER (PARTITION BY e.event_id ORDER BY c.ts, c.event_id) AS rn
-  FROM ok e JOIN act c ON c.user_id = e.user_id AND c.ts > e.ts AND c.ts < e.ts + INTERVAL 24 HOUR),
+  FROM ok e JOIN act c ON c.user_id = e.user_id AND c.ts > e.ts AND c.ts < e.ts + INTERVAL {hours} HOUR),
 a AS (SELECT e.event_id, e.ts, e.nxt, string_agg(p.cid, ',' ORDER BY p.ts, p.cid) AS recovery, count(*) FILTER (p.event_type = 'click') AS clicks,
-  CASE WHEN count(p.cid) >= 3 THEN max(p.ts) ELSE e.ts + INTERVAL 24 HOUR END AS stop FROM ok e LEFT JOIN p ON p.event_id = e.event_id AND p.rn <= 3 GROUP BY e.event_id, e.ts, e.nxt),
-b AS ({before_sql("e.ts", 3)})
-SELECT b.event_id, CASE WHEN (SELECT count(*) FROM act c WHERE list_contains(string_split(b.replay, ','), CAST(c.event_id AS VARCHAR)) AND c.event_type = 'click') > 0
-  AND b.event_id IN (SELECT event_id FROM ok) THEN b.replay END AS replay,
-  CASE WHEN a.clicks > 0 AND NOT coalesce(a.nxt < a.stop, false) THEN a.recovery END AS recovery FROM b LEFT JOIN a USING (event_id)"""
+  CASE WHEN count(p.cid) >= 3 THEN max(p.ts) ELSE e.ts + INTERVAL {hours} HOUR END AS stop FROM ok e LEFT JOIN p ON p.event_id = e.event_id AND p.rn <= 3 GROUP BY e.event_id, e.ts, e.nxt),
+b AS ({before_sql("e.ts", 3)}),
+shown AS (SELECT b.event_id, CASE WHEN (SELECT count(*) FROM act c WHERE list_contains(string_split(b.replay, ','), CAST(c.event_id AS VARCHAR)) AND c.event_type = 'click') > 0
+  AND b.event_id IN (SELECT event_id FROM ok) THEN b.replay END AS replay FROM b)"""
+
+
+_TWO = f"""
+WITH {two_ctes(24)}
+SELECT b.event_id, b.replay, CASE WHEN a.clicks > 0 AND NOT coalesce(a.nxt < a.stop, false) THEN a.recovery END AS recovery FROM shown b LEFT JOIN a USING (event_id)"""
 
 
 def _two(spark, sf, **kw):

@@ -9,29 +9,38 @@ from faultline.operators.skew import join_keys, running_ordinal
 from faultline.sources.readers import CORRUPT
 
 
-def write_table(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
+def write_table(df: DataFrame, path: str, ts: str, mode: str = "append", batch: int | None = None) -> None:
     """Parquet partitioned by day, so that time filters prune folders.
 
+    With ``batch`` the rows go to ``batch=…`` below the path, in place of what a first try of the batch left there.
+
     Rows are brought together by day first, so that not every task writes a
     file for every day; Spark splits a large day over several writers.
     """
+    path, mode = (path, mode) if batch is None else (f"{path}/batch={batch}", "overwrite")
     rows = df.withColumn("event_date", F.to_date(ts)).hint("rebalance", "event_date")
     (rows.write.mode(mode).partitionBy("event_date").parquet(path))
 
 
-def write_errors(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:
+def write_batch(df: DataFrame, path: str, batch: int, name: str = "batch") -> None:
+    """One batch in a folder of its own: written again, it replaces itself, so that a retry leaves each row once."""
+    df.write.mode("overwrite").parquet(f"{path}/{name}={batch}")
+
+
+def write_errors(df: DataFrame, path: str, ts: str = "ts", mode: str = "append", batch: int | None = None) -> None:
     """Write good rows, and put bad ones aside instead of failing the batch.
 
     One pass over the input: ``valid=true/event_date=…`` holds the rows that
-    parsed, ``valid=false`` the raw text of the others.
+    parsed, ``valid=false`` the raw text of the others. ``batch`` as in ``write_table``.
     """
+    path, mode = (path, mode) if batch is None else (f"{path}/batch={batch}", "overwrite")
     bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     rows = df.withColumns({"valid": ~bad, "event_date": F.to_date(ts)})
     rows.hint("rebalance", "valid", "event_date").write.mode(mode).partitionBy("valid", "event_date").parquet(path)
 
 
-def write_sessions(df: DataFrame, path: str) -> None:
-    write_table(df, path, "started_at")
+def write_sessions(df: DataFrame, path: str, batch: int | None = None) -> None:
+    write_table(df, path, "started_at", batch=batch)
 
 
 # Saved under the right-hand name where the events have the column.

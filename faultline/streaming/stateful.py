@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from faultline.operators import scans
-from faultline.operators.skew import LONE, as_keys, micros, set_apart
+from faultline.operators.skew import LONE, as_keys, keyed_only, micros, set_apart
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BUCKET_SECONDS = 60.0
 INLINE_ROWS = 5_000
+RECORDING_STOP = 120.0  # fixed value: seconds after which a recording ends whatever its limits
 
 
 class _Ordered(StatefulProcessor):
@@ -139,6 +140,10 @@ class _Scan(_Ordered):
         super().__init__(key_columns, bucket, inline_rows)
         self.machine, self.ttl_us = machine, ttl_us
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for state, us in zip(initialState["state"], initialState["last_us"]):
+            self._remember([json.loads(state), int(us)], 0)
+
     # memory: [machine state, time of the last row]
     def forget_at(self, memory):
         ends = [self.machine.forget_at(tuple(memory[0])), self.ttl_us and memory[1] + self.ttl_us + 1]
@@ -203,6 +208,80 @@ class _Recovery(_Ordered):
                     [[*key, i, u, json.dumps(e)] for i, u, e in over], columns=[*self.key_columns, *self.columns])
 
 
+class _TwoPhase(_Ordered):
+    """Both halves of a session replay: at each error what was recorded before it, and what follows until a limit.
+
+    One recording runs at a time. It ends with its ``clicks``-th event, ``span`` after its error, or, whatever the limits,
+    ``stop`` after it; the next error that passes the gate cancels it. A timer ends it when the client falls silent.
+    """
+
+    columns = ["error_id", "error_us", "phase", "events"]
+
+    @staticmethod
+    def order(row):
+        return row[0], row[2], row[1]
+
+    def __init__(self, key_columns: list[str], bucket: float, inline_rows: int, span_us: int, clicks: int, stop_us: int):
+        super().__init__(key_columns, bucket, inline_rows)
+        self.span_us, self.clicks, self.length = span_us, clicks, min(span_us, stop_us)
+
+    # memory: [recent events as [time, click, body], recording as [error id, time, [[click, body]]] or None]
+    def forget_at(self, memory):
+        recent, running = memory
+        return None if running else recent[-1][0] + self.span_us + 1
+
+    def _over(self, running) -> list:
+        """A recording's row; none without a click in it."""
+        error_id, us, events = running
+        return [[error_id, us, "after", "[" + ",".join(body for _, body in events) + "]"]] if any(c for c, _ in events) else []
+
+    def _before(self, recent, us) -> str | None:
+        """Events of the last span; of the clicks only the last few."""
+        young = [r for r in recent if r[0] >= us - self.span_us]
+        skip = sum(r[1] for r in young) - self.clicks
+        shown = []
+        for _, click, body in young:
+            if not click or skip <= 0:
+                shown.append(body)
+            skip -= click
+        return "[" + ",".join(shown) + "]" if any(r[1] for r in young) else None
+
+    def advance(self, memory, ready):
+        recent, running = memory or [[], None]
+        out = []
+        for us, row_id, is_error, body in ready:
+            if running and us - running[1] >= self.length:
+                out += self._over(running)
+                running = None
+            if is_error:
+                passes = body == "true"
+                out.append([row_id, us, "before", self._before(recent, us) if passes else None])
+                if passes:
+                    running = [row_id, us, []]
+                    self.handle.registerTimer((us + self.length) // 1000 + 1)
+                continue
+            click = '"type":"click"' in body and json.loads(body).get("type") == "click"
+            recent.append([us, click, body])
+            if running:
+                running[2].append([click, body])
+                if len(running[2]) >= self.clicks:
+                    out += self._over(running)
+                    running = None
+        newest = recent[-1][0] if recent else 0
+        recent = [r for r in recent if r[0] >= newest - self.span_us]
+        return out, ([recent, running] if recent or running else None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._release(key, timerValues, *self._load())
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        if self.memory.exists():
+            recent, running = json.loads(self.memory.get()[0])
+            if running and running[1] + self.length <= mark:
+                self._remember([recent, None] if recent else None, mark)
+                if out := self._over(running):
+                    yield pd.DataFrame([[*key, *r] for r in out], columns=[*self.key_columns, *self.columns])
+
+
 def _keyed(df: DataFrame, keys: list[str], delay: str, flag: Column, body: Column, ts: str, row_id: str):
     spark = df.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -215,10 +294,12 @@ def _keyed(df: DataFrame, keys: list[str], delay: str, flag: Column, body: Colum
 def stream_scan(
     df: DataFrame, keys: str | Sequence[str], machine, name: str, delay: str = "24 hours", flag: Column | None = None,
     ts: str = "ts", row_id: str = "event_id", ttl: float | None = None, bucket: float = BUCKET_SECONDS,
-    inline_rows: int = INLINE_ROWS,
+    inline_rows: int = INLINE_ROWS, start: DataFrame | None = None,
 ) -> DataFrame:
     """Streaming form of ``ordered_scan``: the same rows with the same result.
 
+    ``start``, a table as ``scans.carry_on`` gives, holds the states keys have when the stream is first started.
+
     A row comes out once the watermark (``delay`` behind the newest time)
     has passed it. The other columns ride along as JSON. With ``ttl`` the
     state of a key counts only that many seconds after its last row.
@@ -231,7 +312,9 @@ def stream_scan(
         df, keys, delay, F.lit(True) if flag is None else F.coalesce(flag, F.lit(False)),
         F.to_json(F.struct(*[F.unix_micros(c).alias(c) if c == ts else F.col(c) for c in rest])), ts, row_id)
     schema = T.StructType([df.schema[k] for k in keys]).add("_body", T.StringType()).add("_result", T.IntegerType())
-    out = grouped.transformWithStateInPandas(_Scan(keys, bucket, inline_rows, machine, None if ttl is None else int(ttl * 1_000_000)), schema, "append", "eventTime")
+    known = None if start is None else start.select(*keys, "state", "last_us").groupBy(*keys)
+    scan = _Scan(keys, bucket, inline_rows, machine, None if ttl is None else int(ttl * 1_000_000))
+    out = grouped.transformWithStateInPandas(scan, schema, "append", "eventTime", initialState=known)
     fields = T.StructType([
         T.StructField(f.name, T.LongType() if f.name == ts else f.dataType) for f in df.schema.fields if f.name in rest])
     row = F.from_json("_body", fields)
@@ -246,6 +329,8 @@ def stream_debounce(df: DataFrame, keys, ms: int = scans.DEBOUNCE_MS, delay: str
 def _apart_scan(df: DataFrame, keys, machine, name: str, delay: str, row_id: str = "event_id", **kw) -> DataFrame:
     """As in the batch form, rows without a key are strangers to each other."""
     keys = as_keys(keys)
+    if kw.get("start") is not None:
+        kw["start"] = keyed_only(kw["start"], keys)
     return stream_scan(set_apart(df, keys, row_id), [*keys, LONE], machine, name, delay, row_id=row_id, **kw).drop(LONE)
 
 
@@ -273,6 +358,28 @@ def stream_outage_states(
     return out.withColumn("state", F.get(names, F.col("_mode"))).drop("_mode")
 
 
+def stream_two_phase(
+    timeline: DataFrame, keys, is_error: Column, seconds: float, clicks: int, item: Column, gate: Column | None = None,
+    stop: float = RECORDING_STOP, delay: str = "24 hours", ts: str = "ts", row_id: str = "event_id", bucket: float = BUCKET_SECONDS,
+    inline_rows: int = INLINE_ROWS,
+) -> DataFrame:
+    """``two_phase_replay`` over a stream of errors and events: ``error_id, error_us, phase, events``.
+
+    Each error gives a row ``before``, at once when the watermark passes it; ``events`` is null where it fails the ``gate``
+    or nobody clicked. An error that passes and whose recording holds a click gives a row ``after``, unless the next one
+    that passes cancels it. ``item`` needs a field ``type``. Rows without a key are strangers to each other.
+    """
+    asked = as_keys(keys)
+    timeline, keys = set_apart(timeline, asked, row_id), [*asked, LONE]
+    passes = F.lit(True) if gate is None else F.coalesce(gate, F.lit(False))
+    body = F.when(is_error, passes.cast("string")).otherwise(F.to_json(item))
+    grouped = _keyed(timeline, keys, delay, is_error, body, ts, row_id)
+    schema = T.StructType([timeline.schema[k] for k in keys])
+    schema = schema.add("error_id", T.LongType()).add("error_us", T.LongType()).add("phase", T.StringType()).add("events", T.StringType())
+    machine = _TwoPhase(keys, bucket, inline_rows, int(seconds * 1_000_000), clicks, int(stop * 1_000_000))
+    return grouped.transformWithStateInPandas(machine, schema, "append", "eventTime").drop(LONE)
+
+
 def stream_replay_after(
     timeline: DataFrame, keys, is_error: Column, seconds: float, clicks: int, item: Column, delay: str = "24 hours",
     ts: str = "ts", row_id: str = "event_id", bucket: float = BUCKET_SECONDS,
