@@ -48,21 +48,21 @@ def round_half_up(c: Column) -> Column:
     return F.floor(c + 0.5).cast("int")
 
 
-def skip_reason(max_depth: int = MAX_DEPTH) -> Column:
+def skip_reason(max_depth: int = MAX_DEPTH, of=F.col, depth: Column | None = None) -> Column:
     """Why an element (and all below it) is left out of a snapshot; null = kept.
 
-    Reads the columns of the element table.
+    Reads the columns of the element table, or, with ``of`` and ``depth``, the fields of a struct.
     """
-    right = F.col("x") + F.col("width")
-    bottom = F.col("y") + F.col("height")
+    right = of("x") + of("width")
+    bottom = of("y") + of("height")
     far = (
-        (bottom < -OFF_SCREEN) | (F.col("y") > F.col("viewport_height") + OFF_SCREEN)
-        | (right < -OFF_SCREEN) | (F.col("x") > F.col("viewport_width") + OFF_SCREEN)
+        (bottom < -OFF_SCREEN) | (of("y") > F.col("viewport_height") + OFF_SCREEN)
+        | (right < -OFF_SCREEN) | (of("x") > F.col("viewport_width") + OFF_SCREEN)
     )
-    hidden = (F.col("display") == "none") | (F.col("visibility") == "hidden") | (F.col("opacity") == 0) | far
+    hidden = (of("display") == "none") | (of("visibility") == "hidden") | (of("opacity") == 0) | far
     return (
-        F.when(F.col("depth") >= max_depth, "max_depth")
-        .when(F.lower("tag").isin(*NON_VISUAL_TAGS), "non_visual")
+        F.when((F.col("depth") if depth is None else depth) >= max_depth, "max_depth")
+        .when(F.lower(of("tag")).isin(*NON_VISUAL_TAGS), "non_visual")
         .when(hidden, "invisible")
-        .when((F.col("width") < MIN_SIZE) | (F.col("height") < MIN_SIZE), "tiny")
+        .when((of("width") < MIN_SIZE) | (of("height") < MIN_SIZE), "tiny")
     )

@@ -7,14 +7,71 @@ a fixed number of joins or windows, never an open-ended recursion.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions import dom as D
+from faultline.functions.text import let
 
 VIEW = ("viewport_width", "viewport_height", "scroll_x", "scroll_y")
 
 
+STYLE = (
+    "tag STRING, x DOUBLE, y DOUBLE, width DOUBLE, height DOUBLE, display STRING, visibility STRING, "
+    "opacity DOUBLE, background_color STRING, cursor STRING, has_onclick BOOLEAN")
+STYLE_NAMES = [part.split()[0] for part in STYLE.split(", ")]
+REASONS = ("invisible", "tiny", "non_visual", "max_depth")
+
+
+def seen_elements(df: DataFrame, text: str = "snapshot", key: str = "snapshot_id", max_depth: int = D.MAX_DEPTH) -> DataFrame:
+    """Snapshots with ``seen``: the elements a walk from the root meets, each with its ``skip`` reason.
+
+    One row a snapshot, unfolded level by level inside it. Only elements without a reason are unfolded, so what lies below a
+    skipped one is never parsed, and nothing is joined or shuffled. A record without a tree has an empty list.
+    """
+    record = "viewport STRUCT<width: INT, height: INT, scrollX: DOUBLE, scrollY: DOUBLE>, tree STRING"
+
+    def node(node_id: Column, parent: Column, depth: Column, body: Column) -> Column:
+        return let(F.from_json(body, STYLE), lambda s: F.struct(
+            node_id.alias("node_id"), parent.alias("parent_id"), depth.alias("depth"), body.alias("_json"),
+            *[s[n].alias(n) for n in STYLE_NAMES], D.skip_reason(max_depth, lambda n: s[n], depth).alias("skip")))
+
+    def children(n: Column) -> Column:
+        kids = F.from_json(F.get_json_object(n["_json"], "$.children"), "ARRAY<STRING>")
+        return F.transform(F.coalesce(kids, F.array().cast("array<string>")), lambda kid, i: node(
+            F.concat(n["node_id"], F.lit("."), i.cast("string")), n["node_id"], n["depth"] + 1, kid))
+
+    view = lambda x, default=None: F.coalesce(F.col(f"_r.viewport.{x}"), F.lit(default).cast("double" if default is not None else "int"))
+    top = df.withColumn("_r", F.from_json(text, record)).withColumns({
+        "viewport_width": view("width"), "viewport_height": view("height"), "scroll_x": view("scrollX", 0.0), "scroll_y": view("scrollY", 0.0)})
+    tree = F.col("_r.tree")
+    root = node(F.lit("0"), F.lit(None).cast("string"), F.lit(0), tree)
+    top = top.withColumn("_level", F.filter(F.array(root), lambda n: n["_json"].isNotNull())).withColumn("seen", F.col("_level"))
+    for _ in range(max_depth):
+        below = F.flatten(F.transform(F.filter("_level", lambda n: n["skip"].isNull()), children))
+        top = top.withColumn("_level", below).withColumn("seen", F.concat("seen", "_level"))
+    return top.drop("_r", "_level")
+
+
+def shown_elements(seen: DataFrame, key: str = "snapshot_id") -> DataFrame:
+    """``visual_elements`` of the rows of ``seen_elements``, without a join."""
+    rows = seen.select(key, *VIEW, F.explode(F.filter("seen", lambda n: n["skip"].isNull())).alias("_n"))
+    rows = rows.select(key, *VIEW, *[f"_n.{n}" for n in ("node_id", "parent_id", "depth", *STYLE_NAMES)])
+    return rows.select(*_shown_columns(key))
+
+
+def seen_stats(seen: DataFrame, key: str = "snapshot_id") -> DataFrame:
+    """``element_stats`` of the rows of ``seen_elements``, counted inside each row."""
+    named = {"max_depth": "max_depth_reached"}
+    return seen.select(
+        key, F.size(F.filter("seen", lambda n: n["skip"].isNull())).cast("bigint").alias("total_elements"),
+        *[_skipped(reason).alias(named.get(reason, f"skipped_{reason}")) for reason in REASONS])
+
+
+def _skipped(reason: str) -> Column:
+    return F.size(F.filter("seen", lambda n: F.coalesce(n["skip"] == reason, F.lit(False)))).cast("bigint")
+
+
 def snapshot_elements(df: DataFrame, text: str = "snapshot", key: str = "snapshot_id", max_depth: int = D.MAX_DEPTH) -> DataFrame:
     """Nested snapshot JSON to element rows.
 
@@ -24,10 +81,7 @@ def snapshot_elements(df: DataFrame, text: str = "snapshot", key: str = "snapsho
     at ``max_depth`` are listed (their skip reason is the depth), those
     below are not. ``node_id`` is the path of child positions.
     """
-    style = (
-        "tag STRING, x DOUBLE, y DOUBLE, width DOUBLE, height DOUBLE, display STRING, visibility STRING, "
-        "opacity DOUBLE, background_color STRING, cursor STRING, has_onclick BOOLEAN")
-    names = [part.split()[0] for part in style.split(", ")]
+    style, names = STYLE, STYLE_NAMES
     view = "viewport STRUCT<width: INT, height: INT, scrollX: DOUBLE, scrollY: DOUBLE>, tree STRING"
     top = df.select(key, F.from_json(text, view).alias("_r")).select(
         key,
@@ -78,8 +132,11 @@ def visual_elements(elements: DataFrame, key: str = "snapshot_id") -> DataFrame:
 
     A left-out element takes everything below it along.
     """
-    kept = mark_skips(elements, key).filter("kept")
-    return kept.select(
+    return mark_skips(elements, key).filter("kept").select(*_shown_columns(key))
+
+
+def _shown_columns(key: str) -> list[Column | str]:
+    return [
         key, "node_id", "parent_id", "depth", F.lower("tag").alias("type"),
         D.round_half_up(F.col("x") + F.col("scroll_x")).alias("x"),
         D.round_half_up(F.col("y") + F.col("scroll_y")).alias("y"),
@@ -87,7 +144,7 @@ def visual_elements(elements: DataFrame, key: str = "snapshot_id") -> DataFrame:
         D.rgb_to_hex("background_color").alias("bg_color"), D.layout_type("display").alias("layout"),
         D.is_interactive(F.col("tag"), F.col("has_onclick"), F.col("cursor")).alias("is_interactive"),
         D.is_text("tag").alias("is_text"),
-    )
+    ]
 
 
 def element_stats(elements: DataFrame, key: str = "snapshot_id") -> DataFrame:

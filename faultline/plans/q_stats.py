@@ -141,3 +141,59 @@ def snapshot_trees(spark, sf):
         F.lit('{"viewport":{"width":800,"height":600},"tree":{"tag":"body","children":['), F.array_join(F.transform(tags, leaf), ","), F.lit("]}}"))
     rows = S.table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("snapshot_id"), text.alias("snapshot"))
     return dom.snapshot_elements(rows, max_depth=3).select("snapshot_id", "node_id", "parent_id", "depth", "tag")
+
+
+# The same tags as page trees in JSON: every tag below the body; a p holds one more element, every sixteenth tag ten levels.
+_INNER = {"x": "1.5D", "y": "2D", "width": "30D", "height": "20.25D", "display": "'inline'", "visibility": "'visible'", "opacity": "1D",
+          "background_color": "'rgb(1, 2, 3)'", "cursor": "'auto'", "has_onclick": "false"}
+_STYLES = [c for c in _ELEMENT if c not in ("node_id", "depth")]
+_LEVELS = 11
+
+
+def trees(spark, sf):
+    spell = lambda fields, tag: "to_json(named_struct('tag', " + tag + ", " + ", ".join(f"'{c}', {fields[c].replace('//', 'div')}" for c in _STYLES) + "))"
+    holds = lambda body, children: f"concat(substr({body}, 1, length({body}) - 1), ',\"children\":[', {children}, ']}}')"
+    inner, end = spell(_INNER, "'b'"), f"concat(repeat(']}}', {_LEVELS - 1}), '')"
+    chain = f"concat(repeat(concat(substr(inner, 1, length(inner) - 1), ',\"children\":['), {_LEVELS - 1}), inner, {end})"
+    own = spell(_ELEMENT, "tag")
+    node = f"CASE WHEN i % 16 = 7 THEN {holds(own, chain)} WHEN tag = 'p' THEN {holds(own, 'inner')} ELSE {own} END"
+    rows = S.table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("snapshot_id"), F.regexp_extract_all("html", F.lit("<([a-z0-9]+)"), 1).alias("tags"))
+    rows = rows.withColumn("inner", F.expr(inner)).withColumn("nodes", F.expr(f"transform(tags, (tag, i) -> {node})"))
+    body = F.regexp_replace(F.expr(spell(_INNER, "'body'")), "}$", ',"children":[')
+    text = F.concat(F.lit('{"viewport":{"width":800,"height":600,"scrollY":10.0},"tree":'), body, F.array_join("nodes", ","), F.lit("]}}"))
+    return rows.select("snapshot_id", text.alias("snapshot"))
+
+
+_INNER_SQL = ", ".join(f"{e.replace('D', '.0::DOUBLE').replace('.5.0', '.5').replace('.25.0', '.25')} AS {c}" for c, e in _INNER.items())
+_TREES = (
+    f"t AS (SELECT CAST(page_id AS VARCHAR) AS snapshot_id, {_TAGS} AS tags FROM pages), "
+    "u AS (SELECT snapshot_id, unnest(tags) AS tag, unnest(range(len(tags))) AS i FROM t), "
+    "own AS (SELECT snapshot_id, i, '0.' || i AS path, tag, 1 AS depth, " + ", ".join(f"{_ELEMENT[c]} AS {c}" for c in _STYLES) + " FROM u), "
+    f"marked AS (SELECT * EXCLUDE (i), i, {_REASON} AS skip FROM own), "
+    f"nodes AS (SELECT snapshot_id, '0' AS path, 'body' AS tag, 0 AS depth, {_INNER_SQL}, NULL AS skip FROM t "
+    "UNION ALL SELECT snapshot_id, path, tag, depth, " + ", ".join(_STYLES) + ", skip FROM marked "
+    f"UNION ALL SELECT snapshot_id, path || '.0', 'b', 2, {_INNER_SQL}, NULL FROM marked WHERE skip IS NULL AND tag = 'p' AND i % 16 <> 7 "
+    f"UNION ALL SELECT snapshot_id, path || repeat('.0', CAST(n AS INTEGER)), 'b', 1 + n, {_INNER_SQL}, CASE WHEN n >= 9 THEN 'max_depth' END FROM marked, range(1, 10) r(n) WHERE skip IS NULL AND i % 16 = 7)"
+)
+
+
+@query("shown_elements", f"""
+WITH {_TREES}
+SELECT snapshot_id, path AS node_id, CASE WHEN path <> '0' THEN regexp_replace(path, '[.][0-9]+$', '') END AS parent_id, CAST(depth AS INTEGER) AS depth, tag AS type,
+  CAST(floor(x + 0.5) AS INTEGER) AS x, CAST(floor(y + 10.5) AS INTEGER) AS y, CAST(floor(width + 0.5) AS INTEGER) AS width, CAST(20 AS INTEGER) AS height,
+  CASE WHEN background_color = 'rgb(1, 2, 3)' THEN '#010203' WHEN background_color LIKE 'rgb(%' THEN '#' || lpad(lower(to_hex(CAST(regexp_extract(background_color, '([0-9]+)', 1) AS INT))), 2, '0') || '0aff'
+    WHEN background_color LIKE 'rgba(1%' THEN '#0102' || lpad(lower(to_hex(CAST(regexp_extract(background_color, '2, ([0-9]+)', 1) AS INT))), 2, '0') END AS bg_color,
+  CASE WHEN contains(display, 'flex') THEN 'flex' WHEN contains(display, 'grid') THEN 'grid' WHEN display IN ('inline', 'inline-block') THEN 'inline' ELSE 'block' END AS layout,
+  tag IN ('a', 'button', 'input', 'select', 'textarea', 'label') OR has_onclick OR cursor = 'pointer' AS is_interactive,
+  tag IN ('p', 'span', 'h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'li', 'label', 'td', 'th', 'code', 'pre') AS is_text
+FROM nodes WHERE skip IS NULL""")
+def shown_elements(spark, sf):
+    return dom.shown_elements(dom.seen_elements(trees(spark, sf)))
+
+
+@query("seen_counts", f"""
+WITH {_TREES}
+SELECT snapshot_id, count(*) FILTER (skip IS NULL) AS total_elements, count(*) FILTER (skip = 'invisible') AS skipped_invisible, count(*) FILTER (skip = 'tiny') AS skipped_tiny,
+  count(*) FILTER (skip = 'non_visual') AS skipped_non_visual, count(*) FILTER (skip = 'max_depth') AS max_depth_reached FROM nodes GROUP BY 1""")
+def seen_counts(spark, sf):
+    return dom.seen_stats(dom.seen_elements(trees(spark, sf)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,13 @@ def newest(query: StreamingQuery) -> datetime | None:
     return max((datetime.fromisoformat(x.replace("Z", "+00:00")) for x in seen), default=None)
 
 
+def reached(spark: SparkSession, checkpoint: str) -> datetime | None:
+    """The watermark that a query's last batch left, as its checkpoint knows it, whatever has been restarted since."""
+    found = spark.read.text(f"{checkpoint}/commits").select(F.regexp_extract("value", r'"nextBatchWatermarkMs":(\d+)', 1).try_cast("long").alias("ms"))
+    last = found.agg(F.max("ms")).first()[0]
+    return datetime.fromtimestamp(last / 1000, timezone.utc) if last else None
+
+
 def drain_and_close(
     rows: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, marks: list[dict], hold: float, ts: str = "ts",
     drain: Callable[[DataFrame, str, str], StreamingQuery] | None = None,
@@ -59,12 +66,16 @@ def drain_and_close(
 
     ``hold`` is how many seconds past the newest row the watermark has to
     come, its own delay included. Returns the schema of what was written.
+    The newest time is told by the progress and by the watermark in the
+    checkpoint, so it is known after any number of batches and restarts.
     """
     drain = drain or drain_to_table
     folder, checkpoint = f"{path}-closing", f"{path}-checkpoint"
     out = build(with_closing(rows, folder))
-    last = newest(drain(out, path, checkpoint))
-    if last is not None:
+    seen, mark = newest(drain(out, path, checkpoint)), reached(rows.sparkSession, checkpoint)
+    times = [x for x in (seen, mark and mark + timedelta(seconds=hold)) if x is not None]
+    if times:
+        last = max(times)
         write_closing(rows.sparkSession, rows.schema, folder, marks, ts, last + timedelta(seconds=hold))
         drain(build(with_closing(rows, folder)), path, checkpoint)
     return out.schema

@@ -86,6 +86,17 @@ def test_a_closed_stream_holds_nothing_back(spark, tmp_path):
     assert got == {r["event_id"]: r["passed"] for r in scans.dedupe_errors(frame(spark, rows), "client_id", 3).collect()}
 
 
+def test_a_stream_is_closed_after_a_restart_with_nothing_new(spark, tmp_path):
+    rows = timeline(120, seed=26, span=400)
+    build = lambda r: stateful.stream_dedupe_errors(r, "client_id", 3, DELAY)
+    source, path = feed(spark, tmp_path, rows, 3), str(tmp_path / "out")
+    # The first run is lost after its drain: the next one reads no row.
+    sinks.drain_to_table(build(sinks.with_closing(source, f"{path}-closing")), path, f"{path}-checkpoint")
+    schema = sinks.drain_and_close(source, build, path, [{"event_id": -1, "client_id": "nobody"}], 61)
+    got = {r["event_id"]: r["passed"] for r in spark.read.schema(schema).parquet(path).collect()}
+    assert got == {r["event_id"]: r["passed"] for r in scans.dedupe_errors(frame(spark, rows), "client_id", 3).collect()}
+
+
 def test_stream_sessions(spark, tmp_path):
     rows = timeline(200, seed=24, span=3000)
     out = drained(spark, windows.stream_sessions(feed(spark, tmp_path, rows), "client_id", 20, delay=DELAY), tmp_path)
