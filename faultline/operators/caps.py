@@ -42,26 +42,6 @@ def drain(df: DataFrame, keys: str | Sequence[str], n: int = 5, order: Sequence[
     return keep_first_n(df, keys, n, order)
 
 
-def _bytes_from_newest(
-    df: DataFrame, keys: str | Sequence[str], size: Column, order: Sequence[str], ts: str, heat: Heat
-) -> DataFrame:
-    """Adds ``_tail``: bytes of a row and all newer rows of its key."""
-    newest_first = [F.col(c).desc() for c in order]
-
-    def plain(d: DataFrame, ks: list[str]) -> DataFrame:
-        w = Window.partitionBy(*ks).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
-        return d.withColumn("_tail", F.sum("_bytes").over(w))
-
-    def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
-        sums = d.groupBy(*ks, SLICE).agg(F.sum("_bytes").alias("_sum"))
-        later = Window.partitionBy(*ks).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
-        base = sums.select(*ks, SLICE, F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_newer"))
-        d = join_carry(plain(d, [*ks, SLICE]), base, ks)
-        return d.withColumn("_tail", F.col("_tail") + F.col("_newer")).drop("_newer")
-
-    return by_heat(df.withColumn("_bytes", size.cast("bigint")), keys, plain, sliced, ts, heat)
-
-
 def cap_bytes(
     df: DataFrame, keys: str | Sequence[str], max_bytes: int, size: Column, marker: Column | None = None,
     order: Sequence[str] = ORDER, ts: str = "ts", heat: Heat = MAX_ROWS,
@@ -70,16 +50,39 @@ def cap_bytes(
 
     The newest row always stays, and pruning stops at the first marker row
     (such as an error) it meets: it and everything newer stay, over the
-    limit or not.
+    limit or not. One shuffle; slices of a hot key get the bytes of newer
+    slices, the first marker and the newest row as a carry.
     """
-    keys = as_keys(keys)
-    rows = _bytes_from_newest(df, keys, size, order, ts, heat)
+    newest_first = [F.col(c).desc() for c in order]
     at = F.struct(*[F.col(c) for c in order])
-    stop = F.min(F.when(marker, at)) if marker is not None else F.min(F.when(F.lit(False), at))
-    per_key = rows.groupBy(*keys).agg(stop.alias("_stop"), F.max(at).alias("_newest"))
-    kept = join_keys(rows, per_key, keys).filter(
-        (F.col("_tail") <= max_bytes) | (at == F.col("_newest")) | F.coalesce(at >= F.col("_stop"), F.lit(False)))
-    return kept.drop("_bytes", "_tail", "_stop", "_newest")
+    marked = F.min(F.when(F.lit(False) if marker is None else marker, at))
+    rows = df.withColumn("_bytes", size.cast("bigint"))
+
+    def tails(d: DataFrame, ks: list[str]) -> DataFrame:
+        w = Window.partitionBy(*ks).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, 0)
+        return d.withColumn("_tail", F.sum("_bytes").over(w))
+
+    def finish(d: DataFrame) -> DataFrame:
+        kept = d.filter((F.col("_tail") <= max_bytes) | F.col("_last") | F.coalesce(at >= F.col("_stop"), F.lit(False)))
+        return kept.drop("_bytes", "_tail", "_last", "_stop")
+
+    def plain(d: DataFrame, ks: list[str]) -> DataFrame:
+        # The key's rows share a partition: its marker and its newest row are windows over the same sort.
+        whole = Window.partitionBy(*ks).orderBy(*newest_first).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return finish(tails(d, ks).withColumns({"_stop": marked.over(whole), "_last": at == F.first(at).over(whole)}))
+
+    def sliced(d: DataFrame, ks: list[str]) -> DataFrame:
+        parts = d.groupBy(*ks, SLICE).agg(F.sum("_bytes").alias("_sum"), marked.alias("_mark"), F.max(at).alias("_end"))
+        later = Window.partitionBy(*ks).orderBy(F.col(SLICE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        every = Window.partitionBy(*ks)
+        carry = parts.select(
+            *ks, SLICE, F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_newer"), F.min("_mark").over(every).alias("_stop"),
+            F.max("_end").over(every).alias("_newest"))
+        d = join_carry(tails(d, [*ks, SLICE]), carry, ks)
+        d = d.withColumns({"_tail": F.col("_tail") + F.col("_newer"), "_last": at == F.col("_newest")})
+        return finish(d).drop("_newer", "_newest")
+
+    return by_heat(rows, keys, plain, sliced, ts, heat)
 
 
 def halve_over_bytes(

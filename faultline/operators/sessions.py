@@ -85,9 +85,9 @@ def session_ends(sessions: DataFrame, keys: str | Sequence[str], ts: str = "ts")
     keys = as_keys(keys)
     per = sessions.groupBy(*keys, "session_seq", "session_id").agg(
         F.min(ts).alias("started_at"), F.max(ts).alias("last_activity"))
-    # The follow-up session has the next number: a join on it needs no window.
-    nxt = per.select(*keys, (F.col("session_seq") - 1).alias("session_seq"), F.col("started_at").alias("ended_at"))
-    return join_keys(per, nxt, [*keys, "session_seq"]).select(*keys, "session_seq", "session_id", "started_at", "last_activity", "ended_at")
+    # One narrow row a session: the follow-up is the next of them.
+    ended = F.lead("started_at").over(Window.partitionBy(*keys).orderBy("session_seq"))
+    return per.withColumn("ended_at", ended).filter("ended_at IS NOT NULL").select(*keys, "session_seq", "session_id", "started_at", "last_activity", "ended_at")
 
 
 def extend_activity(df: DataFrame, session: str | Sequence[str], ts: str = "ts") -> DataFrame:
