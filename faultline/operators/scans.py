@@ -92,6 +92,56 @@ class Gap:
         return state if i == len(summary["at"]) else (summary["out"][i],)
 
 
+@dataclass(frozen=True)
+class Starved:
+    """``Gap`` with a timer: a row that is not kept arms it, and when it fires the clock moves on without a row being kept.
+
+    State is (clock, armed); the timer fires ``gap`` after the clock. So traffic without a pause of ``gap`` is never kept
+    again, and one kept row starts a grid of stretches that ends with the first empty one.
+    """
+
+    gap: int
+    result = T.BooleanType()
+
+    def begin(self, us, flag):
+        return (None, False)
+
+    def forget_at(self, state):
+        return None if state[0] is None else state[0] + 2 * self.gap
+
+    def step(self, state, us, flag):
+        clock, armed = state
+        if armed and us >= clock + self.gap:
+            clock, armed = clock + self.gap, False
+        if clock is None or us - clock >= self.gap:
+            return (us, False), True
+        return (clock, True), False
+
+    # A stretch of the grid can only be empty between rows at least a gap apart. So all that matters of a slice is where its
+    # runs of closer rows begin and end: at most one for each gap of time, however many rows there are.
+    def summary(self, us, flags):
+        runs = []
+        for t in us:
+            if runs and t - runs[-1][1] < self.gap:
+                runs[-1][1:] = [t, True]
+            else:
+                runs.append([t, t, False])
+        return {"runs": runs}
+
+    def apply(self, summary, state):
+        clock, armed = state or (None, False)
+        for begin, end, many in summary["runs"]:
+            if armed and begin >= clock + self.gap:
+                clock, armed = clock + self.gap, False
+            if clock is None or begin - clock >= self.gap:
+                clock, armed = begin, many
+            else:
+                armed = True
+            if armed and end > clock:
+                clock += (end - clock) // self.gap * self.gap
+        return (clock, armed)
+
+
 @dataclass(frozen=True)
 class Bucket:
     """Token bucket: ``capacity`` tokens, one more every ``per_token`` microseconds.
@@ -382,13 +432,16 @@ def debounce(
 
 
 def throttle_snapshots(
-    df: DataFrame, keys: str | Sequence[str], ms: int = THROTTLE_MS, snapshot: str = "snapshot", heat: Heat = MAX_ROWS
+    df: DataFrame, keys: str | Sequence[str], ms: int = THROTTLE_MS, snapshot: str = "snapshot", heat: Heat = MAX_ROWS,
+    starve: bool = False,
 ) -> DataFrame:
     """At most one snapshot per interval: later ones become null, rows stay.
 
-    Adds ``captured``.
+    Adds ``captured``. With ``starve`` a throttled row arms a timer that moves the clock without a snapshot, as a recorder
+    with a pending capture does: under steady traffic no further snapshot is taken.
     """
-    rows = ordered_scan(df, keys, Gap(max(ms, MIN_THROTTLE_MS) * 1000), "captured", heat=heat)
+    gap = max(ms, MIN_THROTTLE_MS) * 1000
+    rows = ordered_scan(df, keys, Starved(gap) if starve else Gap(gap), "captured", heat=heat)
     return rows.withColumn(snapshot, F.when(F.col("captured"), F.col(snapshot)))
 
 

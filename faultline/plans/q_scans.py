@@ -49,6 +49,30 @@ def throttle_snapshots(spark, sf):
     return scans.throttle_snapshots(clicks, "user_id", 24 * H * 1000).select("event_id", "snapshot")
 
 
+_STARVED = f"""
+WITH RECURSIVE {S.EV}, o AS (SELECT event_id, user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM ev),
+walk AS (SELECT event_id, user_id, rn, us AS clock, false AS armed, true AS keep FROM o WHERE rn = 1
+  UNION ALL SELECT event_id, user_id, rn, CASE WHEN us - clock >= {12 * HU} THEN us ELSE clock END, us - clock < {12 * HU}, us - clock >= {12 * HU} FROM (
+    SELECT o.event_id, o.user_id, o.rn, o.us, CASE WHEN w.armed AND o.us >= w.clock + {12 * HU} THEN w.clock + {12 * HU} ELSE w.clock END AS clock
+    FROM walk w JOIN o ON o.rn = w.rn + 1 AND o.user_id = w.user_id))
+SELECT event_id, CASE WHEN keep THEN 'snap-' || event_id END AS snapshot FROM walk"""
+
+
+def _starved(spark, sf, **kw):
+    rows = S.events(spark, sf).select("event_id", "user_id", "ts", F.concat(F.lit("snap-"), F.col("event_id").cast("string")).alias("snapshot"))
+    return scans.throttle_snapshots(rows, "user_id", 12 * H * 1000, starve=True, **kw).select("event_id", "snapshot")
+
+
+@query("starved_snapshots", _STARVED)
+def starved_snapshots(spark, sf):
+    return _starved(spark, sf)
+
+
+@query("starved_snapshots_sliced", _STARVED)
+def starved_snapshots_sliced(spark, sf):
+    return _starved(spark, sf, heat=25)
+
+
 _DEDUPE = f"""
 WITH RECURSIVE {S.ERR}, m AS (SELECT *, k % 5 AS sig FROM err), {gap_sql('m', 'user_id, sig', 72 * HU, strict=True)}
 SELECT event_id, keep AS passed FROM walk"""
