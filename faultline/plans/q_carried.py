@@ -9,13 +9,14 @@ from faultline.operators.normalize import normalize_log_records
 from faultline.operators.skew import micros
 from faultline.plans import q_records as R
 from faultline.plans import sample as S
-from faultline.plans.q_scans import H, HU, _BUCKET, _DEDUPE, _ROWS, bucket_sql, outage_sql
+from faultline.plans.q_scans import FLOW, H, HU, _ACTS, _BUCKET, _DEDUPE, _FLOW, _ROWS, bucket_sql, flow_text, outage_sql
 from faultline.plans.q_streams import DELAY, MARKS, drained, stream
 from faultline.plans.q_windows import _GATE, two_ctes
 from faultline.plans.registry import query
 from faultline.sources import readers, writers
 from faultline.sources import schemas as K
 from faultline.streaming import sinks, stateful
+from faultline.streaming.flow import stream_browser_flow
 
 DAY = 24 * HU
 START = "2024-01-01 00:00:00"
@@ -152,6 +153,20 @@ def stream_two_phase(spark, sf):
     return rows.select("error_id", "phase", F.array_join(F.transform(events, lambda e: e["event_id"].cast("string")), ",").alias("events"))
 
 
+@query("stream_error_flow", _FLOW)
+def stream_error_flow(spark, sf):
+    def build(rows):
+        raw = rows.filter("event_type = 'error'").select("ts", *[F.expr(e).alias(c) for c, e in S.RAW_ERROR.items()])
+        click = F.when(F.col("event_type") == "click", F.struct(F.lit("button").alias("tag"), F.concat(F.lit("t"), F.col("k").cast("string")).alias("access_token")))
+        acts = rows.filter("event_type <> 'error'").select(
+            "event_id", F.expr("'session-' || user_id").alias("session_id"), "ts", F.col("event_type").alias("type"),
+            *[F.expr(e).alias(c) for c, e in _ACTS.items()], click.alias("click"))
+        given = {x: v for x, v in FLOW.items() if x != "capped"}
+        return stream_browser_flow(raw, acts, scrub_urls=True, delay=DELAY, ttl=None, **given)
+
+    return flow_text(drained(spark, stream(spark, sf), build, "flow"))
+
+
 # Rows arrive in ten batches of three days; every seventh is on its way for 23 hours, every eleventh for 25, some for days.
 _ARRIVAL = "CASE WHEN k % 7 = 0 THEN 23 WHEN k % 11 = 0 THEN 25 WHEN k % 13 = 0 THEN 80 ELSE 0 END"
 _SLOTS = 10

@@ -13,6 +13,7 @@ from faultline.plans.registry import query
 
 big = lambda c: F.col(c).cast("bigint").alias(c)
 
+# The line formats of ``functions.stack``, as the oracle spells them.
 # One stack line to its frame text "function|file|line|column", in SQL.
 _PATTERNS = [
     (r"at\s+(.+?)\s+\((.+?):(\d+):(\d+)\)", 1, 2, 3, 4),
@@ -344,7 +345,12 @@ SELECT event_id, CASE k % 7 WHEN 0 THEN 'GET /p/' || k WHEN 1 THEN 'GET /f/' ||
   WHEN 1 THEN CASE WHEN k % 2 = 0 THEN 'error' WHEN 190 + k BETWEEN 200 AND 299 THEN 'info' ELSE 'warning' END
   WHEN 2 THEN CASE WHEN value / 100 > 1.0 THEN 'warning' ELSE 'info' END WHEN 6 THEN 'error' ELSE 'info' END AS level,
   CASE k % 7 WHEN 0 THEN 'http/http' WHEN 1 THEN 'http/fetch' WHEN 2 THEN 'query/database' WHEN 3 THEN 'navigation/navigation'
-  WHEN 4 THEN 'user/action' WHEN 5 THEN 'ui/click' ELSE 'error/exception' END AS kind
+  WHEN 4 THEN 'user/action' WHEN 5 THEN 'ui/click' ELSE 'error/exception' END AS kind,
+  CASE k % 7 WHEN 0 THEN '/p/' || k WHEN 1 THEN '/f/' || k END AS d_url, CASE WHEN k % 7 <= 1 THEN 'GET' END AS d_method,
+  CASE k % 7 WHEN 0 THEN 300 + k * 2 WHEN 1 THEN CASE WHEN k % 2 = 1 THEN 190 + k END END AS d_status_code, CASE WHEN k % 14 = 8 THEN 'down' END AS d_error,
+  CASE k % 7 WHEN 0 THEN value WHEN 1 THEN value WHEN 2 THEN value / 100 END AS d_duration, CASE WHEN k % 7 = 2 THEN 'SELECT ' || k END AS d_query,
+  CASE WHEN k % 7 = 3 THEN '/a' END AS d_from, CASE WHEN k % 7 = 3 THEN '/b' || k END AS d_to, CASE WHEN k % 7 = 5 THEN 'button' END AS d_tag,
+  CASE WHEN k % 7 = 5 THEN CASE WHEN k % 3 = 0 THEN 'b' || k ELSE '' END END AS d_id, CASE WHEN k % 7 = 5 THEN CASE WHEN k % 3 = 1 THEN 'c' || k || ' big' ELSE '' END END AS d_class
 FROM ev""")
 def breadcrumb_kinds(spark, sf):
     rows = S.events(spark, sf)
@@ -360,7 +366,10 @@ def breadcrumb_kinds(spark, sf):
         .when(k % 7 == 5, C.click_breadcrumb(
             ts, F.lit("BUTTON"), F.when(k % 3 == 0, cat("b", kt)), F.when(k % 3 == 1, cat("c", kt, " big"))))
         .otherwise(C.exception_breadcrumb(ts, cat("e", kt))))
-    return rows.withColumn("c", crumb).select("event_id", "c.message", "c.level", F.concat_ws("/", "c.type", "c.category").alias("kind"))
+    kinds = {"status_code": "int", "duration": "double"}
+    data = [F.get_json_object("c.data", f"$.{f}").cast(kinds.get(f, "string")).alias(f"d_{f}") for f in (
+        "url", "method", "status_code", "error", "duration", "query", "from", "to", "tag", "id", "class")]
+    return rows.withColumn("c", crumb).select("event_id", "c.message", "c.level", F.concat_ws("/", "c.type", "c.category").alias("kind"), *data)
 
 
 @query("default_breadcrumbs", f"""

@@ -265,7 +265,11 @@ def error_flow_sliced(spark, sf):
 
 def _flow(spark, sf, **kw):
     raw, acts = flow_rows(spark, sf)
-    out = browser_flow(raw, acts, scrub_urls=True, **FLOW, **kw)
+    return flow_text(browser_flow(raw, acts, scrub_urls=True, **FLOW, **kw))
+
+
+def flow_text(out):
+    """Records of the flow with their lists as text."""
     click = lambda x: F.coalesce(F.concat_ws(":", x["tag"], x["access_token"]), F.lit("-"))
     body = lambda e: F.concat_ws("|", e["event_id"].cast("string"), e["message"], e["url"], F.coalesce(e["data"], F.lit("-")), F.when(e["click"].isNull(), "-").otherwise(click(e["click"])))
     listed = lambda c: F.array_join(F.transform(c, body), ";")
