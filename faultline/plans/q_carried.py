@@ -10,7 +10,7 @@ from faultline.operators.skew import micros
 from faultline.plans import q_records as R
 from faultline.plans import sample as S
 from faultline.plans.q_scans import FLOW, H, HU, _ACTS, _BUCKET, _DEDUPE, _FLOW, _ROWS, bucket_sql, flow_text, outage_sql
-from faultline.plans.q_streams import DELAY, MARKS, drained, stream
+from faultline.plans.q_streams import DELAY, drained, stream
 from faultline.plans.q_windows import _GATE, two_ctes
 from faultline.plans.registry import query
 from faultline.sources import readers, writers
