@@ -164,14 +164,13 @@ def _with_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str = "in
 def slice_at(us: Column, cuts: Column) -> Column:
     """Number of cut points at or before ``us``.
 
-    Two short scans (every s-th cut, then one stretch of s) instead of one
-    over the whole list.
+    A binary search in steps of powers of two: a look past the end of the
+    list is null, and the step is not taken. There are fewer cuts than the
+    steps add up to, see ``find_hot_keys``.
     """
-    stride = F.ceil(F.sqrt(F.size(cuts) + 1)).cast("int")
-    heads = F.filter(cuts, lambda _, i: i % stride == 0)
-    block = F.size(F.filter(heads, lambda c: c <= us))
-    inside = F.slice(cuts, F.greatest((block - 1) * stride + 1, F.lit(1)), stride)
-    return F.when(block == 0, 0).otherwise((block - 1) * stride + F.size(F.filter(inside, lambda c: c <= us)))
+    steps = F.array(*[F.lit(1 << i) for i in range(MAX_HOT.bit_length(), -1, -1)])
+    further = lambda at, step: F.when(F.get(cuts, at + step - 1) <= us, at + step).otherwise(at)
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def cold_rows(df: DataFrame, hot: HotKeys) -> DataFrame:

@@ -342,6 +342,16 @@ def test_slice_lookup(spark):
     assert got == {i: sum(c <= i for c in cuts) for i in range(100)}
 
 
+def test_slice_lookup_does_not_walk_the_whole_list(spark):
+    import time
+
+    cuts = spark.range(1).select(F.sequence(F.lit(0), F.lit(8 * 20_000), F.lit(8)).alias("c"))
+    df = spark.range(0, 20_000, 1, 8).crossJoin(F.broadcast(cuts))
+    start = time.time()
+    wrong = df.select("id", skew.slice_at(F.col("id") * 7, F.col("c")).alias("s")).filter("s <> floor(id * 7 / 8) + 1").count()
+    assert wrong == 0 and time.time() - start < 10
+
+
 def test_invariants(spark):
     df = frame(spark, timeline(300, seed=14))
     mixed = df.orderBy(F.rand(3)).repartition(5)
