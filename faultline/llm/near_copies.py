@@ -1,6 +1,10 @@
 """Near copies by the share of equal word shingles: of each group linked by ``SIMILARITY`` or more one row stays.
 
-Which pairs are looked at: put shingles in any fixed order; two sets of similarity t or more then share one of their
+SimHash comes first: texts whose fingerprints are linked as ``simhash`` links them (``MAX_BITS`` bits, stretches of bits and
+pivot distance tables) are compared on their shingle sets, and what is similar enough is linked. Two texts of similarity 0.8
+differ in ten bits on average, so what follows looks for the pairs that this bound leaves out.
+
+Which pairs are looked at then: put shingles in any fixed order; two sets of similarity t or more then share one of their
 first n - ceil(t n) + 1 shingles, so texts are grouped by these and no pair is lost. Frequent shingles of a sample come
 last in the order, which keeps groups small. Pairs of a group that differ too much in size are no candidates, nor are
 pairs that pivot distance tables, and then all bits, of their fingerprints tell apart. Survivors are verified on their
@@ -13,8 +17,8 @@ shingles as their parities differ in bits, which loses no pair. So a group of co
 which share shingles, is told apart where its rows meet, and its pairs go no further. What judges a text is only brought to
 shingles that stand in two texts at least.
 
-A first round links every text with one other of each of its min-hash groups that size and bits don't tell apart. The second looks only at pairs not yet
-linked, so a large group of copies is never laid out pair by pair.
+A round after SimHash links every text with one other of each of its min-hash groups that size and bits don't tell apart. Both that
+round and the last look only at pairs not yet linked, so a large group of copies is never laid out pair by pair.
 """
 
 from __future__ import annotations
@@ -30,13 +34,13 @@ from pyspark.sql.window import Window
 
 from faultline.llm.components import components
 from faultline.llm.shared import column_of, portions, saved, utf8
-from faultline.llm.simhash import PIVOTS, _close, _tables
+from faultline.llm.simhash import PIVOTS, _close, _tables, links
 
 WORDS, SIMILARITY = 5, 0.8
 FAR_BITS, FEW, SMALL = 24, 64, 400
 SAMPLE, FREQUENT, MOST = 20_000, 20, 50_000  # texts sampled, texts that make a shingle frequent, and how many are kept
 _SEEDS = np.random.default_rng(12).integers(0, 1 << 62, 6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = 1 << 22  # pairs compared at once
+_STEP = 1 << 19  # pairs compared at once
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -133,12 +137,20 @@ def unlinked(vertex: np.ndarray, root: np.ndarray, size: np.ndarray, bits: np.nd
             yield np.minimum(vertex[x[rows]], vertex[y[rows]]), np.maximum(vertex[x[rows]], vertex[y[rows]])
 
 
-def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs ``a``, ``b`` of ``texts`` that share one of their ``first`` shingles and are not linked yet."""
+def _candidates(texts: DataFrame, one: DataFrame, similarity: float, frequent) -> DataFrame:
+    """Distinct pairs ``a``, ``b`` of ``one`` that share one of their first shingles and are not linked yet."""
     names = ["shingle", "vertex", "root", "size", "bits", *PARITY]
-    spread = texts.select("vertex", F.explode("first").alias("shingle"))
+
+    def spread(batches):
+        for batch, sets in _texts(batches, "text"):
+            first = [_first(found, similarity, frequent.value) for found in sets]
+            flat = np.concatenate([np.zeros(0, np.uint64), *first]).view(np.int64)
+            yield pa.record_batch([pa.array(np.repeat(column_of(batch, "vertex").to_numpy(), [len(x) for x in first])), pa.array(flat)], ["vertex", "shingle"])
+
+    # First shingles are listed anew: lists kept from the first pass would be the widest of all that is written here.
+    spread = texts.select("vertex", "text").mapInArrow(spread, "vertex long, shingle long").repartition("shingle").dropDuplicates(["shingle", "vertex"])
     shared = spread.withColumn("n", F.count("*").over(Window.partitionBy("shingle"))).filter("n > 1").drop("n")
-    rows = shared.join(texts.drop("first"), "vertex")
+    rows = shared.join(one, "vertex")
 
     def pairs(held: list[np.ndarray]):
         bounds = np.flatnonzero(np.concatenate([[True], held[0][1:] != held[0][:-1], [True]])) if len(held[0]) else [0]
@@ -159,6 +171,23 @@ def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
     return rows.select(*names).repartition("shingle").sortWithinPartitions("shingle").mapInArrow(run, "a long, b long").distinct()
 
 
+def _by_bits(one: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of vertices that connect what equal fingerprints and SimHash links connect."""
+    heads = saved(one.groupBy("bits").agg(F.min("vertex").alias("head"), F.count("*").alias("n")))
+    equal = one.join(heads.filter("n > 1"), "bits").filter("vertex <> head").select(F.col("head").alias("a"), F.col("vertex").alias("b"))
+    near = links(heads.select("bits")).distinct()
+    for side in ("a", "b"):
+        near = near.join(heads.select(F.col("bits").alias(side), F.col("head").alias(f"head_{side}")), side)
+    return equal.unionByName(near.select(F.col("head_a").alias("a"), F.col("head_b").alias("b")))
+
+
+def _not_linked(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` whose vertices have different roots."""
+    for side in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("vertex").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    return pairs.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def _apart(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``a``, ``b`` without those that sizes, or bits of sets that are not small, tell apart."""
     known = rows.select("vertex", "size", "bits", *PARITY).dropDuplicates(["vertex"])
@@ -210,7 +239,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "
     """The rows of ``docs`` whose id is the smallest among the texts linked with theirs, with all their columns.
 
     Texts are linked if the sets of their five-word shingles, in lower case, have a Jaccard similarity of ``similarity``
-    or more. Null, empty and wordless texts count as equal. A row without an id stays; rows that repeat an id are one
+    or more; SimHash looks for them first. Null, empty and wordless texts count as equal. A row without an id stays; rows that repeat an id are one
     document and all stay or go. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text")).withColumn("vertex", F.xxhash64("text"))
@@ -218,7 +247,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "
 
     def run(batches):
         for batch, sets in _texts(batches, "text"):
-            size, bits, parity, least, first = [], [], [], [], []
+            size, bits, parity, least = [], [], [], []
             for found in sets:
                 size.append(len(found))
                 bits.append(_fingerprint(found))
@@ -226,20 +255,21 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "
                 # Multiplied twice, as high bits of a product alone don't mix well.
                 mixed = found[None, :] * _SEEDS[:, None]
                 least.append(((mixed ^ (mixed >> np.uint64(32))) * _SEEDS[::-1, None]).min(axis=1))
-                first.append(_first(found, similarity, frequent.value))
             yield pa.record_batch(
-                [column_of(batch, "doc_id"), column_of(batch, "vertex"), pa.array(size, pa.int64()), pa.array(bits, pa.int64()), *(pa.array(x, pa.int64()) for x in np.array(parity, np.int64).reshape(-1, 4).T), _lists(least), _lists(first)],
-                ["doc_id", "vertex", "size", "bits", *PARITY, "least", "first"])
+                [column_of(batch, "doc_id"), column_of(batch, "vertex"), pa.array(size, pa.int64()), pa.array(bits, pa.int64()), *(pa.array(x, pa.int64()) for x in np.array(parity, np.int64).reshape(-1, 4).T), _lists(least)],
+                ["doc_id", "vertex", "size", "bits", *PARITY, "least"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = saved(texts.select("doc_id", "vertex", "text").mapInArrow(run, f"doc_id {kind}, vertex long, size long, bits long, {', '.join(f'{x} long' for x in PARITY)}, least array<long>, first array<long>"))
+    rows = saved(texts.select("doc_id", "vertex", "text").mapInArrow(run, f"doc_id {kind}, vertex long, size long, bits long, {', '.join(f'{x} long' for x in PARITY)}, least array<long>"))
     spots = rows.select("vertex", F.posexplode("least").alias("seed", "value")).distinct()
     heads = spots.groupBy("seed", "value").agg(F.min("vertex").alias("head"), F.count("*").alias("n")).filter("n > 1")
     stars = spots.join(heads, ["seed", "value"]).filter("vertex <> head").select(F.col("head").alias("a"), F.col("vertex").alias("b")).distinct()
-    near = _verified(_apart(stars, rows, similarity), texts, similarity)
+    near = _verified(_by_bits(rows.select("vertex", "bits").dropDuplicates(["vertex"])), texts, similarity)
+    roots = saved(components(near))
+    near = near.unionByName(_verified(_apart(_not_linked(stars, roots), rows, similarity), texts, similarity))
     roots = saved(components(near))
-    one = rows.dropDuplicates(["vertex"]).join(roots, "vertex", "left").select("vertex", F.coalesce("root", "vertex").alias("root"), "size", "bits", *PARITY, "first")
-    near = near.unionByName(_verified(_candidates(one, similarity), texts, similarity))
+    one = rows.select("vertex", "size", "bits", *PARITY).dropDuplicates(["vertex"]).join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
+    near = near.unionByName(_verified(_candidates(texts, one, similarity, frequent), texts, similarity))
     roots = saved(components(near))
     named = rows.select("doc_id", "vertex").join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("least"))

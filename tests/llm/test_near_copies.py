@@ -111,3 +111,19 @@ def test_a_group_of_texts_changed_too_much_gives_few_pairs(spark):
     least = least_of(pairs, range(150))
     assert sorted(kept) == [i for i in range(150) if least[i] == i]
     assert sum(seen) < 0.1 * 150 * 149 / 2
+
+
+def test_simhash_links_what_it_finds_and_the_rest_follows(spark, monkeypatch):
+    """Of texts with a word changed SimHash finds pairs; they are verified first and not looked at again."""
+    rng = random.Random(9)
+    words, rows = [f"w{k}" for k in range(5000)], []
+    for i in range(40):
+        base = [rng.choice(words) for _ in range(600)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:-1], rng.choice(words)]))]
+    found, seen = [], []
+    plain_links, plain = near_copies.links, near_copies._verified
+    monkeypatch.setattr(near_copies, "links", lambda bits: found.append(bits.count()) or plain_links(bits))
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or plain(pairs, *rest))
+    kept = [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()]
+    assert sorted(kept) == list(range(0, 80, 2))
+    assert len(found) == 1 and found[0] >= 40 and seen[0] >= 30 and sum(seen) == 40
