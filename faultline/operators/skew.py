@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 MAX_ROWS = 2_000_000
 MAX_HOT = 20_000
+TASK_ROWS = 50_000
 SLICE = "_slice"
 CUTS = "_cuts"
 
@@ -173,6 +174,23 @@ def slice_at(us: Column, cuts: Column) -> Column:
     return F.aggregate(steps, F.lit(0), further)
 
 
+def tasks_for(df: DataFrame, task_rows: int | None = None) -> int | None:
+    """Number of tasks that gives each about ``TASK_ROWS`` rows; one narrow count. None for a stream.
+
+    Rows that list their neighbours are many times the size they have in a
+    shuffle, and AQE merges partitions by that size. A number given to
+    ``dealt`` keeps what one task sorts bounded, whatever the table's size.
+    """
+    if df.isStreaming:
+        return None
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / (task_rows or TASK_ROWS)))
+
+
+def dealt(df: DataFrame, keys: Sequence[str], tasks: int | None) -> DataFrame:
+    """Rows dealt by key to that many tasks; windows on the keys need no shuffle of their own."""
+    return df if tasks is None else df.repartition(tasks, *keys)
+
+
 def cold_rows(df: DataFrame, hot: HotKeys) -> DataFrame:
     return _with_hot(df, hot.cuts, hot.keys, "left_anti")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.crumbs import has_click
 from faultline.operators.skew import (
-    CUTS, LONE, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, hot_rows, join_carry, join_keys, lone_keys, micros,
+    CUTS, LONE, MAX_ROWS, SLICE, Heat, as_keys, by_heat, cold_rows, dealt, hot_rows, join_carry, join_keys, lone_keys, micros,
     resolve_heat, running_ordinal, set_apart, stored, time_halo,
 )
 
@@ -107,7 +107,8 @@ def _past_errors(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _look_back(
-    rows: DataFrame, keys: list[str], heat: Heat, n: int | None = None, seconds: float | None = None, clicks: int | None = None
+    rows: DataFrame, keys: list[str], heat: Heat, n: int | None = None, seconds: float | None = None, clicks: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Errors of a timeline with their last ``n`` items and/or their replay.
 
@@ -122,7 +123,7 @@ def _look_back(
     def plain(d: DataFrame, ks: list[str]) -> DataFrame:
         along = Window.partitionBy(*ks).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
         mine = (F.col("_kind") == 1) & F.col("_home")
-        d = d.withColumn("_us", micros("ts")).withColumns({
+        d = dealt(d, ks, tasks).withColumn("_us", micros("ts")).withColumns({
             "_items": F.count(F.when(F.col("_t"), F.col("_item"))).over(along),
             "_clicks": F.count_if(F.col("_click") & F.col("_r")).over(along),
             "prior_errors": F.col("_past") + F.count_if(mine).over(along) - 1,
@@ -164,25 +165,26 @@ def _look_back(
 
 def attach_breadcrumbs(
     errors: DataFrame, crumbs: DataFrame, keys: str | Sequence[str] = "client_id", n: int = MAX_CRUMBS,
-    item: Column | None = None, heat: Heat = MAX_ROWS,
+    item: Column | None = None, heat: Heat = MAX_ROWS, tasks: int | None = None,
 ) -> DataFrame:
     """Give every error the last ``n`` crumbs of its client, oldest first.
 
     Adds ``breadcrumbs`` (empty when there are none). Both inputs need
     ``ts`` and ``event_id``; ``item`` is the struct to list, by default all
     columns of a crumb. An error without a client gets an empty trail.
+    ``tasks``, see ``skew.tasks_for``, is how many tasks share the timelines.
     """
     asked = as_keys(keys)
     item = _item_of(crumbs, asked, item)
     errors, crumbs, keys = lone_keys(errors, crumbs, asked)
-    out = _look_back(_timeline(errors, crumbs, keys, item), keys, heat, n=n)
+    out = _look_back(_timeline(errors, crumbs, keys, item), keys, heat, n=n, tasks=tasks)
     return out if LONE in asked else out.drop(LONE)
 
 
 def replay_before(
     errors: DataFrame, events: DataFrame, keys: str | Sequence[str] = "session_id",
     seconds: float = REPLAY_SECONDS, clicks: int = REPLAY_CLICKS, item: Column | None = None,
-    anchor: str = "error", crumbs: int | None = None, capped: bool = True, heat: Heat = MAX_ROWS,
+    anchor: str = "error", crumbs: int | None = None, capped: bool = True, heat: Heat = MAX_ROWS, tasks: int | None = None,
 ) -> DataFrame:
     """Give every error the events recorded just before it, in time order.
 
@@ -194,7 +196,8 @@ def replay_before(
     they are exactly the client's errors with a lower count, so no copy of
     the growing list is needed on each row. With ``crumbs`` the same pass
     adds ``breadcrumbs``, the last that many events. An error without a
-    session has an empty replay.
+    session has an empty replay. ``tasks``, see ``skew.tasks_for``, is how
+    many tasks share the timelines.
     """
     _limits(seconds, clicks, capped)
     asked = as_keys(keys)
@@ -202,7 +205,7 @@ def replay_before(
     errors, events, keys = lone_keys(errors, events, asked)
     gone = [] if LONE in asked else [LONE]
     if anchor == "error":
-        return _look_back(_timeline(errors, events, keys, item), keys, heat, crumbs, seconds, clicks).drop(*gone)
+        return _look_back(_timeline(errors, events, keys, item), keys, heat, crumbs, seconds, clicks, tasks).drop(*gone)
     if anchor != "last_event":
         raise ValueError("anchor is 'error' or 'last_event'")
     # Each error moves to the time of the last event before it; from there
@@ -212,7 +215,7 @@ def replay_before(
     numbered = running_ordinal(errors, keys, "_nth", heat=heat)
     moved = _last_item_time(_timeline(numbered, events, keys, item), keys, heat)
     moved = moved.withColumns({"_own": F.col("ts"), "ts": F.coalesce("_end", "ts")})
-    out = _look_back(_timeline(moved, events, keys, item), keys, heat, None, seconds, clicks)
+    out = _look_back(_timeline(moved, events, keys, item), keys, heat, None, seconds, clicks, tasks)
     return out.withColumns({"ts": F.col("_own"), "prior_errors": F.col("_nth") - 1}).drop("_own", "_end", "_nth", *gone)
 
 

@@ -11,7 +11,7 @@ from faultline.functions import privacy, stack
 from faultline.operators import backend, joins, scans, trails
 from faultline.operators.filters import at_least_level, is_ignored_error
 from faultline.operators.normalize import default_metadata, normalize_browser_errors, normalize_exceptions, normalize_log_records
-from faultline.operators.skew import LONE, MAX_ROWS, Heat, keyed_only, no_key, resolve_heat, set_apart
+from faultline.operators.skew import LONE, MAX_ROWS, Heat, keyed_only, no_key, resolve_heat, set_apart, tasks_for
 
 
 def browser_flow(
@@ -42,8 +42,10 @@ def browser_flow(
     events = privacy.scrub_rows(events, fields, skip=[*own, "type"], urls=scrub_urls)
     crumbs = None if crumbs is None else privacy.scrub_rows(crumbs, fields, skip=own, urls=scrub_urls)
     # One look for hot sessions, on the narrow inputs, serves every step.
-    spots = raw.select(*keys, "ts").unionByName(events.select(*keys, "ts")).filter(~no_key(keys))
-    heat = resolve_heat(spots, keys, "ts", heat)
+    spots = raw.select(*keys, "ts").unionByName(events.select(*keys, "ts"))
+    # The lists that rows carry from here on are wide, so a task gets a bounded number of rows.
+    tasks = tasks_for(spots)
+    heat = resolve_heat(spots.filter(~no_key(keys)), keys, "ts", heat)
     # Rows without a session go through every step on timelines of their own.
     events, crumbs = keyed_only(events, keys), None if crumbs is None else keyed_only(crumbs, keys)
     rows = set_apart(normalize_browser_errors(raw, **normalize), keys)
@@ -61,7 +63,7 @@ def browser_flow(
 
     # When the trail lists the replay events, one pass cuts both.
     shared = max_crumbs if crumbs is None else None
-    rows = trails.replay_before(rows, events, keys, seconds, clicks, crumbs=shared, capped=capped, heat=heat)
+    rows = trails.replay_before(rows, events, keys, seconds, clicks, crumbs=shared, capped=capped, heat=heat, tasks=tasks)
     if heat is None:
         # Sessions are whole in their partitions here: a sort, no shuffle.
         rows = rows.withColumn("_first", joins.slot_rank([*seen, "ignored"], fingerprint_every) == 1)
@@ -72,7 +74,7 @@ def browser_flow(
         rows = rows.transform(on_replay)
     rows = rows.drop("replay", "prior_errors", "fingerprint")
     if crumbs is not None:
-        rows = trails.attach_breadcrumbs(rows, crumbs, keys, max_crumbs, heat=heat)
+        rows = trails.attach_breadcrumbs(rows, crumbs, keys, max_crumbs, heat=heat, tasks=tasks)
 
     inside = [*own, *keys, "client_id", "stack", "_first", "replay_data", "breadcrumbs"]
     rows = privacy.scrub_rows(rows, fields, skip=inside, urls=scrub_urls)

@@ -374,3 +374,17 @@ def test_flow_shuffles_the_timeline_once(spark):
     assert {r["admitted"] for r in rows} == {True, False} and all(len(r["breadcrumbs"]) <= 5 for r in rows)
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_flow_deals_its_timeline_by_the_number_of_rows(spark, monkeypatch):
+    from faultline.plans.flow import browser_flow
+
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    df = frame(spark, timeline(300, seed=18)).withColumn("session_id", F.col("client_id"))
+    blank = F.lit(None).cast("string")
+    raw = df.filter("type = 'error'").select(
+        "event_id", "ts", "session_id", F.col("type").alias("name"), F.col("event_id").cast("string").alias("message"), blank.alias("stack"))
+    out = browser_flow(raw, df.filter("type <> 'error'").select("event_id", "ts", "session_id", "type"), max_crumbs=5, capacity=2, rate=0.05)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    tasks = skew.tasks_for(df)
+    assert tasks == -(-df.count() // 10) > 8 and f", {tasks}), REPARTITION_BY_NUM" in plan
