@@ -53,9 +53,8 @@ class _Ordered(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         few, known = self._load()
         for pdf in rows:
-            few += [
-                [int(us), int(row_id), bool(flag), body]
-                for us, row_id, flag, body in pdf[["row_us", "row_id", "row_flag", "row_body"]].itertuples(index=False)]
+            columns = [pdf[c].tolist() for c in ("row_us", "row_id", "row_flag", "row_body")]
+            few += [[int(us), int(row_id), bool(flag), body] for us, row_id, flag, body in zip(*columns)]
             if len(few) > self.inline_rows:
                 few = self._spread(few, known)
         yield from self._release(key, timerValues, few, known)
@@ -65,11 +64,16 @@ class _Ordered(StatefulProcessor):
 
     def _load(self) -> tuple[list, set[int]]:
         """Waiting rows kept in one value, and the buckets in use."""
-        if not self.waiting.exists():
+        value = self.waiting.get()
+        if value is None:
             return [], set()
-        few, known = json.loads(self.waiting.get()[0])
+        few, known = json.loads(value[0])
         return few, set(known)
 
+    def _frame(self, key, out: list) -> pd.DataFrame:
+        return pd.DataFrame({
+            **{c: [k] * len(out) for c, k in zip(self.key_columns, key)}, **{c: list(x) for c, x in zip(self.columns, zip(*out))}})
+
     def _spread(self, rows: list, known: set[int]) -> list:
         parts = {}
         for r in rows:
@@ -107,12 +111,15 @@ class _Ordered(StatefulProcessor):
 
     def _release(self, key, timerValues, few: list, known: set[int]) -> Iterator[pd.DataFrame]:
         mark = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
-        memory = json.loads(self.memory.get()[0]) if self.memory.exists() else None
+        # Every look at the state is a call to the JVM, and most keys have few rows: none is made twice.
+        value = self.memory.get()
+        memory = None if value is None else json.loads(value[0])
         for ready in self._due(mark, few, known):
             out, memory = self.advance(memory, ready)
             if out:
-                yield pd.DataFrame([[*key, *r] for r in out], columns=[*self.key_columns, *self.columns])
-        self._remember(memory, mark)
+                yield self._frame(key, out)
+        if memory is not None or value is not None:
+            self._remember(memory, mark)
         if few or known:
             self.waiting.update((json.dumps([few, sorted(known)]),))
             wake = min([r[0] for r in few] + [b * self.width for b in known])

@@ -122,3 +122,47 @@ def test_json_round_trip_and_dead_letters(spark, tmp_path):
     assert [r["_corrupt_record"] for r in out.filter("valid = 'false'").collect()] == ["{broken"]
     stream = readers.read_error_events(spark, str(tmp_path / "in"), streaming=True)
     assert stream.isStreaming and stream.schema == rows.schema
+
+
+def test_a_key_with_few_rows_looks_at_its_state_once():
+    import pandas as pd
+
+    calls = []
+
+    class Value:
+        held = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def clear(self):
+            calls.append("clear")
+            self.held = None
+
+    class Handle:
+        getMapState = staticmethod(lambda *a: None)
+        getValueState = staticmethod(lambda *a: Value())
+        registerTimer = staticmethod(lambda at: calls.append("timer"))
+
+    class Clock:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    scan = stateful._Scan(["k"], 60, 5000, scans.Gap(10_000_000), None)
+    scan.init(Handle())
+    rows = pd.DataFrame({"row_us": [9_000_000, 1_000_000, 12_000_000], "row_id": [2, 1, 3], "row_flag": [True] * 3, "row_body": ["b", "a", "c"]})
+    assert list(scan.handleInputRows((7,), iter([rows]), Clock(0))) == []
+    assert calls == ["get", "get", "update", "timer"]
+    calls.clear()
+    (out,) = scan.handleExpiredTimer((7,), Clock(20_000), None)
+    assert out.values.tolist() == [[7, "a", 1], [7, "b", 0], [7, "c", 1]] and list(out.columns) == ["k", "_body", "_result"]
+    assert calls == ["get", "get", "update", "timer", "clear"]
