@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.shared import column_of, portions, saved, utf8
+from faultline.llm.shared import column_of, portions, saved, tidy, utf8
 
 BLOCK_BYTES = 2 << 20
 
@@ -63,7 +63,7 @@ def blocks(docs: DataFrame, text_column: str, keep: list[str], encode: Callable[
                 number += 1
 
     needed = [*keep, *({text_column} - set(keep))]
-    return saved(docs.select(*needed).mapInArrow(run, "block long, rest binary, body binary, more binary"))
+    return saved(docs.select(*needed).mapInArrow(tidy(run), "block long, rest binary, body binary, more binary"))
 
 
 def rest_of(blob: bytes) -> pa.RecordBatch:
@@ -95,7 +95,7 @@ def ask(frame: DataFrame, question: Callable[[dict], Iterator[tuple[int, bytes]]
         zeros = [0] * (len(frame) - 1)
         return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "reply": replies, "one": [one, *zeros], "two": [two, *zeros]})
 
-    sent = frame.select("block", *columns).mapInPandas(put, "shard int, block long, message binary")
+    sent = frame.select("block", *columns).mapInPandas(tidy(put), "shard int, block long, message binary")
     return saved(sent.groupBy("shard").applyInPandas(respond, "block long, shard int, reply binary, one long, two long"))
 
 

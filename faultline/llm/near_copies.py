@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from faultline.llm.components import components
-from faultline.llm.shared import column_of, portions, saved, utf8
+from faultline.llm.shared import column_of, portions, saved, tidy, utf8
 from faultline.llm.simhash import PIVOTS, _close, _tables, links
 
 WORDS, SIMILARITY = 5, 0.8
@@ -104,7 +104,7 @@ def _frequent(texts: DataFrame) -> np.ndarray:
         for batch, sets in _texts(batches, "text"):
             yield pa.record_batch([pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], ["shingle"])
 
-    found = texts.filter(F.pmod(F.xxhash64("vertex"), F.lit(share)) == 0).select("text").mapInArrow(run, "shingle long")
+    found = texts.filter(F.pmod(F.xxhash64("vertex"), F.lit(share)) == 0).select("text").mapInArrow(tidy(run), "shingle long")
     found = found.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST)
     return np.sort(np.array([x for x, _ in found.collect()], np.int64).view(np.uint64))
 
@@ -148,7 +148,7 @@ def _candidates(texts: DataFrame, one: DataFrame, similarity: float, frequent) -
             yield pa.record_batch([pa.array(np.repeat(column_of(batch, "vertex").to_numpy(), [len(x) for x in first])), pa.array(flat)], ["vertex", "shingle"])
 
     # First shingles are listed anew: lists kept from the first pass would be the widest of all that is written here.
-    spread = texts.select("vertex", "text").mapInArrow(spread, "vertex long, shingle long").repartition("shingle").dropDuplicates(["shingle", "vertex"])
+    spread = texts.select("vertex", "text").mapInArrow(tidy(spread), "vertex long, shingle long").repartition("shingle").dropDuplicates(["shingle", "vertex"])
     shared = spread.withColumn("n", F.count("*").over(Window.partitionBy("shingle"))).filter("n > 1").drop("n")
     rows = shared.join(one, "vertex")
 
@@ -168,7 +168,7 @@ def _candidates(texts: DataFrame, one: DataFrame, similarity: float, frequent) -
             held = [x[whole:] for x in held]
         yield from pairs(held)
 
-    return rows.select(*names).repartition("shingle").sortWithinPartitions("shingle").mapInArrow(run, "a long, b long").distinct()
+    return rows.select(*names).repartition("shingle").sortWithinPartitions("shingle").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _by_bits(one: DataFrame) -> DataFrame:
@@ -216,23 +216,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
         for batch in batches:
             here = np.unpackbits(shared.value)[column_of(batch, "spot").to_numpy()].astype(bool)
             for part, found in _texts([batch.filter(pa.array(here))], "text"):
-                yield pa.record_batch([column_of(part, "vertex"), pa.array([x.tobytes() for x in found], pa.binary())], ["vertex", "held"])
+                yield pa.record_batch([column_of(part, "vertex"), _lists(list(found))], ["vertex", "held"])
 
     # One text a vertex; both joins read the same shuffle of the sets, and no set is written besides.
-    held = texts.select("vertex", "text", spot.alias("spot")).mapInArrow(sets, "vertex long, held binary")
+    held = texts.select("vertex", "text", spot.alias("spot")).mapInArrow(tidy(sets), "vertex long, held array<long>")
     held = held.groupBy("vertex").agg(F.first("held").alias("held"))
-
-    def similar(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(column_of(batch, "x"), column_of(batch, "y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    found = pairs.join(held.select(F.col("vertex").alias("a"), F.col("held").alias("x")), "a").join(held.select(F.col("vertex").alias("b"), F.col("held").alias("y")), "b")
-    return saved(found.select("a", "b", "x", "y").mapInArrow(similar, "a long, b long"))
+    for side, name in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(held.select(F.col("vertex").alias(side), F.col("held").alias(name)), side)
+    # Row by row where they are joined: a batch for Python would hold the sets of thousands of pairs at once.
+    both = F.size(F.array_intersect("x", "y"))
+    return saved(pairs.filter(both >= F.lit(similarity) * (F.size("x") + F.size("y") - both) - 1e-9).select("a", "b"))
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -260,7 +253,7 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "
                 ["doc_id", "vertex", "size", "bits", *PARITY, "least"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = saved(texts.select("doc_id", "vertex", "text").mapInArrow(run, f"doc_id {kind}, vertex long, size long, bits long, {', '.join(f'{x} long' for x in PARITY)}, least array<long>"))
+    rows = saved(texts.select("doc_id", "vertex", "text").mapInArrow(tidy(run), f"doc_id {kind}, vertex long, size long, bits long, {', '.join(f'{x} long' for x in PARITY)}, least array<long>"))
     spots = rows.select("vertex", F.posexplode("least").alias("seed", "value")).distinct()
     heads = spots.groupBy("seed", "value").agg(F.min("vertex").alias("head"), F.count("*").alias("n")).filter("n > 1")
     stars = spots.join(heads, ["seed", "value"]).filter("vertex <> head").select(F.col("head").alias("a"), F.col("vertex").alias("b")).distinct()

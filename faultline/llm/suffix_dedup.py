@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.llm.exchange import ask, blocks, replies_of, rest_of, squeeze, unsqueeze, with_replies
-from faultline.llm.shared import column_of
+from faultline.llm.shared import column_of, tidy
 
 LENGTH, GRAM = 200, 32
 _WINDOW = LENGTH - GRAM + 1
@@ -425,4 +425,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     added = [T.StructField(x, T.StringType() if x in ("kept_sha256", text_column) else T.LongType()) for x in names]
     schema = T.StructType([docs.schema[x] for x in keep] + added)
-    return both.select("body", "rest", "judged", "compared").mapInArrow(finish, schema)
+    return both.select("body", "rest", "judged", "compared").mapInArrow(tidy(finish), schema)

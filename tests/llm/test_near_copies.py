@@ -1,10 +1,13 @@
 import random
+import sys
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
-from faultline.llm import near_copies
+from faultline.llm import near_copies, shared
 
 
 def brute_force(texts):
@@ -127,3 +130,39 @@ def test_simhash_links_what_it_finds_and_the_rest_follows(spark, monkeypatch):
     kept = [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()]
     assert sorted(kept) == list(range(0, 80, 2))
     assert len(found) == 1 and found[0] >= 40 and seen[0] >= 30 and sum(seen) == 40
+
+
+def test_sets_of_pairs_meet_row_by_row(spark, monkeypatch):
+    """No batch of pairs with both sets goes to Python; pairs of exactly 0.8 are links, those just below are none."""
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(words[:304])]  # 300 shingles
+    # With n shingles of the first and others of its own: similarity n / (300 + other).
+    for n, other in ((240, 0), (239, 0), (280, 50), (279, 50), (300, 75), (300, 76)):
+        texts.append(" ".join(words[: n + 4] + words[1000 : 1000 + other]))
+    texts.append("")
+    docs = spark.createDataFrame(list(enumerate(texts)), "vertex long, text string").repartition(3)
+    pairs = spark.createDataFrame([*combinations(range(len(texts)), 2)], "a long, b long")
+    plans, plain = [], near_copies.saved
+    monkeypatch.setattr(near_copies, "saved", lambda frame: plans.append(frame._jdf.queryExecution().optimizedPlan().toString()) or plain(frame))
+    found = {tuple(x) for x in near_copies._verified(pairs, docs, 0.8).collect()}
+    assert found == brute_force(enumerate(texts)) and (0, 1) in found and (0, 2) not in found
+    assert "MapInArrow" in plans[-1] and "MapInArrow" not in plans[-1][: plans[-1].index("Join")]
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_a_task_leaves_no_freed_memory_in_its_worker():
+    resident = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096 >> 20
+    pinned = []
+
+    def run(batches):
+        held = [bytes(range(250)) * 200 for _ in range(4000)]
+        pinned.append(bytes(range(250)) * 200)  # above what is freed, as what a worker remembers
+        yield len(held)
+
+    before = resident()
+    assert list(shared.tidy(run)(iter([]))) == [4000]
+    assert resident() - before < 60
+    # What the task before has left goes back when the next one begins.
+    assert list(run(iter([]))) == [4000]
+    begun = shared.tidy(lambda batches: iter([resident()]))(iter([]))
+    assert next(begun) - before < 60
