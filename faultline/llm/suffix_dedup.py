@@ -402,26 +402,31 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     judged = with_replies(found, ask(found, first_question, partial(judge, many=MANY), ["body"]), "judged")
     both = with_replies(judged, ask(judged, second_question, answer, ["body", "judged"]), "compared")
 
+    def finished(body, judged, compared, rest):
+        data, offsets = unsqueeze(body)
+        part = Stretches(data, offsets)
+        part.hashes = part.least = part.valid = None  # the widest of it, not needed any more
+        status = _status(part, replies_of(judged), shards)
+        gone = _covered(part, status, replies_of(compared), shards)
+        begins = gone & ~np.concatenate([[False], gone[:-1]])
+        begins[offsets[:-1][np.diff(offsets) > 0]] |= gone[offsets[:-1][np.diff(offsets) > 0]]
+        total, spans = (np.concatenate([[0], np.cumsum(x)])[offsets] for x in (gone, begins))
+        left = data[~gone].tobytes()
+        at = offsets - total
+        kept = [left[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        rest = rest_of(rest)
+        columns = [rest.column(k) for k in range(len(keep))] + [
+            pa.array(np.diff(offsets)), pa.array(np.diff(total).astype(np.int64)), pa.array(np.diff(spans).astype(np.int64)),
+            pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
+        if with_text:
+            columns.append(pa.array([None if none else x.decode("utf-8", "ignore") for x, none in zip(kept, rest.column(len(keep)).to_pylist())], pa.string()))
+        return pa.record_batch(columns, [*keep, *names])
+
     def finish(batches):
+        # What one block takes is free before the next begins.
         for batch in batches:
             for row in range(batch.num_rows):
-                data, offsets = unsqueeze(column_of(batch, "body")[row].as_py())
-                part = Stretches(data, offsets)
-                status = _status(part, replies_of(column_of(batch, "judged")[row].as_py()), shards)
-                gone = _covered(part, status, replies_of(column_of(batch, "compared")[row].as_py()), shards)
-                begins = gone & ~np.concatenate([[False], gone[:-1]])
-                begins[offsets[:-1][np.diff(offsets) > 0]] |= gone[offsets[:-1][np.diff(offsets) > 0]]
-                total, spans = (np.concatenate([[0], np.cumsum(x)])[offsets] for x in (gone, begins))
-                left = data[~gone].tobytes()
-                at = offsets - total
-                kept = [left[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                rest = rest_of(column_of(batch, "rest")[row].as_py())
-                columns = [rest.column(k) for k in range(len(keep))] + [
-                    pa.array(np.diff(offsets)), pa.array(np.diff(total).astype(np.int64)), pa.array(np.diff(spans).astype(np.int64)),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
-                if with_text:
-                    columns.append(pa.array([None if none else x.decode("utf-8", "ignore") for x, none in zip(kept, rest.column(len(keep)).to_pylist())], pa.string()))
-                yield pa.record_batch(columns, [*keep, *names])
+                yield finished(*(column_of(batch, x)[row].as_py() for x in ("body", "judged", "compared", "rest")))
 
     added = [T.StructField(x, T.StringType() if x in ("kept_sha256", text_column) else T.LongType()) for x in names]
     schema = T.StructType([docs.schema[x] for x in keep] + added)
