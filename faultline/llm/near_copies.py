@@ -207,7 +207,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     pairs = saved(pairs)
     # Two million marks leave out most texts that no pair names before any text moves.
     spot = F.pmod(F.xxhash64("vertex"), F.lit(1 << 21))
-    named = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    named = pairs.select(F.explode(F.array("a", "b")).alias("vertex"))
     marks = np.zeros(1 << 21, bool)
     marks[[x for x, in named.select(spot).distinct().collect()]] = True
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(marks))
@@ -260,10 +260,10 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, id_column: str = "
     near = _verified(_by_bits(rows.select("vertex", "bits").dropDuplicates(["vertex"])), texts, similarity)
     roots = saved(components(near))
     near = near.unionByName(_verified(_apart(_not_linked(stars, roots), rows, similarity), texts, similarity))
-    roots = saved(components(near))
+    roots = components(near)
     one = rows.select("vertex", "size", "bits", *PARITY).dropDuplicates(["vertex"]).join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
     near = near.unionByName(_verified(_candidates(texts, one, similarity, frequent), texts, similarity))
-    roots = saved(components(near))
+    roots = components(near)
     named = rows.select("doc_id", "vertex").join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("least"))
     gone = saved(named.join(least, "root").filter("doc_id <> least").select(F.col("doc_id").alias("gone_id")).distinct())

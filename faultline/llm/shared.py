@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 
 MAX_LABELS = 1000  # that a classifier learns
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def saved(frame: DataFrame) -> DataFrame:
@@ -28,6 +29,15 @@ def saved(frame: DataFrame) -> DataFrame:
         if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    # Its shuffle files go with the end of this action; else they stay until the driver happens to collect its garbage.
+    # The setting counts where a frame is made, so it is set only for a moment, and for no other frame.
+    conf = frame.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES, "false")
+    conf.set(DROP_SHUFFLES, "true")
+    try:
+        frame = frame.select("*")
+    finally:
+        conf.set(DROP_SHUFFLES, before)
     return frame.checkpoint(eager=True)
 
 

@@ -1,11 +1,15 @@
 import hashlib
+import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
-from faultline.llm import exact_dedup, exchange, simhash, suffix_dedup
+from faultline.llm import components as graph
+from faultline.llm import exact_dedup, exchange, shared, simhash, suffix_dedup
 from faultline.llm.components import components
 
 
@@ -131,6 +135,42 @@ def test_components_of_a_path_and_a_star(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_in_few_shuffles_and_checkpoints(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "saved", lambda frame: rounds.append(frame._jdf.queryExecution().executedPlan().toString().count("Exchange ")) or simhash.saved(frame))
+    rng = random.Random(5)
+    names = sorted({rng.getrandbits(63) - (1 << 62) for _ in range(400)}, key=str)
+    assert len(names) == 400
+    pairs = [(names[k], names[k + 1]) for k in range(0, 400, 2)]
+    assert len(components(spark.createDataFrame(pairs, "a long, b long").repartition(4)).collect()) == 400
+    assert len(rounds) == 1 and rounds[0] <= 2  # the second exchange is that of the given rows
+    rounds.clear()
+    edges = [(rng.choice(names), rng.choice(names)) for _ in range(230)] + [(names[0], x) for x in names[:50]] + [(None, names[9]), (names[9], None)]
+    # Tasks that merge a few edges at once and keep those of one vertex together give the same.
+    for most in (graph._AT_ONCE, 3):
+        monkeypatch.setattr(graph, "_AT_ONCE", most)
+        found = components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()
+        real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+        assert sorted((r.vertex, r.root) for r in found) == sorted(_roots({x for e in real for x in e}, real).items())
+    assert max(rounds) <= 4
+
+
+def test_what_is_saved_leaves_no_shuffle_files(spark):
+    def files():
+        folders = [x.toString() for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle")}
+
+    before = files()
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    found = shared.saved(counts)
+    ends = time.time() + 20  # files go in the background
+    while (left := files() - before) and time.time() < ends:
+        time.sleep(0.2)
+    assert not left
+    assert found.count() == counts.count() == 7
+    assert spark.conf.get(shared.DROP_SHUFFLES) == "false"
+
+
 def _repeats(texts):
     seen = Counter(x[i : i + 200] for x in texts for i in range(len(x) - 199))
     out = []
