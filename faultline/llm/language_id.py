@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.shared import column_of, portions, sampled, utf8
+from faultline.llm.shared import column_of, portions, sampled, tidy, utf8
 
 WINDOW = 256
 WIDTHS = (2, 3, 4, 5)
@@ -154,7 +154,7 @@ def fit(docs: DataFrame, usable: Column, sample_per_language: int = 400, windows
     # The chosen ids are few by the two bounds above, whatever the table's size.
     sample = docs.filter(usable).join(F.broadcast(chosen), id_column, "left_semi")
     sample = sample.filter(F.col(label_column).isNotNull()).select(F.col(label_column).cast("string").alias("label"), text_column)
-    rows = sorted((x.label, bytes(x.bytes)) for x in sample.mapInArrow(run, "label string, bytes binary").collect())
+    rows = sorted((x.label, bytes(x.bytes)) for x in sample.mapInArrow(tidy(run), "label string, bytes binary").collect())
     if not rows:
         return None
     languages = sorted({x for x, _ in rows})
@@ -197,4 +197,4 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str] | None = None,
             yield pa.record_batch(columns, [*keep, "lang_pred", "score"])
 
     schema = T.StructType([docs.schema[x] for x in keep] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*needed, has_letter.alias(flag)).mapInArrow(run, schema)
+    return docs.select(*needed, has_letter.alias(flag)).mapInArrow(tidy(run), schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm import pretokens, vocab
-from faultline.llm.shared import column_of, portions, saved, utf8
+from faultline.llm.shared import column_of, kept, portions, saved, tidy, utf8
 
 WINDOW = 1024
 SHARD_DOCS, SHARD_TOKENS = 2048, 4_000_000
@@ -78,15 +78,12 @@ class Tokenizer:
         return b"".join(out) + self._with_special(rest)
 
 
-_tokenizers: dict[str, Tokenizer] = {}
-
-
 def _tokenizer(path: str, tokens, special) -> Tokenizer:
-    """One for all tasks of a worker process."""
-    if path not in _tokenizers:
-        _tokenizers.clear()
-        _tokenizers[path] = Tokenizer(tokens, special)
-    return _tokenizers[path]
+    """One for all tasks of a worker process, until one of another stage lets it go."""
+    if path not in kept:
+        kept.clear()
+        kept[path] = Tokenizer(tokens, special)
+    return kept[path]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -262,7 +259,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_c
 
     # One row for each entry of the vocabulary at most.
     frequency = np.zeros(size, np.int64)
-    for term, n in shards.select("tokens", "counts").mapInPandas(frequencies, "term long, docs long").groupBy("term").agg(F.sum("docs")).collect():
+    for term, n in shards.select("tokens", "counts").mapInPandas(tidy(frequencies), "term long, docs long").groupBy("term").agg(F.sum("docs")).collect():
         frequency[term] = n
     n_docs, n_tokens = shards.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     shared = docs.sparkSession.sparkContext.broadcast((frequency, n_docs, n_tokens / max(1, n_docs)))
@@ -291,4 +288,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_c
                 yield pa.record_batch(columns, names)
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return shards.select("ids", "counts", "tokens").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return shards.select("ids", "counts", "tokens").mapInArrow(tidy(run), schema + (", ids array<int>" if with_ids else ""))

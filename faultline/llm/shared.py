@@ -91,8 +91,14 @@ def portions(batches, column: str, limit: int = 4 << 20):
             start = end
 
 
+#: What a worker process keeps from one task for the next of the same stage, by name.
+kept: dict = {}
+
+
 def give_back() -> None:
-    """Memory that this process has freed but keeps goes back to the system, where its allocators can do that."""
+    """What this process keeps for tasks of another stage goes, and memory that it has freed goes back to the system, where
+    its allocators can do that."""
+    kept.clear()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
         trim(0)

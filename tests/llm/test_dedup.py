@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from faultline.llm import components as graph
-from faultline.llm import exact_dedup, exchange, shared, simhash, suffix_dedup
+from faultline.llm import exact_dedup, exchange, packing, shared, simhash, suffix_dedup
 from faultline.llm.components import components
 
 
@@ -171,6 +171,15 @@ def test_what_is_saved_leaves_no_shuffle_files(spark):
     assert spark.conf.get(shared.DROP_SHUFFLES) == "false"
 
 
+def test_a_tokenizer_goes_when_a_task_of_another_stage_begins():
+    tokens = {bytes([x]): x for x in range(256)}
+    first = packing._tokenizer("a path", tokens, {})
+    assert packing._tokenizer("a path", tokens, {}) is first
+    assert list(shared.tidy(lambda batches: iter([len(shared.kept)]))([])) == [0]
+    assert packing._tokenizer("a path", tokens, {}) is not first
+    shared.kept.clear()
+
+
 def _repeats(texts):
     seen = Counter(x[i : i + 200] for x in texts for i in range(len(x) - 199))
     out = []
