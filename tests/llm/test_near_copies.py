@@ -149,6 +149,86 @@ def test_sets_of_pairs_meet_row_by_row(spark, monkeypatch):
     assert "MapInArrow" in plans[-1] and "MapInArrow" not in plans[-1][: plans[-1].index("Join")]
 
 
+def test_a_set_goes_once_to_a_cell_and_not_once_to_each_pair(spark, monkeypatch):
+    """The larger a group of copies that are not linked, the fewer sets move for a pair."""
+    rng = random.Random(10)
+    words = [f"w{k}" for k in range(5000)]
+    base, rows = [rng.choice(words) for _ in range(390)], []
+    for i in range(120):
+        copy = list(base)
+        # Changed words spread over the text: the first half is linked, the others resemble many texts and none enough.
+        for at in rng.sample(range(390), 2 if i < 60 else 7):
+            copy[at] = rng.choice(words)
+        rows.append((i, " ".join(copy)))
+    seen, plain = [], near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *rest: seen.append(pairs) or plain(pairs, *rest))
+    kept = [r.doc_id for r in near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()]
+    least = least_of(brute_force(rows), range(120))
+    assert sorted(kept) == [i for i in range(120) if least[i] == i]
+    pairs = seen[-1].collect()
+    assert len(pairs) > 200 and len({(r.a, r.b) for r in pairs}) == len(pairs)
+    moved = {(r.cell, v) for r in pairs for v in (r.a, r.b)}
+    assert len(moved) < len(pairs) / 3
+
+
+def test_cells_of_a_large_group_are_bounded(monkeypatch):
+    monkeypatch.setattr(near_copies, "CELL", 1 << 14)
+    rng = np.random.default_rng(3)
+    vertex, size = rng.integers(-(1 << 62), 1 << 62, 500), rng.integers(300, 400, 500)
+    a, b = (vertex[x] for x in np.triu_indices(500, 1))
+    cells = near_copies._cells(a, b, vertex, size)
+    weight = dict(zip(vertex.tolist(), size.tolist()))
+    held = {}
+    for x, y, cell in zip(a.tolist(), b.tolist(), cells.tolist()):
+        held.setdefault(cell, set()).update((x, y))
+    assert 100 < len(held) < 1000 and max(sum(weight[v] for v in x) for x in held.values()) < 4 * near_copies.CELL
+    assert (near_copies._cells(b, a, vertex[::-1], size) == cells).all()
+
+
+def test_a_pair_comes_from_the_least_shingle_it_shares():
+    """Groups of six shingles: each pair is made by one of the groups that hold both its texts, as far as three shingles tell."""
+    rng = np.random.default_rng(5)
+    shared = [np.sort(rng.choice(6, rng.integers(1, 7), replace=False)) for _ in range(40)]
+    low = [np.array([x[min(k, len(x) - 1)] for x in shared]) for k in range(near_copies.LOW)]
+    made, plain = [], 0
+    for shingle in range(6):
+        at = np.array([k for k, x in enumerate(shared) if shingle in x])
+        group = (at, at, np.full(len(at), 50), np.zeros(len(at), np.int64), *np.zeros((8, len(at)), np.int64))
+        plain += len(at) * (len(at) - 1) // 2
+        for x, y in near_copies.unlinked(*group, other=tuple(z[at] for z in low), shingle=shingle):
+            made += zip(x.tolist(), y.tolist())
+    assert set(made) == {(i, j) for i, j in combinations(range(40), 2) if set(shared[i]) & set(shared[j])}
+    assert len(made) < 1.2 * len(set(made)) < 0.8 * plain
+
+
+def test_wide_bits_keep_similar_large_sets_and_tell_others_apart():
+    rng = np.random.default_rng(7)
+    apart = lambda x, y: int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) > near_copies.FAR_WIDE
+    wide = lambda found: near_copies._wide(near_copies._mixed(np.sort(found)))
+    for size in (near_copies.WIDE_FROM, 1500):
+        told = 0
+        for _ in range(300):
+            shared, fifth = int(np.ceil(size * 8 / 9)), size // 5
+            pool = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
+            first = wide(pool[:size])
+            assert not apart(first, wide(np.concatenate([pool[:shared], pool[size : 2 * size - shared]])))
+            told += apart(first, wide(np.concatenate([pool[:fifth], pool[size : 2 * size - fifth]])))
+        assert told > 290
+    assert not wide(rng.integers(0, 1 << 64, near_copies.WIDE_FROM - 1, dtype=np.uint64)).any()
+
+
+def test_pairs_of_long_texts_that_share_a_phrase_are_not_verified(spark, monkeypatch):
+    """Long texts with one phrase in common: 64 bits leave some of their pairs, wide ones none."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(5000)]
+    phrase = " ".join(rng.choice(words) for _ in range(60))
+    rows = [(i, phrase + " " + " ".join(rng.choice(words) for _ in range(400))) for i in range(150)]
+    seen, plain = [], near_copies._verified
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or plain(pairs, *rest))
+    assert near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).count() == 150
+    assert sum(seen) == 0
+
+
 @pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
 def test_a_task_leaves_no_freed_memory_in_its_worker():
     resident = lambda: int(Path("/proc/self/statm").read_text().split()[1]) * 4096 >> 20
